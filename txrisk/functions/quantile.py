@@ -6,6 +6,7 @@ in one buffer, which does not survive a 100 TB column. Instead:
 1. one pass computes ``count`` and ``percentile_approx`` at ``p +- margin/acc``
    (Greenwald-Khanna: rank error <= n/acc), giving a value band per percentile
    that provably contains the exact order statistics;
+   (groups under 2 * acc rows take their whole range as the band);
 2. a second pass sends every row's "band record" through a partial
    aggregation: rows below the band collapse map-side into one counter per
    (group, percentile), rows inside become (value, count) pairs, rows above
@@ -55,9 +56,14 @@ def exact_percentiles(df: DataFrame, x: str | Column, probs: Sequence[float],
     m = len(probs)
     xv = F.col("_x")
 
+    # A group smaller than 2 * accuracy rows is ranked whole (bounded); in a
+    # larger one the band spans >= 8 ranks beyond the approximation error,
+    # which also covers the one-rank gap between ceil(p n) and (n - 1) p.
+    small = F.col("_n") < F.lit(2 * accuracy)
+
     def rec(i):
-        lo = F.element_at(F.col("_b"), i * 2 + 1)
-        hi = F.element_at(F.col("_b"), i * 2 + 2)
+        lo = F.when(small, F.lit(float("-inf"))).otherwise(F.element_at(F.col("_b"), i * 2 + 1))
+        hi = F.when(small, F.lit(float("inf"))).otherwise(F.element_at(F.col("_b"), i * 2 + 2))
         below = xv < lo
         return F.struct(i.alias("i"), below.alias("below"),
                         F.when(~below & (xv <= hi), xv).alias("v"))

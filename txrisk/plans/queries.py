@@ -275,3 +275,233 @@ SELECT n0, n1, round(n0 / n1, 6) AS pos_weight FROM (
   SELECT count(*) FILTER (WHERE isFraud = 0) AS n0, count(*) FILTER (WHERE isFraud = 1) AS n1 FROM tx)"""))
 def q_pos_weight(spark, sf_dir):
     return _round_cols(st.pos_weight(src.load_tx(spark, sf_dir)), ["pos_weight"])
+
+
+# ---------------------------------------------------------------- sampling (R)
+from ..operators import metrics as me  # noqa: E402
+from ..operators import sampling as sa  # noqa: E402
+
+
+def _split(spark, sf_dir) -> DataFrame:
+    return sa.stratified_split(_feat(spark, sf_dir))
+
+
+_SPLIT = S.with_(S.TX, S.features_cte(), S.split_cte("feat"), body="")
+
+
+def _sql(*ctes, body):
+    return S.with_(*ctes, body=body)
+
+
+@register("split", _sql(S.TX, S.features_cte(), S.split_cte("feat"),
+                        body="SELECT row_key, isFraud, split FROM spl"))
+def q_split(spark, sf_dir):
+    return _split(spark, sf_dir).select(KEY, LABEL, "split")
+
+
+@register("split_summary", _sql(S.TX, S.features_cte(), S.split_cte("feat"), body="""
+SELECT split, count(*) AS rows, CAST(sum(isFraud) AS BIGINT) AS fraud, round(avg(isFraud) * 100, 6) AS fraud_pct
+FROM spl GROUP BY split"""))
+def q_split_summary(spark, sf_dir):
+    return _round_cols(st.split_summary(_split(spark, sf_dir)), ["fraud_pct"])
+
+
+@register("split_plain", _sql(S.TX, body="""
+SELECT row_key, CASE WHEN row_number() OVER (ORDER BY md5(concat(row_key, ':42')), row_key)
+  <= ceil(0.2 * (SELECT count(*) FROM tx)) THEN 'test' ELSE 'train' END AS split FROM tx"""))
+def q_split_plain(spark, sf_dir):
+    return sa.plain_split(src.load_tx(spark, sf_dir)).select(KEY, "split")
+
+
+@register("undersample", _sql(S.TX, S.features_cte(), S.split_cte("feat"),
+                              "trn AS (SELECT * FROM spl WHERE split = 'train')",
+                              S.take_cte("trn", "und", """CASE WHEN q.lbl = (SELECT lbl FROM und_cc ORDER BY n_c, lbl LIMIT 1)
+    THEN q.n_c ELSE least(q.n_c, CAST(trunc((SELECT min(n_c) FROM und_cc) / 0.1) AS BIGINT)) END"""),
+                              body="SELECT row_key, isFraud FROM und"))
+def q_undersample(spark, sf_dir):
+    train = _split(spark, sf_dir).where(F.col("split") == "train")
+    return sa.undersample(train).select(KEY, LABEL)
+
+
+@register("balanced_sample", _sql(S.TX, S.features_cte(), S.take_cte("feat", "bal", "2500"),
+                                  body="SELECT row_key, isFraud FROM bal"))
+def q_balanced_sample(spark, sf_dir):
+    return sa.balanced_sample(_feat(spark, sf_dir), 2500).select(KEY, LABEL)
+
+
+_SCATTER_COLS = [c for c in MANAGER_FEATURE_COLS
+                 if c not in ("orig_zeroed", "suspicious_type", "type_encoded")][:5]
+
+
+@register("scatter_sample", _sql(S.TX, S.features_cte(), S.take_cte("feat", "sct", "1500"),
+                                 "cap AS (SELECT " + ", ".join(
+                                     f"quantile_cont({c}, 0.99) AS {c}" for c in _SCATTER_COLS) + " FROM sct)",
+                                 body="SELECT s.row_key, " + ", ".join(
+                                     f"CASE WHEN s.{c} IS NULL THEN NULL ELSE least(s.{c}, cap.{c}) END AS {c}"
+                                     for c in _SCATTER_COLS)
+                                 + ", CASE s.isFraud WHEN 0 THEN 'Normal' WHEN 1 THEN 'Fraud' END AS class_name"
+                                 + " FROM sct s, cap"))
+def q_scatter_sample(spark, sf_dir):
+    from ..plans import pipeline as pl
+    return pl.scatter_sample(_feat(spark, sf_dir), _SCATTER_COLS, 1500)
+
+
+@register("folds", _sql(S.TX, S.features_cte(), S.split_cte("feat"),
+                        "trn AS (SELECT * FROM spl WHERE split = 'train')",
+                        """fc AS (SELECT isFraud AS lbl, count(*) AS n_c,
+    coalesce(sum(count(*)) OVER (ORDER BY isFraud ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS st
+  FROM trn GROUP BY isFraud),
+fb AS (SELECT lbl, st, n_c,
+    (CASE WHEN st + n_c <= 0 THEN 0 ELSE (st + n_c - 1) // 3 + 1 END) - (CASE WHEN st <= 0 THEN 0 ELSE (st - 1) // 3 + 1 END) AS a0,
+    (CASE WHEN st + n_c <= 1 THEN 0 ELSE (st + n_c - 2) // 3 + 1 END) - (CASE WHEN st <= 1 THEN 0 ELSE (st - 2) // 3 + 1 END) AS a1
+  FROM fc)""", body="""
+SELECT row_key, isFraud, CAST(CASE WHEN rn < a0 THEN 0 WHEN rn < a0 + a1 THEN 1 ELSE 2 END AS INTEGER) AS fold
+FROM (SELECT t.*, row_number() OVER (PARTITION BY isFraud ORDER BY md5(concat(row_key, ':42')), row_key) - 1 AS rn
+      FROM trn t) t JOIN fb ON t.isFraud = fb.lbl"""))
+def q_folds(spark, sf_dir):
+    train = _split(spark, sf_dir).where(F.col("split") == "train")
+    return sa.stratified_folds(train).select(KEY, LABEL, "fold")
+
+
+# ---------------------------------------------------------------- metrics
+def _pred(spark, sf_dir) -> DataFrame:
+    """rule-based predictions (no model) over the feature table."""
+    f = _feat(spark, sf_dir)
+    hit = F.col("suspicious_type") * F.col("orig_zeroed")
+    return f.select(KEY, F.col(LABEL).alias("label"), hit.alias("prediction"),
+                    (F.col("amount") * hit).alias("score"))
+
+
+def _pred3(spark, sf_dir) -> DataFrame:
+    f = _risk(spark, sf_dir)
+    f = fe.feature_table(f, fe.fit_type_codes(f)).join(f.select(KEY, "risk_category"), KEY)
+    hit = F.col("suspicious_type") * F.col("orig_zeroed")
+    pred = F.when(hit == 0, 0).when(F.col("amount") <= 100, 1).otherwise(2).cast("int")
+    return f.select(KEY, F.col("risk_category").alias("label"), pred.alias("prediction"))
+
+
+_M = (S.TX, S.features_cte(), S.PRED_CTE, S.METRIC_CTES)
+_M3 = (S.TX, S.features_cte(), S.pred3_cte(_RISK_SQL), S.METRIC_CTES)
+
+
+@register("confusion", _sql(*_M, body="SELECT label, prediction, count FROM conf"))
+def q_confusion(spark, sf_dir):
+    return me.confusion(_pred(spark, sf_dir))
+
+
+@register("confusion_3class", _sql(*_M3, body="SELECT label, prediction, count FROM conf"))
+def q_confusion3(spark, sf_dir):
+    return me.confusion(_pred3(spark, sf_dir))
+
+
+_PC_COLS = ["precision", "recall", "f1"]
+
+
+@register("per_class", _sql(*_M, body=(
+    "SELECT label, tp, fp, fn, round(precision, 6) AS precision, round(recall, 6) AS recall, "
+    "round(f1, 6) AS f1, support FROM pc")))
+def q_per_class(spark, sf_dir):
+    return _round_cols(me.per_class(me.confusion(_pred(spark, sf_dir))), _PC_COLS)
+
+
+@register("per_class_3class", _sql(*_M3, body=(
+    "SELECT label, tp, fp, fn, round(precision, 6) AS precision, round(recall, 6) AS recall, "
+    "round(f1, 6) AS f1, support FROM pc")))
+def q_per_class3(spark, sf_dir):
+    return _round_cols(me.per_class(me.confusion(_pred3(spark, sf_dir))), _PC_COLS)
+
+
+@register("accuracy", _sql(*_M, body="SELECT round(avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM pred"))
+def q_accuracy(spark, sf_dir):
+    return _round_cols(me.accuracy(_pred(spark, sf_dir)), ["accuracy"])
+
+
+def _modes_sql(metric, ctes, fn=S.avg_sql):
+    return _sql(*ctes, body=" UNION ALL ".join(
+        f"SELECT '{a}' AS average, round({fn(metric, a)}, 6) AS {metric}" for a in me.AVERAGES))
+
+
+def _f1_sql(mode, ctes):
+    return _sql(*ctes, body=" UNION ALL ".join(
+        f"SELECT '{a}' AS average, round({S.f1_sql(a, mode)}, 6) AS f1" for a in me.AVERAGES))
+
+
+@register("precision_modes", _modes_sql("precision", _M))
+def q_precision_modes(spark, sf_dir):
+    return _round_cols(me.metric_modes(me.per_class(me.confusion(_pred(spark, sf_dir))), "precision"), ["precision"])
+
+
+@register("recall_modes", _modes_sql("recall", _M))
+def q_recall_modes(spark, sf_dir):
+    return _round_cols(me.metric_modes(me.per_class(me.confusion(_pred(spark, sf_dir))), "recall"), ["recall"])
+
+
+@register("precision_modes_3class", _modes_sql("precision", _M3))
+def q_precision_modes3(spark, sf_dir):
+    return _round_cols(me.metric_modes(me.per_class(me.confusion(_pred3(spark, sf_dir))), "precision"), ["precision"])
+
+
+@register("recall_modes_3class", _modes_sql("recall", _M3))
+def q_recall_modes3(spark, sf_dir):
+    return _round_cols(me.metric_modes(me.per_class(me.confusion(_pred3(spark, sf_dir))), "recall"), ["recall"])
+
+
+@register("f1_per_class", _f1_sql("per_class", _M3))
+def q_f1_per_class(spark, sf_dir):
+    return _round_cols(me.f1_modes(me.per_class(me.confusion(_pred3(spark, sf_dir))), "per_class"), ["f1"])
+
+
+@register("f1_of_averages", _f1_sql("of_averages", _M3))
+def q_f1_of_averages(spark, sf_dir):
+    return _round_cols(me.f1_modes(me.per_class(me.confusion(_pred3(spark, sf_dir))), "of_averages"), ["f1"])
+
+
+@register("auc", _sql(*_M, body=f"SELECT round({S.AUC_SQL}, 6) AS roc_auc"))
+def q_auc(spark, sf_dir):
+    return _round_cols(me.roc_auc(_pred(spark, sf_dir)), ["roc_auc"])
+
+
+@register("roc_points", _sql(*_M, body="""
+SELECT CAST('Infinity' AS DOUBLE) AS threshold, 0.0 AS fpr, 0.0 AS tpr
+UNION ALL
+SELECT s AS threshold,
+  round(sum(neg) OVER (ORDER BY s DESC) / sum(neg) OVER (), 6) AS fpr,
+  round(sum(pos) OVER (ORDER BY s DESC) / sum(pos) OVER (), 6) AS tpr
+FROM (SELECT score AS s, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS pos,
+        sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS neg FROM pred WHERE score IS NOT NULL GROUP BY score)"""))
+def q_roc_points(spark, sf_dir):
+    return _round_cols(me.roc_points(_pred(spark, sf_dir)), ["fpr", "tpr"])
+
+
+@register("report_row", _sql(*_M, body=f"""
+SELECT round((SELECT sum(tp) / sum(support) FROM pc), 6) AS accuracy,
+  round({S.avg_sql('precision', 'binary')}, 6) AS precision, round({S.avg_sql('recall', 'binary')}, 6) AS recall,
+  round({S.avg_sql('f1', 'binary')}, 6) AS f1, round({S.AUC_SQL}, 6) AS roc_auc"""))
+def q_report_row(spark, sf_dir):
+    return _round_cols(me.report_row(_pred(spark, sf_dir)), ["accuracy", "precision", "recall", "f1", "roc_auc"])
+
+
+@register("class_report", _sql(*_M3, body="""
+SELECT CAST(label AS VARCHAR) AS row, round(precision, 6) AS precision, round(recall, 6) AS recall,
+  round(f1, 6) AS f1, support FROM pc
+UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(tp) / sum(support), 6), sum(support) FROM pc
+UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), sum(support) FROM pc
+UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6),
+  round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6), sum(support) FROM pc"""))
+def q_class_report(spark, sf_dir):
+    return _round_cols(me.class_report(me.confusion(_pred3(spark, sf_dir)) if False else _pred3(spark, sf_dir)),
+                       ["precision", "recall", "f1"])
+
+
+@register("naive_metrics", _sql(S.TX, S.features_cte(), S.split_cte("feat"),
+                                "pred AS (SELECT row_key, isFraud AS label, 0 AS prediction FROM spl WHERE split = 'test')",
+                                S.METRIC_CTES, body=f"""
+SELECT round((SELECT sum(tp) / sum(support) FROM pc), 6) AS accuracy,
+  round({S.avg_sql('precision', 'binary')}, 6) AS precision, round({S.avg_sql('recall', 'binary')}, 6) AS recall,
+  round({S.avg_sql('f1', 'binary')}, 6) AS f1"""))
+def q_naive_metrics(spark, sf_dir):
+    """The all-zero predictor on the test split (accuracy = 1 - fraud share)."""
+    test = _split(spark, sf_dir).where(F.col("split") == "test")
+    pred = test.select(KEY, F.col(LABEL).alias("label"), F.lit(0).alias("prediction"))
+    row = me.report_row(pred, score=None, pos_label=1).drop("roc_auc")
+    return _round_cols(row, ["accuracy", "precision", "recall", "f1"])

@@ -84,3 +84,79 @@ def long_cte(src: str, names, name: str = "lng", key: str | None = "row_key") ->
 
 __all__ = ["TX", "TX_DIRTY", "features_cte", "with_", "cols", "long_cte",
            "FEATURE_COLS", "MANAGER_FEATURE_COLS", "SOURCE_COLS"]
+
+
+def split_cte(src: str, name: str = "spl", label: str = "isFraud", key: str = "row_key",
+              test_size: float = 0.2, seed: int = 42) -> str:
+    """Exact stratified split: largest-remainder train quotas (ties: smaller
+    class), test = first rows of each class in (md5(key:seed), key) order."""
+    return f"""{name}_cc AS (SELECT {label} AS lbl, count(*) AS n_c FROM {src} WHERE {label} IS NOT NULL GROUP BY 1),
+{name}_q0 AS (SELECT lbl, n_c, sum(n_c) OVER () AS n,
+    CAST(ceil({test_size} * sum(n_c) OVER ()) AS BIGINT) AS n_test FROM {name}_cc),
+{name}_q1 AS (SELECT lbl, n_c, n, n_test, ((n - n_test) * n_c) // n AS fl, ((n - n_test) * n_c) % n AS rem
+    FROM {name}_q0),
+{name}_q2 AS (SELECT lbl, n_c, fl + CASE WHEN row_number() OVER (ORDER BY rem DESC, lbl)
+    <= (n - n_test) - sum(fl) OVER () THEN 1 ELSE 0 END AS n_train_c FROM {name}_q1),
+{name} AS (SELECT s.*, CASE WHEN row_number() OVER (PARTITION BY s.{label}
+    ORDER BY md5(concat(s.{key}, ':{seed}')), s.{key}) <= q.n_c - q.n_train_c THEN 'test' ELSE 'train' END AS split
+  FROM {src} s JOIN {name}_q2 q ON s.{label} = q.lbl)"""
+
+
+def take_cte(src: str, name: str, quota_sql: str, label: str = "isFraud", key: str = "row_key",
+             seed: int = 42) -> str:
+    """First ``quota`` rows per class in digest order; quota_sql may use q.n_c."""
+    return f"""{name}_cc AS (SELECT {label} AS lbl, count(*) AS n_c FROM {src} WHERE {label} IS NOT NULL GROUP BY 1),
+{name} AS (SELECT s.* FROM (SELECT s.*, row_number() OVER (PARTITION BY s.{label}
+    ORDER BY md5(concat(s.{key}, ':{seed}')), s.{key}) AS rn FROM {src} s) s
+  JOIN {name}_cc q ON s.{label} = q.lbl WHERE s.rn <= {quota_sql})"""
+
+
+# F7 rule-based predictions (binary and three-class).
+PRED_CTE = """pred AS (SELECT row_key, isFraud AS label, suspicious_type * orig_zeroed AS prediction,
+    amount * suspicious_type * orig_zeroed AS score FROM feat)"""
+
+
+def pred3_cte(risk_sql: str) -> str:
+    return f"""pred AS (SELECT row_key, {risk_sql} AS label,
+    CAST(CASE WHEN suspicious_type * orig_zeroed = 0 THEN 0 WHEN amount <= 100 THEN 1 ELSE 2 END AS INTEGER)
+      AS prediction FROM feat)"""
+
+
+METRIC_CTES = """lbls AS (SELECT label AS c FROM pred UNION SELECT prediction FROM pred),
+conf AS (SELECT a.c AS label, b.c AS prediction,
+    (SELECT count(*) FROM pred p WHERE p.label = a.c AND p.prediction = b.c) AS count
+  FROM lbls a, lbls b),
+pc0 AS (SELECT l.c AS label,
+    (SELECT count(*) FROM pred WHERE label = l.c AND prediction = l.c) AS tp,
+    (SELECT count(*) FROM pred WHERE prediction = l.c) AS predicted,
+    (SELECT count(*) FROM pred WHERE label = l.c) AS support FROM lbls l),
+pc1 AS (SELECT label, tp, predicted - tp AS fp, support - tp AS fn,
+    coalesce(tp / nullif(predicted, 0), 0.0) AS precision, coalesce(tp / nullif(support, 0), 0.0) AS recall,
+    support FROM pc0),
+pc AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall)
+    ELSE 0.0 END AS f1 FROM pc1)"""
+
+
+def avg_sql(metric: str, average: str) -> str:
+    if average == "binary":
+        return f"(SELECT {metric} FROM pc ORDER BY label DESC LIMIT 1)"
+    if average == "macro":
+        return f"(SELECT avg({metric}) FROM pc)"
+    if average == "weighted":
+        return f"(SELECT coalesce(sum({metric} * support) / nullif(sum(support), 0), 0.0) FROM pc)"
+    other = {"precision": "fp", "recall": "fn"}[metric]
+    return f"(SELECT coalesce(sum(tp) / nullif(sum(tp) + sum({other}), 0), 0.0) FROM pc)"
+
+
+def f1_sql(average: str, mode: str) -> str:
+    if mode == "per_class" and average != "micro":
+        return avg_sql("f1", average)
+    p, r = avg_sql("precision", average), avg_sql("recall", average)
+    return f"(CASE WHEN {p} + {r} > 0 THEN 2 * {p} * {r} / ({p} + {r}) ELSE 0.0 END)"
+
+
+AUC_SQL = """(SELECT sum(pos * (neg_below + 0.5 * neg)) / (sum(pos) * sum(neg)) FROM (
+   SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+     AS neg_below
+   FROM (SELECT score AS s, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS pos,
+           sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS neg FROM pred WHERE score IS NOT NULL GROUP BY score)))"""
