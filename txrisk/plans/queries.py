@@ -505,3 +505,89 @@ def q_naive_metrics(spark, sf_dir):
     pred = test.select(KEY, F.col(LABEL).alias("label"), F.lit(0).alias("prediction"))
     row = me.report_row(pred, score=None, pos_label=1).drop("roc_auc")
     return _round_cols(row, ["accuracy", "precision", "recall", "f1"])
+
+
+# ---------------------------------------------------------------- kNN (J1, M8-M10) and SMOTE
+from ..operators import knn as kn  # noqa: E402
+from ..operators.smote import smote  # noqa: E402
+
+
+def _emb_split(spark, sf_dir):
+    e = src.table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.col("embedding").cast("array<double>").alias("vec"), "label")
+    s = sa.stratified_split(e, label="label", key="vec_id")
+    q = s.where(F.col("split") == "test").select(F.col("vec_id").alias("qid"), "vec")
+    t = s.where(F.col("split") == "train").select(F.col("vec_id").alias("tid"), "vec", "label")
+    return q, t
+
+
+_EMB_SPLIT = (S.EMB, S.split_cte("emb", label="label", key="vec_id"))
+
+
+@register("knn_join", _sql(*_EMB_SPLIT, S.knn_ctes("euclidean"),
+                           body="SELECT qid, rank, tid, round(distance, 6) AS distance FROM nn"))
+def q_knn_join(spark, sf_dir):
+    q, t = _emb_split(spark, sf_dir)
+    return _round_cols(kn.knn_join(q, t, 5, "euclidean").select("qid", "rank", "tid", "distance"), ["distance"])
+
+
+def _knn_pred_query(metric, weights, mode):
+    def fn(spark, sf_dir):
+        q, t = _emb_split(spark, sf_dir)
+        nn = kn.knn_join(q, t, 5, metric, label="label")
+        return kn.knn_predict(nn, weights, mode)
+    return fn
+
+
+for _m in ("euclidean", "manhattan", "cosine"):
+    register(f"knn_{_m}", _sql(*_EMB_SPLIT, S.knn_ctes(_m), S.NNW_EPS, S.vote_sql("w"),
+                               body="SELECT qid, prediction FROM pr"))(_knn_pred_query(_m, "distance", "eps"))
+register("knn_lib_uniform", _sql(*_EMB_SPLIT, S.knn_ctes("euclidean"), S.NNW_UNIFORM, S.vote_sql("w"),
+                                 body="SELECT qid, prediction FROM pr"))(
+    _knn_pred_query("euclidean", "uniform", "exact_match"))
+register("knn_lib_distance", _sql(*_EMB_SPLIT, S.knn_ctes("euclidean"), S.NNW_EXACT, S.vote_sql("w"),
+                                  body="SELECT qid, prediction FROM pr"))(
+    _knn_pred_query("euclidean", "distance", "exact_match"))
+
+
+@register("knn_proba", _sql(*_EMB_SPLIT, S.knn_ctes("euclidean"), S.NNW_EXACT, """
+cls AS (SELECT DISTINCT label FROM kt),
+vt AS (SELECT qid, label, sum(w) AS vote FROM nnw GROUP BY qid, label),
+tot AS (SELECT qid, sum(vote) AS t FROM vt GROUP BY qid)""", body="""
+SELECT tot.qid, cls.label, round(coalesce(vt.vote, 0.0) / tot.t, 6) AS proba
+FROM tot CROSS JOIN cls LEFT JOIN vt ON vt.qid = tot.qid AND vt.label = cls.label"""))
+def q_knn_proba(spark, sf_dir):
+    q, t = _emb_split(spark, sf_dir)
+    classes = sorted(r[0] for r in t.select("label").distinct().collect())
+    nn = kn.knn_join(q, t, 5, "euclidean", label="label")
+    return _round_cols(kn.knn_proba(nn, classes, "distance", "exact_match"), ["proba"])
+
+
+_SM_FEATS = FEATURE_COLS
+_SMOTE_SQL = _sql(S.TX, S.features_cte(), S.split_cte("feat"), f"""
+trn AS (SELECT * FROM spl WHERE split = 'train'),
+cnt AS (SELECT count(*) FILTER (WHERE isFraud = 1) AS n1, count(*) FILTER (WHERE isFraud = 0) AS n0 FROM trn),
+mino AS (SELECT * FROM trn WHERE isFraud = 1),
+idx AS (SELECT *, row_number() OVER (ORDER BY md5(concat(row_key, ':42')), row_key) - 1 AS idx FROM mino),
+nn AS (SELECT qid, tid, rank FROM (SELECT a.row_key AS qid, b.row_key AS tid, row_number() OVER (
+    PARTITION BY a.row_key ORDER BY list_distance([{S.cols(_SM_FEATS, 'a.')}]::DOUBLE[],
+      [{S.cols(_SM_FEATS, 'b.')}]::DOUBLE[]), b.row_key) AS rank
+  FROM mino a JOIN mino b ON a.row_key <> b.row_key) WHERE rank <= 5),
+gen AS (SELECT range AS i FROM range((SELECT CAST(trunc(0.1 * n0) AS BIGINT) - n1 FROM cnt))),
+g2 AS (SELECT i, CAST(floor({S.u_sql('i', 'base')} * (SELECT n1 FROM cnt)) AS BIGINT) AS idx,
+    CAST(floor({S.u_sql('i', 'nb')} * 5) AS BIGINT) + 1 AS rank, {S.u_sql('i', 'step')} AS gap FROM gen),
+syn AS (SELECT -(g.i + 1) AS row_key, """ + ", ".join(
+    (f"CAST(trunc(b.{c} + g.gap * (n.{c} - b.{c})) AS {'BIGINT' if c == 'step' else 'INTEGER'}) AS {c}"
+     if c in ("step", "type_encoded", "orig_zeroed", "suspicious_type")
+     else f"b.{c} + g.gap * (n.{c} - b.{c}) AS {c}") for c in _SM_FEATS) + """, 1 AS isFraud
+  FROM g2 g JOIN idx b ON g.idx = b.idx JOIN nn ON nn.qid = b.row_key AND nn.rank = g.rank
+  JOIN mino n ON n.row_key = nn.tid)""", body=(
+    "SELECT row_key, " + ", ".join(f"round({c}, 6) AS {c}" for c in _SM_FEATS) + ", isFraud FROM trn "
+    "UNION ALL SELECT row_key, " + ", ".join(f"round({c}, 6) AS {c}" for c in _SM_FEATS) + ", isFraud FROM syn"))
+
+
+@register("smote", _SMOTE_SQL)
+def q_smote(spark, sf_dir):
+    train = _split(spark, sf_dir).where(F.col("split") == "train")
+    out = smote(train, _SM_FEATS)
+    return out.withColumns({c: r6(c) for c in _SM_FEATS})

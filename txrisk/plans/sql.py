@@ -160,3 +160,35 @@ AUC_SQL = """(SELECT sum(pos * (neg_below + 0.5 * neg)) / (sum(pos) * sum(neg))
      AS neg_below
    FROM (SELECT score AS s, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS pos,
            sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS neg FROM pred WHERE score IS NOT NULL GROUP BY score)))"""
+
+
+def u_sql(i: str, tag: str, seed: int = 42) -> str:
+    return f"(CAST(('0x' || substr(md5(concat({i}, ':{seed}:{tag}')), 1, 8)) AS BIGINT) / 4294967296.0)"
+
+
+EMB = """emb AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings)"""
+
+
+def knn_ctes(metric: str, k: int = 5) -> str:
+    dist = {"euclidean": "list_distance(q.v, t.v)",
+            "cosine": "(1.0 - list_dot_product(q.v, t.v) / CASE WHEN sqrt(list_dot_product(q.v, q.v)) * "
+                      "sqrt(list_dot_product(t.v, t.v)) = 0 THEN 1e-10 ELSE sqrt(list_dot_product(q.v, q.v)) * "
+                      "sqrt(list_dot_product(t.v, t.v)) END)",
+            "manhattan": "list_sum(list_transform(list_zip(q.v, t.v), lambda z: abs(z[1] - z[2])))"}[metric]
+    return f"""kq AS (SELECT vec_id AS qid, v FROM spl WHERE split = 'test'),
+kt AS (SELECT vec_id AS tid, v, label FROM spl WHERE split = 'train'),
+kd AS (SELECT q.qid, t.tid, t.label, {dist} AS distance FROM kq q, kt t),
+nn AS (SELECT qid, tid, label, distance, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY qid ORDER BY distance, tid) AS rank FROM kd) WHERE rank <= {k})"""
+
+
+def vote_sql(weight: str) -> str:
+    return f"""vt AS (SELECT qid, label, sum({weight}) AS vote FROM nnw GROUP BY qid, label),
+pr AS (SELECT qid, label AS prediction FROM (
+  SELECT *, row_number() OVER (PARTITION BY qid ORDER BY vote DESC, label) AS rn FROM vt) WHERE rn = 1)"""
+
+
+NNW_EPS = "nnw AS (SELECT *, 1.0 / (distance + 1e-8) AS w FROM nn)"
+NNW_UNIFORM = "nnw AS (SELECT *, 1.0 AS w FROM nn)"
+NNW_EXACT = """nnw AS (SELECT *, CASE WHEN max(CASE WHEN distance = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY qid) = 1
+    THEN CASE WHEN distance = 0 THEN 1.0 ELSE 0.0 END ELSE 1.0 / distance END AS w FROM nn)"""

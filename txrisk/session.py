@@ -24,6 +24,7 @@ def get_spark(master: str = "local[8]", app: str = "txrisk",
               shuffle_partitions: int = 8, conf: dict | None = None) -> SparkSession:
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", "16g"))
     for k, v in {**SCALE_CONF, **(conf or {})}.items():
