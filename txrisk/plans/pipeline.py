@@ -23,3 +23,74 @@ def scatter_sample(feat: DataFrame, cols: Sequence[str], n_each: int = 1500,
         caps[c] = exact_percentile_wide(s, c, [0.99], names=["v"]).first()["v"]
     s = fe.clip_columns(s, {c: v for c, v in caps.items() if v is not None})
     return s.select(KEY, *cols, fe.code_to_name(F.col(label), CLASS_NAMES).alias("class_name"))
+
+
+# ---------------------------------------------------------------- M13-M17
+import time  # noqa: E402
+
+from pyspark.sql import SparkSession  # noqa: E402
+
+from ..operators import metrics as me  # noqa: E402
+from ..operators import models as mo  # noqa: E402
+from ..operators import scaling as sc  # noqa: E402
+from ..operators import stats as st  # noqa: E402
+from ..session import cut_lineage  # noqa: E402
+from ..schema import FEATURE_COLS  # noqa: E402
+
+LEADERBOARD_SCHEMA = ("model string, accuracy double, precision double, recall double, f1 double, "
+                      "roc_auc double, train_seconds double")
+
+# Small presets keep the driver's checks quick; the library presets are the
+# defaults of the model functions (100 trees x 15, 200 rounds x 6, ...).
+SMALL = {"rf_trees": 20, "rf_depth": 8, "gbt_rounds": 20, "gbt_depth": 4, "dt_depth": 10, "mc_trees": 20,
+         "mc_depth": 8}
+
+
+def prepare(feat: DataFrame, features=FEATURE_COLS, label: str = LABEL, seed: int = 42):
+    """Script preset: stratified split, scaler fitted on train only, balanced
+    weights; returns (train, test, train_scaled, test_scaled) with
+    ``features`` vectors, ``label`` and ``weight`` columns, lineage cut."""
+    split = sa.stratified_split(feat, label=label, seed=seed)
+    split = split.withColumnRenamed(label, "label")
+    split = st.with_weights(split, "label")
+    train = cut_lineage(split.where(F.col("split") == "train"))
+    test = split.where(F.col("split") == "test")
+    stats = sc.fit_scaler(train, features)
+    tr_s = mo.assemble(sc.apply_scaler(train, stats), features)
+    te_s = mo.assemble(sc.apply_scaler(test, stats), features)
+    return mo.assemble(train, features), mo.assemble(test, features), tr_s, te_s
+
+
+def evaluate_model(name: str, estimator, train: DataFrame, test: DataFrame):
+    """Fit (timed), predict, metrics row. Returns (model, predictions,
+    one-row metrics DataFrame)."""
+    t0 = time.time()
+    model = estimator.fit(train)
+    secs = time.time() - t0
+    pred = mo.predict_binary(model, test)
+    row = me.report_row(pred, "label", "prediction", "score", pos_label=1)
+    row = row.select(F.lit(name).alias("model"), "*", F.lit(secs).alias("train_seconds"))
+    return model, pred, row
+
+
+def evaluate_predictions(name: str, pred: DataFrame, secs: float) -> DataFrame:
+    row = me.report_row(pred, "label", "prediction", "score", pos_label=1)
+    return row.select(F.lit(name).alias("model"), "*", F.lit(float(secs)).alias("train_seconds"))
+
+
+def leaderboard(rows: list[DataFrame]) -> DataFrame:
+    """M14 + K3: all metric rows, best F1 first (ties by model name)."""
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out.orderBy(F.col("f1").desc(), "model")
+
+
+def metric_ranking(board: DataFrame) -> DataFrame:
+    """K4: per metric, models ranked, NULL metric values left out."""
+    from pyspark.sql import Window
+    metrics = ["accuracy", "precision", "recall", "f1", "roc_auc"]
+    long = board.select("model", *metrics).unpivot(["model"], metrics, "metric", "value").where(
+        F.col("value").isNotNull())
+    return long.withColumn("rank", F.row_number().over(
+        Window.partitionBy("metric").orderBy(F.col("value").desc(), "model")))

@@ -591,3 +591,245 @@ def q_smote(spark, sf_dir):
     train = _split(spark, sf_dir).where(F.col("split") == "train")
     out = smote(train, _SM_FEATS)
     return out.withColumns({c: r6(c) for c in _SM_FEATS})
+
+
+# ---------------------------------------------------------------- Gaussian NB, closed form (M3, oracle)
+from ..operators import models as mo  # noqa: E402
+
+
+def _scaled_split(spark, sf_dir):
+    s = _split(spark, sf_dir)
+    train, test = s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
+    stats = sc.fit_scaler(train, FEATURE_COLS)
+    return sc.apply_scaler(train, stats), sc.apply_scaler(test, stats)
+
+
+def _gnb_sql() -> str:
+    fs = FEATURE_COLS
+    stat = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in fs)
+    scale = lambda src: ", ".join(
+        f"({src}.{c} - st.m_{c}) / coalesce(nullif(st.s_{c}, 0), 1) AS {c}" for c in fs)
+    const = " + ".join(f"ln(2 * pi() * v_{c})" for c in fs)
+    quad = " - ".join(f"(t.{c} - m_{c}) * (t.{c} - m_{c}) / (2 * v_{c})" for c in fs)
+    return _sql(S.TX, S.features_cte(), S.split_cte("feat"), f"""
+st AS (SELECT {stat} FROM spl WHERE split = 'train'),
+strn AS (SELECT s.row_key, s.isFraud, {scale('s')} FROM spl s, st WHERE s.split = 'train'),
+stst AS (SELECT s.row_key, s.isFraud, {scale('s')} FROM spl s, st WHERE s.split = 'test'),
+gv AS (SELECT {GNB_EPS_SQL} AS eps FROM strn),
+cp AS (SELECT isFraud AS c, count(*) / (SELECT count(*) FROM strn) AS prior,
+    {', '.join(f'avg({c}) AS m_{c}, var_pop({c}) + (SELECT eps FROM gv) AS v_{c}' for c in fs)}
+  FROM strn GROUP BY isFraud),
+jl AS (SELECT t.row_key, t.isFraud, cp.c, (ln(cp.prior) - 0.5 * ({const})) - {quad} AS jll FROM stst t, cp),
+mx AS (SELECT row_key, isFraud, max(jll) AS m, arg_max(c, jll) AS pred,
+    m + ln(sum(exp(jll - max(jll) OVER (PARTITION BY row_key)))) AS lse FROM jl GROUP BY row_key, isFraud)""",
+                body="""SELECT j.row_key, j.isFraud AS label, CAST(CASE WHEN j1.jll > j0.jll THEN 1 ELSE 0 END AS INTEGER)
+  AS prediction, round(exp(j1.jll - (greatest(j0.jll, j1.jll) + ln(exp(j0.jll - greatest(j0.jll, j1.jll))
+  + exp(j1.jll - greatest(j0.jll, j1.jll))))), 6) AS score
+FROM (SELECT DISTINCT row_key, isFraud FROM jl) j JOIN jl j0 ON j0.row_key = j.row_key AND j0.c = 0
+JOIN jl j1 ON j1.row_key = j.row_key AND j1.c = 1""")
+
+
+GNB_EPS_SQL = "1e-9 * greatest(" + ", ".join(f"var_pop({c})" for c in FEATURE_COLS) + ")"
+
+
+def _gnb_sql_clean() -> str:
+    s = _gnb_sql()
+    # the mx helper CTE is not needed by the final select
+    head, rest = s.split(",\nmx AS", 1)
+    return head + "\n" + rest[rest.index("SELECT j.row_key"):]
+
+
+@register("gnb_sql", _gnb_sql_clean())
+def q_gnb_sql(spark, sf_dir):
+    train, test = _scaled_split(spark, sf_dir)
+    params = mo.gnb_fit(train, FEATURE_COLS, LABEL)
+    out = mo.gnb_predict(test, params, FEATURE_COLS)
+    return out.select(KEY, F.col(LABEL).alias("label"), F.col("prediction").cast("int"), r6("score").alias("score"))
+
+
+# ---------------------------------------------------------------- ML models (rows-only checks)
+from ..operators import ensemble as en  # noqa: E402
+from ..operators.stats import with_weights  # noqa: E402
+from . import pipeline as pl  # noqa: E402
+
+_P = pl.SMALL
+
+
+def _prep(spark, sf_dir):
+    return pl.prepare(_feat(spark, sf_dir))
+
+
+def _n(df):
+    return float(df.count())
+
+
+def _lr(n):
+    return mo.logistic_regression(n, 1000, "weight")
+
+
+@register("lr")
+def q_lr(spark, sf_dir):
+    tr, te, trs, tes = _prep(spark, sf_dir)
+    return pl.evaluate_model("Logistic Regression", _lr(_n(trs)), trs, tes)[2]
+
+
+@register("dt")
+def q_dt(spark, sf_dir):
+    tr, te, _, _ = _prep(spark, sf_dir)
+    return pl.evaluate_model("Decision Tree", mo.decision_tree(_P["dt_depth"], weight_col="weight"), tr, te)[2]
+
+
+@register("gnb_ml")
+def q_gnb_ml(spark, sf_dir):
+    _, _, trs, tes = _prep(spark, sf_dir)
+    return pl.evaluate_model("Naive Bayes", mo.gaussian_nb(), trs, tes)[2]
+
+
+@register("rf")
+def q_rf(spark, sf_dir):
+    tr, te, _, _ = _prep(spark, sf_dir)
+    est = mo.random_forest(_P["rf_trees"], _P["rf_depth"], weight_col="weight")
+    return pl.evaluate_model("Random Forest", est, tr, te)[2]
+
+
+def _pos_weighted(tr):
+    r = tr.agg(F.count(F.when(F.col("label") == 0, 1)).alias("n0"),
+               F.count(F.when(F.col("label") == 1, 1)).alias("n1")).first()
+    return tr.withColumn("pw", F.when(F.col("label") == 1, F.lit(r["n0"] / max(r["n1"], 1))).otherwise(1.0))
+
+
+@register("gbt")
+def q_gbt(spark, sf_dir):
+    tr, te, _, _ = _prep(spark, sf_dir)
+    est = mo.boosting(_P["gbt_rounds"], _P["gbt_depth"], 0.1, weight_col="pw")
+    return pl.evaluate_model("Gradient Boosting", est, _pos_weighted(tr), te)[2]
+
+
+def _bases(n):
+    return {"lr": lambda: mo.logistic_regression(n, 500, "weight"),
+            "dt": lambda: mo.decision_tree(8, weight_col="weight"),
+            "nb": mo.gaussian_nb}
+
+
+@register("voting")
+def q_voting(spark, sf_dir):
+    _, _, trs, tes = _prep(spark, sf_dir)
+    import time as _t
+    t0 = _t.time()
+    models = en.fit_bases(trs, _bases(_n(trs)))
+    secs = _t.time() - t0
+    pred = en.soft_vote(en.apply_bases(models, tes), list(models))
+    return pl.evaluate_predictions("Soft Voting", pred, secs)
+
+
+@register("stacking")
+def q_stacking(spark, sf_dir):
+    _, _, trs, tes = _prep(spark, sf_dir)
+    import time as _t
+    t0 = _t.time()
+    pred = en.stacking(trs, tes,
+                       {k: v for k, v in _bases(_n(trs)).items()},
+                       lambda n: mo.logistic_regression(n, 1000, None), key=KEY)
+    return pl.evaluate_predictions("Stacking", pred, _t.time() - t0)
+
+
+@register("importances")
+def q_importances(spark, sf_dir):
+    tr, _, _, _ = _prep(spark, sf_dir)
+    m = mo.decision_tree(_P["dt_depth"], weight_col="weight").fit(tr)
+    return mo.importances(m, FEATURE_COLS, 12)
+
+
+@register("tree_nodes")
+def q_tree_nodes(spark, sf_dir):
+    tr, _, _, _ = _prep(spark, sf_dir)
+    m = mo.decision_tree(_P["dt_depth"], weight_col="weight").fit(tr)
+    return mo.tree_nodes(m, FEATURE_COLS, 4)
+
+
+def _all_rows(spark, sf_dir):
+    tr, te, trs, tes = _prep(spark, sf_dir)
+    n = _n(trs)
+    rows = [pl.evaluate_model("Logistic Regression", _lr(n), trs, tes)[2],
+            pl.evaluate_model("Decision Tree", mo.decision_tree(_P["dt_depth"], weight_col="weight"), tr, te)[2],
+            pl.evaluate_model("Naive Bayes", mo.gaussian_nb(), trs, tes)[2],
+            pl.evaluate_model("Random Forest", mo.random_forest(_P["rf_trees"], _P["rf_depth"],
+                                                                 weight_col="weight"), tr, te)[2],
+            pl.evaluate_model("Gradient Boosting", mo.boosting(_P["gbt_rounds"], _P["gbt_depth"], 0.1,
+                                                               weight_col="pw"), _pos_weighted(tr), te)[2]]
+    # materialise the tiny metric rows once (each is one row)
+    return [spark.createDataFrame([r.first()], pl.LEADERBOARD_SCHEMA) for r in rows]
+
+
+@register("leaderboard")
+def q_leaderboard(spark, sf_dir):
+    return pl.leaderboard(_all_rows(spark, sf_dir))
+
+
+@register("metric_ranking")
+def q_metric_ranking(spark, sf_dir):
+    return pl.metric_ranking(pl.leaderboard(_all_rows(spark, sf_dir)))
+
+
+@register("balancing_comparison")
+def q_balancing(spark, sf_dir):
+    """The same unweighted tree on the train rows as they are, after
+    SMOTE (raw features, ints truncated) and after undersampling."""
+    feat = _feat(spark, sf_dir)
+    split = sa.stratified_split(feat)
+    train = split.where(F.col("split") == "train").drop("split")
+    test = mo.assemble(split.where(F.col("split") == "test").withColumnRenamed(LABEL, "label"), FEATURE_COLS)
+    variants = {"Tree (no balancing)": train,
+                "Tree + SMOTE": smote(train, FEATURE_COLS),
+                "Tree + undersampling": sa.undersample(train)}
+    rows = []
+    for name, df in variants.items():
+        tr = cut_lineage(mo.assemble(df.withColumnRenamed(LABEL, "label"), FEATURE_COLS))
+        r = pl.evaluate_model(name, mo.decision_tree(_P["dt_depth"]), tr, test)[2].first()
+        rows.append((r["model"], r["precision"], r["recall"], r["f1"]))
+    return spark.createDataFrame(rows, "model string, precision double, recall double, f1 double")
+
+
+from ..session import cut_lineage  # noqa: E402
+
+
+def _multiclass(spark, sf_dir):
+    tx = _risk(spark, sf_dir)
+    cats = fe.fit_type_codes(tx)
+    feat = fe.feature_table(tx, cats).join(tx.select(KEY, "risk_category"), KEY)
+    split = sa.stratified_split(feat, label="risk_category")
+    split = with_weights(split.withColumnRenamed("risk_category", "label"), "label")
+    train = cut_lineage(mo.assemble(split.where(F.col("split") == "train"), FEATURE_COLS))
+    test = mo.assemble(split.where(F.col("split") == "test"), FEATURE_COLS)
+    est = mo.random_forest(_P["mc_trees"], _P["mc_depth"], binary=False, weight_col="weight")
+    return est.fit(train), test, cats
+
+
+@register("multiclass")
+def q_multiclass(spark, sf_dir):
+    """Three-class forest on the risk category; classification report."""
+    model, test, _ = _multiclass(spark, sf_dir)
+    pred = model.transform(test).withColumn("prediction", F.col("prediction").cast("int"))
+    from ..schema import RISK_NAMES
+    return me.class_report(pred, "label", "prediction", RISK_NAMES)
+
+
+@register("score_new")
+def q_score_new(spark, sf_dir):
+    """The literal transactions, encoded through the fitted mapping."""
+    from ..schema import RISK_NAMES
+    model, _, cats = _multiclass(spark, sf_dir)
+    new = src.new_transactions(spark)
+    feats = mo.assemble(fe.engineer_features(new, cats, drop=False), FEATURE_COLS)
+    out = model.transform(feats)
+    p = vector_to_array_cols(out)
+    return p.select("tx_id", "description", F.col("prediction").cast("int").alias("risk_category"),
+                    fe.code_to_name(F.col("prediction").cast("int"), RISK_NAMES).alias("risk_name"),
+                    F.when(F.col("prediction") > 0, "FRAUD").otherwise("NORMAL").alias("flag"),
+                    "p_normal", "p_small", "p_large", "type_encoded", "literal_type_code")
+
+
+def vector_to_array_cols(df):
+    from pyspark.ml.functions import vector_to_array
+    a = vector_to_array("probability")
+    return df.withColumn("p_normal", a[0]).withColumn("p_small", a[1]).withColumn("p_large", a[2])
