@@ -39,24 +39,26 @@ def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def corr_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A2: Pearson correlation of every pair over rows where both are present,
-    all pairs in one aggregation; a constant column gives NULL, not an ANSI
-    divide-by-zero (T10). Long form (a, b, corr), full square."""
+    all pairs in ONE aggregation pass; a constant column gives NULL, not an
+    ANSI divide-by-zero (T10). Long form (a, b, corr), full square.
+
+    Built as SQL expression strings: constructing hundreds of Column objects
+    through the Python bridge costs seconds of driver time per query."""
     cols = list(cols)
-    aggs = []
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    exprs = []
     for i, j in pairs:
-        a, b = F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")
-        both = a.isNotNull() & b.isNotNull()
-        aggs.append(F.try_divide(
-            F.covar_samp(F.when(both, a), F.when(both, b)),
-            F.stddev_samp(F.when(both, a)) * F.stddev_samp(F.when(both, b))).alias(f"c{i}_{j}"))
-    wide = df.agg(*aggs)
-    entries = []
+        a, b = f"CAST(`{cols[i]}` AS DOUBLE)", f"CAST(`{cols[j]}` AS DOUBLE)"
+        both = f"(`{cols[i]}` IS NOT NULL AND `{cols[j]}` IS NOT NULL)"
+        xa, xb = f"IF({both}, {a}, NULL)", f"IF({both}, {b}, NULL)"
+        exprs.append(f"try_divide(covar_samp({xa}, {xb}), stddev_samp({xa}) * stddev_samp({xb})) AS c{i}_{j}")
+    wide = df.agg(*[F.expr(e) for e in exprs])
+    items = []
     for i, j in pairs:
-        entries.append(F.struct(F.lit(cols[i]).alias("a"), F.lit(cols[j]).alias("b"), F.col(f"c{i}_{j}").alias("corr")))
+        items.append(f"'{cols[i]}', '{cols[j]}', c{i}_{j}")
         if i != j:
-            entries.append(F.struct(F.lit(cols[j]).alias("a"), F.lit(cols[i]).alias("b"), F.col(f"c{i}_{j}").alias("corr")))
-    return wide.select(F.explode(F.array(*entries)).alias("e")).select("e.a", "e.b", "e.corr")
+            items.append(f"'{cols[j]}', '{cols[i]}', c{i}_{j}")
+    return wide.selectExpr(f"stack({len(items)}, {', '.join(items)}) AS (a, b, corr)")
 
 
 def class_counts(df: DataFrame, label: str = LABEL) -> DataFrame:
