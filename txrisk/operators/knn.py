@@ -27,6 +27,7 @@ import json
 import math
 
 import numpy as np
+import pyarrow as pa
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,8 +48,36 @@ def _json_lit(value, ddl: str) -> Column:
 
 
 # --------------------------------------------------- numpy helpers (in tasks)
-def _stack(col) -> np.ndarray:
-    return np.stack([np.asarray(v, dtype=np.float64) for v in col]) if len(col) else np.zeros((0, 0))
+def _mat(arr) -> np.ndarray:
+    """Arrow list<double> column -> (n, d) float64 matrix without per-row
+    Python objects. Vectors must be non-null and of equal length."""
+    if isinstance(arr, pa.ChunkedArray):
+        arr = arr.combine_chunks()
+    n = len(arr)
+    if n == 0:
+        return np.zeros((0, 0))
+    if arr.null_count:
+        raise ValueError("kNN vectors must not be NULL")
+    off = arr.offsets.to_numpy()
+    lens = np.diff(off)
+    d = int(lens[0])
+    if not np.all(lens == d):
+        raise ValueError("kNN vectors must all have the same length")
+    vals = arr.flatten().to_numpy(zero_copy_only=False)
+    return np.asarray(vals, dtype=np.float64).reshape(n, d)
+
+
+def _list(M: np.ndarray, dtype=pa.float64()) -> pa.Array:
+    n, d = M.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * d, d, dtype=np.int32)),
+                                    pa.array(M.reshape(-1), type=dtype))
+
+
+def _ragged(rows: np.ndarray, vals: np.ndarray, n: int, dtype) -> pa.Array:
+    """Lists from (row index, value) pairs sorted by row."""
+    counts = np.bincount(rows, minlength=n)
+    off = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(off), pa.array(vals, type=dtype))
 
 
 def _search_space(X: np.ndarray, metric: str) -> np.ndarray:
@@ -98,6 +127,7 @@ def knn_join(query: DataFrame, train: DataFrame, k: int, metric: str = "euclidea
         raise ValueError("k must be >= 1")
     kk = k + 1 if exclude_self else k
     search = "manhattan" if metric == "manhattan" else "euclidean"
+    own = metric == "cosine"          # search space differs from the input space
     ltype = train.schema[label].dataType.simpleString() if label else None
     tcols = [F.col(tid).cast("bigint").alias("_tid"), F.col(vec).cast("array<double>").alias("_tv")]
     if label:
@@ -108,7 +138,7 @@ def knn_join(query: DataFrame, train: DataFrame, k: int, metric: str = "euclidea
     n_train = t.count()
     if kk > n_train:
         raise ValueError(f"k={k} needs at least {kk} train rows, got {n_train}")
-    p = n_pivots or max(1, min(MAX_PIVOTS, int(math.sqrt(n_train) / 2)))
+    p = n_pivots or max(1, min(MAX_PIVOTS, int(math.sqrt(n_train))))
     p = min(p, MAX_PIVOTS, n_train)
     # bounded top-P by digest (partial top-k per partition, P rows reach the driver)
     prow = t.orderBy(digest("_tid", seed, "pivot"), "_tid").select("_tv").limit(p).collect()
@@ -118,16 +148,19 @@ def knn_join(query: DataFrame, train: DataFrame, k: int, metric: str = "euclidea
     def assign(batches):
         P = bc.value
         for b in batches:
-            S = _search_space(_stack(b["_tv"]), metric)
-            d = _to_pivots(S, P, search) if len(b) else np.zeros((0, P.shape[0]))
-            cell = d.argmin(1) if len(b) else np.zeros(0, dtype=int)
-            b = b.assign(_ts=list(S), _cell=cell.astype(np.int32),
-                         _r=d[np.arange(len(b)), cell] if len(b) else np.zeros(0))
-            yield b
-
-    tschema = "_tid bigint, _tv array<double>" + (f", _tl {ltype}" if label else "") + \
-        ", _ts array<double>, _cell int, _r double"
-    td = t.mapInPandas(assign, tschema)
+            S = _search_space(_mat(b.column("_tv")), metric)
+            d = _to_pivots(S, P, search) if b.num_rows else np.zeros((0, P.shape[0]))
+            cell = d.argmin(1) if b.num_rows else np.zeros(0, dtype=np.int64)
+            cols = dict(zip(b.schema.names, b.columns))
+            if own:
+                cols["_ts"] = _list(S) if b.num_rows else pa.array([], type=pa.list_(pa.float64()))
+            cols["_cell"] = pa.array(cell.astype(np.int32))
+            cols["_r"] = pa.array(d[np.arange(b.num_rows), cell] if b.num_rows else np.zeros(0))
+            yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
+
+    tschema = ("_tid bigint, _tv array<double>" + (f", _tl {ltype}" if label else "")
+               + (", _ts array<double>" if own else "") + ", _cell int, _r double")
+    td = t.mapInArrow(assign, tschema)
 
     # per-cell table (P rows): count, max radius, kk smallest radii
     w = Window.partitionBy("_cell").orderBy("_r")
@@ -143,7 +176,7 @@ def knn_join(query: DataFrame, train: DataFrame, k: int, metric: str = "euclidea
         cnt[c], maxr[c] = r["_cnt"], r["_maxr"]
         ent_c += [c] * len(r["_rk"])
         ent_r += list(r["_rk"])
-    ent_c, ent_r = np.asarray(ent_c), np.asarray(ent_r)
+    ent_c, ent_r = np.asarray(ent_c, dtype=np.int64), np.asarray(ent_r, dtype=np.float64)
     salts = [max(1, math.ceil(int(c) / ROWS_PER_SALT)) for c in cnt]
     cb = t.sparkSession.sparkContext.broadcast((ent_c, ent_r, maxr))
 
@@ -152,25 +185,32 @@ def knn_join(query: DataFrame, train: DataFrame, k: int, metric: str = "euclidea
         ec, er, mr = cb.value
         live = mr >= 0
         for b in batches:
-            S = _search_space(_stack(b["_qv"]), metric)
-            d = _to_pivots(S, P, search) if len(b) else np.zeros((0, P.shape[0]))
-            th = np.empty(len(b))
+            m = b.num_rows
+            S = _search_space(_mat(b.column("_qv")), metric)
+            d = _to_pivots(S, P, search) if m else np.zeros((0, P.shape[0]))
+            th = np.empty(m)
             step = max(1, CHUNK_ELEMS // max(1, len(ec)))
-            for i in range(0, len(b), step):
+            for i in range(0, m, step):
                 ub = d[i:i + step][:, ec] + er[None, :]
                 th[i:i + step] = np.partition(ub, kk - 1, axis=1)[:, kk - 1]
             th = th * (1 + SLACK) + SLACK
             ok = live[None, :] & (d - mr[None, :] <= th[:, None])
-            cand = [np.nonzero(row)[0].astype(np.int32) for row in ok]
-            yield b.assign(_qs=list(S), _theta=th, _cand=cand,
-                           _candd=[d[i, c] for i, c in enumerate(cand)])
-
-    qd = q.mapInPandas(bound, "_qid bigint, _qv array<double>, _qs array<double>, _theta double, "
-                              "_cand array<int>, _candd array<double>")
+            rows, cand = np.nonzero(ok)
+            cols = {"_qid": b.column("_qid"), "_qv": b.column("_qv")}
+            if own:
+                cols["_qs"] = _list(S) if m else pa.array([], type=pa.list_(pa.float64()))
+            cols["_theta"] = pa.array(th)
+            cols["_cand"] = _ragged(rows, cand.astype(np.int32), m, pa.int32())
+            cols["_candd"] = _ragged(rows, d[rows, cand], m, pa.float64())
+            yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
+
+    qd = q.mapInArrow(bound, "_qid bigint, _qv array<double>" + (", _qs array<double>" if own else "")
+                      + ", _theta double, _cand array<int>, _candd array<double>")
     salts_l = _json_lit(salts, "array<int>")
-    qc = (qd.select("_qid", "_qv", "_qs", "_theta",
-                    F.explode(F.arrays_zip(F.col("_cand").alias("c"), F.col("_candd").alias("dc"))).alias("_z"))
-            .select("_qid", "_qv", "_qs", "_theta", F.col("_z.c").alias("_cell"), F.col("_z.dc").alias("_dqc"))
+    qcols = ["_qid", "_qv"] + (["_qs"] if own else []) + ["_theta"]
+    qc = (qd.select(*qcols, F.explode(F.arrays_zip(F.col("_cand").alias("c"), F.col("_candd").alias("dc")))
+                    .alias("_z"))
+            .select(*qcols, F.col("_z.c").alias("_cell"), F.col("_z.dc").alias("_dqc"))
             .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.element_at(salts_l, F.col("_cell") + 1) - 1))))
     ts = td.withColumn("_salt", F.pmod(F.xxhash64("_tid"), F.element_at(salts_l, F.col("_cell") + 1)).cast("int"))
 
@@ -178,22 +218,29 @@ def knn_join(query: DataFrame, train: DataFrame, k: int, metric: str = "euclidea
             & (F.abs(qc["_dqc"] - ts["_r"]) <= qc["_theta"]))
     if exclude_self:
         cond = cond & (qc["_qid"] != ts["_tid"])
-    pairs = qc.join(ts, cond).select("_qid", "_qv", "_qs", "_theta", "_tid", "_tv", "_ts",
-                                     *(["_tl"] if label else []))
+    pcols = qcols + ["_tid", "_tv"] + (["_ts"] if own else []) + (["_tl"] if label else [])
+    pairs = qc.join(ts, cond).select(*pcols)
 
     def measure(batches):
         for b in batches:
-            if not len(b):
+            if not b.num_rows:
                 continue
-            sd = pair_distance(_stack(b["_qs"]), _stack(b["_ts"]), search)
-            true_d = pair_distance(_stack(b["_qv"]), _stack(b["_tv"]), metric) if metric == "cosine" else sd
-            keep = sd <= b["_theta"].to_numpy()
-            out = b.loc[keep, ["_qid", "_tid"] + (["_tl"] if label else [])].copy()
-            out["distance"] = true_d[keep]
-            yield out
-
-    dist = pairs.mapInPandas(measure, "_qid bigint, _tid bigint" + (f", _tl {ltype}" if label else "")
-                             + ", distance double")
+            QV, TV = _mat(b.column("_qv")), _mat(b.column("_tv"))
+            if own:
+                sd = pair_distance(_mat(b.column("_qs")), _mat(b.column("_ts")), search)
+                true_d = pair_distance(QV, TV, metric)
+            else:
+                sd = true_d = pair_distance(QV, TV, search)
+            keep = sd <= b.column("_theta").to_numpy()
+            idx = pa.array(np.nonzero(keep)[0])
+            cols = {"_qid": b.column("_qid").take(idx), "_tid": b.column("_tid").take(idx)}
+            if label:
+                cols["_tl"] = b.column("_tl").take(idx)
+            cols["distance"] = pa.array(true_d[keep])
+            yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
+
+    dist = pairs.mapInArrow(measure, "_qid bigint, _tid bigint" + (f", _tl {ltype}" if label else "")
+                            + ", distance double")
     wr = Window.partitionBy("_qid").orderBy("distance", "_tid")
     out = dist.withColumn("rank", F.row_number().over(wr)).where(F.col("rank") <= k)
     cols = [F.col("_qid").alias(qid), "rank", F.col("_tid").alias(tid if tid != qid else "neighbor"), "distance"]

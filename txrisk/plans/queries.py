@@ -833,3 +833,68 @@ def vector_to_array_cols(df):
     from pyspark.ml.functions import vector_to_array
     a = vector_to_array("probability")
     return df.withColumn("p_normal", a[0]).withColumn("p_small", a[1]).withColumn("p_large", a[2])
+
+
+# ---------------------------------------------------------------- resampling summary (A10), kNN on transactions
+@register("resample_summary", _sql(S.TX, S.features_cte(), S.split_cte("feat"), """
+trn AS (SELECT * FROM spl WHERE split = 'train'),
+cnt AS (SELECT count(*) FILTER (WHERE isFraud = 0) AS n0, count(*) FILTER (WHERE isFraud = 1) AS n1 FROM trn),
+st AS (SELECT 'before' AS stage, n0, n1 FROM cnt
+  UNION ALL SELECT 'smote', n0, CAST(trunc(0.1 * n0) AS BIGINT) FROM cnt
+  UNION ALL SELECT 'undersampling', least(n0, CAST(trunc(n1 / 0.1) AS BIGINT)), n1 FROM cnt)""", body="""
+SELECT stage, 0 AS isFraud, n0 AS count, round(n0 * 100.0 / (n0 + n1), 6) AS pct FROM st
+UNION ALL SELECT stage, 1, n1, round(n1 * 100.0 / (n0 + n1), 6) FROM st"""))
+def q_resample_summary(spark, sf_dir):
+    """A10: class counts and shares before and after each rebalancing."""
+    train = _split(spark, sf_dir).where(F.col("split") == "train").drop("split")
+    stages = {"before": train, "smote": smote(train, FEATURE_COLS), "undersampling": sa.undersample(train)}
+    out = None
+    for name, df in stages.items():
+        part = st.class_shares(df).select(F.lit(name).alias("stage"), LABEL, "count", "pct")
+        out = part if out is None else out.unionByName(part)
+    return _round_cols(out, ["pct"])
+
+
+def _scaled_cte() -> str:
+    fs = MANAGER_FEATURE_COLS
+    return ("mst AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in fs)
+            + " FROM feat),\nsfeat AS (SELECT f.row_key, " + ", ".join(
+                f"(f.{c} - mst.m_{c}) / coalesce(nullif(mst.s_{c}, 0), 1) AS {c}" for c in fs)
+            + ", f.isFraud FROM feat f, mst)")
+
+
+_VEC = "[" + ", ".join(MANAGER_FEATURE_COLS) + "]::DOUBLE[]"
+
+
+@register("knn_tx", _sql(S.TX, S.features_cte(), _scaled_cte(), S.split_cte("sfeat"),
+                         "trn AS (SELECT * FROM spl WHERE split = 'train')",
+                         "tst AS (SELECT * FROM spl WHERE split = 'test')",
+                         S.take_cte("trn", "str", "2500"), S.take_cte("tst", "ste", "500"), f"""
+kq AS (SELECT row_key AS qid, {_VEC} AS v, isFraud AS truth FROM ste),
+kt AS (SELECT row_key AS tid, {_VEC} AS v, isFraud AS label FROM str),
+kd AS (SELECT q.qid, q.truth, t.tid, t.label, list_distance(q.v, t.v) AS distance FROM kq q, kt t),
+nn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY distance, tid) AS rank FROM kd)
+  WHERE rank <= 5),
+{S.NNW_EPS},
+{S.vote_sql('w')},
+pred AS (SELECT q.qid AS row_key, q.truth AS label, pr.prediction FROM kq q JOIN pr ON pr.qid = q.qid),
+{S.METRIC_CTES}""", body=f"""
+SELECT round((SELECT sum(tp) / sum(support) FROM pc), 6) AS accuracy,
+  round({S.avg_sql('precision', 'binary')}, 6) AS precision, round({S.avg_sql('recall', 'binary')}, 6) AS recall,
+  round({S.avg_sql('f1', 'binary')}, 6) AS f1"""))
+def q_knn_tx(spark, sf_dir):
+    """Hand-written kNN demo: manager scaling (fit on all rows), stratified
+    split, up to 2,500 / 500 rows per class, euclidean, distance weights."""
+    f = _feat(spark, sf_dir)
+    f = sc.apply_scaler(f, sc.fit_scaler(f, MANAGER_FEATURE_COLS))
+    s = sa.stratified_split(f)
+    tr = sa.balanced_sample(s.where(F.col("split") == "train"), 2500)
+    te = sa.balanced_sample(s.where(F.col("split") == "test"), 500)
+    vec = F.array(*[F.col(c) for c in MANAGER_FEATURE_COLS])
+    nn = kn.knn_join(te.select(F.col(KEY).alias("qid"), vec.alias("vec")),
+                     tr.select(F.col(KEY).alias("tid"), vec.alias("vec"), F.col(LABEL).alias("label")),
+                     5, "euclidean", label="label")
+    pred = kn.knn_predict(nn, "distance", "eps").join(
+        te.select(F.col(KEY).alias("qid"), F.col(LABEL).alias("label")), "qid")
+    row = me.report_row(pred, score=None, pos_label=1).drop("roc_auc")
+    return _round_cols(row, ["accuracy", "precision", "recall", "f1"])
