@@ -28,14 +28,31 @@ def _lit_map(d: dict) -> Column:
     return F.create_map(*[x for k, v in d.items() for x in (F.lit(k), F.lit(v))])
 
 
-def _bucketed(df: DataFrame, key: str, seed: int, by: Sequence[str]):
-    d = (df.withColumn("_d", digest(key, seed))
-           .withColumn("_bk", F.conv(F.substring("_d", 1, BUCKET_HEX), 16, 10).cast("bigint")))
-    hist = d.groupBy(*by, "_bk").agg(F.count(F.lit(1)).alias("_bn"))
+def _digested(df: DataFrame, key: str, seed: int) -> DataFrame:
+    return (df.withColumn("_d", digest(key, seed))
+              .withColumn("_bk", F.conv(F.substring("_d", 1, BUCKET_HEX), 16, 10).cast("bigint")))
+
+
+def bucket_histogram(df: DataFrame, key: str = KEY, seed: int = 42, by: Sequence[str] = ()) -> DataFrame:
+    """(by..., bucket, rows, offset): at most groups x 2^20 rows, cached so
+    that class totals and offsets come from ONE pass over the data."""
+    by = list(by)
+    hist = _digested(df, key, seed).groupBy(*by, "_bk").agg(F.count(F.lit(1)).alias("_bn"))
     before = (Window.partitionBy(*by).orderBy("_bk")
               .rowsBetween(Window.unboundedPreceding, -1))
-    hist = hist.withColumn("_off", F.coalesce(F.sum("_bn").over(before), F.lit(0)))
-    return d.join(hist, [*by, "_bk"]), hist
+    return hist.withColumn("_off", F.coalesce(F.sum("_bn").over(before), F.lit(0))).cache()
+
+
+def hist_class_counts(hist: DataFrame, label: str) -> dict:
+    rows = hist.groupBy(label).agg(F.sum("_bn").alias("n")).limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes")
+    return {r[label]: r["n"] for r in rows}
+
+
+def _bucketed(df: DataFrame, key: str, seed: int, by: Sequence[str], hist: DataFrame | None = None):
+    hist = hist if hist is not None else bucket_histogram(df, key, seed, by)
+    return _digested(df, key, seed).join(hist, [*by, "_bk"]), hist
 
 
 def digest_rank(df: DataFrame, key: str = KEY, seed: int = 42, by: Sequence[str] = (),
@@ -49,11 +66,12 @@ def digest_rank(df: DataFrame, key: str = KEY, seed: int = 42, by: Sequence[str]
 
 
 def digest_take(df: DataFrame, quota: Column, key: str = KEY, seed: int = 42,
-                by: Sequence[str] = (), out: str = "selected") -> DataFrame:
+                by: Sequence[str] = (), out: str = "selected", hist: DataFrame | None = None) -> DataFrame:
     """Flag the first ``quota`` rows of each group (quota is a per-row column,
     constant per group). Only the straddling bucket is ranked."""
     by = list(by)
-    j, _ = _bucketed(df.withColumn("_q", quota), key, seed, by)
+    j, _ = _bucketed(df, key, seed, by, hist)
+    j = j.withColumn("_q", quota)
     whole_in = F.col("_off") + F.col("_bn") <= F.col("_q")
     whole_out = F.col("_off") >= F.col("_q")
     plain = (j.where(whole_in | whole_out).withColumn(out, whole_in))
@@ -98,9 +116,11 @@ def split_quotas(counts: dict, test_size: float = 0.2) -> dict:
 def stratified_split(df: DataFrame, label: str = LABEL, test_size: float = 0.2,
                      seed: int = 42, key: str = KEY, out: str = "split") -> DataFrame:
     """``split`` column 'train'/'test' with exact per-class counts."""
-    quotas = split_quotas(class_count_dict(df, label), test_size)
+    src = df.where(F.col(label).isNotNull())
+    hist = bucket_histogram(src, key, seed, [label])
+    quotas = split_quotas(hist_class_counts(hist, label), test_size)
     q = F.try_element_at(_lit_map(quotas), F.col(label))
-    t = digest_take(df.where(F.col(label).isNotNull()), q, key, seed, [label], "_sel")
+    t = digest_take(src, q, key, seed, [label], "_sel", hist)
     return t.withColumn(out, F.when(F.col("_sel"), "test").otherwise("train")).drop("_sel")
 
 
@@ -116,14 +136,16 @@ def undersample(df: DataFrame, label: str = LABEL, ratio: float = 0.1, seed: int
                 key: str = KEY) -> DataFrame:
     """R4 (T15): keep every minority row and int(n_minor / ratio) majority
     rows, without replacement."""
-    counts = class_count_dict(df, label)
+    src = df.where(F.col(label).isNotNull())
+    hist = bucket_histogram(src, key, seed, [label])
+    counts = hist_class_counts(hist, label)
     if len(counts) != 2:
         raise ValueError("undersampling needs exactly two classes")
     minor = min(counts, key=lambda c: (counts[c], c))
     major = max(counts, key=lambda c: (counts[c], -c))
     keep = min(int(counts[minor] / ratio), counts[major])
     quota = _lit_map({minor: counts[minor], major: keep})
-    t = digest_take(df, F.try_element_at(quota, F.col(label)), key, seed, [label], "_sel")
+    t = digest_take(src, F.try_element_at(quota, F.col(label)), key, seed, [label], "_sel", hist)
     return t.where("_sel").drop("_sel")
 
 
