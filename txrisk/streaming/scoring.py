@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import features as fe
 from ..operators import models as mo
@@ -21,10 +20,11 @@ from ..sources.transactions import tx_from_events
 
 
 def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """The ``events`` parquet as a stream (schema taken from the batch table)."""
+    """New ``events*.parquet`` files under ``sf_dir`` as a stream (schema
+    taken from the batch table)."""
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
-            .parquet(sf_dir).where(F.col("event_type").isNotNull()))
+            .parquet(f"{sf_dir}/events*.parquet"))
 
 
 def score_stream(stream: DataFrame, cats: list[str], model, scaler: sc.ScalerStats | None = None,
