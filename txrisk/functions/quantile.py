@@ -1,21 +1,24 @@
 """Exact percentiles (linear interpolation) without gathering a group.
 
 Spark's exact ``percentile`` aggregate keeps every distinct value of a group
-in one buffer, which does not survive a 100 TB column. Instead:
-
-1. one pass computes ``count`` and ``percentile_approx`` at ``p +- margin/acc``
-   (Greenwald-Khanna: rank error <= n/acc), giving a value band per percentile
-   that provably contains the exact order statistics;
-   (groups under 2 * acc rows take their whole range as the band);
-2. a second pass sends every row's "band record" through a partial
-   aggregation: rows below the band collapse map-side into one counter per
+in one buffer, which does not survive a 100 TB column. Instead, with a
+moderate Greenwald-Khanna accuracy ``acc`` (rank error <= n / acc):
+
+A. one pass: per group ``count`` and ``percentile_approx`` at
+   ``p +- margin / acc`` — a value band per percentile that provably holds
+   the order statistics at floor(h) and ceil(h), h = (n - 1) p (the margin
+   also covers the one-rank gap between ceil(p n) and h). A group of fewer
+   than 2 * acc rows simply takes its whole range (bounded).
+B. only if some band still holds more than 2 * acc rows: a pass over the
+   band rows refines it with a second ``percentile_approx`` on a fixed grid
+   of fractions (grid step 4 / acc of the band, two steps of margin), while
+   rows below the band are counted — a band of about 160 n / acc^2 rows.
+C. a last pass: rows below the band collapse map-side into one counter per
    (group, percentile), rows inside become (value, count) pairs, rows above
-   are dropped;
-3. a running count over the few band values locates ranks floor(h) and
-   ceil(h), h = (n - 1) p, and interpolates ``lo + (hi - lo) * (h - floor h)``.
+   are dropped; a running count over the band values locates the two ranks
+   and interpolates ``lo + (hi - lo) * (h - floor h)``.
 
-The window in step 3 only ever sees the band (about 2 * margin * n / acc
-distinct values), never the whole group.
+No window or buffer ever holds more than a band.
 """
 
 from __future__ import annotations
@@ -25,14 +28,29 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_ACCURACY = 1_000_000
+DEFAULT_ACCURACY = 10_000
 MARGIN = 4.0
+GRID_MARGIN = 2
+
+
+def _explode_bands(rows: DataFrame, g: list[str], m: int, lo_of, hi_of, extra: list[str]) -> DataFrame:
+    """One record per (row, percentile): below / in band (value) / dropped."""
+    xv = F.col("_x")
+
+    def rec(i):
+        lo, hi = lo_of(i), hi_of(i)
+        below = xv < lo
+        return F.struct(i.alias("i"), below.alias("below"), F.when(~below & (xv <= hi), xv).alias("v"))
+
+    return (rows.select(*g, *extra, F.explode(F.transform(F.sequence(F.lit(0), F.lit(m - 1)), rec)).alias("r"))
+            .select(*g, *extra, "r.i", "r.below", "r.v")
+            .where(F.col("below") | F.col("v").isNotNull()))
 
 
 def exact_percentiles(df: DataFrame, x: str | Column, probs: Sequence[float],
                       by: Sequence[str] = (), extra_aggs: Sequence[Column] = (),
                       accuracy: int = DEFAULT_ACCURACY, margin: float = MARGIN) -> DataFrame:
-    """Per group: one row per percentile ``(by..., i, p, value, n, extra...)``.
+    """Per group: one row per percentile ``(by..., i, p, n, value, extra...)``.
 
     NULLs are ignored (pandas ``quantile`` skips NaN). ``extra_aggs`` are
     computed in the first pass and carried through.
@@ -44,38 +62,66 @@ def exact_percentiles(df: DataFrame, x: str | Column, probs: Sequence[float],
     base = df.select(*by, *keep, xc.cast("double").alias("_x"))
     if not by:
         base = base.withColumn("_g", F.lit(0))
-    fr: list[float] = []
+    probs = [float(p) for p in probs]
     for p in probs:
         if not 0.0 <= p <= 1.0:
             raise ValueError(f"percentile {p} outside [0, 1]")
+    m = len(probs)
+    big = 2 * accuracy
+    fr: list[float] = []
+    for p in probs:
         fr += [max(0.0, p - margin / accuracy), min(1.0, p + margin / accuracy)]
+
+    # ---- A: counts, first bands, extra aggregates (one row per group)
     stats = (base.groupBy(*g)
-             .agg(F.count("_x").alias("_n"),
-                  F.percentile_approx("_x", fr, accuracy).alias("_b"), *extra_aggs))
+             .agg(F.count("_x").alias("_n"), F.percentile_approx("_x", fr, accuracy).alias("_b"), *extra_aggs))
     extra_cols = [c for c in stats.columns if c not in set(g) | {"_n", "_b"}]
-    m = len(probs)
-    xv = F.col("_x")
-
-    # A group smaller than 2 * accuracy rows is ranked whole (bounded); in a
-    # larger one the band spans >= 8 ranks beyond the approximation error,
-    # which also covers the one-rank gap between ceil(p n) and (n - 1) p.
-    small = F.col("_n") < F.lit(2 * accuracy)
-
-    def rec(i):
-        lo = F.when(small, F.lit(float("-inf"))).otherwise(F.element_at(F.col("_b"), i * 2 + 1))
-        hi = F.when(small, F.lit(float("inf"))).otherwise(F.element_at(F.col("_b"), i * 2 + 2))
-        below = xv < lo
-        return F.struct(i.alias("i"), below.alias("below"),
-                        F.when(~below & (xv <= hi), xv).alias("v"))
-
-    joined = base.where(xv.isNotNull()).drop(*keep).join(stats.select(*g, "_n", "_b"), on=g)
-    recs = (joined.select(*g, "_n", F.explode(F.transform(F.sequence(F.lit(0), F.lit(m - 1)), rec)).alias("r"))
-            .select(*g, "_n", "r.i", "r.below", "r.v")
-            .where(F.col("below") | F.col("v").isNotNull()))
-    counted = recs.groupBy(*g, "_n", "i", "below", "v").agg(F.count(F.lit(1)).alias("_c"))
+    stats = stats.cache()
+    vals = base.where(F.col("_x").isNotNull()).drop(*keep)
+    p_arr = F.array(*[F.lit(p) for p in probs])
+    ninf, pinf = F.lit(float("-inf")), F.lit(float("inf"))
+
+    bands = (stats.select(*g, "_n", F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias("i"), "_b")
+             .select(*g, "_n", "i",
+                     F.when(F.col("_n") < big, ninf).otherwise(F.element_at("_b", F.col("i") * 2 + 1)).alias("_lo"),
+                     F.when(F.col("_n") < big, pinf).otherwise(F.element_at("_b", F.col("i") * 2 + 2)).alias("_hi")))
+    max_n = stats.agg(F.max("_n")).first()[0] or 0
+
+    # ---- B: refine bands still wider than 2 * acc rows (only on big groups)
+    if max_n >= accuracy * accuracy / 4:
+        grid_n = max(8, accuracy // 4)
+        grid = [j / grid_n for j in range(grid_n + 1)]
+        packed = bands.groupBy(*g, "_n").agg(F.sort_array(F.collect_list(F.struct("i", "_lo", "_hi"))).alias("_bb"))
+        j1 = vals.join(packed, g)
+        lo1 = lambda i: F.element_at("_bb", i + 1)["_lo"]
+        hi1 = lambda i: F.element_at("_bb", i + 1)["_hi"]
+        e = _explode_bands(j1, g, m, lo1, hi1, ["_n"])
+        ref = e.groupBy(*g, "_n", "i").agg(
+            F.count(F.when(F.col("below"), 1)).alias("_cb"),
+            F.count("v").alias("_nb"),
+            F.percentile_approx("v", grid, accuracy).alias("_grid"))
+        h = (F.col("_n") - 1) * F.element_at(p_arr, F.col("i") + 1)
+        tlo = (F.floor(h) - F.col("_cb")) / F.col("_nb") * grid_n
+        thi = (F.ceil(h) - F.col("_cb")) / F.col("_nb") * grid_n
+        jlo = F.greatest(F.floor(tlo) - GRID_MARGIN, F.lit(0)).cast("int")
+        jhi = F.least(F.ceil(thi) + GRID_MARGIN, F.lit(grid_n)).cast("int")
+        refined = ref.select(*g, "i", F.col("_nb") > big,
+                             F.element_at("_grid", jlo + 1).alias("_lo2"),
+                             F.element_at("_grid", jhi + 1).alias("_hi2")).withColumnRenamed(
+            f"(_nb > {big})", "_wide")
+        bands = (bands.join(refined, [*g, "i"], "left")
+                 .select(*g, "_n", "i",
+                         F.when(F.coalesce("_wide", F.lit(False)), F.col("_lo2")).otherwise(F.col("_lo")).alias("_lo"),
+                         F.when(F.coalesce("_wide", F.lit(False)), F.col("_hi2")).otherwise(F.col("_hi")).alias("_hi")))
+
+    # ---- C: exact ranks inside the final bands
+    packed = bands.groupBy(*g, "_n").agg(F.sort_array(F.collect_list(F.struct("i", "_lo", "_hi"))).alias("_bb"))
+    j = vals.join(packed, g)
+    e = _explode_bands(j, g, m, lambda i: F.element_at("_bb", i + 1)["_lo"],
+                       lambda i: F.element_at("_bb", i + 1)["_hi"], ["_n"])
+    counted = e.groupBy(*g, "_n", "i", "below", "v").agg(F.count(F.lit(1)).alias("_c"))
     w = (Window.partitionBy(*g, "i").orderBy(F.col("below").desc(), F.col("v").asc())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    p_arr = F.array(*[F.lit(float(p)) for p in probs])
     h = (F.col("_n") - 1) * F.col("p")
     ranked = (counted.withColumn("_cum", F.sum("_c").over(w))
               .withColumn("p", F.element_at(p_arr, F.col("i") + 1))

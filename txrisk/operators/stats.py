@@ -37,28 +37,47 @@ def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     ).select("feature", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
-def corr_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """A2: Pearson correlation of every pair over rows where both are present,
-    all pairs in ONE aggregation pass; a constant column gives NULL, not an
-    ANSI divide-by-zero (T10). Long form (a, b, corr), full square.
+def _corr_stack(wide: DataFrame, cols: list[str], pairs) -> DataFrame:
+    items = []
+    for i, j in pairs:
+        items.append(f"'{cols[i]}', '{cols[j]}', c{i}_{j}")
+        if i != j:
+            items.append(f"'{cols[j]}', '{cols[i]}', c{i}_{j}")
+    return wide.selectExpr(f"stack({len(items)}, {', '.join(items)}) AS (a, b, corr)")
+
 
-    Built as SQL expression strings: constructing hundreds of Column objects
-    through the Python bridge costs seconds of driver time per query."""
+def corr_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """A2: Pearson correlation of every pair over rows where both are present;
+    a constant column gives NULL, not an ANSI divide-by-zero (T10). Long form
+    (a, b, corr), full square.
+
+    Pass 1 (one row to the driver): row count, non-null counts and means.
+    Without NULLs, pass 2 is the classic two-pass centred form — one sum per
+    pair — which stays inside whole-stage codegen. With NULLs, every pair
+    gets its own pairwise-complete covariance and deviations.
+    Expressions are built as SQL strings: hundreds of Column objects through
+    the Python bridge cost seconds of driver time."""
     cols = list(cols)
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    q = lambda c: f"CAST(`{c}` AS DOUBLE)"
+    first = df.agg(F.count(F.lit(1)).alias("_n"),
+                   *[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
+                   *[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    if all(first[f"n{i}"] == first["_n"] for i in range(len(cols))):
+        cen = [f"({q(c)} - CAST({first[f'm{i}']!r} AS DOUBLE))" if first[f"m{i}"] is not None else "NULL"
+               for i, c in enumerate(cols)]
+        sums = df.agg(*[F.expr(f"sum({cen[i]} * {cen[j]}) AS s{i}_{j}") for i, j in pairs])
+        corr = [F.expr(f"try_divide(s{i}_{j}, sqrt(s{i}_{i}) * sqrt(s{j}_{j})) AS c{i}_{j}") for i, j in pairs]
+        enough = F.lit(first["_n"] > 1)
+        wide = sums.select(*[F.when(enough, c).alias(f"c{i}_{j}") for c, (i, j) in zip(corr, pairs)])
+        return _corr_stack(wide, cols, pairs)
     exprs = []
     for i, j in pairs:
-        a, b = f"CAST(`{cols[i]}` AS DOUBLE)", f"CAST(`{cols[j]}` AS DOUBLE)"
+        a, b = q(cols[i]), q(cols[j])
         both = f"(`{cols[i]}` IS NOT NULL AND `{cols[j]}` IS NOT NULL)"
         xa, xb = f"IF({both}, {a}, NULL)", f"IF({both}, {b}, NULL)"
         exprs.append(f"try_divide(covar_samp({xa}, {xb}), stddev_samp({xa}) * stddev_samp({xb})) AS c{i}_{j}")
-    wide = df.agg(*[F.expr(e) for e in exprs])
-    items = []
-    for i, j in pairs:
-        items.append(f"'{cols[i]}', '{cols[j]}', c{i}_{j}")
-        if i != j:
-            items.append(f"'{cols[j]}', '{cols[i]}', c{i}_{j}")
-    return wide.selectExpr(f"stack({len(items)}, {', '.join(items)}) AS (a, b, corr)")
+    return _corr_stack(df.agg(*[F.expr(e) for e in exprs]), cols, pairs)
 
 
 def class_counts(df: DataFrame, label: str = LABEL) -> DataFrame:
