@@ -34,15 +34,17 @@ GRID_MARGIN = 2
 
 
 def _explode_bands(rows: DataFrame, g: list[str], m: int, lo_of, hi_of, extra: list[str]) -> DataFrame:
-    """One record per (row, percentile): below / in band (value) / dropped."""
+    """One record per (row, percentile): below / in band (value) / dropped.
+    A static array of m structs (no lambda), so it stays in generated code."""
     xv = F.col("_x")
 
-    def rec(i):
+    def rec(i: int):
         lo, hi = lo_of(i), hi_of(i)
         below = xv < lo
-        return F.struct(i.alias("i"), below.alias("below"), F.when(~below & (xv <= hi), xv).alias("v"))
+        return F.struct(F.lit(i).alias("i"), below.alias("below"),
+                        F.when(~below & (xv <= hi), xv).alias("v"))
 
-    return (rows.select(*g, *extra, F.explode(F.transform(F.sequence(F.lit(0), F.lit(m - 1)), rec)).alias("r"))
+    return (rows.select(*g, *extra, F.explode(F.array(*[rec(i) for i in range(m)])).alias("r"))
             .select(*g, *extra, "r.i", "r.below", "r.v")
             .where(F.col("below") | F.col("v").isNotNull()))
 
@@ -93,8 +95,8 @@ def exact_percentiles(df: DataFrame, x: str | Column, probs: Sequence[float],
         grid = [j / grid_n for j in range(grid_n + 1)]
         packed = bands.groupBy(*g, "_n").agg(F.sort_array(F.collect_list(F.struct("i", "_lo", "_hi"))).alias("_bb"))
         j1 = vals.join(packed, g)
-        lo1 = lambda i: F.element_at("_bb", i + 1)["_lo"]
-        hi1 = lambda i: F.element_at("_bb", i + 1)["_hi"]
+        lo1 = lambda i: F.col("_bb")[i]["_lo"]
+        hi1 = lambda i: F.col("_bb")[i]["_hi"]
         e = _explode_bands(j1, g, m, lo1, hi1, ["_n"])
         ref = e.groupBy(*g, "_n", "i").agg(
             F.count(F.when(F.col("below"), 1)).alias("_cb"),
@@ -117,8 +119,7 @@ def exact_percentiles(df: DataFrame, x: str | Column, probs: Sequence[float],
     # ---- C: exact ranks inside the final bands
     packed = bands.groupBy(*g, "_n").agg(F.sort_array(F.collect_list(F.struct("i", "_lo", "_hi"))).alias("_bb"))
     j = vals.join(packed, g)
-    e = _explode_bands(j, g, m, lambda i: F.element_at("_bb", i + 1)["_lo"],
-                       lambda i: F.element_at("_bb", i + 1)["_hi"], ["_n"])
+    e = _explode_bands(j, g, m, lambda i: F.col("_bb")[i]["_lo"], lambda i: F.col("_bb")[i]["_hi"], ["_n"])
     counted = e.groupBy(*g, "_n", "i", "below", "v").agg(F.count(F.lit(1)).alias("_c"))
     w = (Window.partitionBy(*g, "i").orderBy(F.col("below").desc(), F.col("v").asc())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
