@@ -37,9 +37,10 @@ def _depth(d):
 
 
 def logistic_regression(n_weight_sum: float, max_iter: int = 1000, weight_col: str | None = "weight",
-                        label: str = "label") -> LogisticRegression:
-    """M1: L2, C = 1 -> regParam = 1 / sum(weights) (no standardisation)."""
-    lr = LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter,
+                        label: str = "label", tol: float = 1e-4) -> LogisticRegression:
+    """M1: L2, C = 1 -> regParam = 1 / sum(weights) (no standardisation);
+    the library's default tolerance 1e-4."""
+    lr = LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter, tol=tol,
                             regParam=1.0 / max(n_weight_sum, 1.0), elasticNetParam=0.0,
                             standardization=False, probabilityCol="probability")
     if weight_col:

@@ -17,10 +17,10 @@ def scatter_sample(feat: DataFrame, cols: Sequence[str], n_each: int = 1500,
                    label: str = LABEL, seed: int = 42) -> DataFrame:
     """Balanced sample, each column capped at the *sample's* exact p99,
     class name attached."""
-    s = sa.balanced_sample(feat.select(KEY, *cols, label), n_each, label, seed)
-    caps = {}
-    for c in cols:  # one exact percentile per column over the (bounded) sample
-        caps[c] = exact_percentile_wide(s, c, [0.99], names=["v"]).first()["v"]
+    s = sa.balanced_sample(feat.select(KEY, *cols, label), n_each, label, seed).cache()
+    long = st.long_form(s, cols)
+    caps = {r["feature"]: r["v"] for r in
+            exact_percentile_wide(long, "x", [0.99], by=["feature"], names=["v"]).collect()}
     s = fe.clip_columns(s, {c: v for c, v in caps.items() if v is not None})
     return s.select(KEY, *cols, fe.code_to_name(F.col(label), CLASS_NAMES).alias("class_name"))
 
