@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -9,8 +10,13 @@ from pyspark.sql import functions as F
 
 from ..functions.quantile import exact_percentile_wide
 from ..operators import features as fe
+from ..operators import metrics as me
+from ..operators import models as mo
 from ..operators import sampling as sa
-from ..schema import CLASS_NAMES, KEY, LABEL
+from ..operators import scaling as sc
+from ..operators import stats as st
+from ..schema import CLASS_NAMES, FEATURE_COLS, KEY, LABEL
+from ..session import cut_lineage
 
 
 def scatter_sample(feat: DataFrame, cols: Sequence[str], n_each: int = 1500,
@@ -26,16 +32,6 @@ def scatter_sample(feat: DataFrame, cols: Sequence[str], n_each: int = 1500,
 
 
 # ---------------------------------------------------------------- M13-M17
-import time  # noqa: E402
-
-from pyspark.sql import SparkSession  # noqa: E402
-
-from ..operators import metrics as me  # noqa: E402
-from ..operators import models as mo  # noqa: E402
-from ..operators import scaling as sc  # noqa: E402
-from ..operators import stats as st  # noqa: E402
-from ..session import cut_lineage  # noqa: E402
-from ..schema import FEATURE_COLS  # noqa: E402
 
 LEADERBOARD_SCHEMA = ("model string, accuracy double, precision double, recall double, f1 double, "
                       "roc_auc double, train_seconds double")
