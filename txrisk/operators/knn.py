@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from ..functions import distance as D
 from ..functions.exprs import digest
+from ..session import cut_lineage
 
 MAX_PIVOTS = 1024
 ROWS_PER_SALT = 2_000_000
@@ -132,7 +133,10 @@ def knn_join(query: DataFrame, train: DataFrame, k: int, metric: str = "euclidea
     tcols = [F.col(tid).cast("bigint").alias("_tid"), F.col(vec).cast("array<double>").alias("_tv")]
     if label:
         tcols.append(F.col(label).alias("_tl"))
-    t = train.select(*tcols)
+    # the train side is read four times (count, pivots, cell table, join):
+    # write it once to the shared checkpoint folder instead of recomputing
+    # its upstream plan each time
+    t = cut_lineage(train.select(*tcols))
     q = query.select(F.col(qid).cast("bigint").alias("_qid"), F.col(vec).cast("array<double>").alias("_qv"))
 
     n_train = t.count()

@@ -63,13 +63,15 @@ def evaluate_model(name: str, estimator, train: DataFrame, test: DataFrame):
     t0 = time.time()
     model = estimator.fit(train)
     secs = time.time() - t0
-    pred = mo.predict_binary(model, test)
+    # predictions feed four jobs (class list, metrics, AUC bounds, AUC)
+    pred = cut_lineage(mo.predict_binary(model, test).select("label", "prediction", "score"))
     row = me.report_row(pred, "label", "prediction", "score", pos_label=1)
     row = row.select(F.lit(name).alias("model"), "*", F.lit(secs).alias("train_seconds"))
     return model, pred, row
 
 
 def evaluate_predictions(name: str, pred: DataFrame, secs: float) -> DataFrame:
+    pred = cut_lineage(pred.select("label", "prediction", "score"))
     row = me.report_row(pred, "label", "prediction", "score", pos_label=1)
     return row.select(F.lit(name).alias("model"), "*", F.lit(float(secs)).alias("train_seconds"))
 

@@ -881,7 +881,7 @@ def q_knn_tx(spark, sf_dir):
     nn = kn.knn_join(te.select(F.col(KEY).alias("qid"), vec.alias("vec")),
                      tr.select(F.col(KEY).alias("tid"), vec.alias("vec"), F.col(LABEL).alias("label")),
                      5, "euclidean", label="label")
-    pred = kn.knn_predict(nn, "distance", "eps").join(
-        te.select(F.col(KEY).alias("qid"), F.col(LABEL).alias("label")), "qid")
+    pred = cut_lineage(kn.knn_predict(nn, "distance", "eps").join(
+        te.select(F.col(KEY).alias("qid"), F.col(LABEL).alias("label")), "qid"))
     row = me.report_row(pred, score=None, pos_label=1).drop("roc_auc")
     return _round_cols(row, ["accuracy", "precision", "recall", "f1"])
