@@ -218,3 +218,17 @@ def test_smote_rejects_negative_target(spark):
     df = spark.createDataFrame([(i, float(i), int(i < 60)) for i in range(100)], "row_key bigint, x double, isFraud int")
     with pytest.raises(ValueError):
         smote(df, ["x"])
+
+
+def test_exact_percentiles_two_level_refinement_with_ties(spark):
+    # accuracy 40 on groups of 20,000 rows forces the second (grid) level
+    df = spark.range(60000).select(
+        F.when(F.col("id") % 10 == 0, F.lit(5.0))
+         .otherwise(((F.col("id") * 7919) % 100003) / 7.0).alias("x"),
+        (F.col("id") % 3).alias("g"))
+    ps = [0.0, 0.01, 0.5, 0.99, 1.0]
+    got = exact_percentile_wide(df, "x", ps, by=["g"], accuracy=40).orderBy("g").toPandas()
+    pdf = df.toPandas()
+    for g in (0, 1, 2):
+        want = np.quantile(pdf[pdf.g == g].x.to_numpy(), ps)
+        assert np.allclose(got.iloc[g, 1:].to_numpy(dtype=float), want, rtol=0, atol=1e-9)

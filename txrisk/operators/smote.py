@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import uniform
 from ..schema import KEY, LABEL
+from ..session import cut_lineage
 from .knn import knn_join
 from .sampling import class_count_dict, digest_rank
 
@@ -41,7 +42,9 @@ def smote(df: DataFrame, features: Sequence[str], label: str = LABEL, key: str =
     if n_min <= k:
         raise ValueError(f"SMOTE with k={k} needs more than {k} minority rows, got {n_min}")
     types = {f.name: f.dataType for f in df.schema.fields}
-    mino = df.where(F.col(label) == minor).select(key, *features)
+    # minority rows feed the kNN self-join, the index and the neighbour
+    # lookup: write them once (they are the small class)
+    mino = cut_lineage(df.where(F.col(label) == minor).select(key, *features))
     vecs = mino.select(F.col(key).alias("qid"), F.array(*[F.col(c).cast("double") for c in features]).alias("vec"))
     nn = knn_join(vecs, vecs.withColumnRenamed("qid", "tid"), k, "euclidean", "qid", "tid", "vec",
                   exclude_self=True)
