@@ -56,10 +56,10 @@ def _bucketed(df: DataFrame, key: str, seed: int, by: Sequence[str], hist: DataF
 
 
 def digest_rank(df: DataFrame, key: str = KEY, seed: int = 42, by: Sequence[str] = (),
-                out: str = "rank") -> DataFrame:
+                out: str = "rank", hist: DataFrame | None = None) -> DataFrame:
     """Exact 0-based rank within ``by`` ordered by (digest, key)."""
     by = list(by)
-    j, _ = _bucketed(df, key, seed, by)
+    j, _ = _bucketed(df, key, seed, by, hist)
     w = Window.partitionBy(*by, "_bk").orderBy("_d", key)
     return (j.withColumn(out, F.col("_off") + F.row_number().over(w) - 1)
              .drop("_d", "_bk", "_bn", "_off"))
@@ -127,8 +127,9 @@ def stratified_split(df: DataFrame, label: str = LABEL, test_size: float = 0.2,
 def plain_split(df: DataFrame, test_size: float = 0.2, seed: int = 42, key: str = KEY,
                 out: str = "split") -> DataFrame:
     """R2: unstratified split, n_test = ceil(test_size * n)."""
-    n = df.count()
-    t = digest_take(df, F.lit(math.ceil(test_size * n)), key, seed, [], "_sel")
+    hist = bucket_histogram(df, key, seed, [])
+    n = hist.agg(F.sum("_bn")).first()[0] or 0
+    t = digest_take(df, F.lit(math.ceil(test_size * n)), key, seed, [], "_sel", hist)
     return t.withColumn(out, F.when(F.col("_sel"), "test").otherwise("train")).drop("_sel")
 
 
@@ -179,8 +180,10 @@ def sklearn_fold_bounds(counts: dict, n_splits: int = 3) -> dict:
 def stratified_folds(df: DataFrame, n_splits: int = 3, label: str = LABEL, seed: int = 42,
                      key: str = KEY, out: str = "fold") -> DataFrame:
     """Fold index 0..n_splits-1 per row, exact per-class fold sizes."""
-    bounds = sklearn_fold_bounds(class_count_dict(df, label), n_splits)
-    ranked = digest_rank(df.where(F.col(label).isNotNull()), key, seed, [label], "_r")
+    src = df.where(F.col(label).isNotNull())
+    hist = bucket_histogram(src, key, seed, [label])
+    bounds = sklearn_fold_bounds(hist_class_counts(hist, label), n_splits)
+    ranked = digest_rank(src, key, seed, [label], "_r", hist)
     fold = F.lit(n_splits - 1)
     for i in reversed(range(n_splits - 1)):
         b = F.try_element_at(_lit_map({c: v[i] for c, v in bounds.items()}), F.col(label))
