@@ -232,3 +232,14 @@ def test_exact_percentiles_two_level_refinement_with_ties(spark):
     for g in (0, 1, 2):
         want = np.quantile(pdf[pdf.g == g].x.to_numpy(), ps)
         assert np.allclose(got.iloc[g, 1:].to_numpy(dtype=float), want, rtol=0, atol=1e-9)
+
+
+def test_cosine_zero_query_with_zero_train_vectors(spark):
+    t = spark.createDataFrame([(1, [0.0, 0.0]), (2, [0.0, 0.0]), (3, [1.0, 0.0]), (4, [0.0, 2.0]),
+                               (5, [3.0, 3.0])], "tid bigint, vec array<double>")
+    q = spark.createDataFrame([(9, [0.0, 0.0]), (8, [1.0, 1.0])], "qid bigint, vec array<double>")
+    got = kn.knn_join(q, t, 3, "cosine", n_pivots=2).orderBy("qid", "rank").collect()
+    zero = [(r["tid"], r["distance"]) for r in got if r["qid"] == 9]
+    assert zero == [(1, 1.0), (2, 1.0), (3, 1.0)]
+    other = [r["tid"] for r in got if r["qid"] == 8]
+    assert other[0] == 5 and len(other) == 3

@@ -190,7 +190,8 @@ def knn_join(query: DataFrame, train: DataFrame, k: int, metric: str = "euclidea
         live = mr >= 0
         for b in batches:
             m = b.num_rows
-            S = _search_space(_mat(b.column("_qv")), metric)
+            X = _mat(b.column("_qv"))
+            S = _search_space(X, metric)
             d = _to_pivots(S, P, search) if m else np.zeros((0, P.shape[0]))
             th = np.empty(m)
             step = max(1, CHUNK_ELEMS // max(1, len(ec)))
@@ -199,6 +200,8 @@ def knn_join(query: DataFrame, train: DataFrame, k: int, metric: str = "euclidea
                 th[i:i + step] = np.partition(ub, kk - 1, axis=1)[:, kk - 1]
             th = th * (1 + SLACK) + SLACK
             ok = live[None, :] & (d - mr[None, :] <= th[:, None])
+            if own and m:  # zero queries are answered apart (exact top-k by id)
+                ok &= (np.linalg.norm(X, axis=1) > 0)[:, None]
             rows, cand = np.nonzero(ok)
             cols = {"_qid": b.column("_qid"), "_qv": b.column("_qv")}
             if own:
@@ -245,6 +248,19 @@ def knn_join(query: DataFrame, train: DataFrame, k: int, metric: str = "euclidea
 
     dist = pairs.mapInArrow(measure, "_qid bigint, _tid bigint" + (f", _tl {ltype}" if label else "")
                             + ", distance double")
+    if own:
+        # A zero query is at cosine distance exactly 1 from every train row
+        # (guarded denominator), so its neighbours are the smallest train
+        # ids: a bounded top-kk instead of a search.
+        first = (t.orderBy("_tid").limit(kk)
+                 .select("_tid", *(["_tl"] if label else []), F.lit(1.0).alias("distance"),
+                         F.lit(0).alias("_k")))
+        zq = q.where(F.aggregate("_qv", F.lit(0.0), lambda a, x: a + x * x) == 0).select(
+            "_qid", F.lit(0).alias("_k"))
+        zpairs = zq.join(F.broadcast(first), "_k").drop("_k")
+        if exclude_self:
+            zpairs = zpairs.where(F.col("_qid") != F.col("_tid"))
+        dist = dist.unionByName(zpairs.select(*dist.columns))
     wr = Window.partitionBy("_qid").orderBy("distance", "_tid")
     out = dist.withColumn("rank", F.row_number().over(wr)).where(F.col("rank") <= k)
     cols = [F.col("_qid").alias(qid), "rank", F.col("_tid").alias(tid if tid != qid else "neighbor"), "distance"]
