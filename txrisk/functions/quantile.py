@@ -49,6 +49,22 @@ def _explode_bands(rows: DataFrame, g: list[str], m: int, lo_of, hi_of, extra: l
             .where(F.col("below") | F.col("v").isNotNull()))
 
 
+def _attach_bands(vals: DataFrame, bands: DataFrame, g: list[str], grouped: bool) -> DataFrame:
+    """Give every row its group's bands. Grouped: an equi-join on the group
+    keys (the band table has one row per group). Global: the single band row
+    (m percentiles) is embedded as a literal — no join at all."""
+    packed = bands.groupBy(*g, "_n").agg(F.sort_array(F.collect_list(F.struct("i", "_lo", "_hi"))).alias("_bb"))
+    if grouped:
+        return vals.join(packed, g)
+    row = packed.first()
+    if row is None:
+        return vals.withColumn("_n", F.lit(0).cast("bigint")).withColumn(
+            "_bb", F.array().cast("array<struct<i:int,_lo:double,_hi:double>>"))
+    lit_bb = F.array(*[F.struct(F.lit(int(b["i"])).alias("i"), F.lit(float(b["_lo"])).alias("_lo"),
+                                F.lit(float(b["_hi"])).alias("_hi")) for b in row["_bb"]])
+    return vals.withColumn("_n", F.lit(int(row["_n"])).cast("bigint")).withColumn("_bb", lit_bb)
+
+
 def exact_percentiles(df: DataFrame, x: str | Column, probs: Sequence[float],
                       by: Sequence[str] = (), extra_aggs: Sequence[Column] = (),
                       accuracy: int = DEFAULT_ACCURACY, margin: float = MARGIN) -> DataFrame:
@@ -93,8 +109,7 @@ def exact_percentiles(df: DataFrame, x: str | Column, probs: Sequence[float],
     if max_n >= accuracy * accuracy / 4:
         grid_n = max(8, accuracy // 4)
         grid = [j / grid_n for j in range(grid_n + 1)]
-        packed = bands.groupBy(*g, "_n").agg(F.sort_array(F.collect_list(F.struct("i", "_lo", "_hi"))).alias("_bb"))
-        j1 = vals.join(packed, g)
+        j1 = _attach_bands(vals, bands, g, bool(by))
         lo1 = lambda i: F.col("_bb")[i]["_lo"]
         hi1 = lambda i: F.col("_bb")[i]["_hi"]
         e = _explode_bands(j1, g, m, lo1, hi1, ["_n"])
@@ -117,8 +132,7 @@ def exact_percentiles(df: DataFrame, x: str | Column, probs: Sequence[float],
                          F.when(F.coalesce("_wide", F.lit(False)), F.col("_hi2")).otherwise(F.col("_hi")).alias("_hi")))
 
     # ---- C: exact ranks inside the final bands
-    packed = bands.groupBy(*g, "_n").agg(F.sort_array(F.collect_list(F.struct("i", "_lo", "_hi"))).alias("_bb"))
-    j = vals.join(packed, g)
+    j = _attach_bands(vals, bands, g, bool(by))
     e = _explode_bands(j, g, m, lambda i: F.col("_bb")[i]["_lo"], lambda i: F.col("_bb")[i]["_hi"], ["_n"])
     counted = e.groupBy(*g, "_n", "i", "below", "v").agg(F.count(F.lit(1)).alias("_c"))
     w = (Window.partitionBy(*g, "i").orderBy(F.col("below").desc(), F.col("v").asc())
@@ -134,8 +148,11 @@ def exact_percentiles(df: DataFrame, x: str | Column, probs: Sequence[float],
     frac = (F.col("_n") - 1) * F.col("p") - F.floor((F.col("_n") - 1) * F.col("p"))
     out = picked.select(*g, "i", "p", F.col("_n").alias("n"),
                         (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * frac).alias("value"))
-    if extra_cols:
+    if extra_cols and by:
         out = out.join(stats.select(*g, *extra_cols), on=g)
+    elif extra_cols:
+        srow = stats.select(*extra_cols).first()
+        out = out.withColumns({c: F.lit(srow[c]) if srow else F.lit(None) for c in extra_cols})
     return out.drop("_g") if not by else out
 
 

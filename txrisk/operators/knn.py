@@ -252,12 +252,13 @@ def knn_join(query: DataFrame, train: DataFrame, k: int, metric: str = "euclidea
         # A zero query is at cosine distance exactly 1 from every train row
         # (guarded denominator), so its neighbours are the smallest train
         # ids: a bounded top-kk instead of a search.
-        first = (t.orderBy("_tid").limit(kk)
-                 .select("_tid", *(["_tl"] if label else []), F.lit(1.0).alias("distance"),
-                         F.lit(0).alias("_k")))
-        zq = q.where(F.aggregate("_qv", F.lit(0.0), lambda a, x: a + x * x) == 0).select(
-            "_qid", F.lit(0).alias("_k"))
-        zpairs = zq.join(F.broadcast(first), "_k").drop("_k")
+        first = t.orderBy("_tid").limit(kk).select("_tid", *(["_tl"] if label else [])).collect()
+        near = F.array(*[F.struct(F.lit(r["_tid"]).cast("bigint").alias("_tid"),
+                                  *([F.lit(r["_tl"]).cast(ltype).alias("_tl")] if label else []))
+                         for r in first])
+        zq = q.where(F.aggregate("_qv", F.lit(0.0), lambda a, x: a + x * x) == 0)
+        zpairs = (zq.select("_qid", F.explode(near).alias("_z"))
+                  .select("_qid", "_z.*", F.lit(1.0).alias("distance")))
         if exclude_self:
             zpairs = zpairs.where(F.col("_qid") != F.col("_tid"))
         dist = dist.unionByName(zpairs.select(*dist.columns))
