@@ -18,8 +18,12 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
-    problems, n = compare(QUERIES[name](spark, SF_SMALL), con, ORACLE[name])
+    df = QUERIES[name](spark, SF_SMALL)
+    problems, n = compare(df, con, ORACLE[name])
     assert not problems, f"{name}: {problems}"
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for op in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert op not in plan, f"{name} plans a {op}"
 
 
 def test_every_oracle_has_a_query():
