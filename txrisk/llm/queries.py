@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontaminate import contaminated_spans
 from .token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +29,13 @@ def op10_token_counts(spark, sf_dir):
     """Tokens of every document under the 32k piece model; limit 4,096."""
     out = token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return out.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+@register
+def op8_decontaminate(spark, sf_dir):
+    """Words of every document inside 10-word windows of the benchmark."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contaminated_spans(docs, _table(spark, sf_dir, "benchmark"))
+    n_hit = F.expr("cast(aggregate(spans, 0L, (s, x) -> s + x.end - x.start) as long)")
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+                        (n_hit > 0).alias("contaminated"))
