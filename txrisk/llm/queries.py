@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import contaminated_spans
+from .simhash import simhash_groups
 from .token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +40,9 @@ def op8_decontaminate(spark, sf_dir):
     return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
                         (n_hit > 0).alias("contaminated"))
+
+
+@register
+def op3_simhash(spark, sf_dir):
+    """Near-duplicate groups of documents: 64-bit SimHash, links at 2 bits or fewer."""
+    return simhash_groups(_table(spark, sf_dir, "documents"))
