@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import contaminated_spans
+from .licenses import license_scan
 from .simhash import simhash_groups
 from .token_counts import token_counts
 
@@ -46,3 +47,9 @@ def op8_decontaminate(spark, sf_dir):
 def op3_simhash(spark, sf_dir):
     """Near-duplicate groups of documents: 64-bit SimHash, links at 2 bits or fewer."""
     return simhash_groups(_table(spark, sf_dir, "documents"))
+
+
+@register
+def op7_licenses(spark, sf_dir):
+    """License phrases and notices in every document."""
+    return license_scan(_table(spark, sf_dir, "documents"))
