@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .decontaminate import contaminated_spans
 from .licenses import license_scan
+from .quality import held_out, score_documents, train
 from .simhash import simhash_groups
 from .token_counts import token_counts
 
@@ -53,3 +54,12 @@ def op3_simhash(spark, sf_dir):
 def op7_licenses(spark, sf_dir):
     """License phrases and notices in every document."""
     return license_scan(_table(spark, sf_dir, "documents"))
+
+
+@register
+def op5_quality(spark, sf_dir):
+    """Quality score of every document; label 1 predicted from 0.3 up."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, _table(spark, sf_dir, "labels"))
+    return score_documents(docs, model).select(
+        "doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
