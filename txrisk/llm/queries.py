@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .decontaminate import contaminated_spans
 from .licenses import license_scan
+from .packing import pack
 from .quality import held_out, score_documents, train
 from .simhash import simhash_groups
 from .token_counts import token_counts
@@ -63,3 +64,9 @@ def op5_quality(spark, sf_dir):
     model = train(docs, _table(spark, sf_dir, "labels"))
     return score_documents(docs, model).select(
         "doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@register
+def op1_packing(spark, sf_dir):
+    """All documents packed into sequences of at most 1,024 tokens."""
+    return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
