@@ -14,6 +14,7 @@ from .packing import pack
 from .quality import held_out, score_documents, train
 from .simhash import simhash_groups
 from .token_counts import token_counts
+from .warc import warc_roundtrip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -70,3 +71,9 @@ def op5_quality(spark, sf_dir):
 def op1_packing(spark, sf_dir):
     """All documents packed into sequences of at most 1,024 tokens."""
     return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@register
+def op6_warc(spark, sf_dir):
+    """Pages written as WARC records and read back along verified boundaries."""
+    return warc_roundtrip(_table(spark, sf_dir, "pages"))
