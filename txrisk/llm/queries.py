@@ -14,6 +14,7 @@ from .packing import pack
 from .quality import held_out, score_documents, train
 from .simhash import simhash_groups
 from .token_counts import token_counts
+from .vector_links import vector_links
 from .warc import warc_roundtrip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +78,9 @@ def op1_packing(spark, sf_dir):
 def op6_warc(spark, sf_dir):
     """Pages written as WARC records and read back along verified boundaries."""
     return warc_roundtrip(_table(spark, sf_dir, "pages"))
+
+
+@register
+def op9_vector_links(spark, sf_dir):
+    """Embeddings linked at cosine 0.9 or more, with their components."""
+    return vector_links(_table(spark, sf_dir, "embeddings"))
