@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .decontaminate import contaminated_spans
 from .licenses import license_scan
 from .packing import pack
+from .pii import pseudonymize
 from .quality import held_out, score_documents, train
 from .simhash import simhash_groups
 from .token_counts import token_counts
@@ -84,3 +85,10 @@ def op6_warc(spark, sf_dir):
 def op9_vector_links(spark, sf_dir):
     """Embeddings linked at cosine 0.9 or more, with their components."""
     return vector_links(_table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op2_pii(spark, sf_dir):
+    """Documents with personal data replaced by surrogates, and how many mentions."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonymize(docs, count_col="n_replaced").withColumn("changed", F.col("n_replaced") > 0)
