@@ -41,6 +41,14 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def batches(columns: dict[str, list], schema: pa.Schema, rows: int = 50_000):
     """Yield Arrow record batches of at most ``rows`` rows from column lists."""
     n = len(next(iter(columns.values())))

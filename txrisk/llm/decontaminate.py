@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import save, words
+from .common import save, spare, words
 
 WINDOW = 10
 SHARD_SYMBOLS = 1 << 20     # indexed words after which a shard is closed
@@ -329,6 +329,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                     for i, c in enumerate(b.columns[:-1])]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    spare = docs.withColumnsRenamed({c: f"_{c}" for c in ("n_words", "spans", "items") if c in docs.columns})
-    marked = contaminated_spans(spare, benchmark, id_col, text_col).select(*spare.columns, "spans")
+    own = docs
+    for c in ("n_words", "spans", "items"):
+        if c in own.columns:
+            own = own.withColumnRenamed(c, spare(own, c))
+    marked = contaminated_spans(own, benchmark, id_col, text_col).select(*own.columns, "spans")
     return marked.mapInArrow(cut, docs.schema)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import save
+from .common import save, spare
 
 KEY_CONF = "spark.txrisk.pii.key"
 DEFAULT_KEY = "txrisk"
@@ -239,8 +239,8 @@ def pseudonymize(docs: DataFrame, text_col: str = "text", key: str | None = None
     spark = docs.sparkSession
     key = key or spark.conf.get(KEY_CONF, DEFAULT_KEY)
     names, at = docs.columns, docs.columns.index(text_col)
-    found_type = T.StructField("__entities", SCHEMA)
-    marked_type = T.StructType([*docs.schema.fields, T.StructField("__n", T.LongType()), found_type])
+    n, ents, uid, known_as = (spare(docs, c) for c in ("n", "entities", "uid", "known"))
+    marked_type = T.StructType([*docs.schema.fields, T.StructField(n, T.LongType()), T.StructField(ents, SCHEMA)])
     arrow = to_arrow_schema(marked_type)
 
     def detect(with_entities: bool):
@@ -252,17 +252,17 @@ def pseudonymize(docs: DataFrame, text_col: str = "text", key: str | None = None
                     mask = pa.array([bool(f) == with_entities for f in found])
                     count = pa.array([len(f) for f in found], pa.int64())
                     pairs = pa.array([[{"kind": x, "entity": e} for x, e in sorted({m[2:] for m in f})] for f in found],
-                                     arrow.field("__entities").type)
+                                     arrow.field(arrow.names.index(ents)).type)
                     yield pa.RecordBatch.from_arrays([*part.columns, count, pairs], schema=arrow).filter(mask)
         return run
 
-    private = save(docs.mapInArrow(detect(True), marked_type).withColumn("__uid", F.monotonically_increasing_id()),
+    private = save(docs.mapInArrow(detect(True), marked_type).withColumn(uid, F.monotonically_increasing_id()),
                    "private-documents")
-    pairs = private.select("__uid", F.explode("__entities").alias("e")).select("__uid", "e.kind", "e.entity")
+    pairs = private.select(uid, F.explode(ents).alias("e")).select(uid, "e.kind", "e.entity")
     mapping = assign_surrogates(save(pairs.select("kind", "entity").distinct(), "entities"), key)
-    known = pairs.join(mapping, ["kind", "entity"]).groupBy("__uid") \
-        .agg(F.collect_list(F.struct("kind", "entity", "surrogate")).alias("__known"))
-    out_type = T.StructType([*docs.schema.fields, T.StructField("__n", T.LongType())])
+    known = pairs.join(mapping, ["kind", "entity"]).groupBy(uid) \
+        .agg(F.collect_list(F.struct("kind", "entity", "surrogate")).alias(known_as))
+    out_type = T.StructType([*docs.schema.fields, T.StructField(n, T.LongType())])
     out_names = [f.name for f in out_type]
 
     def rewrite(it):
@@ -275,8 +275,8 @@ def pseudonymize(docs: DataFrame, text_col: str = "text", key: str | None = None
                 cols = [pa.array(new, c.type) if i == at else c for i, c in enumerate(part.columns[:-1])]
                 yield pa.RecordBatch.from_arrays(cols, names=out_names)
 
-    changed = private.drop("__entities").join(known, "__uid").select(*names, "__n", "__known") \
+    changed = private.drop(ents).join(known, uid).select(*names, n, known_as) \
         .mapInArrow(rewrite, out_type)
-    clean = docs.mapInArrow(detect(False), marked_type).drop("__entities")
+    clean = docs.mapInArrow(detect(False), marked_type).drop(ents)
     both = clean.unionByName(changed)
-    return both.withColumnRenamed("__n", count_col) if count_col else both.drop("__n")
+    return both.withColumnRenamed(n, count_col) if count_col else both.drop(n)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import save
+from .common import save, spare
 from .graph import components
 
 SHINGLE = 3
@@ -174,7 +174,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
     """Keep one row of each group: smallest id (nulls last), then smallest
     digest of id and text; of equal rows one stays. Columns as given."""
     groups = _grouped(docs.select(id_col, text_col), id_col, text_col, shingle, HOT_KEY)
-    keep = groups.where("row = first.row").select(F.col("row").alias("_row")).distinct()
-    one = Window.partitionBy("_row").orderBy(F.lit(1))
-    return docs.withColumn("_row", _row_key(id_col, text_col)).join(keep, "_row", "left_semi") \
-        .withColumn("_nth", F.row_number().over(one)).where("_nth = 1").select(*docs.columns)
+    row, nth = spare(docs, "row"), spare(docs, "nth")
+    keep = groups.where("row = first.row").select(F.col("row").alias(row)).distinct()
+    one = Window.partitionBy(row).orderBy(F.lit(1))
+    return docs.withColumn(row, _row_key(id_col, text_col)).join(keep, row, "left_semi") \
+        .withColumn(nth, F.row_number().over(one)).where(F.col(nth) == 1).select(*docs.columns)
