@@ -13,6 +13,7 @@ from .licenses import license_scan
 from .packing import pack
 from .pii import pseudonymize
 from .quality import held_out, score_documents, train
+from .repeats import repeated_bytes
 from .simhash import simhash_groups
 from .token_counts import token_counts
 from .vector_links import vector_links
@@ -92,3 +93,9 @@ def op2_pii(spark, sf_dir):
     """Documents with personal data replaced by surrogates, and how many mentions."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return pseudonymize(docs, count_col="n_replaced").withColumn("changed", F.col("n_replaced") > 0)
+
+
+@register
+def op4_repeats(spark, sf_dir):
+    """Bytes of every document covered by 50-byte strings of earlier documents."""
+    return repeated_bytes(_table(spark, sf_dir, "documents"))
