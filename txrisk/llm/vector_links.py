@@ -57,42 +57,42 @@ def _cells(kind: str, bits: int, trees: int, seed: int):
     return run
 
 
-def _local_join(kind: str):
-    """Buckets (lists of node, vec, k, kth) -> directed candidates that enter a list."""
+def _local_join(kind: str, threshold: float):
+    """Buckets (lists of node, vec, k, kth) -> directed candidates for a list: a
+    bucket offers a vector at most k links, and at most LIST others."""
     schema = pa.schema([("node", pa.int64()), ("nbr", pa.int64()), ("sim", pa.float64())])
 
+    def best(s, ok, most):
+        """``ok`` cut to the ``most`` highest (and ties) of each row."""
+        for r in np.flatnonzero(ok.sum(axis=1) > most):
+            values = s[r][ok[r]]
+            ok[r] &= s[r] >= np.partition(values, -most[r])[-most[r]]
+        return ok
+
     def run(it):
         for b in it:
             lists = b.column("members")
-            bounds = lists.offsets.to_numpy()
-            rows = lists.values
-            node = rows.field("node").to_numpy(zero_copy_only=False)
-            k = rows.field("k").to_numpy(zero_copy_only=False)
-            kth = rows.field("kth").to_numpy(zero_copy_only=False)
-            vec = rows.field("vec")
-            out_a, out_b, out_s, held = [], [], [], 0
+            bounds, rows = lists.offsets.to_numpy(), lists.values
+            node, k, kth = (rows.field(c).to_numpy(zero_copy_only=False) for c in ("node", "k", "kth"))
+            vec, out, held = rows.field("vec"), [], 0
             for lo, hi in zip(bounds[:-1], bounds[1:]):
                 if hi - lo < 2:
                     continue
                 x, ids = _matrix(vec.slice(lo, hi - lo), kind), node[lo:hi]
-                for i in range(0, hi - lo, 1024):
-                    s = x[i:i + 1024] @ x.T
-                    s[ids[i:i + 1024, None] == ids] = -2
-                    limit, at_least = k[lo + i:lo + i + len(s)], kth[lo + i:lo + i + len(s)]
-                    good = s > at_least[:, None]
-                    for r in np.flatnonzero(good.sum(axis=1) > limit):
-                        cut = np.partition(s[r], -limit[r])[-limit[r]]
-                        good[r] &= s[r] >= cut
+                for i in range(0, hi - lo, 512):
+                    s = x[i:i + 512] @ x.T
+                    mine = slice(lo + i, lo + i + len(s))
+                    free = (ids[i:i + 512, None] != ids) & (s > kth[mine, None])
+                    good = best(s, free & (s >= threshold), k[mine]) | \
+                        best(s, free & (s < threshold), np.minimum(k[mine], LIST))
                     p, q = np.nonzero(good)
-                    out_a.append(ids[i + p])
-                    out_b.append(ids[q])
-                    out_s.append(s[p, q])
+                    out.append((ids[i + p], ids[q], s[p, q]))
                     held += len(p)
-                if held > 100_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (out_a, out_b, out_s)], schema=schema)
-                    out_a, out_b, out_s, held = [], [], [], 0
+                    if held > 100_000:
+                        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], schema=schema)
+                        out, held = [], 0
             if held:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (out_a, out_b, out_s)], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], schema=schema)
     return run
 
 
@@ -121,14 +121,15 @@ class _Search:
         vectors = self.nodes.select("node", "vec").join(state, "node")
         found = membership.join(vectors, "node") \
             .groupBy("bucket").agg(F.collect_list(F.struct("node", "vec", "k", "kth")).alias("members")) \
-            .select("members").mapInArrow(_local_join(self.kind), "node long, nbr long, sim double")
+            .select("members").mapInArrow(_local_join(self.kind, self.threshold), "node long, nbr long, sim double")
         old = graph.select("node", F.explode("nbrs").alias("e")).select("node", "e.nbr", "e.sim", F.lit(1).alias("old"))
         both = old.unionByName(found.withColumn("old", F.lit(0))).repartition("node")
         best = both.groupBy("node", "nbr").agg(F.max("sim").alias("sim"), F.max("old").alias("old"))
         lists = best.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("sim", "nbr", "old")), False).alias("all"))
-        kept = graph.select("node", "k").join(lists, "node", "left") \
-            .withColumn("all", F.slice(F.coalesce("all", F.expr("cast(array() as array<struct<sim:double,nbr:long,old:int>>)")),
-                                       F.lit(1), F.col("k")))
+        nothing = F.expr("cast(array() as array<struct<sim:double,nbr:long,old:int>>)")
+        links = F.expr(f"size(filter(all, x -> x.sim >= {self.threshold}))")
+        kept = graph.select("node", "k").join(lists, "node", "left").withColumn("all", F.coalesce("all", nothing)) \
+            .withColumn("all", F.slice("all", F.lit(1), F.least(F.col("k"), links + LIST)))
         full = (F.size("all") >= F.col("k")) & (F.expr("element_at(all, -1).sim") >= self.threshold)
         saturated = F.coalesce(full, F.lit(False))
         return save(kept.select(
