@@ -29,7 +29,7 @@ def test_largest_remainder_and_split_quotas():
 
 
 def test_fold_bounds_follow_round_robin_layout():
-    b = sa.sklearn_fold_bounds({0: 4, 1: 5}, 3)
+    b = sa.unshuffled_fold_bounds({0: 4, 1: 5}, 3)
     assert b[0] == [2, 3]            # sizes 2, 1, 1
     assert b[1] == [1, 3]            # positions 4..8: fold0 {6}, fold1 {4, 7}, fold2 {5, 8}
     # recompute directly
@@ -173,7 +173,9 @@ def test_knn_join_equals_brute_force(spark, metric):
     m = ids % 5 == 0
     Q, T, tid = X[m], X[~m], ids[~m]
     for i, qq in enumerate(ids[m]):
-        d = kn.pair_distance(np.repeat(Q[i:i + 1], len(T), 0), T, metric)
+        qv = Q[i]
+        d = {"euclidean": np.sqrt(((T - qv) ** 2).sum(1)), "manhattan": np.abs(T - qv).sum(1),
+             "cosine": 1 - (T @ qv) / (np.sqrt((T ** 2).sum(1)) * np.sqrt(qv @ qv))}[metric]
         want = tid[np.lexsort((tid, d))][:4]
         assert list(got[got.qid == qq].sort_values("rank").tid) == list(want)
 
@@ -243,3 +245,42 @@ def test_cosine_zero_query_with_zero_train_vectors(spark):
     assert zero == [(1, 1.0), (2, 1.0), (3, 1.0)]
     other = [r["tid"] for r in got if r["qid"] == 8]
     assert other[0] == 5 and len(other) == 3
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan", "cosine"])
+def test_knn_of_identical_vectors_emits_few_rows(spark, metric):
+    n, k = 3000, 5
+    ids = spark.range(n)
+    same = ids.select(F.col("id").alias("tid"), F.array(F.lit(1.0), F.lit(2.0)).alias("vec"), (F.col("id") % 3).alias("label"))
+    q = ids.select(F.col("id").alias("qid"), F.array(F.lit(1.0), F.lit(2.0)).alias("vec"))
+    found, classes = kn.knn_candidates(q, same, k, metric, label="label")
+    assert classes.count() == 1 and found.count() == n          # one class: one row per query
+    rows = kn.knn_join(q, same, k, metric, label="label").groupBy("qid").agg(
+        F.sort_array(F.collect_list("tid")).alias("t"), F.max("distance").alias("d"))
+    assert rows.where("t <> array(0L, 1L, 2L, 3L, 4L) or d > 1e-12").count() == 0 and rows.count() == n
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan", "cosine"])
+def test_knn_with_duplicates_blocks_and_ties(spark, metric, monkeypatch):
+    monkeypatch.setattr(kn, "BLOCK", 7)
+    rng = np.random.default_rng(8)
+    X = rng.integers(-2, 3, (120, 3)).astype(float) * rng.choice([1.0, 2.0], (120, 1))
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(X)], "tid bigint, vec array<double>")
+    got = kn.knn_join(df.withColumnRenamed("tid", "qid"), df, 4, metric, n_pivots=5, exclude_self=True).toPandas()
+    norm = np.sqrt((X ** 2).sum(1))
+    for i in range(len(X)):
+        denom = np.where(norm * norm[i] == 0, 1e-10, norm * norm[i])
+        d = {"euclidean": np.sqrt(((X - X[i]) ** 2).sum(1)), "manhattan": np.abs(X - X[i]).sum(1),
+             "cosine": 1 - (X @ X[i]) / denom}[metric]
+        d[i] = np.inf
+        mine = got[got.qid == i].sort_values("rank")
+        assert np.allclose(mine.distance, np.sort(d)[:4])
+        assert np.allclose(d[mine.tid.to_numpy()], mine.distance) and mine.tid.is_unique
+        if metric != "cosine":       # equal cosines differ in the last bit
+            assert mine.tid.tolist() == np.lexsort((np.arange(len(X)), d))[:4].tolist()
+
+
+def test_string_classes_can_vote(spark):
+    nn = spark.createDataFrame([(1, 1, 10, 1.0, "b"), (1, 2, 11, 1.0, "a")],
+                               "qid bigint, rank int, tid bigint, distance double, label string")
+    assert kn.knn_predict(nn, "uniform").first()["prediction"] == "a"

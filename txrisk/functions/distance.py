@@ -1,60 +1,13 @@
-"""Vector distances as built-in higher-order expressions (no Python UDF)."""
+"""Distance names and their fixed constants."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 METRICS = ("euclidean", "manhattan", "cosine")
 ALIASES = {"minkowski": "euclidean", "l2": "euclidean", "l1": "manhattan", "cityblock": "manhattan"}
-COSINE_ZERO_GUARD = 1e-10   # fixed value: zero denominator replaced by this
 
 
 def canonical(metric: str) -> str:
     m = ALIASES.get(metric, metric)
     if m not in METRICS:
-        raise ValueError(f"unknown metric {metric!r}; available: 'euclidean', 'manhattan', 'cosine'")
+        raise ValueError(f"unknown metric {metric!r}; choose one of {', '.join(METRICS)}")
     return m
-
-
-def _sum(arr: Column) -> Column:
-    return F.aggregate(arr, F.lit(0.0), lambda acc, v: acc + v)
-
-
-def sq_euclidean(a: Column, b: Column) -> Column:
-    return _sum(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)))
-
-
-def euclidean(a: Column, b: Column) -> Column:
-    return F.sqrt(sq_euclidean(a, b))
-
-
-def manhattan(a: Column, b: Column) -> Column:
-    return _sum(F.zip_with(a, b, lambda x, y: F.abs(x - y)))
-
-
-def norm(a: Column) -> Column:
-    return F.sqrt(_sum(F.transform(a, lambda x: x * x)))
-
-
-def cosine(a: Column, b: Column, na: Column | None = None, nb: Column | None = None) -> Column:
-    """1 - a.b / (|a| |b|), a zero denominator replaced by 1e-10."""
-    dot = _sum(F.zip_with(a, b, lambda x, y: x * y))
-    denom = (na if na is not None else norm(a)) * (nb if nb is not None else norm(b))
-    denom = F.when(denom == 0, F.lit(COSINE_ZERO_GUARD)).otherwise(denom)
-    return 1.0 - dot / denom
-
-
-def distance(metric: str, a: Column, b: Column) -> Column:
-    m = canonical(metric)
-    return {"euclidean": euclidean, "manhattan": manhattan, "cosine": cosine}[m](a, b)
-
-
-def unit_augmented(v: Column) -> Column:
-    """Cosine search space: v/|v| with a trailing 0; a zero vector becomes
-    (0, ..., 0, 1). Euclidean distance e there gives cosine = e^2 / 2 for
-    every pair with a non-zero query, so cosine neighbours are euclidean
-    neighbours in this space (and the triangle inequality holds)."""
-    n = norm(v)
-    unit = F.transform(v, lambda x: F.when(n == 0, F.lit(0.0)).otherwise(x / n))
-    return F.concat(unit, F.array(F.when(n == 0, F.lit(1.0)).otherwise(F.lit(0.0))))

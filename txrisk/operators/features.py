@@ -12,20 +12,14 @@ from pyspark.sql import functions as F
 from ..functions.exprs import clip_upper, flag
 from ..schema import (DROPPED_COLUMNS, FEATURE_COLS, KEY, LABEL, SUSPICIOUS_TYPES)
 
-MAX_CATEGORIES = 65536
-
-
-def fit_type_codes(df: DataFrame, col: str = "type", max_categories: int = MAX_CATEGORIES) -> list[str]:
+def fit_type_codes(df: DataFrame, col: str = "type") -> list[str]:
     """Fit an alphabetical 0-based label encoding.
 
-    The distinct values are aggregated on the executors; only the checked,
-    bounded list of categories reaches the driver (like ``StringIndexer``).
+    The distinct values are aggregated on the executors; the category list
+    reaches the driver (like ``StringIndexer``).
     """
     distinct = df.select(col).where(F.col(col).isNotNull()).distinct()
-    cats = [r[0] for r in distinct.orderBy(col).limit(max_categories + 1).collect()]
-    if len(cats) > max_categories:
-        raise ValueError(f"{col} has more than {max_categories} categories")
-    return cats
+    return [r[0] for r in distinct.orderBy(col).collect()]
 
 
 def type_code_table(df: DataFrame, cats: list[str], col: str = "type") -> DataFrame:
@@ -40,8 +34,8 @@ def encode_expr(c: Column, cats: list[str]) -> Column:
     ``handleInvalid='keep'``)."""
     if not cats:
         return F.lit(0)
-    m = F.create_map(*[x for i, v in enumerate(cats) for x in (F.lit(v), F.lit(i))])
-    return F.coalesce(F.try_element_at(m, c), F.lit(len(cats))).cast("int")
+    at = F.array_position(F.lit(list(cats)), c)      # one literal however many categories
+    return F.when(at > 0, at - 1).otherwise(F.lit(len(cats))).cast("int")
 
 
 def apply_type_codes(df: DataFrame, cats: list[str], col: str = "type",
@@ -68,15 +62,18 @@ def engineer_features(df: DataFrame, cats: list[str], drop: bool = True) -> Data
 
 
 def feature_table(df: DataFrame, cats: list[str], order: list[str] = FEATURE_COLS,
-                  key: str = KEY, label: str = LABEL) -> DataFrame:
-    """Key, the features in a fixed order, label."""
+                  key: str = KEY, label: str = LABEL, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Key, the features in a fixed order, label, carried columns."""
     eng = engineer_features(df, cats, drop=False)
-    keep = ([key] if key in eng.columns else []) + list(order) + [label]
+    keep = ([key] if key in eng.columns else []) + list(order) + [label, *extra]
     return eng.select(*keep)
 
 
-def risk_category_expr(fraud_median: float, label: str = LABEL, amount: str = "amount") -> Column:
-    """P14 (T27): 0 normal; fraud at or below the median -> 1; else 2."""
+def risk_category_expr(fraud_median: float | None, label: str = LABEL, amount: str = "amount") -> Column:
+    """P14 (T27): 0 normal; fraud at or below the median -> 1; else 2. Without
+    any fraud row there is no median (None) and every row is normal."""
+    if fraud_median is None:
+        return F.lit(0).cast("int")
     return (F.when(F.coalesce(F.col(label) == 0, F.lit(False)), 0)
              .when(F.coalesce(F.col(amount) <= F.lit(float(fraud_median)), F.lit(False)), 1)
              .otherwise(2).cast("int"))

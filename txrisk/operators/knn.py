@@ -1,24 +1,23 @@
 """Exact k-nearest-neighbour join and the kNN classifiers.
 
-Exact without a cross join (pivot partitioning):
+Exact, by pivots and blocks:
 
-1. ``P`` pivots = the train rows with the smallest digests (a bounded top-P);
-   every train row goes to the cell of its nearest pivot, with radius r.
-2. A per-cell table (count, max radius, k smallest radii) — P rows, checked —
-   is embedded into the plan as one literal.
+1. Equal train vectors become one class that keeps its k smallest ids, so a
+   hot vector is one row.
+2. ``P`` pivots = the classes with the smallest digests (a bounded top-P);
+   every class goes to the cell of its nearest pivot, with radius r. Cells are
+   cut into blocks of at most BLOCK classes by hash.
 3. For a query q with pivot distances dq, the k-th smallest of
    ``dq[c] + r_j(c)`` over all cells bounds its k-th neighbour distance
    (theta). A cell can hold a neighbour only if ``dq[c] - maxr[c] <= theta``.
-4. Queries are exploded to their candidate cells and equi-joined to the train
-   rows of that cell; hot cells are salted (their train rows spread over S
-   salts, the query copied to each salt), so no task holds a giant cell.
-   Pairs with ``|dq[c] - r| > theta`` are discarded before the distance.
-5. ``row_number() over (partition by query order by distance, train id)``
-   keeps k (Spark plans a partial top-k before the shuffle).
-
-Cosine is searched in the unit-augmented space (see ``distance``) where it
-is monotone in euclidean distance; the reported distance is the exact cosine
-formula. Ties at rank k are broken by the smaller train id (T25).
+4. Queries are grouped to blocks per candidate cell and equi-joined to the
+   train blocks of the cell; one row is a pair of blocks, not of vectors. Each
+   pair of blocks emits at most k classes per query.
+5. A partial top-k per query merges the blocks.
+
+Cosine is searched in the unit space with a trailing flag for zero vectors,
+where it is monotone in euclidean distance. Ties at rank k are broken by the
+smaller train id (T25).
 """
 
 from __future__ import annotations
@@ -37,8 +36,9 @@ from ..functions.exprs import digest
 from ..session import cut_lineage
 
 MAX_PIVOTS = 1024
-ROWS_PER_SALT = 2_000_000
+BLOCK = 2048                  # vectors of a block
 SLACK = 1e-9
+WEIGHT_GUARD = 1e-8          # fixed value: added to distances before they become weights
 CHUNK_ELEMS = 4_000_000       # numpy working set per chunk (doubles)
 
 
@@ -68,12 +68,6 @@ def _mat(arr) -> np.ndarray:
     return np.asarray(vals, dtype=np.float64).reshape(n, d)
 
 
-def _list(M: np.ndarray, dtype=pa.float64()) -> pa.Array:
-    n, d = M.shape
-    return pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * d, d, dtype=np.int32)),
-                                    pa.array(M.reshape(-1), type=dtype))
-
-
 def _ragged(rows: np.ndarray, vals: np.ndarray, n: int, dtype) -> pa.Array:
     """Lists from (row index, value) pairs sorted by row."""
     counts = np.bincount(rows, minlength=n)
@@ -102,171 +96,174 @@ def _to_pivots(S: np.ndarray, piv: np.ndarray, metric: str) -> np.ndarray:
     return out
 
 
-def pair_distance(A: np.ndarray, B: np.ndarray, metric: str) -> np.ndarray:
-    """Row-wise distance between aligned rows of A and B."""
-    if metric == "manhattan":
-        return np.abs(A - B).sum(1)
-    if metric == "cosine":
-        dot = (A * B).sum(1)
-        denom = np.linalg.norm(A, axis=1) * np.linalg.norm(B, axis=1)
-        denom = np.where(denom == 0, D.COSINE_ZERO_GUARD, denom)
-        return 1.0 - dot / denom
-    d = A - B
-    return np.sqrt((d * d).sum(1))
+def block_distances(A: np.ndarray, B: np.ndarray, metric: str) -> np.ndarray:
+    """All distances of two blocks in search space, in bounded chunks."""
+    out = np.empty((len(A), len(B)))
+    step = max(1, CHUNK_ELEMS // max(1, B.size))
+    for i in range(0, len(A), step):
+        if metric == "cosine":      # unit vectors; a zero vector is at 1 from everything (T24)
+            out[i:i + step] = 1.0 - A[i:i + step, :-1] @ B[:, :-1].T
+        else:
+            diff = A[i:i + step, None, :] - B[None, :, :]
+            out[i:i + step] = np.abs(diff).sum(-1) if metric == "manhattan" else np.sqrt((diff * diff).sum(-1))
+    return out
 
 
-def knn_join(query: DataFrame, train: DataFrame, k: int, metric: str = "euclidean",
-             qid: str = "qid", tid: str = "tid", vec: str = "vec", label: str | None = None,
-             exclude_self: bool = False, n_pivots: int | None = None, seed: int = 42) -> DataFrame:
-    """Exact kNN: (qid, rank 1..k, tid, distance[, label]).
+def _block_matrix(lists, field: str) -> np.ndarray:
+    return _mat(lists.values.field(field)) if len(lists.values) else np.zeros((0, 0))
 
-    ``exclude_self``: query and train are the same rows (same ids); a row is
-    not its own neighbour.
-    """
+
+def _nearest(metric: str, kk: int):
+    """Pairs of blocks -> per query the kk nearest classes within its bound."""
+    search = "manhattan" if metric == "manhattan" else "euclidean"
+
+    def run(it):
+        for b in it:
+            q, t = b.column("q"), b.column("t")
+            X, Y = _block_matrix(q, "v"), _block_matrix(t, "v")
+            qid, theta = (q.values.field(c).to_numpy(zero_copy_only=False) for c in ("id", "theta"))
+            cid = t.values.field("id").to_numpy(zero_copy_only=False)
+            qo, to = q.offsets.to_numpy(), t.offsets.to_numpy()
+            out_q, out_c, out_d = [], [], []
+            for a, z, u, w in zip(qo[:-1], qo[1:], to[:-1], to[1:]):
+                sx, sy = _search_space(X[a:z], metric), _search_space(Y[u:w], metric)
+                near = block_distances(sx, sy, search)
+                real = block_distances(sx, sy, metric) if metric == "cosine" else near
+                for i, (row, limit) in enumerate(zip(near, theta[a:z])):
+                    ok = np.flatnonzero(row <= limit)
+                    best = ok[np.lexsort((cid[u:w][ok], row[ok]))[:kk]]
+                    out_q.append(np.full(len(best), qid[a + i]))
+                    out_c.append(cid[u:w][best])
+                    out_d.append(real[i, best])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) if c else pa.array([], t_)
+                                              for c, t_ in ((out_q, pa.int64()), (out_c, pa.int64()), (out_d, pa.float64()))],
+                                             names=["_qid", "_cid", "distance"])
+    return run
+
+
+def _in_blocks(df: DataFrame, by: list[str], entry, name: str, size_of: Column) -> DataFrame:
+    """Rows packed to blocks of about BLOCK per key, dealt by hash."""
+    part = F.pmod(F.xxhash64("_bid"), F.ceil(size_of / BLOCK)).alias("_part")
+    return df.select(*by, part, entry.alias("_e")).groupBy(*by, "_part").agg(F.collect_list("_e").alias(name)).drop("_part")
+
+
+def knn_candidates(query: DataFrame, train: DataFrame, k: int, metric: str = "euclidean",
+                   qid: str = "qid", tid: str = "tid", vec: str = "vec", label: str | None = None,
+                   exclude_self: bool = False, n_pivots: int | None = None, seed: int = 42):
+    """(candidates, classes): at most k classes per query and pair of blocks
+    (``_qid, _cid, distance``), and the classes' members."""
     metric = D.canonical(metric)
     if k < 1:
         raise ValueError("k must be >= 1")
     kk = k + 1 if exclude_self else k
     search = "manhattan" if metric == "manhattan" else "euclidean"
-    own = metric == "cosine"          # search space differs from the input space
-    ltype = train.schema[label].dataType.simpleString() if label else None
-    tcols = [F.col(tid).cast("bigint").alias("_tid"), F.col(vec).cast("array<double>").alias("_tv")]
-    if label:
-        tcols.append(F.col(label).alias("_tl"))
-    # the train side is read four times (count, pivots, cell table, join):
-    # write it once to the shared checkpoint folder instead of recomputing
-    # its upstream plan each time
-    t = cut_lineage(train.select(*tcols))
-    q = query.select(F.col(qid).cast("bigint").alias("_qid"), F.col(vec).cast("array<double>").alias("_qv"))
-
-    n_train = t.count()
-    if kk > n_train:
-        raise ValueError(f"k={k} needs at least {kk} train rows, got {n_train}")
-    p = n_pivots or max(1, min(MAX_PIVOTS, int(math.sqrt(n_train))))
-    p = min(p, MAX_PIVOTS, n_train)
+    member = F.struct(F.col(tid).cast("bigint").alias("tid"), *([F.col(label).alias("label")] if label else []))
+    rows = train.select(F.col(vec).cast("array<double>").alias("_v"), F.col(tid).cast("bigint").alias("_tid"),
+                        member.alias("_m"))
+    # A row limit per vector before the lists are built: a hot vector stays small.
+    w = Window.partitionBy("_v").orderBy("_tid")
+    few = rows.withColumn("_j", F.row_number().over(w)).where(F.col("_j") <= kk)
+    classes = cut_lineage(few.groupBy("_v").agg(F.min("_tid").alias("_bid"), F.sort_array(F.collect_list("_m")).alias("_members")))
+    size = classes.agg(F.count(F.lit(1)), F.sum(F.size("_members"))).first()
+    n_classes, held = size[0], size[1] or 0
+    if kk > held:
+        raise ValueError(f"k={k} needs at least {kk} train rows, got {held}")
+    p = min(n_pivots or max(1, math.isqrt(n_classes)), MAX_PIVOTS, n_classes)
     # bounded top-P by digest (partial top-k per partition, P rows reach the driver)
-    prow = t.orderBy(digest("_tid", seed, "pivot"), "_tid").select("_tv").limit(p).collect()
-    piv = _search_space(np.stack([np.asarray(r["_tv"], dtype=np.float64) for r in prow]), metric)
-    bc = t.sparkSession.sparkContext.broadcast(piv)
+    prow = classes.orderBy(digest("_bid", seed, "pivot"), "_bid").select("_v").limit(p).collect()
+    spark = train.sparkSession
+    bc = spark.sparkContext.broadcast(_search_space(np.stack([np.asarray(r["_v"], dtype=np.float64) for r in prow]), metric))
 
     def assign(batches):
-        P = bc.value
         for b in batches:
-            S = _search_space(_mat(b.column("_tv")), metric)
-            d = _to_pivots(S, P, search) if b.num_rows else np.zeros((0, P.shape[0]))
+            d = _to_pivots(_search_space(_mat(b.column("_v")), metric), bc.value, search) if b.num_rows else np.zeros((0, p))
             cell = d.argmin(1) if b.num_rows else np.zeros(0, dtype=np.int64)
-            cols = dict(zip(b.schema.names, b.columns))
-            if own:
-                cols["_ts"] = _list(S) if b.num_rows else pa.array([], type=pa.list_(pa.float64()))
-            cols["_cell"] = pa.array(cell.astype(np.int32))
-            cols["_r"] = pa.array(d[np.arange(b.num_rows), cell] if b.num_rows else np.zeros(0))
-            yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
-
-    tschema = ("_tid bigint, _tv array<double>" + (f", _tl {ltype}" if label else "")
-               + (", _ts array<double>" if own else "") + ", _cell int, _r double")
-    td = t.mapInArrow(assign, tschema)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("_bid"), b.column("_v"), pa.array(cell.astype(np.int32)), pa.array(d[np.arange(b.num_rows), cell])],
+                names=["_bid", "_v", "_cell", "_r"])
 
+    td = cut_lineage(classes.select("_bid", "_v").mapInArrow(assign, "_bid bigint, _v array<double>, _cell int, _r double"))
     # per-cell table (P rows): count, max radius, kk smallest radii
-    w = Window.partitionBy("_cell").orderBy("_r")
-    smallest = (td.select("_cell", "_r").withColumn("_j", F.row_number().over(w)).where(F.col("_j") <= kk)
+    wr = Window.partitionBy("_cell").orderBy("_r")
+    smallest = (td.select("_cell", "_r").withColumn("_j", F.row_number().over(wr)).where(F.col("_j") <= kk)
                 .groupBy("_cell").agg(F.sort_array(F.collect_list("_r")).alias("_rk")))
     cells = (td.groupBy("_cell").agg(F.count(F.lit(1)).alias("_cnt"), F.max("_r").alias("_maxr"))
              .join(smallest, "_cell").collect())
-    cnt = np.zeros(p, dtype=np.int64)
-    maxr = np.full(p, -1.0)
-    ent_c, ent_r = [], []
+    cnt, maxr, ent_c, ent_r = np.zeros(p, dtype=np.int64), np.full(p, -1.0), [], []
     for r in cells:
         c = r["_cell"]
         cnt[c], maxr[c] = r["_cnt"], r["_maxr"]
         ent_c += [c] * len(r["_rk"])
         ent_r += list(r["_rk"])
-    ent_c, ent_r = np.asarray(ent_c, dtype=np.int64), np.asarray(ent_r, dtype=np.float64)
-    salts = [max(1, math.ceil(int(c) / ROWS_PER_SALT)) for c in cnt]
-    cb = t.sparkSession.sparkContext.broadcast((ent_c, ent_r, maxr))
+    cb = spark.sparkContext.broadcast((np.asarray(ent_c, dtype=np.int64), np.asarray(ent_r, dtype=np.float64), maxr))
+    # Each class holds one train row at least, so the kk-th class bounds the kk-th row;
+    # with fewer than kk classes every class is a candidate.
+    bounded = n_classes >= kk
 
     def bound(batches):
-        P = bc.value
         ec, er, mr = cb.value
-        live = mr >= 0
         for b in batches:
             m = b.num_rows
-            X = _mat(b.column("_qv"))
-            S = _search_space(X, metric)
-            d = _to_pivots(S, P, search) if m else np.zeros((0, P.shape[0]))
-            th = np.empty(m)
+            X = _mat(b.column("_v"))
+            d = _to_pivots(_search_space(X, metric), bc.value, search) if m else np.zeros((0, p))
+            th = np.full(m, np.inf)
             step = max(1, CHUNK_ELEMS // max(1, len(ec)))
-            for i in range(0, m, step):
-                ub = d[i:i + step][:, ec] + er[None, :]
-                th[i:i + step] = np.partition(ub, kk - 1, axis=1)[:, kk - 1]
+            if bounded:
+                for i in range(0, m, step):
+                    ub = d[i:i + step][:, ec] + er[None, :]
+                    th[i:i + step] = np.partition(ub, kk - 1, axis=1)[:, kk - 1]
             th = th * (1 + SLACK) + SLACK
-            ok = live[None, :] & (d - mr[None, :] <= th[:, None])
-            if own and m:  # zero queries are answered apart (exact top-k by id)
+            ok = (mr >= 0)[None, :] & (d - mr[None, :] <= th[:, None])
+            if metric == "cosine" and m:        # zero queries are answered apart (exact top-k by id)
                 ok &= (np.linalg.norm(X, axis=1) > 0)[:, None]
-            rows, cand = np.nonzero(ok)
-            cols = {"_qid": b.column("_qid"), "_qv": b.column("_qv")}
-            if own:
-                cols["_qs"] = _list(S) if m else pa.array([], type=pa.list_(pa.float64()))
-            cols["_theta"] = pa.array(th)
-            cols["_cand"] = _ragged(rows, cand.astype(np.int32), m, pa.int32())
-            cols["_candd"] = _ragged(rows, d[rows, cand], m, pa.float64())
-            yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
-
-    qd = q.mapInArrow(bound, "_qid bigint, _qv array<double>" + (", _qs array<double>" if own else "")
-                      + ", _theta double, _cand array<int>, _candd array<double>")
-    salts_l = _json_lit(salts, "array<int>")
-    qcols = ["_qid", "_qv"] + (["_qs"] if own else []) + ["_theta"]
-    qc = (qd.select(*qcols, F.explode(F.arrays_zip(F.col("_cand").alias("c"), F.col("_candd").alias("dc")))
-                    .alias("_z"))
-            .select(*qcols, F.col("_z.c").alias("_cell"), F.col("_z.dc").alias("_dqc"))
-            .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.element_at(salts_l, F.col("_cell") + 1) - 1))))
-    ts = td.withColumn("_salt", F.pmod(F.xxhash64("_tid"), F.element_at(salts_l, F.col("_cell") + 1)).cast("int"))
-
-    cond = ((qc["_cell"] == ts["_cell"]) & (qc["_salt"] == ts["_salt"])
-            & (F.abs(qc["_dqc"] - ts["_r"]) <= qc["_theta"]))
-    if exclude_self:
-        cond = cond & (qc["_qid"] != ts["_tid"])
-    pcols = qcols + ["_tid", "_tv"] + (["_ts"] if own else []) + (["_tl"] if label else [])
-    pairs = qc.join(ts, cond).select(*pcols)
-
-    def measure(batches):
-        for b in batches:
-            if not b.num_rows:
-                continue
-            QV, TV = _mat(b.column("_qv")), _mat(b.column("_tv"))
-            if own:
-                sd = pair_distance(_mat(b.column("_qs")), _mat(b.column("_ts")), search)
-                true_d = pair_distance(QV, TV, metric)
-            else:
-                sd = true_d = pair_distance(QV, TV, search)
-            keep = sd <= b.column("_theta").to_numpy()
-            idx = pa.array(np.nonzero(keep)[0])
-            cols = {"_qid": b.column("_qid").take(idx), "_tid": b.column("_tid").take(idx)}
-            if label:
-                cols["_tl"] = b.column("_tl").take(idx)
-            cols["distance"] = pa.array(true_d[keep])
-            yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
-
-    dist = pairs.mapInArrow(measure, "_qid bigint, _tid bigint" + (f", _tl {ltype}" if label else "")
-                            + ", distance double")
-    if own:
+            r, cand = np.nonzero(ok)
+            yield pa.RecordBatch.from_arrays([b.column("_bid"), b.column("_v"), pa.array(th),
+                                              _ragged(r, cand.astype(np.int32), m, pa.int32())],
+                                             names=["_bid", "_v", "_theta", "_cand"])
+
+    q = query.select(F.col(qid).cast("bigint").alias("_bid"), F.col(vec).cast("array<double>").alias("_v"))
+    qd = cut_lineage(q.mapInArrow(bound, "_bid bigint, _v array<double>, _theta double, _cand array<int>"))
+    per_cell = qd.select("_bid", "_v", "_theta", F.explode("_cand").alias("_cell"))
+    asked = per_cell.groupBy("_cell").agg(F.count(F.lit(1)).alias("_asked"))
+    query_blocks = _in_blocks(per_cell.join(asked, "_cell"), ["_cell"],
+                              F.struct(F.col("_bid").alias("id"), F.col("_v").alias("v"), F.col("_theta").alias("theta")),
+                              "q", F.col("_asked"))
+    sizes = F.element_at(_json_lit([int(c) for c in cnt], "array<bigint>"), F.col("_cell") + 1)
+    train_blocks = _in_blocks(td, ["_cell"], F.struct(F.col("_bid").alias("id"), F.col("_v").alias("v")), "t", sizes)
+    found = query_blocks.join(train_blocks, "_cell").select("q", "t") \
+        .mapInArrow(_nearest(metric, kk), "_qid bigint, _cid bigint, distance double")
+    if metric == "cosine":
         # A zero query is at cosine distance exactly 1 from every train row
         # (guarded denominator), so its neighbours are the smallest train
         # ids: a bounded top-kk instead of a search.
-        first = t.orderBy("_tid").limit(kk).select("_tid", *(["_tl"] if label else [])).collect()
-        near = F.array(*[F.struct(F.lit(r["_tid"]).cast("bigint").alias("_tid"),
-                                  *([F.lit(r["_tl"]).cast(ltype).alias("_tl")] if label else []))
-                         for r in first])
-        zq = q.where(F.aggregate("_qv", F.lit(0.0), lambda a, x: a + x * x) == 0)
-        zpairs = (zq.select("_qid", F.explode(near).alias("_z"))
-                  .select("_qid", "_z.*", F.lit(1.0).alias("distance")))
-        if exclude_self:
-            zpairs = zpairs.where(F.col("_qid") != F.col("_tid"))
-        dist = dist.unionByName(zpairs.select(*dist.columns))
-    wr = Window.partitionBy("_qid").orderBy("distance", "_tid")
-    out = dist.withColumn("rank", F.row_number().over(wr)).where(F.col("rank") <= k)
-    cols = [F.col("_qid").alias(qid), "rank", F.col("_tid").alias(tid if tid != qid else "neighbor"), "distance"]
+        first = [r["_bid"] for r in classes.orderBy("_bid").select("_bid").limit(kk).collect()]
+        zero = q.where(F.aggregate("_v", F.lit(0.0), lambda a, x: a + x * x) == 0)
+        found = found.unionByName(zero.select(F.col("_bid").alias("_qid"), F.explode(F.lit(first)).alias("_cid"),
+                                              F.lit(1.0).alias("distance")))
+    return found, classes
+
+
+def knn_join(query: DataFrame, train: DataFrame, k: int, metric: str = "euclidean",
+             qid: str = "qid", tid: str = "tid", vec: str = "vec", label: str | None = None,
+             exclude_self: bool = False, n_pivots: int | None = None, seed: int = 42) -> DataFrame:
+    """Exact kNN: (qid, rank 1..k, tid, distance[, label]).
+
+    ``exclude_self``: query and train are the same rows (same ids); a row is
+    not its own neighbour.
+    """
+    kk = k + 1 if exclude_self else k
+    found, classes = knn_candidates(query, train, k, metric, qid, tid, vec, label, exclude_self, n_pivots, seed)
+    best = Window.partitionBy("_qid").orderBy("distance", "_cid")
+    found = found.withColumn("_j", F.row_number().over(best)).where(F.col("_j") <= kk).drop("_j")
+    rows = found.join(classes.select(F.col("_bid").alias("_cid"), "_members"), "_cid") \
+        .select("_qid", "distance", F.explode("_members").alias("_m")).select("_qid", "distance", "_m.*")
+    if exclude_self:
+        rows = rows.where(F.col("_qid") != F.col("tid"))
+    wr = Window.partitionBy("_qid").orderBy("distance", "tid")
+    out = rows.withColumn("rank", F.row_number().over(wr)).where(F.col("rank") <= k)
+    cols = [F.col("_qid").alias(qid), "rank", F.col("tid").alias(tid if tid != qid else "neighbor"), "distance"]
     if label:
-        cols.append(F.col("_tl").alias(label))
+        cols.append(F.col("label").alias(label))
     return out.select(*cols)
 
 
@@ -276,8 +273,8 @@ def _weights(nn: DataFrame, weights: str, weight_mode: str, qid: str) -> DataFra
         return nn.withColumn("_w", F.lit(1.0))
     if weights != "distance":
         raise ValueError("weights must be 'uniform' or 'distance'")
-    if weight_mode == "eps":          # hand-written: 1 / (d + 1e-8)
-        return nn.withColumn("_w", 1.0 / (F.col("distance") + F.lit(1e-8)))
+    if weight_mode == "eps":          # hand-written: 1 / (d + guard)
+        return nn.withColumn("_w", 1.0 / (F.col("distance") + F.lit(WEIGHT_GUARD)))
     if weight_mode == "exact_match":  # library: exact matches take all the weight
         hit = F.max((F.col("distance") == 0).cast("int")).over(Window.partitionBy(qid))
         return nn.withColumn("_w", F.when(hit == 1, (F.col("distance") == 0).cast("double"))
@@ -296,8 +293,9 @@ def knn_predict(nn: DataFrame, weights: str = "uniform", weight_mode: str = "eps
                 qid: str = "qid", label: str = "label") -> DataFrame:
     """M8/M9: class with the largest vote; a tie goes to the smaller class."""
     v = knn_votes(nn, weights, weight_mode, qid, label)
-    return v.groupBy(qid).agg(
-        F.max_by(F.col(label), F.struct(F.col("vote"), -F.col(label))).alias("prediction"))
+    most = v.groupBy(qid).agg(F.max("vote").alias("_most"))
+    return v.join(most, qid).where(F.col("vote") == F.col("_most")) \
+        .groupBy(qid).agg(F.min(label).alias("prediction"))
 
 
 def knn_proba(nn: DataFrame, classes: list, weights: str = "uniform", weight_mode: str = "exact_match",
@@ -310,11 +308,3 @@ def knn_proba(nn: DataFrame, classes: list, weights: str = "uniform", weight_mod
     return (per_q.select(qid, "_m", "_t", F.explode(cls).alias(label))
             .select(qid, label, (F.coalesce(F.try_element_at("_m", F.col(label)), F.lit(0.0)) / F.col("_t"))
                     .alias("proba")))
-
-
-def knn_classify(query: DataFrame, train: DataFrame, k: int = 5, metric: str = "euclidean",
-                 weights: str = "distance", weight_mode: str = "eps", qid: str = "qid",
-                 tid: str = "tid", vec: str = "vec", label: str = "label") -> DataFrame:
-    """kNN join + weighted vote -> (qid, prediction)."""
-    nn = knn_join(query, train, k, metric, qid, tid, vec, label)
-    return knn_predict(nn, weights, weight_mode, qid, label)

@@ -52,6 +52,12 @@ def _feat(spark, sf_dir, dirty: bool = False) -> DataFrame:
     return fe.feature_table(tx, fe.fit_type_codes(tx))
 
 
+def _risk_feat(spark, sf_dir) -> DataFrame:
+    """Features with the risk category carried along on the same row."""
+    tx = _risk(spark, sf_dir)
+    return fe.feature_table(tx, fe.fit_type_codes(tx), extra=("risk_category",))
+
+
 def _round_cols(df: DataFrame, names) -> DataFrame:
     return df.withColumns({c: r6(c) for c in names})
 
@@ -376,8 +382,7 @@ def _pred(spark, sf_dir) -> DataFrame:
 
 
 def _pred3(spark, sf_dir) -> DataFrame:
-    f = _risk(spark, sf_dir)
-    f = fe.feature_table(f, fe.fit_type_codes(f)).join(f.select(KEY, "risk_category"), KEY)
+    f = _risk_feat(spark, sf_dir)
     hit = F.col("suspicious_type") * F.col("orig_zeroed")
     pred = F.when(hit == 0, 0).when(F.col("amount") <= 100, 1).otherwise(2).cast("int")
     return f.select(KEY, F.col("risk_category").alias("label"), pred.alias("prediction"))
@@ -781,10 +786,8 @@ def q_balancing(spark, sf_dir):
 
 
 def _multiclass(spark, sf_dir):
-    tx = _risk(spark, sf_dir)
-    cats = fe.fit_type_codes(tx)
-    feat = fe.feature_table(tx, cats).join(tx.select(KEY, "risk_category"), KEY)
-    split = sa.stratified_split(feat, label="risk_category")
+    cats = fe.fit_type_codes(src.load_tx(spark, sf_dir))
+    split = sa.stratified_split(_risk_feat(spark, sf_dir), label="risk_category")
     split = with_weights(split.withColumnRenamed("risk_category", "label"), "label")
     train = cut_lineage(mo.assemble(split.where(F.col("split") == "train"), FEATURE_COLS))
     test = mo.assemble(split.where(F.col("split") == "test"), FEATURE_COLS)

@@ -19,14 +19,15 @@ TX0 = """tx0 AS (
       || CAST((user_id * 7 + event_id) % 150 AS VARCHAR) AS nameDest,
     CAST((event_id * 53) % 2000 AS DOUBLE) AS oldbalanceDest,
     CASE WHEN event_type IN ('purchase', 'error') AND event_id % 4 = 0 AND event_id % 3 <> 0
-      AND value > 60 THEN 1 ELSE 0 END AS isFraud
+      AND value > 60 THEN 1 ELSE 0 END AS isFraud,
+    coalesce(event_type IN ('purchase', 'error') AND event_id % 4 = 0, false) AS emptied
   FROM events)"""
 
 TX = TX0 + """,
 tx AS (
   SELECT row_key, step, type, amount, nameOrig, oldbalanceOrg,
     greatest(oldbalanceOrg - amount, 0.0) AS newbalanceOrig, nameDest, oldbalanceDest,
-    CASE WHEN isFraud = 1 THEN oldbalanceDest ELSE oldbalanceDest + amount END AS newbalanceDest,
+    CASE WHEN emptied THEN oldbalanceDest ELSE oldbalanceDest + amount END AS newbalanceDest,
     isFraud,
     CASE WHEN isFraud = 1 AND amount > 200 THEN 1 ELSE 0 END AS isFlaggedFraud
   FROM tx0)"""
@@ -39,9 +40,9 @@ txd0 AS (
     isFraud, isFlaggedFraud FROM tx),
 tx_dirty AS (
   SELECT * FROM txd0
-  UNION ALL SELECT row_key + 10000000, step, type, amount, nameOrig, oldbalanceOrg, newbalanceOrig,
+  UNION ALL SELECT -(row_key * 2 + 1), step, type, amount, nameOrig, oldbalanceOrg, newbalanceOrig,
     nameDest, oldbalanceDest, newbalanceDest, isFraud, isFlaggedFraud FROM txd0 WHERE row_key % 50 = 0
-  UNION ALL SELECT row_key + 20000000, step, type, amount, 'X' || nameOrig, oldbalanceOrg, newbalanceOrig,
+  UNION ALL SELECT -(row_key * 2 + 2), step, type, amount, 'X' || nameOrig, oldbalanceOrg, newbalanceOrig,
     nameDest, oldbalanceDest, newbalanceDest, isFraud, isFlaggedFraud FROM txd0 WHERE row_key % 60 = 0)"""
 
 SOURCE_COLS = ["step", "type", "amount", "nameOrig", "oldbalanceOrg", "newbalanceOrig",

@@ -48,8 +48,8 @@ def _type_of(event_type: Column) -> Column:
 def tx_from_events(events: DataFrame) -> DataFrame:
     """Transaction view over ``events`` (a pure projection: streams too)."""
     eid, val, et = F.col("event_id"), F.col("value"), F.col("event_type")
-    is_fraud = F.when(et.isin("purchase", "error") & (eid % 4 == 0) & (eid % 3 != 0)
-                      & (val > 60), 1).otherwise(0)
+    emptied = et.isin("purchase", "error") & (eid % 4 == 0)   # many such rows are no fraud
+    is_fraud = F.when(emptied & (eid % 3 != 0) & (val > 60), 1).otherwise(0)
     old_org = F.when(eid % 4 == 0, val).otherwise(((eid * 37) % 1000).cast("double"))
     old_dest = ((eid * 53) % 2000).cast("double")
     step = F.expr(f"timestampdiff(HOUR, timestamp_ntz'{STEP_ORIGIN}', ts)") + 1
@@ -64,12 +64,13 @@ def tx_from_events(events: DataFrame) -> DataFrame:
                  ((F.col("user_id") * 7 + eid) % 150).cast("string")).alias("nameDest"),
         old_dest.alias("oldbalanceDest"),
         is_fraud.cast("int").alias("isFraud"),
+        F.coalesce(emptied, F.lit(False)).alias("emptied"),
     )
     return base.select(
         KEY, "step", "type", "amount", "nameOrig", "oldbalanceOrg",
         F.greatest(F.col("oldbalanceOrg") - F.col("amount"), F.lit(0.0)).alias("newbalanceOrig"),
         "nameDest", "oldbalanceDest",
-        F.when(F.col("isFraud") == 1, F.col("oldbalanceDest"))
+        F.when(F.col("emptied"), F.col("oldbalanceDest"))
          .otherwise(F.col("oldbalanceDest") + F.col("amount")).alias("newbalanceDest"),
         "isFraud",
         F.when((F.col("isFraud") == 1) & (F.col("amount") > 200), 1).otherwise(0)
@@ -92,8 +93,9 @@ def tx_dirty_from_events(events: DataFrame) -> DataFrame:
         F.when(k % 97 == 0, F.lit(None).cast("double")).otherwise(F.col("amount")).alias("amount")
         if c == "amount" else F.col(c)
         for c in cols])
-    copies = dirty.filter(k % 50 == 0).withColumn(KEY, k + 10_000_000)
-    variants = (dirty.filter(k % 60 == 0).withColumn(KEY, k + 20_000_000)
+    # Keys of the added rows are negative, so they stay unique at any size.
+    copies = dirty.filter(k % 50 == 0).withColumn(KEY, -(k * 2 + 1))
+    variants = (dirty.filter(k % 60 == 0).withColumn(KEY, -(k * 2 + 2))
                 .withColumn("nameOrig", F.concat(F.lit("X"), F.col("nameOrig"))))
     return dirty.unionByName(copies).unionByName(variants)
 
