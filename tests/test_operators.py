@@ -144,7 +144,7 @@ def test_auc_equals_pairwise_count(spark):
     p = _pred(spark, [(int(a), 0, float(b)) for a, b in zip(y, s)])
     pos, neg = s[y == 1], s[y == 0]
     want = ((pos[:, None] > neg[None, :]).sum() + 0.5 * (pos[:, None] == neg[None, :]).sum()) / (len(pos) * len(neg))
-    assert abs(me.roc_auc(p, buckets=8).first()["roc_auc"] - want) < 1e-12
+    assert abs(me.roc_auc(p, partitions=8).first()["roc_auc"] - want) < 1e-12
 
 
 def test_macro_is_mean_and_f1_modes_differ(spark):
@@ -284,3 +284,61 @@ def test_string_classes_can_vote(spark):
     nn = spark.createDataFrame([(1, 1, 10, 1.0, "b"), (1, 2, 11, 1.0, "a")],
                                "qid bigint, rank int, tid bigint, distance double, label string")
     assert kn.knn_predict(nn, "uniform").first()["prediction"] == "a"
+
+
+# ---------------------------------------------------------------- edge inputs
+@pytest.mark.parametrize("extra", [0.0, None])
+def test_corr_of_constants_is_null_with_and_without_nulls(spark, extra):
+    df = spark.createDataFrame([(0.1, 1234.56, float(i), extra if i == 3 else 1.0 * i) for i in range(100)],
+                               "a double, b double, c double, d double")
+    got = {(r["a"], r["b"]): r["corr"] for r in st.corr_long(df, ["a", "b", "c", "d"]).collect()}
+    assert all(got[x, y] is None for x, y in got if {x, y} & {"a", "b"})
+    assert got["c", "c"] == pytest.approx(1.0) and all(-1 <= v <= 1 for v in got.values() if v is not None)
+
+
+def test_histogram_clips_before_it_bins(spark):
+    df = spark.createDataFrame([(0.0,)] * 997 + [(50.0,)] * 3, "x double")
+    got = {r["bin"]: r["n"] for r in st.histogram(df, ["x"]).collect()}
+    assert got[20] == 1000 and sum(got.values()) == 1000 and len(got) == 40
+
+
+def test_nan_is_missing_in_describe_and_percentiles(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,)], "x double")
+    r = st.describe(df, ["x"]).first()
+    assert (r["count"], r["p50"], r["p75"], r["max"]) == (2, 2.0, 2.5, 3.0)
+
+
+def test_auc_products_do_not_overflow(spark):
+    df = spark.createDataFrame([(0.2, 0, 900_000_000_000), (0.8, 2_000_000_000, 0)], "s double, pos long, neg long")
+    b = me._below(df, 2)
+    assert b.agg(F.sum("pos"), F.sum("neg")).first() == (2_000_000_000, 900_000_000_000)
+    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
+    assert b.agg(F.sum(pos * (F.col("neg_below") + 0.5 * neg)) / (F.sum(pos) * F.sum(neg))).first()[0] == 1.0
+
+
+def test_risk_category_without_fraud(spark):
+    df = spark.createDataFrame([(0, 5.0), (0, None)], "isFraud int, amount double")
+    assert [r[0] for r in df.select(fe.risk_category_expr(None)).collect()] == [0, 0]
+
+
+def test_percentile_bands_that_miss_are_widened(spark):
+    x = np.random.default_rng(5).normal(size=20_000)
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    got = exact_percentile_wide(df, "x", [0.25, 0.5], accuracy=100, margin=0.0).first()
+    assert np.allclose(list(got), np.quantile(x, [0.25, 0.5]))
+
+
+# ---------------------------------------------------------------- plans that hold at any size
+def test_sampling_plans_have_one_scan_and_no_join(spark):
+    big = spark.range(6_000_000, numPartitions=4).select(
+        F.col("id").alias("row_key"), (F.col("id") % 50 == 0).cast("int").alias("isFraud"))
+    for df in (sa.stratified_split(big), sa.plain_split(big), sa.undersample(big), sa.balanced_sample(big, 2500),
+               sa.stratified_folds(big)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Exchange" not in plan and plan.count("Range (") == 1, plan
+
+
+def test_three_class_confusion_reads_the_events_once(spark):
+    import __spark_entry__ as E
+    plan = E.queries()["confusion_3class"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan        # counted once before; only the class grid is joined

@@ -24,6 +24,12 @@ def clip_upper(c, cap) -> Column:
     return F.when(c.isNotNull(), F.least(c, cap if isinstance(cap, Column) else F.lit(cap)))
 
 
+def present(c) -> Column:
+    """A double with NaN as NULL: both mean "missing" in the data model."""
+    x = col(c).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def safe_div(num, den, default: float | None = 0.0) -> Column:
     """Division whose zero/NULL denominator yields ``default`` (T21); never
     raises under ANSI mode."""

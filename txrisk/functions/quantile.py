@@ -18,7 +18,8 @@ C. a last pass: rows below the band collapse map-side into one counter per
    are dropped; a running count over the band values locates the two ranks
    and interpolates ``lo + (hi - lo) * (h - floor h)``.
 
-No window or buffer ever holds more than a band.
+No window or buffer ever holds more than a band. Pass C checks that a band
+holds both its ranks; if one does not, the search runs again in wider bands.
 """
 
 from __future__ import annotations
@@ -28,6 +29,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+from .exprs import present
+
 DEFAULT_ACCURACY = 10_000
 MARGIN = 4.0
 GRID_MARGIN = 2
@@ -77,7 +81,7 @@ def exact_percentiles(df: DataFrame, x: str | Column, probs: Sequence[float],
     g = by or ["_g"]
     xc = F.col(x) if isinstance(x, str) else x
     keep = [x] if isinstance(x, str) and x not in by and x != "_x" else []
-    base = df.select(*by, *keep, xc.cast("double").alias("_x"))
+    base = df.select(*by, *keep, present(xc).alias("_x"))
     if not by:
         base = base.withColumn("_g", F.lit(0))
     probs = [float(p) for p in probs]
@@ -94,7 +98,7 @@ def exact_percentiles(df: DataFrame, x: str | Column, probs: Sequence[float],
     stats = (base.groupBy(*g)
              .agg(F.count("_x").alias("_n"), F.percentile_approx("_x", fr, accuracy).alias("_b"), *extra_aggs))
     extra_cols = [c for c in stats.columns if c not in set(g) | {"_n", "_b"}]
-    stats = stats.cache()
+    stats = cut_lineage(stats)
     vals = base.where(F.col("_x").isNotNull()).drop(*keep)
     p_arr = F.array(*[F.lit(p) for p in probs])
     ninf, pinf = F.lit(float("-inf")), F.lit(float("inf"))
@@ -120,12 +124,11 @@ def exact_percentiles(df: DataFrame, x: str | Column, probs: Sequence[float],
         h = (F.col("_n") - 1) * F.element_at(p_arr, F.col("i") + 1)
         tlo = (F.floor(h) - F.col("_cb")) / F.col("_nb") * grid_n
         thi = (F.ceil(h) - F.col("_cb")) / F.col("_nb") * grid_n
-        jlo = F.greatest(F.floor(tlo) - GRID_MARGIN, F.lit(0)).cast("int")
-        jhi = F.least(F.ceil(thi) + GRID_MARGIN, F.lit(grid_n)).cast("int")
-        refined = ref.select(*g, "i", F.col("_nb") > big,
+        inside = lambda j: F.greatest(F.lit(0), F.least(F.lit(grid_n), j)).cast("int")
+        jlo, jhi = inside(F.floor(tlo) - GRID_MARGIN), inside(F.ceil(thi) + GRID_MARGIN)
+        refined = ref.select(*g, "i", (F.col("_nb") > big).alias("_wide"),
                              F.element_at("_grid", jlo + 1).alias("_lo2"),
-                             F.element_at("_grid", jhi + 1).alias("_hi2")).withColumnRenamed(
-            f"(_nb > {big})", "_wide")
+                             F.element_at("_grid", jhi + 1).alias("_hi2"))
         bands = (bands.join(refined, [*g, "i"], "left")
                  .select(*g, "_n", "i",
                          F.when(F.coalesce("_wide", F.lit(False)), F.col("_lo2")).otherwise(F.col("_lo")).alias("_lo"),
@@ -134,7 +137,16 @@ def exact_percentiles(df: DataFrame, x: str | Column, probs: Sequence[float],
     # ---- C: exact ranks inside the final bands
     j = _attach_bands(vals, bands, g, bool(by))
     e = _explode_bands(j, g, m, lambda i: F.col("_bb")[i]["_lo"], lambda i: F.col("_bb")[i]["_hi"], ["_n"])
-    counted = e.groupBy(*g, "_n", "i", "below", "v").agg(F.count(F.lit(1)).alias("_c"))
+    counted = cut_lineage(e.groupBy(*g, "_n", "i", "below", "v").agg(F.count(F.lit(1)).alias("_c")))
+    # Both ranks must lie inside the band; on a miss, search again in wider bands.
+    hh = (F.col("_n") - 1) * F.element_at(p_arr, F.col("i") + 1)
+    missed = counted.groupBy(*g, "_n", "i").agg(
+        F.sum(F.when(F.col("below"), F.col("_c")).otherwise(0)).alias("_under"), F.sum("_c").alias("_upto")) \
+        .where((F.col("_under") > F.floor(hh)) | (F.col("_upto") <= F.ceil(hh)))
+    if not missed.isEmpty():
+        if margin >= accuracy:
+            raise ArithmeticError("percentile bands do not hold their ranks")
+        return exact_percentiles(df, x, probs, by, extra_aggs, accuracy, max(1.0, margin) * 8)
     w = (Window.partitionBy(*g, "i").orderBy(F.col("below").desc(), F.col("v").asc())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     h = (F.col("_n") - 1) * F.col("p")

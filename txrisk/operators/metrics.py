@@ -1,64 +1,49 @@
-"""Classification metrics from ONE confusion aggregation.
+"""Classification metrics from one confusion aggregation.
 
-The fact table is touched once (``groupBy(label, prediction).count()``, a
-partial aggregation); every metric is then a tiny computation over at most
-classes^2 rows. ROC/AUC aggregate by distinct score and accumulate counts
-through score buckets, so no window ever sees more than one bucket.
+``confusion`` reads the predictions once (``groupBy(label, prediction)``, a
+partial aggregation) and keeps that small table; the class grid and every
+metric come from it. ROC and AUC aggregate once by distinct score and
+accumulate counts over range partitions of the scores, so a window holds one
+partition of scores, whatever their number.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import safe_div
+from ..session import cut_lineage
 
 AVERAGES = ("binary", "macro", "weighted", "micro")
 F1_MODES = ("per_class", "of_averages")
-MAX_CLASSES = 10_000
-SCORE_BUCKETS = 1024
 
 
 def _check_average(average: str):
     if average not in AVERAGES:
-        raise ValueError("average: 'binary', 'macro', 'weighted', 'micro'.")
-
-
-def _counts(pred: DataFrame, label: str, prediction: str) -> DataFrame:
-    return (pred.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction"))
-            .agg(F.count(F.lit(1)).alias("count")))
-
-
-def class_list(pred: DataFrame, label: str = "label", prediction: str = "prediction",
-               labels: Sequence | None = None) -> list:
-    """Classes of the confusion grid (bounded and checked). With ``labels``
-    (hand-written semantics, T20) an unseen class is an error."""
-    counts = _counts(pred, label, prediction)
-    seen = (counts.select(F.col("label").alias("c")).union(counts.select(F.col("prediction").alias("c")))
-            .where(F.col("c").isNotNull()).distinct().limit(MAX_CLASSES + 1).collect())
-    if len(seen) > MAX_CLASSES:
-        raise ValueError("too many classes")
-    seen = sorted(r["c"] for r in seen)
-    if labels is None:
-        return seen
-    extra = [c for c in seen if c not in set(labels)]
-    if extra:
-        raise ValueError(f"labels {extra} were not among the training classes")
-    return sorted(labels)
+        raise ValueError(f"unknown average {average!r}: choose one of {', '.join(AVERAGES)}")
 
 
 def confusion(pred: DataFrame, label: str = "label", prediction: str = "prediction",
               labels: Sequence | None = None) -> DataFrame:
-    """Dense (label, prediction, count) over ``classes x classes``."""
-    cls = class_list(pred, label, prediction, labels)
-    counts = _counts(pred, label, prediction)
-    ltype = pred.schema[label].dataType
-    grid = pred.sparkSession.createDataFrame(
-        [(a, b) for a in cls for b in cls],
-        f"label {ltype.simpleString()}, prediction {ltype.simpleString()}")
+    """Dense (label, prediction, count) over ``classes x classes``; the
+    grid is made on the executors from the counted classes. With ``labels``
+    (hand-written semantics, T20) an unseen class is an error."""
+    counts = cut_lineage(pred.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction"))
+                         .agg(F.count(F.lit(1)).alias("count")))
+    kind = pred.schema[label].dataType.simpleString()
+    both = F.array_union(F.collect_set("label"), F.collect_set(F.col("prediction").cast(kind)))
+    if labels is not None:
+        known = F.lit(list(labels)).cast(f"array<{kind}>")
+        extra = counts.select(F.explode(F.array("label", F.col("prediction").cast(kind))).alias("c")) \
+            .where(F.col("c").isNotNull() & ~F.array_contains(known, F.col("c"))).distinct().limit(5).collect()
+        if extra:
+            raise ValueError(f"classes {sorted(r['c'] for r in extra)} were not among the training classes")
+        both = F.max(known)
+    grid = counts.agg(both.alias("classes")).select(F.explode("classes").alias("label"), "classes") \
+        .select("label", F.explode("classes").alias("prediction"))
     return (grid.join(counts, ["label", "prediction"], "left")
             .select("label", "prediction", F.coalesce("count", F.lit(0)).cast("bigint").alias("count")))
 
@@ -150,18 +135,12 @@ def _score_table(pred: DataFrame, label: str, score: str, pos_label) -> DataFram
             .groupBy("s").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")))
 
 
-def _below(st: DataFrame, buckets: int = SCORE_BUCKETS) -> DataFrame:
-    """Per distinct score, the positives and negatives strictly below it.
-    Buckets come from approximate quantiles of the distinct scores (only the
-    boundaries, at most ``buckets`` numbers, reach the driver); each bucket is
-    accumulated in its own window, offsets from a tiny bucket table."""
-    qs = [i / buckets for i in range(1, buckets)]
-    row = st.agg(F.percentile_approx("s", qs, 10 * buckets).alias("b")).first()
-    inner = sorted(set(x for x in (row["b"] or []) if x is not None))
-    splits = [float("-inf"), *inner, float("inf")]
-    if len(splits) < 3:
-        splits = [float("-inf"), 0.0, float("inf")]
-    b = Bucketizer(splits=splits, inputCol="s", outputCol="_b", handleInvalid="keep").transform(st)
+def _below(st: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Per distinct score, the positives and negatives strictly below it: the
+    scores are range-partitioned, each partition is accumulated by itself and
+    offset by the totals of the partitions before it (one row a partition)."""
+    dealt = st.repartitionByRange(partitions, "s") if partitions else st.repartitionByRange("s")
+    b = cut_lineage(dealt.withColumn("_b", F.spark_partition_id()))
     bt = b.groupBy("_b").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
     prev = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     bt = bt.select("_b", F.coalesce(F.sum("_bp").over(prev), F.lit(0)).alias("_op"),
@@ -174,19 +153,20 @@ def _below(st: DataFrame, buckets: int = SCORE_BUCKETS) -> DataFrame:
 
 
 def roc_auc(pred: DataFrame, label: str = "label", score: str = "score", pos_label=1,
-            buckets: int = SCORE_BUCKETS) -> DataFrame:
+            partitions: int | None = None) -> DataFrame:
     """Exact AUC with ties counted half (Mann-Whitney); NULL when only one
-    class is present (T22)."""
-    b = _below(_score_table(pred, label, score, pos_label), buckets)
-    return b.agg(F.try_divide(F.sum(F.col("pos") * (F.col("neg_below") + 0.5 * F.col("neg"))),
-                              F.sum("pos") * F.sum("neg")).alias("roc_auc"))
+    class is present (T22). Products are doubles: counts do not overflow."""
+    b = _below(_score_table(pred, label, score, pos_label), partitions)
+    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
+    return b.agg(F.try_divide(F.sum(pos * (F.col("neg_below").cast("double") + 0.5 * neg)),
+                              F.sum(pos) * F.sum(neg)).alias("roc_auc"))
 
 
 def roc_points(pred: DataFrame, label: str = "label", score: str = "score", pos_label=1,
-               buckets: int = SCORE_BUCKETS) -> DataFrame:
+               partitions: int | None = None) -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score, plus the (0, 0)
     start at threshold +inf. Collinear points are kept."""
-    b = _below(_score_table(pred, label, score, pos_label), buckets)
+    b = cut_lineage(_below(_score_table(pred, label, score, pos_label), partitions))
     tot = b.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
     P, N = F.lit(tot["P"] or 0), F.lit(tot["N"] or 0)
     pts = b.select(F.col("s").alias("threshold"),
@@ -204,9 +184,9 @@ def auc_value(pred: DataFrame, label: str = "label", score: str = "score", pos_l
 def report_row(pred: DataFrame, label: str = "label", prediction: str = "prediction",
                score: str | None = "score", pos_label=None) -> DataFrame:
     """Accuracy, precision, recall, f1 (binary) and roc_auc (NULL
-    without scores or with one class, T22) — one aggregation over the
-    confusion table; the AUC is one number from its own pass."""
-    pc = per_class(confusion(pred, label, prediction))
+    without scores or with one class, T22). Two scans of the predictions: the
+    confusion counts and the distinct scores."""
+    pc = cut_lineage(per_class(confusion(pred, label, prediction)))
     auc = None
     if score is not None:
         pos = pos_label if pos_label is not None else pc.agg(F.max("label")).first()[0]
@@ -222,7 +202,7 @@ def report_row(pred: DataFrame, label: str = "label", prediction: str = "predict
 def class_report(pred: DataFrame, label: str = "label", prediction: str = "prediction",
                  names: dict | None = None) -> DataFrame:
     """Per-class rows, then accuracy, macro avg, weighted avg."""
-    pc = per_class(confusion(pred, label, prediction))
+    pc = cut_lineage(per_class(confusion(pred, label, prediction)))
     name = F.col("label").cast("string")
     if names:
         m = F.create_map(*[x for k, v in names.items() for x in (F.lit(k), F.lit(v))])

@@ -9,15 +9,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import safe_div
+from ..functions.exprs import present, safe_div
 from ..functions.quantile import exact_percentiles
 from ..schema import BINARY_FEATURES, LABEL
 
 
 def long_form(df: DataFrame, cols: Sequence[str], name: str = "feature",
               value: str = "x") -> DataFrame:
-    """Unpivot numeric columns to (feature, x) doubles (a narrow projection)."""
-    return df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
+    """Unpivot numeric columns to (feature, x) doubles (a narrow projection);
+    NaN is missing."""
+    return df.select(*[present(c).alias(c) for c in cols]).unpivot(
         [], list(cols), name, value)
 
 
@@ -48,10 +49,11 @@ def _corr_stack(wide: DataFrame, cols: list[str], pairs) -> DataFrame:
 
 def corr_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A2: Pearson correlation of every pair over rows where both are present;
-    a constant column gives NULL, not an ANSI divide-by-zero (T10). Long form
+    a constant column (min = max) gives NULL, not an ANSI divide-by-zero or a
+    quotient of rounding errors (T10); values are clamped to [-1, 1]. Long form
     (a, b, corr), full square.
 
-    Pass 1 (one row to the driver): row count, non-null counts and means.
+    Pass 1 (one row to the driver): counts, means, smallest and largest values.
     Without NULLs, pass 2 is the classic two-pass centred form — one sum per
     pair — which stays inside whole-stage codegen. With NULLs, every pair
     gets its own pairwise-complete covariance and deviations.
@@ -59,24 +61,29 @@ def corr_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     the Python bridge cost seconds of driver time."""
     cols = list(cols)
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    q = lambda c: f"CAST(`{c}` AS DOUBLE)"
+    df = df.select(*[present(c).alias(c) for c in cols])
+    q = lambda c: f"`{c}`"
+    clamp = lambda e: f"greatest(-1D, least(1D, {e}))"
     first = df.agg(F.count(F.lit(1)).alias("_n"),
-                   *[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
-                   *[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+                   *[f(c).alias(f"{tag}{i}") for i, c in enumerate(cols)
+                     for tag, f in (("n", F.count), ("m", F.avg), ("lo", F.min), ("hi", F.max))]).first()
     if all(first[f"n{i}"] == first["_n"] for i in range(len(cols))):
         cen = [f"({q(c)} - CAST({first[f'm{i}']!r} AS DOUBLE))" if first[f"m{i}"] is not None else "NULL"
                for i, c in enumerate(cols)]
         sums = df.agg(*[F.expr(f"sum({cen[i]} * {cen[j]}) AS s{i}_{j}") for i, j in pairs])
-        corr = [F.expr(f"try_divide(s{i}_{j}, sqrt(s{i}_{i}) * sqrt(s{j}_{j})) AS c{i}_{j}") for i, j in pairs]
-        enough = F.lit(first["_n"] > 1)
-        wide = sums.select(*[F.when(enough, c).alias(f"c{i}_{j}") for c, (i, j) in zip(corr, pairs)])
+        varies = [first[f"lo{i}"] is not None and first[f"lo{i}"] < first[f"hi{i}"] for i in range(len(cols))]
+        wide = sums.select(*[
+            F.expr(clamp(f"try_divide(s{i}_{j}, sqrt(s{i}_{i}) * sqrt(s{j}_{j}))")
+                   if varies[i] and varies[j] else "CAST(NULL AS DOUBLE)").alias(f"c{i}_{j}") for i, j in pairs])
         return _corr_stack(wide, cols, pairs)
     exprs = []
     for i, j in pairs:
         a, b = q(cols[i]), q(cols[j])
         both = f"(`{cols[i]}` IS NOT NULL AND `{cols[j]}` IS NOT NULL)"
         xa, xb = f"IF({both}, {a}, NULL)", f"IF({both}, {b}, NULL)"
-        exprs.append(f"try_divide(covar_samp({xa}, {xb}), stddev_samp({xa}) * stddev_samp({xb})) AS c{i}_{j}")
+        varies = f"min({xa}) < max({xa}) AND min({xb}) < max({xb})"
+        value = f"try_divide(covar_samp({xa}, {xb}), stddev_samp({xa}) * stddev_samp({xb}))"
+        exprs.append(f"IF({varies}, {clamp(value)}, NULL) AS c{i}_{j}")
     return _corr_stack(df.agg(*[F.expr(e) for e in exprs]), cols, pairs)
 
 
@@ -142,23 +149,29 @@ def risk_counts(df: DataFrame, risk: str = "risk_category", n_classes: int = 3)
 def histogram(df: DataFrame, cols: Sequence[str], bins: int = 40, cap_p: float = 0.99) -> DataFrame:
     """Per column, clip at its own exact p99 (upper only), then ``bins``
     equal-width bins over [min, cap]; last bin closed; min == cap -> +-0.5.
-    Dense output (feature, bin, lo, hi, n)."""
-    long = long_form(df, cols).where(F.col("x").isNotNull())
-    params = exact_percentiles(long, "x", [cap_p], by=["feature"],
-                               extra_aggs=[F.min("x").alias("mn")])
-    lo = F.when(F.col("mn") == F.col("value"), F.col("mn") - 0.5).otherwise(F.col("mn"))
-    hi = F.when(F.col("mn") == F.col("value"), F.col("value") + 0.5).otherwise(F.col("value"))
-    params = params.select("feature", lo.alias("lo"), hi.alias("hi"))
-    xc = F.least(F.col("x"), F.col("hi"))
-    b = F.least(F.floor((xc - F.col("lo")) * bins / (F.col("hi") - F.col("lo"))), F.lit(bins - 1))
-    counts = (long.join(params, "feature").select("feature", b.cast("int").alias("bin"))
-              .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n")))
-    grid = params.select("feature", "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    w = (F.col("hi") - F.col("lo")) / bins
+    Dense output (feature, bin, lo, hi, n). The parameters (one row per column)
+    are literals of the counting pass: no join, no key per column."""
+    cols = list(cols)
+    found = exact_percentiles(long_form(df, cols), "x", [cap_p], by=["feature"], extra_aggs=[F.min("x").alias("mn")])
+    params = {r["feature"]: (r["mn"], r["value"]) for r in found.collect() if r["value"] is not None}
+    spark = df.sparkSession
+    edges = {c: (lo - 0.5, cap + 0.5) if lo == cap else (lo, cap) for c, (lo, cap) in params.items()}
+
+    def bin_of(c: str):
+        (lo, hi), cap = edges[c], params[c][1]
+        x = F.least(present(c), F.lit(cap))
+        b = F.least(F.floor((x - F.lit(lo)) * bins / F.lit(hi - lo)), F.lit(bins - 1)).cast("int")
+        return F.struct(F.lit(c).alias("feature"), F.when(present(c).isNotNull(), b).alias("bin"))
+    grid = spark.createDataFrame(
+        [(c, b, lo + b * ((hi - lo) / bins), lo + (b + 1) * ((hi - lo) / bins))
+         for c, (lo, hi) in edges.items() for b in range(bins)],
+        "feature string, bin int, bin_lo double, bin_hi double")
+    if not edges:
+        return grid.withColumn("n", F.lit(0).cast("bigint"))
+    counts = (df.select(F.explode(F.array(*[bin_of(c) for c in edges])).alias("b")).select("b.*")
+              .where(F.col("bin").isNotNull()).groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n")))
     return (grid.join(counts, ["feature", "bin"], "left")
-            .select("feature", "bin", (F.col("lo") + F.col("bin") * w).alias("bin_lo"),
-                    (F.col("lo") + (F.col("bin") + 1) * w).alias("bin_hi"),
-                    F.coalesce("n", F.lit(0)).cast("bigint").alias("n")))
+            .select("feature", "bin", "bin_lo", "bin_hi", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")))
 
 
 def histogram_columns(cols: Sequence[str]) -> list[str]:
@@ -184,10 +197,10 @@ def pos_weight(df: DataFrame, label: str = LABEL) -> DataFrame:
 
 
 def with_weights(df: DataFrame, label: str = LABEL, out: str = "weight") -> DataFrame:
-    """Attach the balanced class weight; the per-class table is tiny and its
-    size is bounded by the number of classes (checked), so it is a literal map."""
-    rows = class_weights(df, label).limit(10_001).collect()
-    if len(rows) > 10_000:
-        raise ValueError("too many classes for balanced weights")
-    m = F.create_map(*[x for r in rows for x in (F.lit(r[label]), F.lit(float(r["weight"])))])
-    return df.withColumn(out, F.try_element_at(m, F.col(label)))
+    """Attach the balanced class weight by position in one literal list of the
+    classes (no join: a class may hold most rows). NULL classes get no weight."""
+    rows = class_weights(df, label).collect()
+    if not rows:
+        return df.withColumn(out, F.lit(None).cast("double"))
+    at = F.array_position(F.lit([r[label] for r in rows]), F.col(label))
+    return df.withColumn(out, F.try_element_at(F.lit([float(r["weight"]) for r in rows]), F.nullif(at, F.lit(0)).cast("int")))

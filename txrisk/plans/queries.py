@@ -179,7 +179,7 @@ def q_describe(spark, sf_dir):
 
 @register("corr_long", S.with_(S.TX, S.features_cte(), _LONG, body="""
 SELECT a.feature AS a, b.feature AS b,
-  round(CASE WHEN stddev_samp(a.x) * stddev_samp(b.x) = 0 THEN NULL
+  round(CASE WHEN min(a.x) = max(a.x) OR min(b.x) = max(b.x) THEN NULL
         ELSE covar_samp(a.x, b.x) / (stddev_samp(a.x) * stddev_samp(b.x)) END, 6) AS corr
 FROM lng a JOIN lng b ON a.row_key = b.row_key
 WHERE a.x IS NOT NULL AND b.x IS NOT NULL
@@ -247,13 +247,13 @@ _HIST_COLS = st.histogram_columns(FEATURE_COLS)
 
 
 @register("histogram", S.with_(S.TX, S.features_cte(), S.long_cte("feat", _HIST_COLS), f"""
-p AS (SELECT feature, CASE WHEN min(x) = quantile_cont(x, 0.99) THEN min(x) - 0.5 ELSE min(x) END AS lo,
-        CASE WHEN min(x) = quantile_cont(x, 0.99) THEN quantile_cont(x, 0.99) + 0.5
-             ELSE quantile_cont(x, 0.99) END AS hi
-      FROM lng WHERE x IS NOT NULL GROUP BY feature),
-c AS (SELECT l.feature, CAST(least(floor((least(l.x, p.hi) - p.lo) * 40 / (p.hi - p.lo)), 39) AS INTEGER) AS bin,
-        count(*) AS n
-      FROM lng l JOIN p ON l.feature = p.feature WHERE l.x IS NOT NULL GROUP BY 1, 2),
+capped AS (SELECT l.feature, least(l.x, q.cap) AS x FROM lng l
+  JOIN (SELECT feature, quantile_cont(x, 0.99) AS cap FROM lng GROUP BY feature) q ON l.feature = q.feature
+  WHERE l.x IS NOT NULL),
+p AS (SELECT feature, min(x) - CASE WHEN min(x) = max(x) THEN 0.5 ELSE 0 END AS lo,
+        max(x) + CASE WHEN min(x) = max(x) THEN 0.5 ELSE 0 END AS hi FROM capped GROUP BY feature),
+c AS (SELECT l.feature, CAST(least(floor((l.x - p.lo) * 40 / (p.hi - p.lo)), 39) AS INTEGER) AS bin, count(*) AS n
+      FROM capped l JOIN p ON l.feature = p.feature GROUP BY 1, 2),
 g AS (SELECT feature, lo, hi, CAST(b.range AS INTEGER) AS bin FROM p, range(40) b)""", body="""
 SELECT g.feature, g.bin, g.lo + g.bin * ((g.hi - g.lo) / 40) AS bin_lo,
   g.lo + (g.bin + 1) * ((g.hi - g.lo) / 40) AS bin_hi, CAST(coalesce(c.n, 0) AS BIGINT) AS n
