@@ -38,19 +38,24 @@ def soft_vote(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.withColumn("score", mean).withColumn("prediction", (F.col("score") > 0.5).cast("int"))
 
 
+def out_of_fold(train: DataFrame, bases: dict, n_folds: int = 3, key: str = "row_key",
+                label: str = "label") -> DataFrame:
+    """``p_<base>`` of every row from bases fitted on the other folds."""
+    folded = cut_lineage(stratified_folds(train, n_folds, label=label, key=key))
+    parts = None
+    for f in range(n_folds):
+        models = fit_bases(folded.where(F.col("fold") != f), bases)
+        scored = apply_bases(models, folded.where(F.col("fold") == f))
+        parts = scored if parts is None else parts.unionByName(scored)
+    return cut_lineage(parts)
+
+
 def stacking(train: DataFrame, test: DataFrame, bases: dict, meta_fn, n_folds: int = 3,
              key: str = "row_key", label: str = "label") -> DataFrame:
     """Out-of-fold P(1) of every base (stratified folds) trains the meta
     model (``meta_fn(n_rows)``); bases refitted on all train rows score the
     test rows."""
-    folded = cut_lineage(stratified_folds(train, n_folds, label=label, key=key))
-    parts = None
-    for f in range(n_folds):
-        fit_rows = folded.where(F.col("fold") != f)
-        hold = folded.where(F.col("fold") == f)
-        scored = apply_bases(fit_bases(fit_rows, bases), hold)
-        parts = scored if parts is None else parts.unionByName(scored)
-    oof = cut_lineage(parts)
+    oof = out_of_fold(train, bases, n_folds, key, label)
     names = list(bases)
     meta_in = mo.assemble(oof.drop("features"), [f"p_{n}" for n in names], "features")
     meta = meta_fn(float(oof.count())).fit(meta_in)

@@ -33,7 +33,10 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> D
 
 
 def _depth(d):
-    return MAX_DEPTH if d is None else min(int(d), MAX_DEPTH)
+    """None (unlimited) is Spark's limit (T31); a larger explicit depth is an error."""
+    if d is not None and int(d) > MAX_DEPTH:
+        raise ValueError(f"max_depth {d} is over Spark's limit of {MAX_DEPTH}")
+    return MAX_DEPTH if d is None else int(d)
 
 
 def logistic_regression(n_weight_sum: float, max_iter: int = 1000, weight_col: str | None = "weight",
@@ -161,9 +164,10 @@ def gnb_fit(train: DataFrame, features: Sequence[str], label: str = "label") ->
                        "var": [r[f"v_{c}"] + eps for c in feats]} for r in rows}
 
 
-def gnb_predict(df: DataFrame, params: dict, features: Sequence[str]) -> DataFrame:
+def gnb_predict(df: DataFrame, params: dict, features: Sequence[str], proba: str | None = None) -> DataFrame:
     """Joint log-likelihood per class as column expressions; prediction =
-    argmax (tie -> smaller class); score = P(largest class)."""
+    argmax (tie -> smaller class); score = P(largest class); with ``proba`` an
+    array column of all class probabilities, in class order."""
     feats = list(features)
     classes = sorted(params)
     jll = {}
@@ -174,6 +178,8 @@ def gnb_predict(df: DataFrame, params: dict, features: Sequence[str]) -> DataFra
             e = e - (F.col(f) - F.lit(m)) * (F.col(f) - F.lit(m)) / F.lit(2.0 * v)
         jll[c] = e
     out = df.withColumns({f"_jll{i}": jll[c] for i, c in enumerate(classes)})
+    if not classes:
+        raise ValueError("naive Bayes was fitted without a labelled row")
     best = F.lit(classes[0])
     bestv = F.col("_jll0")
     for i, c in enumerate(classes[1:], start=1):
@@ -184,4 +190,6 @@ def gnb_predict(df: DataFrame, params: dict, features: Sequence[str]) -> DataFra
     lse = F.col("_mx") + F.log(sum((F.exp(F.col(f"_jll{i}") - F.col("_mx")) for i in range(len(classes))),
                                    F.lit(0.0)))
     out = out.withColumn("score", F.exp(F.col(f"_jll{len(classes) - 1}") - lse))
+    if proba:
+        out = out.withColumn(proba, F.array(*[F.exp(F.col(f"_jll{i}") - lse) for i in range(len(classes))]))
     return out.drop(*[f"_jll{i}" for i in range(len(classes))], "_mx")

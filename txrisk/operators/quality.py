@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import KEY
+from ..schema import KEY, LABEL
+from ..session import cut_lineage
+from .scaling import apply_scaler, fit_scaler
 
 
 def missing_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -45,11 +47,14 @@ def drop_null(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return df.dropna(how="any", subset=list(cols) if cols else None)
 
 
-def preprocess(df: DataFrame, cols: Sequence[str], key: str | None = KEY,
+def preprocess(df: DataFrame, features: Sequence[str], label: str = LABEL, key: str | None = KEY,
                dedupe: bool = True, dropna: bool = True) -> DataFrame:
-    """Q5 without scaling: dedupe on ``cols`` then drop NULL rows."""
+    """Q5: dedupe on features and label, drop NULL rows, then scale the
+    features by the mean and population deviation of what is left."""
+    cols = [*features, label]
     out = drop_duplicates(df, cols, key) if dedupe else df
-    return drop_null(out, cols) if dropna else out
+    out = cut_lineage(drop_null(out, cols) if dropna else out)
+    return apply_scaler(out, fit_scaler(out, features))
 
 
 def preprocess_summary(df: DataFrame, cols: Sequence[str], key: str | None = KEY) -> DataFrame:

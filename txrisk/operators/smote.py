@@ -19,7 +19,7 @@ from ..functions.exprs import uniform
 from ..schema import KEY, LABEL
 from ..session import cut_lineage
 from .knn import knn_join
-from .sampling import class_count_dict, digest_rank
+from .sampling import check_sampler, class_count_dict, digest_rank, undersample
 
 
 def smote(df: DataFrame, features: Sequence[str], label: str = LABEL, key: str = KEY,
@@ -72,3 +72,12 @@ def smote(df: DataFrame, features: Sequence[str], label: str = LABEL, key: str =
     if not truncate_ints:
         orig = orig.select(key, *[F.col(c).cast("double").alias(c) for c in features], label)
     return orig.unionByName(new)
+
+
+def balance(df: DataFrame, features: Sequence[str], sampler: str = "SMOTE", ratio: float = 0.1, seed: int = 42,
+            label: str = LABEL, key: str = KEY) -> DataFrame:
+    """Rebalance a (scaled) training frame by the named sampler; integers
+    are not truncated, as scaled features hold none. Unknown names raise."""
+    if check_sampler(sampler) == "SMOTE":
+        return smote(df, features, label, key, ratio, seed=seed, truncate_ints=False)
+    return undersample(df, label, ratio, seed, key).select(key, *features, label)

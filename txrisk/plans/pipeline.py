@@ -5,16 +5,18 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.quantile import exact_percentile_wide
+from ..operators import ensemble as en
 from ..operators import features as fe
 from ..operators import metrics as me
 from ..operators import models as mo
 from ..operators import sampling as sa
 from ..operators import scaling as sc
 from ..operators import stats as st
+from ..operators.smote import smote
 from ..schema import CLASS_NAMES, FEATURE_COLS, KEY, LABEL
 from ..session import cut_lineage
 
@@ -23,7 +25,7 @@ def scatter_sample(feat: DataFrame, cols: Sequence[str], n_each: int = 1500,
                    label: str = LABEL, seed: int = 42) -> DataFrame:
     """Balanced sample, each column capped at the *sample's* exact p99,
     class name attached."""
-    s = sa.balanced_sample(feat.select(KEY, *cols, label), n_each, label, seed).cache()
+    s = cut_lineage(sa.balanced_sample(feat.select(KEY, *cols, label), n_each, label, seed))
     long = st.long_form(s, cols)
     caps = {r["feature"]: r["v"] for r in
             exact_percentile_wide(long, "x", [0.99], by=["feature"], names=["v"]).collect()}
@@ -36,44 +38,136 @@ def scatter_sample(feat: DataFrame, cols: Sequence[str], n_each: int = 1500,
 LEADERBOARD_SCHEMA = ("model string, accuracy double, precision double, recall double, f1 double, "
                       "roc_auc double, train_seconds double")
 
-# Small presets keep the driver's checks quick; the library presets are the
-# defaults of the model functions (100 trees x 15, 200 rounds x 6, ...).
-SMALL = {"rf_trees": 20, "rf_depth": 8, "gbt_rounds": 20, "gbt_depth": 4, "dt_depth": 10, "mc_trees": 20,
-         "mc_depth": 8}
-
-
-def prepare(feat: DataFrame, features=FEATURE_COLS, label: str = LABEL, seed: int = 42):
-    """Script preset: stratified split, scaler fitted on train only, balanced
-    weights; returns (train, test, train_scaled, test_scaled) with
-    ``features`` vectors, ``label`` and ``weight`` columns, lineage cut."""
-    split = sa.stratified_split(feat, label=label, seed=seed)
-    split = split.withColumnRenamed(label, "label")
-    split = st.with_weights(split, "label")
-    train = cut_lineage(split.where(F.col("split") == "train"))
-    test = split.where(F.col("split") == "test")
-    stats = sc.fit_scaler(train, features)
-    tr_s = mo.assemble(sc.apply_scaler(train, stats), features)
-    te_s = mo.assemble(sc.apply_scaler(test, stats), features)
-    return mo.assemble(train, features), mo.assemble(test, features), tr_s, te_s
-
-
-def evaluate_model(name: str, estimator, train: DataFrame, test: DataFrame):
-    """Fit (timed), predict, metrics row. Returns (model, predictions,
-    one-row metrics DataFrame)."""
+# ---- fixed values: model presets of the study --------------------------------
+LR_ITERATIONS = 1000
+VOTING_LR_ITERATIONS = 500
+TREE_DEPTH = 10
+BALANCED_TREE_DEPTH = 12      # after SMOTE or undersampling
+VOTING_TREE_DEPTH = 10
+STACKING_TREE_DEPTH = 8
+FOREST = (100, 15)            # trees, depth
+BOOSTING = (200, 6, 0.1)      # rounds, depth, rate; positive class weighted n0 / n1
+BOOSTING_FALLBACK = (100, 5, 0.1)     # unweighted
+RISK_FOREST = (100, 12)
+SMOTE_RATIO = 0.1
+# -------------------------------------------------------------------------------
+
+
+def prepare(feat: DataFrame, scaled: bool = False, features=FEATURE_COLS, label: str = LABEL,
+            seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """Script preset: stratified split, balanced weights and, if ``scaled``, a
+    scaler fitted on train only; (train, test) with ``features`` vectors,
+    ``label`` and ``weight`` columns, both written once."""
+    split = sa.stratified_split(feat, label=label, seed=seed).withColumnRenamed(label, "label")
+    split = cut_lineage(split)
+    train, test = split.where(F.col("split") == "train"), split.where(F.col("split") == "test")
+    if scaled:
+        stats = sc.fit_scaler(train, features)
+        train, test = sc.apply_scaler(train, stats), sc.apply_scaler(test, stats)
+    train = st.with_weights(train, "label")
+    return cut_lineage(mo.assemble(train, features)), cut_lineage(mo.assemble(test, features))
+
+
+def evaluate_model(name: str, estimator, train: DataFrame, test: DataFrame) -> DataFrame:
+    """Fit (timed), predict; one metrics row."""
     t0 = time.time()
     model = estimator.fit(train)
     secs = time.time() - t0
-    # predictions feed four jobs (class list, metrics, AUC bounds, AUC)
-    pred = cut_lineage(mo.predict_binary(model, test).select("label", "prediction", "score"))
-    row = me.report_row(pred, "label", "prediction", "score", pos_label=1)
-    row = row.select(F.lit(name).alias("model"), "*", F.lit(secs).alias("train_seconds"))
-    return model, pred, row
+    return evaluate_predictions(name, mo.predict_binary(model, test), secs)
 
 
-def evaluate_predictions(name: str, pred: DataFrame, secs: float) -> DataFrame:
-    pred = cut_lineage(pred.select("label", "prediction", "score"))
-    row = me.report_row(pred, "label", "prediction", "score", pos_label=1)
-    return row.select(F.lit(name).alias("model"), "*", F.lit(float(secs)).alias("train_seconds"))
+def evaluate_predictions(name: str, pred: DataFrame, secs: float | None, score: str | None = "score") -> DataFrame:
+    """One metrics row; ``score`` None (no probabilities) leaves the AUC NULL."""
+    pred = cut_lineage(pred.select("label", "prediction", *([score] if score else [])))
+    row = me.report_row(pred, "label", "prediction", score, pos_label=1)
+    return row.select(F.lit(name).alias("model"), "*", F.lit(secs).cast("double").alias("train_seconds"))
+
+
+def _pos_weighted(train: DataFrame) -> DataFrame:
+    r = st.pos_weight(train, "label").first()
+    return train.withColumn("pw", F.when(F.col("label") == 1, F.lit(r["pos_weight"] or 1.0)).otherwise(1.0))
+
+
+def voting_bases(n: float, tree_depth: int) -> dict:
+    return {"lr": lambda: mo.logistic_regression(n, VOTING_LR_ITERATIONS, "weight"),
+            "dt": lambda: mo.decision_tree(tree_depth, weight_col="weight"), "nb": mo.gaussian_nb}
+
+
+class Study:
+    """The nine models of the study over one feature table. A model is fitted
+    when its row is asked for; the split frames are written once."""
+
+    def __init__(self, feat: DataFrame):
+        self.feat, self._frames = feat, {}
+
+    def frames(self, scaled: bool) -> tuple[DataFrame, DataFrame]:
+        if scaled not in self._frames:
+            self._frames[scaled] = prepare(self.feat, scaled)
+        return self._frames[scaled]
+
+    def _fit(self, name, estimator, scaled=False, weigh=lambda df: df):
+        train, test = self.frames(scaled)
+        return evaluate_model(name, estimator, weigh(train), test)
+
+    def _resampled(self, name, resample):
+        train, test = self.frames(False)
+        df = resample(train.select(KEY, *FEATURE_COLS, F.col("label").alias(LABEL)))
+        df = cut_lineage(mo.assemble(df.withColumnRenamed(LABEL, "label"), FEATURE_COLS))
+        return evaluate_model(name, mo.decision_tree(BALANCED_TREE_DEPTH), df, test)
+
+    def logistic(self):
+        return self._fit("Logistic Regression",
+                         mo.logistic_regression(float(self.frames(True)[0].count()), LR_ITERATIONS, "weight"), True)
+
+    def tree(self):
+        return self._fit("Decision Tree", mo.decision_tree(TREE_DEPTH, weight_col="weight"))
+
+    def naive_bayes(self):
+        return self._fit("Naive Bayes", mo.gaussian_nb(), True)
+
+    def tree_smote(self):
+        return self._resampled("Decision Tree + SMOTE", lambda df: smote(df, FEATURE_COLS, ratio=SMOTE_RATIO))
+
+    def tree_undersampled(self):
+        return self._resampled("Decision Tree + undersampling", lambda df: sa.undersample(df, ratio=SMOTE_RATIO))
+
+    def forest(self):
+        return self._fit("Random Forest", mo.random_forest(*FOREST, weight_col="weight"))
+
+    def boosting(self):
+        return self._fit("Gradient Boosting", mo.boosting(*BOOSTING, weight_col="pw"), weigh=_pos_weighted)
+
+    def voting(self):
+        train, test = self.frames(True)
+        t0 = time.time()
+        models = en.fit_bases(train, voting_bases(float(train.count()), VOTING_TREE_DEPTH))
+        secs = time.time() - t0
+        return evaluate_predictions("Soft Voting", en.soft_vote(en.apply_bases(models, test), list(models)), secs)
+
+    def stacking(self):
+        train, test = self.frames(True)
+        t0 = time.time()
+        pred = en.stacking(train, test, voting_bases(float(train.count()), STACKING_TREE_DEPTH),
+                           lambda n: mo.logistic_regression(n, VOTING_LR_ITERATIONS, None), key=KEY)
+        return evaluate_predictions("Stacking", pred, time.time() - t0)
+
+    BALANCING = ("tree", "tree_smote", "tree_undersampled")
+    MODELS = ("logistic", "tree", "naive_bayes", "tree_smote", "tree_undersampled", "forest", "boosting", "voting",
+              "stacking")
+
+    def board(self, models=MODELS) -> DataFrame:
+        """One row per model, best F1 first; each row is computed once."""
+        spark = self.feat.sparkSession
+        rows = [tuple(getattr(self, m)().first()) for m in models]
+        return leaderboard([spark.createDataFrame(rows, LEADERBOARD_SCHEMA)])
+
+
+BALANCING_NAMES = ("Decision Tree", "Decision Tree + SMOTE", "Decision Tree + undersampling")
+
+
+def balancing_comparison(board: DataFrame, names=BALANCING_NAMES) -> DataFrame:
+    """The board's rows of the named models, without accuracy and AUC."""
+    return board.where(F.col("model").isin(*names)).select("model", "precision", "recall", "f1")
 
 
 def leaderboard(rows: list[DataFrame]) -> DataFrame:
@@ -86,7 +180,6 @@ def leaderboard(rows: list[DataFrame]) -> DataFrame:
 
 def metric_ranking(board: DataFrame) -> DataFrame:
     """K4: per metric, models ranked, NULL metric values left out."""
-    from pyspark.sql import Window
     metrics = ["accuracy", "precision", "recall", "f1", "roc_auc"]
     long = board.select("model", *metrics).unpivot(["model"], metrics, "metric", "value").where(
         F.col("value").isNotNull())

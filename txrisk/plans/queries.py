@@ -23,9 +23,9 @@ from ..operators import quality as qu
 from ..operators import sampling as sa
 from ..operators import scaling as sc
 from ..operators import stats as st
-from ..operators.smote import smote
+from ..operators.smote import balance, smote
 from ..operators.stats import with_weights
-from ..schema import FEATURE_COLS, KEY, LABEL, MANAGER_FEATURE_COLS
+from ..schema import FEATURE_COLS, KEY, LABEL, MANAGER_FEATURE_COLS, RISK_NAMES
 from ..session import cut_lineage
 from ..sources import transactions as src
 from . import pipeline as pl
@@ -570,24 +570,28 @@ def q_knn_proba(spark, sf_dir):
 
 
 _SM_FEATS = FEATURE_COLS
-_SMOTE_SQL = _sql(S.TX, S.features_cte(), S.split_cte("feat"), f"""
-trn AS (SELECT * FROM spl WHERE split = 'train'),
+_SMOTE_CTES = """
 cnt AS (SELECT count(*) FILTER (WHERE isFraud = 1) AS n1, count(*) FILTER (WHERE isFraud = 0) AS n0 FROM trn),
 mino AS (SELECT * FROM trn WHERE isFraud = 1),
 idx AS (SELECT *, row_number() OVER (ORDER BY md5(concat(row_key, ':42')), row_key) - 1 AS idx FROM mino),
 nn AS (SELECT qid, tid, rank FROM (SELECT a.row_key AS qid, b.row_key AS tid, row_number() OVER (
-    PARTITION BY a.row_key ORDER BY list_distance([{S.cols(_SM_FEATS, 'a.')}]::DOUBLE[],
-      [{S.cols(_SM_FEATS, 'b.')}]::DOUBLE[]), b.row_key) AS rank
+    PARTITION BY a.row_key ORDER BY list_distance([{distance_cols_a}]::DOUBLE[],
+      [{distance_cols_b}]::DOUBLE[]), b.row_key) AS rank
   FROM mino a JOIN mino b ON a.row_key <> b.row_key) WHERE rank <= 5),
 gen AS (SELECT range AS i FROM range((SELECT CAST(trunc(0.1 * n0) AS BIGINT) - n1 FROM cnt))),
-g2 AS (SELECT i, CAST(floor({S.u_sql('i', 'base')} * (SELECT n1 FROM cnt)) AS BIGINT) AS idx,
-    CAST(floor({S.u_sql('i', 'nb')} * 5) AS BIGINT) + 1 AS rank, {S.u_sql('i', 'step')} AS gap FROM gen),
-syn AS (SELECT -(g.i + 1) AS row_key, """ + ", ".join(
+g2 AS (SELECT i, CAST(floor(""" + S.u_sql("i", "base") + """ * (SELECT n1 FROM cnt)) AS BIGINT) AS idx,
+    CAST(floor(""" + S.u_sql("i", "nb") + """ * 5) AS BIGINT) + 1 AS rank, """ + S.u_sql("i", "step") + """ AS gap FROM gen),
+"""
+_SMOTE_FROM = """, 1 AS isFraud
+  FROM g2 g JOIN idx b ON g.idx = b.idx JOIN nn ON nn.qid = b.row_key AND nn.rank = g.rank
+  JOIN mino n ON n.row_key = nn.tid)"""
+_SMOTE_SQL = _sql(S.TX, S.features_cte(), S.split_cte("feat"), """
+trn AS (SELECT * FROM spl WHERE split = 'train'),""" + _SMOTE_CTES.format(
+    distance_cols_a=S.cols(_SM_FEATS, "a."), distance_cols_b=S.cols(_SM_FEATS, "b."))
+    + "syn AS (SELECT -(g.i + 1) AS row_key, " + ", ".join(
     (f"CAST(trunc(b.{c} + g.gap * (n.{c} - b.{c})) AS {'BIGINT' if c == 'step' else 'INTEGER'}) AS {c}"
      if c in ("step", "type_encoded", "orig_zeroed", "suspicious_type")
-     else f"b.{c} + g.gap * (n.{c} - b.{c}) AS {c}") for c in _SM_FEATS) + """, 1 AS isFraud
-  FROM g2 g JOIN idx b ON g.idx = b.idx JOIN nn ON nn.qid = b.row_key AND nn.rank = g.rank
-  JOIN mino n ON n.row_key = nn.tid)""", body=(
+     else f"b.{c} + g.gap * (n.{c} - b.{c}) AS {c}") for c in _SM_FEATS) + _SMOTE_FROM, body=(
     "SELECT row_key, " + ", ".join(f"round({c}, 6) AS {c}" for c in _SM_FEATS) + ", isFraud FROM trn "
     "UNION ALL SELECT row_key, " + ", ".join(f"round({c}, 6) AS {c}" for c in _SM_FEATS) + ", isFraud FROM syn"))
 
@@ -643,186 +647,309 @@ def q_gnb_sql(spark, sf_dir):
     return out.select(KEY, F.col(LABEL).alias("label"), F.col("prediction").cast("int"), r6("score").alias("score"))
 
 
-# ---------------------------------------------------------------- ML models (rows-only checks)
-
-_P = pl.SMALL
-
+# ---------------------------------------------------------------- models of the study
 
-def _prep(spark, sf_dir):
-    return pl.prepare(_feat(spark, sf_dir))
 
+def _study(spark, sf_dir) -> pl.Study:
+    return pl.Study(_feat(spark, sf_dir))
 
-def _n(df):
-    return float(df.count())
 
-
-def _lr(n):
-    return mo.logistic_regression(n, 1000, "weight")
-
-
-@register("lr")
-def q_lr(spark, sf_dir):
-    tr, te, trs, tes = _prep(spark, sf_dir)
-    return pl.evaluate_model("Logistic Regression", _lr(_n(trs)), trs, tes)[2]
+def _study_query(name: str, model: str):
+    @register(name)
+    def fn(spark, sf_dir):
+        return getattr(_study(spark, sf_dir), model)()
+    return fn
 
 
-@register("dt")
-def q_dt(spark, sf_dir):
-    tr, te, _, _ = _prep(spark, sf_dir)
-    return pl.evaluate_model("Decision Tree", mo.decision_tree(_P["dt_depth"], weight_col="weight"), tr, te)[2]
+for _name, _model in (("lr", "logistic"), ("dt", "tree"), ("rf", "forest"), ("gbt", "boosting"),
+                      ("voting", "voting"), ("stacking", "stacking")):
+    _study_query(_name, _model)
 
 
-@register("gnb_ml")
+@register("gnb_ml", _gnb_sql())
 def q_gnb_ml(spark, sf_dir):
-    _, _, trs, tes = _prep(spark, sf_dir)
-    return pl.evaluate_model("Naive Bayes", mo.gaussian_nb(), trs, tes)[2]
-
-
-@register("rf")
-def q_rf(spark, sf_dir):
-    tr, te, _, _ = _prep(spark, sf_dir)
-    est = mo.random_forest(_P["rf_trees"], _P["rf_depth"], weight_col="weight")
-    return pl.evaluate_model("Random Forest", est, tr, te)[2]
-
-
-def _pos_weighted(tr):
-    r = tr.agg(F.count(F.when(F.col("label") == 0, 1)).alias("n0"),
-               F.count(F.when(F.col("label") == 1, 1)).alias("n1")).first()
-    return tr.withColumn("pw", F.when(F.col("label") == 1, F.lit(r["n0"] / max(r["n1"], 1))).otherwise(1.0))
-
-
-@register("gbt")
-def q_gbt(spark, sf_dir):
-    tr, te, _, _ = _prep(spark, sf_dir)
-    est = mo.boosting(_P["gbt_rounds"], _P["gbt_depth"], 0.1, weight_col="pw")
-    return pl.evaluate_model("Gradient Boosting", est, _pos_weighted(tr), te)[2]
-
-
-def _bases(n):
-    return {"lr": lambda: mo.logistic_regression(n, 500, "weight"),
-            "dt": lambda: mo.decision_tree(8, weight_col="weight"),
-            "nb": mo.gaussian_nb}
-
-
-@register("voting")
-def q_voting(spark, sf_dir):
-    _, _, trs, tes = _prep(spark, sf_dir)
-    import time as _t
-    t0 = _t.time()
-    models = en.fit_bases(trs, _bases(_n(trs)))
-    secs = _t.time() - t0
-    pred = en.soft_vote(en.apply_bases(models, tes), list(models))
-    return pl.evaluate_predictions("Soft Voting", pred, secs)
+    """M3 by the library's Gaussian naive Bayes: same rows as the closed form."""
+    train, test = pl.prepare(_feat(spark, sf_dir), scaled=True)
+    out = mo.predict_binary(mo.gaussian_nb().fit(train), test)
+    return out.select(KEY, "label", "prediction", r6("score").alias("score"))
 
 
-@register("stacking")
-def q_stacking(spark, sf_dir):
-    _, _, trs, tes = _prep(spark, sf_dir)
-    import time as _t
-    t0 = _t.time()
-    pred = en.stacking(trs, tes,
-                       {k: v for k, v in _bases(_n(trs)).items()},
-                       lambda n: mo.logistic_regression(n, 1000, None), key=KEY)
-    return pl.evaluate_predictions("Stacking", pred, _t.time() - t0)
+def _tree(spark, sf_dir):
+    train, _ = pl.prepare(_feat(spark, sf_dir))
+    return mo.decision_tree(pl.TREE_DEPTH, weight_col="weight").fit(train)
 
 
 @register("importances")
 def q_importances(spark, sf_dir):
-    tr, _, _, _ = _prep(spark, sf_dir)
-    m = mo.decision_tree(_P["dt_depth"], weight_col="weight").fit(tr)
-    return mo.importances(m, FEATURE_COLS, 12)
+    return mo.importances(_tree(spark, sf_dir), FEATURE_COLS, 12)
 
 
 @register("tree_nodes")
 def q_tree_nodes(spark, sf_dir):
-    tr, _, _, _ = _prep(spark, sf_dir)
-    m = mo.decision_tree(_P["dt_depth"], weight_col="weight").fit(tr)
-    return mo.tree_nodes(m, FEATURE_COLS, 4)
-
-
-def _all_rows(spark, sf_dir):
-    tr, te, trs, tes = _prep(spark, sf_dir)
-    n = _n(trs)
-    rows = [pl.evaluate_model("Logistic Regression", _lr(n), trs, tes)[2],
-            pl.evaluate_model("Decision Tree", mo.decision_tree(_P["dt_depth"], weight_col="weight"), tr, te)[2],
-            pl.evaluate_model("Naive Bayes", mo.gaussian_nb(), trs, tes)[2],
-            pl.evaluate_model("Random Forest", mo.random_forest(_P["rf_trees"], _P["rf_depth"],
-                                                                 weight_col="weight"), tr, te)[2],
-            pl.evaluate_model("Gradient Boosting", mo.boosting(_P["gbt_rounds"], _P["gbt_depth"], 0.1,
-                                                               weight_col="pw"), _pos_weighted(tr), te)[2]]
-    # materialise the tiny metric rows once (each is one row)
-    return [spark.createDataFrame([r.first()], pl.LEADERBOARD_SCHEMA) for r in rows]
+    return mo.tree_nodes(_tree(spark, sf_dir), FEATURE_COLS, 4)
 
 
 @register("leaderboard")
 def q_leaderboard(spark, sf_dir):
-    return pl.leaderboard(_all_rows(spark, sf_dir))
+    return _study(spark, sf_dir).board()
 
 
 @register("metric_ranking")
 def q_metric_ranking(spark, sf_dir):
-    return pl.metric_ranking(pl.leaderboard(_all_rows(spark, sf_dir)))
+    return pl.metric_ranking(_study(spark, sf_dir).board())
 
 
 @register("balancing_comparison")
 def q_balancing(spark, sf_dir):
-    """The same unweighted tree on the train rows as they are, after
-    SMOTE (raw features, ints truncated) and after undersampling."""
-    feat = _feat(spark, sf_dir)
-    split = sa.stratified_split(feat)
-    train = split.where(F.col("split") == "train").drop("split")
-    test = mo.assemble(split.where(F.col("split") == "test").withColumnRenamed(LABEL, "label"), FEATURE_COLS)
-    variants = {"Tree (no balancing)": train,
-                "Tree + SMOTE": smote(train, FEATURE_COLS),
-                "Tree + undersampling": sa.undersample(train)}
-    rows = []
-    for name, df in variants.items():
-        tr = cut_lineage(mo.assemble(df.withColumnRenamed(LABEL, "label"), FEATURE_COLS))
-        r = pl.evaluate_model(name, mo.decision_tree(_P["dt_depth"]), tr, test)[2].first()
-        rows.append((r["model"], r["precision"], r["recall"], r["f1"]))
-    return spark.createDataFrame(rows, "model string, precision double, recall double, f1 double")
+    return pl.balancing_comparison(_study(spark, sf_dir).board(pl.Study.BALANCING))
+
 
+def _risk_split(spark, sf_dir) -> DataFrame:
+    return sa.stratified_split(_risk_feat(spark, sf_dir), label="risk_category")
 
 
+@register("split_3class", _sql(S.TX, S.features_cte(), f"rfeat AS (SELECT *, {_RISK_SQL} AS risk_category FROM feat)",
+                               S.split_cte("rfeat", label="risk_category"),
+                               body="SELECT row_key, risk_category, split FROM spl"))
+def q_split_3class(spark, sf_dir):
+    return _risk_split(spark, sf_dir).select(KEY, "risk_category", "split")
+
 
 def _multiclass(spark, sf_dir):
-    cats = fe.fit_type_codes(src.load_tx(spark, sf_dir))
-    split = sa.stratified_split(_risk_feat(spark, sf_dir), label="risk_category")
-    split = with_weights(split.withColumnRenamed("risk_category", "label"), "label")
-    train = cut_lineage(mo.assemble(split.where(F.col("split") == "train"), FEATURE_COLS))
+    split = cut_lineage(_risk_split(spark, sf_dir).withColumnRenamed("risk_category", "label"))
+    train = with_weights(split.where(F.col("split") == "train"), "label")
+    train = cut_lineage(mo.assemble(train, FEATURE_COLS))
     test = mo.assemble(split.where(F.col("split") == "test"), FEATURE_COLS)
-    est = mo.random_forest(_P["mc_trees"], _P["mc_depth"], binary=False, weight_col="weight")
-    return est.fit(train), test, cats
+    return mo.random_forest(*pl.RISK_FOREST, binary=False, weight_col="weight").fit(train), test
 
 
 @register("multiclass")
 def q_multiclass(spark, sf_dir):
     """Three-class forest on the risk category; classification report."""
-    model, test, _ = _multiclass(spark, sf_dir)
+    model, test = _multiclass(spark, sf_dir)
     pred = model.transform(test).withColumn("prediction", F.col("prediction").cast("int"))
-    from ..schema import RISK_NAMES
     return me.class_report(pred, "label", "prediction", RISK_NAMES)
 
 
+def _risk_scored(df: DataFrame, proba: str) -> DataFrame:
+    """Category name, fraud flag and class probabilities of scored rows."""
+    p = F.col(proba)
+    return df.select("*", fe.code_to_name(F.col("prediction"), RISK_NAMES).alias("risk_name"),
+                     F.when(F.col("prediction") > 0, "FRAUD").otherwise("NORMAL").alias("flag"),
+                     p[0].alias("p_normal"), p[1].alias("p_small"), p[2].alias("p_large"))
+
+
 @register("score_new")
 def q_score_new(spark, sf_dir):
     """The literal transactions, encoded through the fitted mapping."""
-    from ..schema import RISK_NAMES
-    model, _, cats = _multiclass(spark, sf_dir)
-    new = src.new_transactions(spark)
-    feats = mo.assemble(fe.engineer_features(new, cats, drop=False), FEATURE_COLS)
-    out = model.transform(feats)
-    p = vector_to_array_cols(out)
-    return p.select("tx_id", "description", F.col("prediction").cast("int").alias("risk_category"),
-                    fe.code_to_name(F.col("prediction").cast("int"), RISK_NAMES).alias("risk_name"),
-                    F.when(F.col("prediction") > 0, "FRAUD").otherwise("NORMAL").alias("flag"),
-                    "p_normal", "p_small", "p_large", "type_encoded", "literal_type_code")
-
-
-def vector_to_array_cols(df):
     from pyspark.ml.functions import vector_to_array
-    a = vector_to_array("probability")
-    return df.withColumn("p_normal", a[0]).withColumn("p_small", a[1]).withColumn("p_large", a[2])
+    model, _ = _multiclass(spark, sf_dir)
+    cats = fe.fit_type_codes(src.load_tx(spark, sf_dir))
+    feats = mo.assemble(fe.engineer_features(src.new_transactions(spark), cats, drop=False), FEATURE_COLS)
+    out = model.transform(feats).withColumn("prediction", F.col("prediction").cast("int")) \
+        .withColumn("proba", vector_to_array("probability"))
+    return _risk_scored(out, "proba").select("tx_id", "description", F.col("prediction").alias("risk_category"),
+                                             "risk_name", "flag", "p_normal", "p_small", "p_large", "type_encoded",
+                                             "literal_type_code")
+
+
+# ---------------------------------------------------------------- the same composites over closed-form predictors
+def _gnb3(spark, sf_dir):
+    """Three-class Gaussian naive Bayes: scored test rows."""
+    split = cut_lineage(_risk_split(spark, sf_dir))
+    train, test = split.where(F.col("split") == "train"), split.where(F.col("split") == "test")
+    stats = sc.fit_scaler(train, FEATURE_COLS)
+    params = mo.gnb_fit(sc.apply_scaler(train, stats), FEATURE_COLS, "risk_category")
+    return mo.gnb_predict(sc.apply_scaler(test, stats), params, FEATURE_COLS, "proba") \
+        .select(KEY, F.col("risk_category").alias("label"), "prediction", "proba")
+
+
+def _gnb3_ctes():
+    """SQL twin of ``_gnb3``: pred(row_key, label, prediction, p0, p1, p2)."""
+    fs = FEATURE_COLS
+    stat = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in fs)
+    scale = ", ".join(f"(s.{c} - st.m_{c}) / coalesce(nullif(st.s_{c}, 0), 1) AS {c}" for c in fs)
+    const = " + ".join(f"ln(2 * pi() * v_{c})" for c in fs)
+    quad = " + ".join(f"(t.{c} - m_{c}) * (t.{c} - m_{c}) / (2 * v_{c})" for c in fs)
+    return (S.TX, S.features_cte(), f"rfeat AS (SELECT *, {_RISK_SQL} AS risk_category FROM feat)",
+            S.split_cte("rfeat", label="risk_category"), f"""
+st AS (SELECT {stat} FROM spl WHERE split = 'train'),
+z AS (SELECT s.row_key, s.risk_category AS y, s.split, {scale} FROM spl s, st),
+cp AS (SELECT y AS c, count(*) / (SELECT count(*) FROM z WHERE split = 'train') AS prior,
+    {', '.join(f"avg({c}) AS m_{c}, var_pop({c}) + (SELECT {GNB_EPS_SQL} FROM z WHERE split = 'train') AS v_{c}" for c in fs)}
+  FROM z WHERE split = 'train' GROUP BY y),
+jl AS (SELECT t.row_key, t.y, cp.c, ln(cp.prior) - 0.5 * ({const}) - ({quad}) AS jll
+  FROM z t, cp WHERE t.split = 'test'),
+pr AS (SELECT row_key, y, c, jll, exp(jll - max(jll) OVER (PARTITION BY row_key)) AS e FROM jl),
+pred AS (SELECT row_key, any_value(y) AS label, arg_min(c, (-jll, c)) AS prediction,
+    max(CASE WHEN c = 0 THEN e END) / sum(e) AS p0, max(CASE WHEN c = 1 THEN e END) / sum(e) AS p1,
+    max(CASE WHEN c = 2 THEN e END) / sum(e) AS p2 FROM pr GROUP BY row_key)""")
+
+
+@register("gnb_3class_report", _sql(*_gnb3_ctes(), S.METRIC_CTES, body=f"""
+SELECT CASE label {' '.join(f"WHEN {k} THEN '{v}'" for k, v in RISK_NAMES.items())} END AS row,
+  round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM pc
+UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(tp) / sum(support), 6), sum(support) FROM pc
+UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), sum(support) FROM pc
+UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6),
+  round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6), sum(support) FROM pc"""))
+def q_gnb3_report(spark, sf_dir):
+    return _round_cols(me.class_report(_gnb3(spark, sf_dir), names=RISK_NAMES), ["precision", "recall", "f1"])
+
+
+@register("gnb_3class_confusion", _sql(*_gnb3_ctes(), S.METRIC_CTES, body="SELECT label, prediction, count FROM conf"))
+def q_gnb3_confusion(spark, sf_dir):
+    return me.confusion(_gnb3(spark, sf_dir))
+
+
+@register("gnb_3class_scores", _sql(*_gnb3_ctes(), body=f"""
+SELECT row_key, prediction AS risk_category,
+  CASE prediction {' '.join(f"WHEN {k} THEN '{v}'" for k, v in RISK_NAMES.items())} END AS risk_name,
+  CASE WHEN prediction > 0 THEN 'FRAUD' ELSE 'NORMAL' END AS flag,
+  round(p0, 6) AS p_normal, round(p1, 6) AS p_small, round(p2, 6) AS p_large FROM pred"""))
+def q_gnb3_scores(spark, sf_dir):
+    out = _risk_scored(_gnb3(spark, sf_dir), "proba").withColumnRenamed("prediction", "risk_category")
+    return _round_cols(out.select(KEY, "risk_category", "risk_name", "flag", "p_normal", "p_small", "p_large"),
+                       ["p_normal", "p_small", "p_large"])
+
+
+def _closed_predictions(spark, sf_dir) -> dict[str, DataFrame]:
+    """Predictors without a solver on the test rows: rule, naive Bayes, all zero."""
+    train, test = _scaled_split(spark, sf_dir)
+    nb = mo.gnb_predict(test, mo.gnb_fit(train, FEATURE_COLS, LABEL), FEATURE_COLS) \
+        .select(KEY, "prediction", r6("score").alias("score"))
+    raw = cut_lineage(_split(spark, sf_dir).where(F.col("split") == "test"))
+    hit = F.col("suspicious_type") * F.col("orig_zeroed")
+    rule = raw.select(KEY, F.col(LABEL).alias("label"), hit.alias("prediction"), hit.cast("double").alias("score"))
+    return {"Rule": rule, "Naive Bayes": rule.select(KEY, "label").join(nb, KEY),
+            "All zero": rule.select(KEY, "label", F.lit(0).alias("prediction"))}
+
+
+def _closed_board(spark, sf_dir) -> DataFrame:
+    rows = [pl.evaluate_predictions(m, p, None, "score" if "score" in p.columns else None)
+            for m, p in _closed_predictions(spark, sf_dir).items()]
+    return _round_cols(pl.leaderboard(rows).drop("train_seconds"), ["accuracy", "precision", "recall", "f1", "roc_auc"])
+
+
+_CLOSED_CTES = _gnb_sql().removeprefix("WITH ").rsplit("SELECT j.row_key", 1)
+_CLOSED = ("WITH " + _CLOSED_CTES[0].rstrip() + ",\nnbp AS (SELECT j.row_key" + _CLOSED_CTES[1] + """),
+preds AS (SELECT 'Rule' AS model, row_key, isFraud AS label, suspicious_type * orig_zeroed AS prediction,
+    CAST(suspicious_type * orig_zeroed AS DOUBLE) AS score FROM spl WHERE split = 'test'
+  UNION ALL SELECT 'Naive Bayes', row_key, label, prediction, score FROM nbp
+  UNION ALL SELECT 'All zero', row_key, isFraud, 0, NULL FROM spl WHERE split = 'test'),
+cm AS (SELECT model, count(*) AS n, sum(CASE WHEN label = prediction THEN 1 ELSE 0 END) AS hit,
+    sum(label * prediction) AS tp, sum(prediction) AS pp, sum(label) AS p FROM preds GROUP BY model),
+sc AS (SELECT model, score AS s, sum(label) AS pos, sum(1 - label) AS neg FROM preds WHERE score IS NOT NULL
+  GROUP BY model, score),
+au AS (SELECT model, sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg)) AS roc_auc FROM (
+    SELECT *, coalesce(sum(neg) OVER (PARTITION BY model ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+      AS below FROM sc) GROUP BY model),
+m1 AS (SELECT cm.model, hit / n AS accuracy, coalesce(tp / nullif(pp, 0), 0.0) AS precision,
+    coalesce(tp / nullif(p, 0), 0.0) AS recall, roc_auc FROM cm LEFT JOIN au ON cm.model = au.model),
+board AS (SELECT model, round(accuracy, 6) AS accuracy, round(precision, 6) AS precision, round(recall, 6) AS recall,
+    round(CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END, 6) AS f1,
+    round(roc_auc, 6) AS roc_auc FROM m1)
+""")
+
+
+@register("leaderboard_closed", _CLOSED + "SELECT * FROM board")
+def q_leaderboard_closed(spark, sf_dir):
+    return _closed_board(spark, sf_dir)
+
+
+@register("metric_ranking_closed", _CLOSED + """
+SELECT model, metric, value, CAST(row_number() OVER (PARTITION BY metric ORDER BY value DESC, model) AS INTEGER) AS rank
+FROM (UNPIVOT board ON accuracy, precision, recall, f1, roc_auc INTO NAME metric VALUE value) WHERE value IS NOT NULL""")
+def q_metric_ranking_closed(spark, sf_dir):
+    return pl.metric_ranking(_closed_board(spark, sf_dir))
+
+
+@register("balancing_closed", _CLOSED + "SELECT model, precision, recall, f1 FROM board WHERE model IN ('Rule', 'All zero')")
+def q_balancing_closed(spark, sf_dir):
+    return pl.balancing_comparison(_closed_board(spark, sf_dir), ("Rule", "All zero"))
+
+
+@register("voting_closed", _CLOSED + """
+SELECT row_key, label, CAST(CASE WHEN avg(score) > 0.5 THEN 1 ELSE 0 END AS INTEGER) AS prediction,
+  round(avg(score), 5) AS score
+FROM preds WHERE score IS NOT NULL GROUP BY row_key, label""")
+def q_voting_closed(spark, sf_dir):
+    """M6: the soft-vote combiner over the rule and naive Bayes."""
+    p = _closed_predictions(spark, sf_dir)
+    both = p["Rule"].select(KEY, "label", F.col("score").alias("p_rule")).join(
+        p["Naive Bayes"].select(KEY, F.col("score").alias("p_nb")), KEY)
+    return en.soft_vote(both, ["rule", "nb"]).select(KEY, "label", "prediction", r6("score", 5).alias("score"))
+
+
+# ---------------------------------------------------------------- preprocessing and manager-mode rebalancing
+def _preprocessed(spark, sf_dir) -> DataFrame:
+    return qu.preprocess(_feat(spark, sf_dir, dirty=True), MANAGER_FEATURE_COLS)
+
+
+_PRE_CTES = (S.TX_DIRTY, S.features_cte("tx_dirty"), f"""
+dd AS (SELECT min(row_key) AS row_key, {S.cols(_FEAT_LABEL)} FROM feat GROUP BY {S.cols(_FEAT_LABEL)}),
+nn0 AS (SELECT * FROM dd WHERE {' AND '.join(f'{c} IS NOT NULL' for c in _FEAT_LABEL)}),
+pre AS (SELECT row_key, """ + ", ".join(
+    f"({c} - avg({c}) OVER ()) / coalesce(nullif(stddev_pop({c}) OVER (), 0), 1) AS {c}" for c in MANAGER_FEATURE_COLS)
+    + ", isFraud FROM nn0)")
+_R_FEATS = ", ".join(f"round({c}, 6) AS {c}" for c in MANAGER_FEATURE_COLS)
+
+
+@register("preprocess", _sql(*_PRE_CTES, body=f"SELECT row_key, {_R_FEATS}, isFraud FROM pre"))
+def q_preprocess(spark, sf_dir):
+    return _round_cols(_preprocessed(spark, sf_dir), MANAGER_FEATURE_COLS).select(KEY, *MANAGER_FEATURE_COLS, LABEL)
+
+
+def _scaled_train(spark, sf_dir) -> DataFrame:
+    split = sa.stratified_split(_preprocessed(spark, sf_dir))
+    return cut_lineage(split.where(F.col("split") == "train").drop("split"))
+
+
+@register("undersample_scaled", _sql(*_PRE_CTES, S.split_cte("pre"), "trn AS (SELECT * FROM spl WHERE split = 'train')",
+                                     S.take_cte("trn", "und", """CASE WHEN q.lbl = (SELECT lbl FROM und_cc ORDER BY n_c, lbl LIMIT 1)
+    THEN q.n_c ELSE least(q.n_c, CAST(trunc((SELECT min(n_c) FROM und_cc) / 0.1) AS BIGINT)) END"""),
+                                     body=f"SELECT row_key, {_R_FEATS}, isFraud FROM und"))
+def q_undersample_scaled(spark, sf_dir):
+    out = balance(_scaled_train(spark, sf_dir), MANAGER_FEATURE_COLS, "undersampling")
+    return _round_cols(out, MANAGER_FEATURE_COLS)
+
+
+# Membership of neighbours is decided on values rounded alike on both sides:
+# standardised sums may differ in the last bit between engines.
+@register("smote_scaled", _sql(*_PRE_CTES, S.split_cte("pre"), f"""
+trn AS (SELECT row_key, {_R_FEATS}, isFraud FROM spl WHERE split = 'train'),
+""" + _SMOTE_CTES.format(distance_cols_a=S.cols(MANAGER_FEATURE_COLS, "a."), distance_cols_b=S.cols(MANAGER_FEATURE_COLS, "b."))
+    + "syn AS (SELECT -(g.i + 1) AS row_key, " + ", ".join(
+        f"b.{c} + g.gap * (n.{c} - b.{c}) AS {c}" for c in MANAGER_FEATURE_COLS) + _SMOTE_FROM,
+    body=f"SELECT row_key, {_R_FEATS}, isFraud FROM trn UNION ALL SELECT row_key, {_R_FEATS}, isFraud FROM syn"))
+def q_smote_scaled(spark, sf_dir):
+    train = _round_cols(_scaled_train(spark, sf_dir), MANAGER_FEATURE_COLS)
+    return _round_cols(balance(train, MANAGER_FEATURE_COLS, "SMOTE"), MANAGER_FEATURE_COLS)
+
+
+# ---------------------------------------------------------------- profile of the source columns
+TARGET_CORR_COLS = ["step", "amount", "oldbalanceOrg", "newbalanceOrig", "oldbalanceDest", "newbalanceDest", "isFraud"]
+
+
+@register("corr_source", _sql(S.TX, S.long_cte("tx", TARGET_CORR_COLS), body="""
+SELECT a.feature AS a, b.feature AS b, round(CASE WHEN min(a.x) = max(a.x) OR min(b.x) = max(b.x) THEN NULL
+  ELSE covar_samp(a.x, b.x) / (stddev_samp(a.x) * stddev_samp(b.x)) END, 6) AS corr
+FROM lng a JOIN lng b ON a.row_key = b.row_key WHERE a.x IS NOT NULL AND b.x IS NOT NULL GROUP BY a.feature, b.feature"""))
+def q_corr_source(spark, sf_dir):
+    return _round_cols(st.corr_long(src.load_tx(spark, sf_dir), TARGET_CORR_COLS), ["corr"])
+
+
+_BALANCES = ["amount", "oldbalanceOrg", "newbalanceOrig", "oldbalanceDest", "newbalanceDest"]
+
+
+@register("describe_balances", _sql(S.TX, S.long_cte("tx", _BALANCES), body="""
+SELECT feature, count(x) AS count, round(round(avg(x), 6), 2) AS mean, round(round(stddev_samp(x), 6), 2) AS std,
+  round(min(x), 2) AS min, round(round(quantile_cont(x, 0.25), 6), 2) AS p25, round(round(quantile_cont(x, 0.5), 6), 2) AS p50,
+  round(round(quantile_cont(x, 0.75), 6), 2) AS p75, round(max(x), 2) AS max
+FROM lng GROUP BY feature"""))
+def q_describe_balances(spark, sf_dir):
+    d = st.describe(src.load_tx(spark, sf_dir), _BALANCES)
+    return d.withColumns({c: F.round(r6(c), 2) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")})
 
 
 # ---------------------------------------------------------------- resampling summary (A10), kNN on transactions
@@ -859,8 +986,8 @@ _VEC = "[" + ", ".join(MANAGER_FEATURE_COLS) + "]::DOUBLE[]"
 @register("knn_tx", _sql(S.TX, S.features_cte(), _scaled_cte(), S.split_cte("sfeat"),
                          "trn AS (SELECT * FROM spl WHERE split = 'train')",
                          "tst AS (SELECT * FROM spl WHERE split = 'test')",
-                         S.take_cte("trn", "str", "2500"), S.take_cte("tst", "ste", "500"), f"""
-kq AS (SELECT row_key AS qid, {_VEC} AS v, isFraud AS truth FROM ste),
+                         S.take_cte("trn", "str", "2500"), f"""
+kq AS (SELECT row_key AS qid, {_VEC} AS v, isFraud AS truth FROM tst),
 kt AS (SELECT row_key AS tid, {_VEC} AS v, isFraud AS label FROM str),
 kd AS (SELECT q.qid, q.truth, t.tid, t.label, list_distance(q.v, t.v) AS distance FROM kq q, kt t),
 nn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY distance, tid) AS rank FROM kd)
@@ -873,13 +1000,14 @@ SELECT round((SELECT sum(tp) / sum(support) FROM pc), 6) AS accuracy,
   round({S.avg_sql('precision', 'binary')}, 6) AS precision, round({S.avg_sql('recall', 'binary')}, 6) AS recall,
   round({S.avg_sql('f1', 'binary')}, 6) AS f1"""))
 def q_knn_tx(spark, sf_dir):
-    """Hand-written kNN demo: manager scaling (fit on all rows), stratified
-    split, up to 2,500 / 500 rows per class, euclidean, distance weights."""
+    """Hand-written kNN: manager scaling (fit on all rows), stratified split, at
+    most 2,500 train rows per class (the study's bound on labelled fitting
+    rows), every test row scored, euclidean, distance weights."""
     f = _feat(spark, sf_dir)
     f = sc.apply_scaler(f, sc.fit_scaler(f, MANAGER_FEATURE_COLS))
-    s = sa.stratified_split(f)
+    s = cut_lineage(sa.stratified_split(f))
     tr = sa.balanced_sample(s.where(F.col("split") == "train"), 2500)
-    te = sa.balanced_sample(s.where(F.col("split") == "test"), 500)
+    te = s.where(F.col("split") == "test")
     vec = F.array(*[F.col(c) for c in MANAGER_FEATURE_COLS])
     nn = kn.knn_join(te.select(F.col(KEY).alias("qid"), vec.alias("vec")),
                      tr.select(F.col(KEY).alias("tid"), vec.alias("vec"), F.col(LABEL).alias("label")),

@@ -19,7 +19,6 @@ SOURCE_COLUMNS = [
     ("isFraud", "target: 1 = fraud", T.IntegerType()),
     ("isFlaggedFraud", "flagged by the bank's rule", T.IntegerType()),
 ]
-TX_TYPES = ["CASH_IN", "CASH_OUT", "DEBIT", "PAYMENT", "TRANSFER"]
 SUSPICIOUS_TYPES = ["CASH_OUT", "TRANSFER"]
 DROPPED_COLUMNS = ["nameOrig", "nameDest", "type", "isFlaggedFraud"]
 LABEL = "isFraud"
@@ -42,8 +41,6 @@ CLASS_NAMES = {0: "Normal", 1: "Fraud"}
 RISK_NAMES = {0: "Normal transaction", 1: "Fraud: small amount", 2: "Fraud: large amount"}
 # -----------------------------------------------------------------------------
 
-INT_FEATURES = ["step", "type_encoded", "orig_zeroed", "suspicious_type"]
-
 SOURCE_SCHEMA = T.StructType(
     [T.StructField(n, t, True, metadata={"comment": d}) for n, d, t in SOURCE_COLUMNS])
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import logging
-import tempfile
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -21,12 +20,13 @@ SCALE_CONF = {
 
 
 def get_spark(master: str = "local[8]", app: str = "txrisk",
-              shuffle_partitions: int = 8, conf: dict | None = None) -> SparkSession:
+              shuffle_partitions: int | None = None, conf: dict | None = None) -> SparkSession:
+    """A session with SCALE_CONF; sizes (partitions, memory) are the caller's."""
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
-         .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-         .config("spark.driver.memory", "16g"))
+         .config("spark.ui.showConsoleProgress", "false"))
+    if shuffle_partitions is not None:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in {**SCALE_CONF, **(conf or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -35,31 +35,20 @@ def get_spark(master: str = "local[8]", app: str = "txrisk",
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    Only when it is unset *and* the master is local do we create our own
-    folder (tests, bench); on a cluster an unset value returns None.
-    """
+    """The shared checkpoint folder named by ``spark.checkpoint.dir``, or None."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="txrisk-ckpt-"))
-        return sc.getCheckpointDir()
-    return None
+    if not sc.getCheckpointDir():
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named:
+            sc.setCheckpointDir(named)
+    return sc.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder; survives executor loss.
 
-    Without a shared folder (cluster, unset conf) fall back to a persisted
-    frame, which Spark can always recompute from lineage.
+    Without a shared folder (conf unset) fall back to a persisted frame, which
+    Spark can always recompute from lineage.
     """
     if checkpoint_dir(df.sparkSession) is not None:
         return df.checkpoint(eager=True)
