@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 import pyarrow as pa
@@ -25,7 +26,10 @@ def shared_folder(spark) -> str:
     """The folder of ``spark.checkpoint.dir`` (a local master without it gets its own)."""
     root = checkpoint_dir(spark)
     if root is None:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="txrisk-"))
+        root = spark.sparkContext.getCheckpointDir()
     return root
 
 

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .common import save, spare, words
 
@@ -262,9 +263,8 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str, limit: int):
         yield block
 
 
-def contaminated_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       item_col: str = "item_id", item_text_col: str = "text",
-                       block_words: int = BLOCK_WORDS) -> DataFrame:
+def contaminated_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                       item_text_col: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
     """Every row of ``docs`` with ``n_words, spans, items`` appended.
 
     ``spans`` are merged word ranges [start, end) covered by a window of a
@@ -282,9 +282,8 @@ def contaminated_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
         F.expr("cast(array() as array<string>)").alias("items"))
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in out.schema])
     text_at = out.columns.index(text_col)
-    from pyspark.sql.pandas.types import to_arrow_schema
-    arrow = to_arrow_schema(schema)
-    arrow = pa.schema([*list(arrow)[:-2], pa.field("spans", _SPANS), pa.field("items", pa.list_(pa.string()))])
+    arrow = pa.schema([*list(to_arrow_schema(schema))[:-2], pa.field("spans", _SPANS),
+                       pa.field("items", pa.list_(pa.string()))])
     first = True
     for block in _blocks(benchmark, item_col, item_text_col, block_words):
         if not first:
@@ -311,12 +310,12 @@ def cut_words(text: str, spans) -> str:
     return b"".join(kept).decode()
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
-                  text_col: str = "text") -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with benchmark passages cut out of ``text_col``; same columns.
 
-    Documents without a hit stay as they are. A cut is one blank word gap, so
-    what stands before and after it is joined like words of a sentence.
+    Documents without a hit stay as they are (null and empty texts too); of
+    others the characters from a span's first to its last word go, what stands
+    before and after stays. Ids are not read; repeated rows are cut alike.
     """
     names, at = docs.columns, docs.columns.index(text_col)
 
@@ -333,5 +332,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     for c in ("n_words", "spans", "items"):
         if c in own.columns:
             own = own.withColumnRenamed(c, spare(own, c))
-    marked = contaminated_spans(own, benchmark, id_col, text_col).select(*own.columns, "spans")
+    marked = contaminated_spans(own, benchmark, text_col).select(*own.columns, "spans")
     return marked.mapInArrow(cut, docs.schema)

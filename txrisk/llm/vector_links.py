@@ -25,12 +25,14 @@ from .graph import components
 log = logging.getLogger(__name__)
 
 THRESHOLD = 0.9
-LIST = 10                   # neighbours of an unsaturated vector
+LIST = 10                   # neighbours under the threshold that a list keeps
+LINKS = 64                  # links a list holds before it is saturated and grows
 CELL = 256                  # vectors compared at a time in a cell, at most
 TREES = 8                   # hyperplane cells a vector is put into
 AUDIT = 512                 # vectors searched by brute force against all
 RECALL = 0.98               # audited share of links that ends the search
-_GROWTH = 4
+_GROWTH = 16
+_SHOWN = 6                  # lists of a round that show a vector with a long list, about
 
 
 def _matrix(column: pa.Array, kind: str) -> np.ndarray:
@@ -114,7 +116,7 @@ class _Search:
     def refined(self, graph: DataFrame | None, membership: DataFrame) -> DataFrame:
         """New lists (node, k, nbrs, changed) from comparing all of each bucket."""
         if graph is None:
-            graph = self.nodes.select("node", F.lit(LIST).alias("k"),
+            graph = self.nodes.select("node", F.lit(LINKS).alias("k"),
                                       F.expr("cast(array() as array<struct<sim:double,nbr:long>>)").alias("nbrs"))
         state = graph.select("node", "k", F.when(F.size("nbrs") >= F.col("k"), F.expr("element_at(nbrs, -1).sim"))
                              .otherwise(-2.0).alias("kth"))
@@ -135,12 +137,15 @@ class _Search:
         return save(kept.select(
             "node", F.when(saturated, F.col("k") * _GROWTH).otherwise(F.col("k")).alias("k"),
             F.expr("transform(all, x -> named_struct('sim', x.sim, 'nbr', x.nbr))").alias("nbrs"),
-            (saturated | F.expr("exists(all, x -> x.old = 0)")).alias("changed"), saturated.alias("saturated")), "lists")
+            (saturated | F.expr(f"exists(all, x -> x.old = 0 and x.sim >= {self.threshold})")
+             | (links < LIST) & F.expr("exists(all, x -> x.old = 0)")).alias("changed"), saturated.alias("saturated")), "lists")
 
     def around(self, graph: DataFrame, step: int) -> DataFrame:
-        """Membership of the lists' local joins: changed lists only; of long lists
-        one in k / LIST, which still shows every vector about LIST of them."""
-        turn = F.pmod(F.xxhash64("node", F.lit(step)), F.greatest(F.lit(1), F.floor(F.col("k") / LIST))) == 0
+        """Membership of the lists' local joins: changed lists only; of lists over
+        2 LIST long a share that still shows every vector about _SHOWN of them."""
+        size = F.size("nbrs")
+        one_in = F.when(size > 2 * LIST, F.floor(size / _SHOWN)).otherwise(1)
+        turn = F.pmod(F.xxhash64("node", F.lit(step)), one_in) == 0
         centre = graph.where(F.col("changed") & turn)
         own = centre.select(F.col("node").alias("bucket"), "node")
         return own.unionByName(centre.select(F.col("node").alias("bucket"), F.explode("nbrs.nbr").alias("node")))
