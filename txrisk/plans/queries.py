@@ -372,6 +372,13 @@ def q_folds(spark, sf_dir):
     return sa.stratified_folds(train).select(KEY, LABEL, "fold")
 
 
+@register("shuffle_order", _sql(S.TX, body="""
+SELECT row_key, row_number() OVER (ORDER BY md5(concat(row_key, ':42')), row_key) - 1 AS position FROM tx"""))
+def q_shuffle_order(spark, sf_dir):
+    """K6: the seeded shuffle order as a 0-based position of every row."""
+    return sa.digest_rank(src.load_tx(spark, sf_dir).select(KEY), out="position")
+
+
 # ---------------------------------------------------------------- metrics
 def _pred(spark, sf_dir) -> DataFrame:
     """rule-based predictions (no model) over the feature table."""
