@@ -33,7 +33,7 @@ from .common import save, shared_folder
 LENGTH = 50
 _K, _W, _T = 28, 23, 5              # sampled prefix, strings per sample window, bytes that pick the sample
 BLOCK = 8 << 20                     # text bytes of a block
-_SLICE = 1 << 19                    # bytes named at a time (long texts are sliced, overlapping)
+_SLICE = 1 << 16                    # bytes named at a time (long texts are sliced, overlapping)
 _PER_RANGE = 200_000                # names of a round per name range, about
 _NO_ID = np.iinfo(np.int64).max     # order of a document without id
 _BASE = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))   # any odd numbers
@@ -65,13 +65,19 @@ class _Powers:
 class Names:
     """Names of substrings of a buffer, from prefix sums of letter * base^place."""
 
-    def __init__(self, buf: np.ndarray, powers: _Powers):
+    def __init__(self, buf: np.ndarray, powers: _Powers, checks: bool = True):
         self.p, self.sums = powers, []
-        for k in range(2):
+        for k in range(2 if checks else 1):
             s = np.zeros(len(buf) + 1, np.uint64)
             np.cumsum(_LETTER[k][buf] * powers.up[k][:len(buf)], out=s[1:])
             self.sums.append(s)
 
+    def everywhere(self, length: int) -> np.ndarray:
+        """Plain (less mixed) names of all substrings of one length, in order."""
+        s, n = self.sums[0], len(self.sums[0]) - length
+        raw = (s[length:] - s[:-length]) * self.p.down[0][:n]
+        return (raw ^ (raw >> np.uint64(32))) * _MIX[1]
+
     def of(self, start: np.ndarray, end: np.ndarray, k: int = 0) -> np.ndarray:
         raw = (self.sums[k][end] - self.sums[k][start]) * self.p.down[k][start]
         return _mix(raw + (end - start).astype(np.uint64))
@@ -83,9 +89,8 @@ class Names:
 def _sampled(buf: np.ndarray, names: Names) -> np.ndarray:
     """For each string start i the sampled position inside it: it depends only
     on the string's bytes (smallest 5-byte name, its place modulo the window)."""
-    n = len(buf) - _T + 1
-    at = np.arange(n)
-    low = (names.of(at, at + _T) & ~np.uint64(0xFFFFFFFF)) | at.astype(np.uint64)
+    low = names.everywhere(_T) & ~np.uint64(0xFFFFFFFF)
+    low |= np.arange(len(low), dtype=np.uint64)
     reach, need = 1, LENGTH - _T + 1
     while reach < need:
         step = min(reach, need - reach)
@@ -99,8 +104,8 @@ class Block:
     """Stretches (runs of string starts with one sampled position) of a block's
     texts: document number, first and last start, sample name, stretch name."""
 
-    def __init__(self, texts: list[bytes], order: np.ndarray):
-        self.texts, self.order = texts, order
+    def __init__(self, texts: list[bytes], order: np.ndarray, checks: bool = True):
+        self.texts, self.order, self.checks = texts, order, checks
         parts, held, size = [], [], 0
         self.powers = _Powers(_SLICE + 2 * LENGTH)
         for d, t in enumerate(texts):
@@ -127,30 +132,32 @@ class Block:
 
     def _stretches(self, held):
         buf = np.frombuffer(b"".join(p for _, _, p in held), np.uint8)
-        names = Names(buf, self.powers)
+        names = Names(buf, self.powers, self.checks)
         sizes = np.array([len(p) for _, _, p in held])
         begin = sizes.cumsum() - sizes
-        piece = np.repeat(np.arange(len(held)), sizes)[:len(buf) - LENGTH + 1]
         at = _sampled(buf, names)
-        valid = np.arange(len(at)) + LENGTH <= (begin + sizes)[piece]
-        cut = np.concatenate([[True], (at[1:] != at[:-1]) | (piece[1:] != piece[:-1]) | ~valid[:-1]])
-        first = np.flatnonzero(cut & valid)
-        # A stretch ends before the next cut or at its piece's last string.
-        bounds = np.append(np.flatnonzero(cut), len(at))
-        last = np.minimum(bounds[np.searchsorted(bounds, first, side="right")] - 1,
-                          (begin + sizes)[piece[first]] - LENGTH)
+        # Stretches end where the sample changes and after a piece's last string.
+        cut = np.concatenate([[True], at[1:] != at[:-1]])
+        over = begin + sizes - LENGTH + 1
+        cut[begin] = True
+        cut[over[over < len(at)]] = True
+        first = np.flatnonzero(cut)
+        last = np.append(first[1:], len(at)) - 1
+        piece = np.searchsorted(begin, first, side="right") - 1
+        inside = first < over[piece]
+        first, last, piece = first[inside], last[inside], piece[inside]
         a = at[first]
         stretch = names.of(first, last + LENGTH) ^ _mix((a - first).astype(np.uint64) + np.uint64(1))
         doc, offset = np.array([h[0] for h in held]), np.array([h[1] for h in held])
-        shift = (offset - begin)[piece[first]]
-        return (doc[piece[first]], first + shift, last + shift, names.of(a, a + _K), stretch,
-                names.check(first, last + LENGTH))
+        shift = (offset - begin)[piece]
+        check = names.check(first, last + LENGTH) if self.checks else np.zeros(len(first), np.uint32)
+        return doc[piece], first + shift, last + shift, names.of(a, a + _K), stretch, check
 
     def strings(self, pick: np.ndarray):
         """(run, start, name, check) of every string in the picked stretches."""
         out = []
-        for lo in range(0, len(pick), 4096):
-            runs = pick[lo:lo + 4096]
+        for lo in range(0, len(pick), 640):
+            runs = pick[lo:lo + 640]
             texts = [self.texts[self.doc[r]][self.lo[r]:self.hi[r] + LENGTH] for r in runs]
             sizes = np.array([len(t) for t in texts])
             counts = sizes - LENGTH + 1
@@ -167,9 +174,6 @@ class Block:
 
 
 # ------------------------------------------------------- names on the wire
-_WIRE = np.dtype([("name", "<u8"), ("a", "<u8"), ("b", "<u8")])
-
-
 def _planes(x: np.ndarray) -> bytes:
     """Bytes of equal weight side by side, so that the shuffle's compression
     finds the zeros of small numbers."""
@@ -267,7 +271,7 @@ class _Rounds:
         self.bits, self.answers = bits, answers
         self.id = docs.column("block")[0].as_py() if docs.num_rows else -1
         order = docs.column("ord").to_numpy()
-        self.block = b = Block([t or b"" for t in docs.column("body").to_pylist()], order)
+        self.block = b = Block([t or b"" for t in docs.column("body").to_pylist()], order, upto >= STRETCH)
         if upto < STRETCH:
             return
         live_sample = _bits(answers, SAMPLE, b.samples, bits) | b.shared_here
