@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import sql
 from .decontaminate import contaminated_spans
 from .licenses import license_scan
 from .packing import pack
@@ -23,8 +25,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def register(fn):
+def register(fn, oracle: str | None = None):
     QUERIES[fn.__name__] = fn
+    if oracle is not None:
+        ORACLE[fn.__name__] = oracle
     return fn
 
 
@@ -38,7 +42,7 @@ def op10_token_counts(spark, sf_dir):
     out = token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return out.withColumn("over_limit", F.col("n_tokens") > 4096)
 
-@register
+@partial(register, oracle=sql.DECONTAMINATE)
 def op8_decontaminate(spark, sf_dir):
     """Words of every document inside 10-word windows of the benchmark."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -76,13 +80,13 @@ def op1_packing(spark, sf_dir):
     return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-@register
+@partial(register, oracle=sql.WARC)
 def op6_warc(spark, sf_dir):
     """Pages written as WARC records and read back along verified boundaries."""
     return warc_roundtrip(_table(spark, sf_dir, "pages"))
 
 
-@register
+@partial(register, oracle=sql.VECTOR_LINKS)
 def op9_vector_links(spark, sf_dir):
     """Embeddings linked at cosine 0.9 or more, with their components."""
     return vector_links(_table(spark, sf_dir, "embeddings"))
@@ -95,7 +99,7 @@ def op2_pii(spark, sf_dir):
     return pseudonymize(docs, count_col="n_replaced").withColumn("changed", F.col("n_replaced") > 0)
 
 
-@register
+@partial(register, oracle=sql.REPEATS)
 def op4_repeats(spark, sf_dir):
     """Bytes of every document covered by 50-byte strings of earlier documents."""
     return repeated_bytes(_table(spark, sf_dir, "documents"))
