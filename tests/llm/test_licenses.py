@@ -1,6 +1,8 @@
+import math
 import re
+from collections import defaultdict
 
-from txrisk.llm.licenses import BASE, TEMPLATES, license_scan
+from txrisk.llm.licenses import BASE, INDEXED, LOOKED_UP, PLAIN, SHARE, TEMPLATES, license_scan
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -52,3 +54,44 @@ def test_query(spark):
     assert {r.doc_id: (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in got} == \
         {d: _brute(t) for d, t in docs.items()}
     assert any(r.n_base for r in got) and all(r.labels == "" for r in got if r.n_base == 0)
+
+
+def _brute_method(texts):
+    """(labels, score) of every text by the whole method, one text at a time."""
+    lower = [WORD.findall(re.sub("[A-Z]", lambda m: m.group().lower(), t or "")) for t in texts]
+    notices = [(label, WORD.findall(t.lower()), p.split()) for label, t, p in TEMPLATES]
+    vocabulary = {w for _, t, _ in notices for w in t} - PLAIN
+    idf = {v: math.log((len(texts) + 1) / (sum(v in set(w) for w in lower) + 1) + 1) for v in vocabulary}
+    index = []
+    for label, t, phrase in notices:
+        kept = sorted(((-idf[w], w, i) for i, w in enumerate(t) if w not in PLAIN))[:INDEXED]
+        index.append((label, phrase, len(t), [(w, i) for _, w, i in kept], -sum(x for x, _, _ in kept)))
+    out = []
+    for w, (_, _, _, _, base) in zip(lower, map(_brute, texts)):
+        labels, score = set(filter(None, base.split(","))), 0.5 if base else 0.0
+        looked = sorted(set(w) & vocabulary, key=lambda v: (-idf[v], v))[:LOOKED_UP]
+        shares = []
+        for label, phrase, size, tokens, weight in index:
+            got = defaultdict(float)
+            for v, at in tokens:
+                if v in looked:
+                    for i in (i for i, x in enumerate(w) if x == v):
+                        got[i - at] += idf[v]
+            places = [i for i in range(len(w)) if w[i:i + len(phrase)] == phrase]
+            for offset, g in got.items():
+                if g / weight >= SHARE and any(offset <= i <= offset + size for i in places):
+                    labels.add(label)
+                    shares.append(min(1.0, g / weight))
+        out.append((",".join(sorted(labels)), max(shares, default=score)))
+    return out
+
+
+def test_method_against_brute_force(spark):
+    sf = "/root/testdata/sf0.01"
+    texts = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect()]
+    cut = [" ".join(t.split()[k:]) for k, (_, t, _) in enumerate(TEMPLATES)]
+    texts += [t for t in TEXTS if t is None or len(t) < 20_000] + cut + [a[1] + " and " + b[1] for a, b in zip(TEMPLATES, TEMPLATES[3:])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in license_scan(df).collect()}
+    for i, (labels, score) in enumerate(_brute_method(texts)):
+        assert got[i][0] == labels and abs(got[i][1] - score) < 1e-9, (i, got[i], labels, score)
