@@ -47,8 +47,10 @@ def test_edges(spark):
 
 
 @pytest.mark.parametrize("sizes", [[60, 30, 5, 2, 2], [150]])
-def test_groups_of_near_copies(spark, sizes):
-    """Lists of 10 must grow for groups that are larger."""
+def test_groups_of_near_copies(spark, sizes, monkeypatch):
+    """Lists with room for 8 links must grow for groups that are larger."""
+    monkeypatch.setattr(vl, "LINKS", 8)
+    monkeypatch.setattr(vl, "_GROWTH", 4)
     rng = np.random.default_rng(4)
     rows = []
     for n in sizes:

@@ -26,13 +26,13 @@ log = logging.getLogger(__name__)
 
 THRESHOLD = 0.9
 LIST = 10                   # neighbours under the threshold that a list keeps
-LINKS = 64                  # links a list holds before it is saturated and grows
+LINKS = 1024                  # links a list holds before it is saturated and grows
 CELL = 256                  # vectors compared at a time in a cell, at most
 TREES = 8                   # hyperplane cells a vector is put into
 AUDIT = 512                 # vectors searched by brute force against all
 RECALL = 0.98               # audited share of links that ends the search
 _GROWTH = 16
-_SHOWN = 6                  # lists of a round that show a vector with a long list, about
+_SHOWN = 3                  # lists of a round that show a vector with a long list, about
 
 
 def _matrix(column: pa.Array, kind: str) -> np.ndarray:
