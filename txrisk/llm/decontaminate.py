@@ -231,8 +231,8 @@ def _scan(bc, text_at: int, schema: pa.Schema):
 
         get = block["vocab"].get
         for whole in it:
-            for start in range(0, whole.num_rows, 1000):
-                b = whole.slice(start, 1000)
+            for start in range(0, whole.num_rows, 200):
+                b = whole.slice(start, 200)
                 for t in b.column(text_at).to_pylist():
                     w = words(t)
                     x = np.fromiter(map(get, w, repeat(0)), np.int32, len(w))

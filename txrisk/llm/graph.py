@@ -8,16 +8,27 @@ from pyspark.sql import functions as F
 from .common import save
 
 
+SALTS = 8           # parts that a hub's edges are dealt to
+
+
+def _joined(edges: DataFrame, low: DataFrame, other: str) -> DataFrame:
+    """``edges`` with the smallest neighbour ``m`` of ``u``: each node's row of
+    ``low`` goes to every salt, so that the edges of a hub are spread."""
+    salt = F.pmod(F.xxhash64(other), F.lit(SALTS)).alias("salt")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
+    return edges.select("u", "v", salt).join(low.select("u", "m", every), ["u", "salt"]).select("u", "v", "m")
+
+
 def _large_star(e: DataFrame) -> DataFrame:
     both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return _joined(both.where("v > u"), low, "v").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(e: DataFrame) -> DataFrame:
     down = e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     low = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(low, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = _joined(down, low, "v").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(low.select("u", F.col("m").alias("v"))).where("u > v").distinct()
 
 
