@@ -10,10 +10,12 @@ only positions that can still matter take part in a round:
 2. the stretch of strings around a sampled position, doubled in length: a
    stretch that stands in an earlier document is repeated as a whole; a
    position with just one such stretch in the corpus needs nothing more;
-3. what is left, at the full 50 bytes, position by position.
+3. what is left, position by position: Spark sorts rows of position and rank
+   pair, the ranks of the 28 bytes at a position and at 22 bytes on, which
+   together are the 50-byte string, and the least document of equal pairs.
 
-A round's names are sorted within blocks of documents, grouped by name range on
-Spark, compared over all blocks, and answered with one bit a name.
+In rounds 1 and 2 the names are sorted within blocks of documents, grouped by
+name range on Spark, compared over all blocks, and answered with a bit a name.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -154,7 +156,7 @@ class Block:
         return doc[piece], first + shift, last + shift, names.of(a, a + _K), stretch, check
 
     def strings(self, pick: np.ndarray):
-        """(run, start, name, check) of every string in the picked stretches."""
+        """(run, start, rank pair, check) of every string in the picked stretches."""
         out = []
         for lo in range(0, len(pick), 640):
             runs = pick[lo:lo + 640]
@@ -168,9 +170,9 @@ class Block:
             inside = np.arange(counts.sum()) - np.repeat(counts.cumsum() - counts, counts)
             at = np.repeat(begin, counts) + inside
             out.append((np.repeat(runs, counts), np.repeat(self.lo[runs], counts) + inside,
-                        names.of(at, at + LENGTH), names.check(at, at + LENGTH)))
-        return tuple(np.concatenate(c) for c in zip(*out)) if out else \
-            (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint32))
+                        names.of(at, at + _K), names.of(at + LENGTH - _K, at + LENGTH), names.check(at, at + LENGTH)))
+        kinds = (np.int64, np.int64, np.uint64, np.uint64, np.uint32)
+        return tuple(np.concatenate(c) for c in zip(*out)) if out else tuple(np.zeros(0, t) for t in kinds)
 
 
 # ------------------------------------------------------- names on the wire
@@ -216,7 +218,7 @@ SAMPLE, SEVERAL, STRETCH, STRING = range(4)
 def _answered(key, table):
     """One bit per name of each block: what the other blocks say about it."""
     kind = key[0].as_py()
-    wide = {SAMPLE: (), SEVERAL: ("<u8", "<u8"), STRETCH: ("<u4", "<i8"), STRING: ("<u4", "<i8")}[kind]
+    wide = {SAMPLE: (), SEVERAL: ("<u8", "<u8"), STRETCH: ("<u4", "<i8")}[kind]
     got = [_unpacked(raw, *wide) for raw in table.column("names").to_pylist()]
     sizes = np.array([len(g[0]) for g in got])
     columns = [np.concatenate(c) for c in zip(*got)]
@@ -254,14 +256,34 @@ def _bits(answers: pa.Table, kind: int, name: np.ndarray, bits: int) -> np.ndarr
     return out
 
 
-def _least(name: np.ndarray, check: np.ndarray, doc: np.ndarray):
-    """Distinct (name, check) sorted, the least document of each, and where each row is."""
-    order = np.lexsort((doc, check, name))
-    n, c, d = name[order], check[order], doc[order]
-    new = np.concatenate([np.ones(min(1, len(n)), bool), (n[1:] != n[:-1]) | (c[1:] != c[:-1])])
-    of = np.empty(len(n), np.int64)
+def _marked(key, table):
+    """Numbers of a block's strings that stand in earlier documents, as bits."""
+    nth = table.column("nth").to_numpy()
+    bits = np.zeros(int(nth.max()) + 1, bool)
+    bits[nth] = True
+    return pa.Table.from_arrays([pa.array([c], f.type) for c, f in
+                                 zip((STRING, 0, key[0].as_py(), np.packbits(bits).tobytes()), _SEND)], schema=_SEND)
+
+
+def _string_bits(answers: pa.Table, n: int) -> np.ndarray:
+    out = np.zeros(n, bool)
+    for k, raw in zip(answers.column("kind").to_pylist(), answers.column("names").to_pylist()):
+        if k == STRING:
+            bits = np.unpackbits(np.frombuffer(raw, np.uint8))[:n].astype(bool)
+            out[:len(bits)] = bits
+    return out
+
+
+def _least(doc: np.ndarray, *keys: np.ndarray):
+    """Distinct keys in order, the least document of each, and where each row is."""
+    order = np.lexsort((doc, *keys[::-1]))
+    d, sorted_ = doc[order], [k[order] for k in keys]
+    new = np.ones(len(d), bool)
+    if len(d):
+        new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in sorted_])
+    of = np.empty(len(d), np.int64)
     of[order] = new.cumsum() - 1
-    return n[new], c[new], d[new], of
+    return [k[new] for k in sorted_], d[new], of
 
 
 class _Rounds:
@@ -281,21 +303,21 @@ class _Rounds:
         self.low, self.high = np.full(len(self.live), 2**64 - 1, np.uint64), np.zeros(len(self.live), np.uint64)
         np.minimum.at(self.low, self.of_live, b.stretch[self.run])
         np.maximum.at(self.high, self.of_live, b.stretch[self.run])
-        self.name, self.check, self.first, self.of = _least(b.stretch[self.run], b.check[self.run], self.doc)
+        (self.name, self.check), self.first, self.of = _least(self.doc, b.stretch[self.run], b.check[self.run])
         if upto < STRING:
             return
         earlier = _bits(answers, STRETCH, self.name, bits)
         self.whole = earlier[self.of] | (self.doc > self.first[self.of])
         several = _bits(answers, SEVERAL, self.live, bits)
         open_ = np.flatnonzero(~self.whole & several[self.of_live])
-        run, self.start, name, check = b.strings(self.run[open_])
+        run, self.start, *pair = b.strings(self.run[open_])
         self.string_doc = b.doc[run]
-        self.s_name, self.s_check, self.s_first, self.s_of = _least(name, check, order[self.string_doc])
+        self.pairs, self.s_first, self.s_of = _least(order[self.string_doc], *pair)
 
     def hits(self):
         """(document number, first start, last start) of repeated strings."""
         b = self.block
-        earlier = _bits(self.answers, STRING, self.s_name, self.bits)
+        earlier = _string_bits(self.answers, len(self.s_first))
         hit = earlier[self.s_of] | (b.order[self.string_doc] > self.s_first[self.s_of])
         runs = self.run[self.whole]
         return (np.concatenate([b.doc[runs], self.string_doc[hit]]),
@@ -309,16 +331,31 @@ def _ask(bits: int, upto: int):
             r = _Rounds(docs, answers, bits, upto)
             if upto == SAMPLE:
                 rows = _requests(SAMPLE, r.id, bits, r.block.samples)
-            elif upto == STRETCH:
+            else:
                 rows = _requests(SEVERAL, r.id, bits, r.live, r.low, r.high) + \
                     _requests(STRETCH, r.id, bits, r.name, r.check, r.first)
-            else:
-                rows = _requests(STRING, r.id, bits, r.s_name, r.s_check, r.s_first)
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SEND)], schema=_SEND) \
             if rows else _SEND.empty_table()
     return run
 
 
+_PAIR = pa.schema([("block", pa.int64()), ("nth", pa.int32()), ("a", pa.int64()), ("b", pa.int64()),
+                   ("tail", pa.int32()), ("doc", pa.int64())])
+
+
+def _pairs(bits: int):
+    """A block's open strings: number, rank pair, check, least document here."""
+    def run(_, docs, answers):
+        if not docs.num_rows:
+            return _PAIR.empty_table()
+        r = _Rounds(docs, answers, bits, STRING)
+        (a, b, check), n = r.pairs, len(r.s_first)
+        columns = [np.full(n, r.id), np.arange(n, dtype=np.int32), a.view(np.int64), b.view(np.int64),
+                   check.view(np.int32), r.s_first]
+        return pa.Table.from_arrays([pa.array(c) for c in columns], schema=_PAIR)
+    return run
+
+
 def _spans(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray):
     """Per document number: maximal removed byte spans."""
     out: dict[int, list] = {}
@@ -399,10 +436,15 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     total = blocks.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     bits = int(np.ceil(np.log2(max(1, total / 16 / _PER_RANGE))))
     answers = spark.createDataFrame([], _ROW)
-    for upto in (SAMPLE, STRETCH, STRING):
+    for upto in (SAMPLE, STRETCH):
         asked = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_ask(bits, upto), _ROW)
-        new = save(asked.groupBy("kind", "range").applyInArrow(_answered, _ROW), "answers")
-        answers = answers.unionByName(new)
+        answers = answers.unionByName(save(asked.groupBy("kind", "range").applyInArrow(_answered, _ROW), "answers"))
+    pairs = blocks.groupBy("block").cogroup(answers.groupBy("block")) \
+        .applyInArrow(_pairs(bits), "block long, nth int, a long, b long, tail int, doc long")
+    # A pair has a row per block at most, so no key gathers more than the blocks.
+    same = Window.partitionBy("a", "b", "tail")
+    later = pairs.withColumn("least", F.min("doc").over(same)).where("least < doc").select("block", "nth")
+    answers = answers.unionByName(save(later.groupBy("block").applyInArrow(_marked, _ROW), "answers"))
     fields = [("id", kind), ("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()),
               ("kept_sha256", T.StringType())]
     if with_spans:
