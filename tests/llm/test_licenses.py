@@ -95,3 +95,16 @@ def test_method_against_brute_force(spark):
     got = {r.doc_id: (r.labels, r.score) for r in license_scan(df).collect()}
     for i, (labels, score) in enumerate(_brute_method(texts)):
         assert got[i][0] == labels and abs(got[i][1] - score) < 1e-9, (i, got[i], labels, score)
+
+
+def test_many_notices_in_one_file(spark):
+    """Notices of commoner words stay when others in the file have rarer ones."""
+    every = "\n".join(t for _, t, _ in TEMPLATES)
+    four = [t for label, t, _ in TEMPLATES if label in ("lgpl", "cc-by")] + [TEMPLATES[8][1], TEMPLATES[5][1]]
+    nc = [t for label, t, _ in TEMPLATES if label in ("bsd", "isc", "lgpl", "cc-by-nc")]
+    texts = [every, "\n".join(four), "\n".join(nc)] + [t for _, t, _ in TEMPLATES] * 3 + ["no notice"] * 40
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in license_scan(df).collect()}
+    assert set(got[0].split(",")) == {label for label, _, _ in TEMPLATES}
+    assert {"lgpl", "mit", "apache-2.0", "cc-by"} <= set(got[1].split(","))
+    assert {"bsd", "isc", "lgpl", "cc-by-nc"} <= set(got[2].split(","))

@@ -1,8 +1,8 @@
 """License scan by a positional rare-token index, on DataFrame functions only.
 
 Each licence notice (template) is indexed by the positions of its rarest words,
-rarity (IDF) being measured over all documents. A document looks up its
-highest-IDF licence words, postings are intersected by relative position
+rarity (IDF) being measured over all documents. A document looks up all its
+licence words, postings are intersected by relative position
 (document position minus template position), and a template counts when enough
 of its weight lines up at one offset and its mandatory key phrase stands there.
 """
@@ -55,7 +55,6 @@ TEMPLATES = [
 PLAIN = set("a an and any are as at by can for in into is it may no not of or that the this to under use used "
             "with without you".split())
 INDEXED = 12     # rarest tokens a template is indexed by
-LOOKED_UP = 24   # highest-IDF licence words a document looks up
 SHARE = 0.5      # of a template's weight that must line up
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -65,6 +64,11 @@ def _words_of(text: str) -> list[str]:
     return re.findall(_WORD, text.lower())
 
 
+# The licence words, bounded by the templates; a document looks up all it holds.
+_VOCABULARY = {w for _, t, _ in TEMPLATES for w in _words_of(t)} - PLAIN
+LOOKED_UP = len(_VOCABULARY)
+
+
 def _quoted(words) -> str:
     return ", ".join(f"'{w}'" for w in sorted(words))
 
@@ -74,14 +78,13 @@ def _located(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     phrases = {p for p, _ in BASE} | {p for _, _, p in TEMPLATES}
     longest = max(len(p.split()) for p in phrases)
     firsts = {p.split()[0] for p in phrases}
-    vocabulary = {w for _, t, _ in TEMPLATES for w in _words_of(t)} - PLAIN
     any_phrase = "^(" + "|".join(sorted(phrases)) + ")( |$)"
     lowered = F.translate(F.coalesce(text_col, F.lit("")), _UPPER, _LOWER)
     rows = docs.select(F.col(id_col).alias("id"), F.regexp_extract_all(lowered, F.lit(_WORD), F.lit(0)).alias("w"))
     return rows.select(
         "id", F.size("w").cast("long").alias("n_words"),
         F.expr("filter(transform(w, (x, i) -> named_struct('word', x, 'i', i)), "
-               f"s -> s.word in ({_quoted(vocabulary)}))").alias("found"),
+               f"s -> s.word in ({_quoted(_VOCABULARY)}))").alias("found"),
         F.expr("filter(transform(filter(transform(w, (x, i) -> named_struct('word', x, 'i', i)), "
                f"s -> s.word in ({_quoted(firsts)})), "
                f"s -> named_struct('i', s.i, 'next', array_join(slice(w, s.i + 1, {longest}), ' '))), "
@@ -111,10 +114,9 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spark = docs.sparkSession
     at = save(_located(docs, id_col, text_col).withColumn("uid", F.monotonically_increasing_id()), "license-words")
     total = at.count()
-    vocabulary = {w for _, t, _ in TEMPLATES for w in _words_of(t)} - PLAIN
     seen = at.select(F.explode(F.array_distinct("found.word")).alias("word")).groupBy("word").count()
     # Bounded by the templates' words, whatever the corpus.
-    idf = spark.createDataFrame([(w,) for w in sorted(vocabulary)], "word string").join(seen, "word", "left") \
+    idf = spark.createDataFrame([(w,) for w in sorted(_VOCABULARY)], "word string").join(seen, "word", "left") \
         .select("word", F.log((F.lit(total) + 1.0) / (F.coalesce("count", F.lit(0)) + 1.0) + 1.0).alias("idf"))
     idf = save(idf, "license-idf")
     index = F.broadcast(_postings(spark, idf))
@@ -129,10 +131,7 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.count("*").alias("n_base"), F.min("i").cast("long").alias("first_word"),
         F.max("i").cast("long").alias("last_word"), F.collect_set("label").alias("base_set"))
 
-    ranked = Window.partitionBy("uid").orderBy(F.desc("idf"), "word")
-    looked_up = starts.select("uid", F.explode("found").alias("f")).select("uid", "f.word", "f.i") \
-        .join(F.broadcast(idf), "word").withColumn("nth", F.dense_rank().over(ranked)) \
-        .where(f"nth <= {LOOKED_UP}").select("uid", "word", "i")
+    looked_up = starts.select("uid", F.explode("found").alias("f")).select("uid", "f.word", "f.i")
     aligned = looked_up.join(index, "word") \
         .groupBy("uid", "template", "label", "phrase", "size", "weight", (F.col("i") - F.col("at")).alias("offset")) \
         .agg(F.sum("idf").alias("got")) \
