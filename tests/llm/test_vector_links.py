@@ -71,3 +71,25 @@ def test_query(spark):
     sf = "/root/testdata/sf0.01"
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
     assert _rows(QUERIES["op9_vector_links"](spark, sf)) == _brute(rows)
+
+
+def _search(spark, rows):
+    nodes = spark.createDataFrame([(i, len(x), bytearray(np.float32(x).tobytes())) for i, x in enumerate(rows)],
+                                  "node long, dim int, vec binary")
+    return vl._Search(nodes, "<f4", 0.9)
+
+
+@pytest.mark.parametrize("hot", [0, 200])
+def test_audit_sees_lost_pairs(spark, hot, monkeypatch):
+    """Three pairs among 1,500 vectors are lost, whether or not a large group is held."""
+    monkeypatch.setattr(vl, "AUDIT", 64)
+    rng = np.random.default_rng(6)
+    group = rng.normal(size=64) + rng.normal(size=(hot, 64)) * 0.1
+    lone = rng.normal(size=(1500, 64))
+    search = _search(spark, [*group, *lone, *(lone[:3] + rng.normal(size=(3, 64)) * 0.1)])
+    together = spark.range(hot + 1500).selectExpr(f"if(id < {hot}, -1L, id) as bucket", "id as node")
+    graph = search.refined(None, together)
+    assert search.links(graph).count() == hot * (hot - 1) // 2
+    assert search.recall(graph) < vl.RECALL
+    whole = search.refined(graph, spark.range(hot + 1503).selectExpr("0L as bucket", "id as node"))
+    assert search.recall(whole) == 1.0

@@ -4,22 +4,24 @@ Equal vectors are collapsed first. Random hyperplane cells give every vector a
 first neighbour list; rounds of local joins (all vectors of one list against
 each other, with a bounded product per list) refine the lists through
 neighbours of neighbours. A list whose last neighbour is still over the
-threshold is saturated: it is enlarged and its vector refined again. When a
-round finds no new link, recall is audited against brute force for a sample of
-vectors against all; below the target, fresh cells reseed the lists. Edges
-over the threshold, checked in double precision, are the links.
+threshold is saturated: it is enlarged and its vector refined again. When no
+list changes any more, recall is audited per vector against brute force for a
+sample that holds enough linked vectors (or all); below the target, fresh cells
+reseed the lists. Edges over the threshold, checked in double precision, are
+the links.
 """
 
 from __future__ import annotations
 
 import logging
+import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import save
+from .common import save, shared_folder
 from .graph import components
 
 log = logging.getLogger(__name__)
@@ -29,10 +31,11 @@ LIST = 10                   # neighbours under the threshold that a list keeps
 LINKS = 1024                  # links a list holds before it is saturated and grows
 CELL = 256                  # vectors compared at a time in a cell, at most
 TREES = 8                   # hyperplane cells a vector is put into
-AUDIT = 512                 # vectors searched by brute force against all
-RECALL = 0.98               # audited share of links that ends the search
+AUDIT = 512                 # vectors with 1 to LIST links that an audit finds by brute force, or all
+RECALL = 0.98               # audited share of a vector's links, on average, that ends the search
 _GROWTH = 16
 _SHOWN = 3                  # lists of a round that show a vector with a long list, about
+_SLICE = 4096               # vectors searched against all at a time, at most
 
 
 def _matrix(column: pa.Array, kind: str) -> np.ndarray:
@@ -98,12 +101,30 @@ def _local_join(kind: str, threshold: float):
     return run
 
 
+def _against(kind: str, threshold: float, sets: list):
+    """(node, dim, vec) -> links (node of ``sets``, how many) in a part of a batch."""
+    def run(it):
+        for b in it:
+            of = b.column("dim").to_numpy()
+            for d, ids, y in sets:
+                part = b.filter(pa.array(of == d))
+                for lo in range(0, part.num_rows, 512):
+                    rows = part.slice(lo, 512)
+                    linked = _matrix(rows.column("vec"), kind) @ y.T >= threshold
+                    n = (linked & (rows.column("node").to_numpy()[:, None] != ids)).sum(axis=0)
+                    some = np.flatnonzero(n)
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(n[some])], names=["node", "n"])
+    return run
+
+
 class _Search:
     """Neighbour lists over distinct vectors (node, dim, vec, copies)."""
 
     def __init__(self, nodes: DataFrame, kind: str, threshold: float):
         self.nodes, self.kind, self.threshold = nodes, kind, threshold
-        self.n = nodes.count()
+        self.n, widest = nodes.agg(F.count("*"), F.max("dim")).first()
+        self.slices = int(np.ceil(self.n / max(64, min(_SLICE, 2 ** 21 // (widest or 1)))))
+        self.truth = None
 
     def seeded(self, seed: int) -> DataFrame:
         """Membership (bucket, node) of hyperplane cells; large cells are cut by hash."""
@@ -138,7 +159,7 @@ class _Search:
             "node", F.when(saturated, F.col("k") * _GROWTH).otherwise(F.col("k")).alias("k"),
             F.expr("transform(all, x -> named_struct('sim', x.sim, 'nbr', x.nbr))").alias("nbrs"),
             (saturated | F.expr(f"exists(all, x -> x.old = 0 and x.sim >= {self.threshold})")
-             | (links < LIST) & F.expr("exists(all, x -> x.old = 0)")).alias("changed"), saturated.alias("saturated")), "lists")
+             | (links < LIST) & F.expr("exists(all, x -> x.old = 0)")).alias("changed")), "lists")
 
     def around(self, graph: DataFrame, step: int) -> DataFrame:
         """Membership of the lists' local joins: changed lists only; of lists over
@@ -155,46 +176,56 @@ class _Search:
         e = graph.select("node", F.explode("nbrs").alias("e")).where(F.col("e.sim") >= self.threshold)
         return e.select(F.least("node", "e.nbr").alias("a"), F.greatest("node", "e.nbr").alias("b")).distinct()
 
-    def recall(self, graph: DataFrame) -> float:
-        """Share of the links of AUDIT sampled vectors (against all) that the lists hold."""
-        sample = self.nodes.orderBy(F.xxhash64("node", F.lit(5))).limit(AUDIT).select("node", "dim", "vec").toArrow()
-        if not sample.num_rows:
-            return 1.0
-        dims = sample.column("dim").to_numpy()
-        sets = []
+    def sliced(self, k: int) -> list:
+        """(dim, nodes, unit vectors) of the k-th random slice of all vectors."""
+        part = self.nodes.where(F.pmod(F.xxhash64("node", F.lit(5)), F.lit(self.slices)) == k) \
+            .select("node", "dim", "vec").toArrow().combine_chunks()
+        dims, sets = part.column("dim").to_numpy(), []
         for d in np.unique(dims):
-            part = sample.filter(pa.array(dims == d))
-            sets.append((int(d), part.column("node").to_numpy(), _matrix(part.column("vec"), self.kind)))
-        kind, threshold = self.kind, self.threshold
-
-        def brute(it):
-            for b in it:
-                of = b.column("dim").to_numpy()
-                for d, ids, y in sets:
-                    part = b.filter(pa.array(of == d))
-                    if part.num_rows:
-                        node = part.column("node").to_numpy()
-                        s = _matrix(part.column("vec"), kind) @ y.T
-                        p, q = np.nonzero((s >= threshold) & (node[:, None] != ids))
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[p], ids[q])),
-                                                          pa.array(np.maximum(node[p], ids[q]))], names=["a", "b"])
-        true = save(self.nodes.select("node", "dim", "vec").mapInArrow(brute, "a long, b long").distinct(), "audit")
-        total = true.count()
-        return true.join(self.links(graph), ["a", "b"], "left_semi").count() / total if total else 1.0
+            of = part.filter(pa.array(dims == d))
+            sets.append((int(d), of.column("node").to_numpy(), _matrix(of.column("vec"), self.kind)))
+        return sets
+
+    def audited(self) -> DataFrame:
+        """(node, n_true) of linked vectors, by brute force over slices until AUDIT
+        of them have at most LIST links or all vectors were searched."""
+        if self.truth is None:
+            spark, schema = self.nodes.sparkSession, "node long, n_true long"
+            path, few = f"{shared_folder(spark)}/audit-{uuid.uuid4().hex}", 0
+            self.truth = spark.createDataFrame([], schema)
+            for k in range(self.slices):
+                self.nodes.select("node", "dim", "vec") \
+                    .mapInArrow(_against(self.kind, self.threshold, self.sliced(k)), "node long, n long") \
+                    .groupBy("node").agg(F.sum("n").alias("n_true")).write.mode("append").parquet(path)
+                self.truth = spark.read.schema(schema).parquet(path)
+                few = self.truth.where(f"n_true <= {LIST}").count()
+                if few >= AUDIT:
+                    break
+        return self.truth
+
+    def recall(self, graph: DataFrame) -> float:
+        """Share of the audited vectors' links that the lists hold, the lowest of
+        three: the mean over vectors with at most LIST links, that over those with
+        more (so that a large group does not hide lost pairs, nor pairs a group),
+        and the share of all their links. 1 if there is no link at all."""
+        links = self.links(graph)
+        held = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("held"))
+        seen = F.least(F.col("n_true"), F.coalesce("held", F.lit(0)))
+        rows = self.audited().join(held, "node", "left").groupBy(F.col("n_true") <= LIST) \
+            .agg(F.avg(seen / F.col("n_true")), F.sum(seen), F.sum("n_true")).collect()
+        return min([r[1] for r in rows] + [sum(r[2] for r in rows) / sum(r[3] for r in rows)]) if rows else 1.0
 
     def run(self) -> DataFrame:
-        graph, seen, step, reseeds = self.refined(None, self.seeded(0)), -1, 0, 0
+        graph, step, reseeds = self.refined(None, self.seeded(0)), 0, 0
         while True:
-            r = graph.agg(F.expr(f"sum(size(filter(nbrs, x -> x.sim >= {self.threshold})))"),
-                          F.max("saturated"), F.max("changed")).first()
-            if not r[2] or (r[0] == seen and not r[1]):
+            if not graph.agg(F.max("changed")).first()[0]:
                 got = self.recall(graph)
                 log.info("audited recall %.4f after %d rounds", got, step)
                 if got >= RECALL or reseeds >= 8:
                     return graph
                 reseeds += 1
                 graph = self.refined(graph, self.seeded(reseeds))
-            seen, step = r[0], step + 1
+            step += 1
             graph = self.refined(graph, self.around(graph, step))
 
 
