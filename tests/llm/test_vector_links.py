@@ -93,3 +93,15 @@ def test_audit_sees_lost_pairs(spark, hot, monkeypatch):
     assert search.recall(graph) < vl.RECALL
     whole = search.refined(graph, spark.range(hot + 1503).selectExpr("0L as bucket", "id as node"))
     assert search.recall(whole) == 1.0
+
+
+def test_below_target_ends_in_all_pairs(spark, monkeypatch):
+    """Seedings that never bring two vectors together must not end in lost links."""
+    monkeypatch.setattr(vl._Search, "seeded", lambda self, *_: self.nodes.selectExpr("node as bucket", "node"))
+    monkeypatch.setattr(vl, "_SLICE", 100)
+    rng = np.random.default_rng(8)
+    rows = rng.normal(size=(150, 32))
+    rows = [*rows, *(rows[:100] + rng.normal(size=(100, 32)) * 0.1), *(rows[:40] * 2)]
+    rows = [(i, np.float32(x).tolist()) for i, x in enumerate(rows)]
+    df = spark.createDataFrame([(i, x, 0, "c") for i, x in rows], SCHEMA)
+    assert _rows(vl.vector_links(df)) == _brute(rows)

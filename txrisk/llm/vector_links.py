@@ -6,9 +6,10 @@ each other, with a bounded product per list) refine the lists through
 neighbours of neighbours. A list whose last neighbour is still over the
 threshold is saturated: it is enlarged and its vector refined again. When no
 list changes any more, recall is audited per vector against brute force for a
-sample that holds enough linked vectors (or all); below the target, fresh cells
-reseed the lists. Edges over the threshold, checked in double precision, are
-the links.
+sample that holds enough linked vectors (or all); below the target, twice as
+many fresh cells reseed the lists, until cells would compare as much as all
+pairs: then all pairs are compared. Edges over the threshold, checked in double
+precision, are the links.
 """
 
 from __future__ import annotations
@@ -57,7 +58,7 @@ def _cells(kind: str, bits: int, trees: int, seed: int):
                     sign = (x @ planes > 0).astype(np.int64) @ (1 << np.arange(bits))
                     n = len(x)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array((sign << 8) | t), pa.array(np.full(n, d, np.int32)), part.column("node")],
+                        [pa.array((sign << 32) | t), pa.array(np.full(n, d, np.int32)), part.column("node")],
                         names=["cell", "dim", "node"])
     return run
 
@@ -101,8 +102,9 @@ def _local_join(kind: str, threshold: float):
     return run
 
 
-def _against(kind: str, threshold: float, sets: list):
-    """(node, dim, vec) -> links (node of ``sets``, how many) in a part of a batch."""
+def _against(kind: str, threshold: float, sets: list, pairs: bool = False):
+    """(node, dim, vec) -> links (node of ``sets``, how many) in a part of a
+    batch, or the ``pairs`` (a of ``sets`` < b)."""
     def run(it):
         for b in it:
             of = b.column("dim").to_numpy()
@@ -111,7 +113,12 @@ def _against(kind: str, threshold: float, sets: list):
                 for lo in range(0, part.num_rows, 512):
                     rows = part.slice(lo, 512)
                     linked = _matrix(rows.column("vec"), kind) @ y.T >= threshold
-                    n = (linked & (rows.column("node").to_numpy()[:, None] != ids)).sum(axis=0)
+                    node = rows.column("node").to_numpy()
+                    if pairs:
+                        p, q = np.nonzero(linked & (node[:, None] > ids))
+                        yield pa.RecordBatch.from_arrays([pa.array(ids[q]), pa.array(node[p])], names=["a", "b"])
+                        continue
+                    n = (linked & (node[:, None] != ids)).sum(axis=0)
                     some = np.flatnonzero(n)
                     yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(n[some])], names=["node", "n"])
     return run
@@ -126,10 +133,10 @@ class _Search:
         self.slices = int(np.ceil(self.n / max(64, min(_SLICE, 2 ** 21 // (widest or 1)))))
         self.truth = None
 
-    def seeded(self, seed: int) -> DataFrame:
+    def seeded(self, seed: int, trees: int = TREES) -> DataFrame:
         """Membership (bucket, node) of hyperplane cells; large cells are cut by hash."""
         bits = max(0, int(np.ceil(np.log2(max(1, self.n / (CELL / 2))))))
-        cells = self.nodes.mapInArrow(_cells(self.kind, bits, TREES, seed), "cell long, dim int, node long")
+        cells = self.nodes.mapInArrow(_cells(self.kind, bits, trees, seed), "cell long, dim int, node long")
         sizes = cells.groupBy("cell", "dim").agg(F.count("*").alias("size"))
         part = F.pmod(F.xxhash64("node", "cell"), F.ceil(F.col("size") / CELL))
         return cells.join(sizes, ["cell", "dim"]).select(F.xxhash64("cell", "dim", part).alias("bucket"), "node")
@@ -215,16 +222,29 @@ class _Search:
             .agg(F.avg(seen / F.col("n_true")), F.sum(seen), F.sum("n_true")).collect()
         return min([r[1] for r in rows] + [sum(r[2] for r in rows) / sum(r[3] for r in rows)]) if rows else 1.0
 
+    def exact(self) -> DataFrame:
+        """All links by brute force, slice by slice."""
+        spark, path = self.nodes.sparkSession, f"{shared_folder(self.nodes.sparkSession)}/exact-{uuid.uuid4().hex}"
+        for k in range(self.slices):
+            self.nodes.select("node", "dim", "vec") \
+                .mapInArrow(_against(self.kind, self.threshold, self.sliced(k), pairs=True), "a long, b long") \
+                .write.mode("append").parquet(path)
+        return spark.read.schema("a long, b long").parquet(path)
+
     def run(self) -> DataFrame:
+        """The links: of lists that pass the audit, or of all pairs."""
         graph, step, reseeds = self.refined(None, self.seeded(0)), 0, 0
         while True:
             if not graph.agg(F.max("changed")).first()[0]:
                 got = self.recall(graph)
                 log.info("audited recall %.4f after %d rounds", got, step)
-                if got >= RECALL or reseeds >= 8:
-                    return graph
+                if got >= RECALL:
+                    return self.links(graph)
                 reseeds += 1
-                graph = self.refined(graph, self.seeded(reseeds))
+                trees = TREES << reseeds
+                if trees * CELL >= self.n:
+                    return self.exact()
+                graph = self.refined(graph, self.seeded(reseeds, trees))
             step += 1
             graph = self.refined(graph, self.around(graph, step))
 
@@ -261,7 +281,7 @@ def vector_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     nodes = save(classes.withColumn("node", F.monotonically_increasing_id())
                  .withColumn("dim", (F.octet_length("vec") / width).cast("int")), "vector-classes")
     search = _Search(nodes, kind, threshold)
-    links = save(search.links(search.run()), "vector-links")
+    links = save(search.run(), "vector-links")
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     degree = both.join(nodes.select(F.col("node").alias("b"), "copies"), "b") \
         .groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("linked"))
