@@ -129,7 +129,9 @@ def read_archives(spark, path: str) -> DataFrame:
     """Verified records: ``id, type, refers_to, payload_bytes, payload_digest``
     (of the stored payload), ``claimed_digest, file, offset``."""
     segments = _segments(spark, path)
-    parsed = save(_parsed(segments.withColumn("size", F.octet_length("text").cast("long"))), "warc-segments")
+    sha = F.unhex(F.sha2(F.col("text"), 256))
+    parsed = save(_parsed(segments.withColumn("size", F.octet_length("text").cast("long")).withColumn("sha", sha)),
+                  "warc-segments")
     placed = _before(parsed, F.col("size") + _M, "before", F.sum) \
         .withColumn("offset", F.coalesce("before._earlier", F.lit(0)) + F.coalesce("before._within", F.lit(0)) - _M)
     placed = save(placed.drop("before").withColumn("next", F.col("offset") + _M + F.col("size"))
@@ -157,14 +159,17 @@ def read_archives(spark, path: str) -> DataFrame:
     verdict = F.coalesce("hit", F.greatest("run._earlier", "run._within").getField("hit"), F.lit(False))
     marked = save(marked.withColumn("record", verdict).drop("run", "hit"), "warc-marked")
     whole = marked.where("record and succ = next")
-    # Records with a magic in their payload: join their segments' text again.
+    # Records with a magic in their payload: join their segments' text again, by
+    # its digest, since another scan may split the archives elsewhere.
     part = _before(marked, F.when(F.col("record"), F.col("offset")), "owner", F.max) \
         .withColumn("owner", F.when(F.col("record"), F.col("offset"))
                     .otherwise(F.greatest("owner._earlier", "owner._within")))
     torn = marked.where("record and succ > next").select("file", F.col("offset").alias("owner"))
-    pieces = save(part.join(torn, ["file", "owner"]).select("file", "block", "nth", "owner", "offset"), "warc-torn")
+    pieces = save(part.join(torn, ["file", "owner"]).select("file", "sha", "owner", "offset"), "warc-torn")
     columns = ["id", "type", "refers_to", "payload_bytes", "payload_digest", "claimed_digest", "file", "offset"]
-    text = segments.select("file", "block", "nth", "text").join(pieces, ["file", "block", "nth"]) \
+    texts = segments.select(sha.alias("sha"), "text").join(pieces.select("sha"), "sha", "left_semi") \
+        .groupBy("sha").agg(F.first("text").alias("text"))
+    text = pieces.join(texts, "sha") \
         .groupBy("file", "owner").agg(F.sort_array(F.collect_list(F.struct("offset", "text"))).alias("parts")) \
         .select("file", F.col("owner").alias("offset"), F.array_join("parts.text", MAGIC).alias("text"))
     return whole.select(*columns).unionByName(_parsed(text).select(*columns))
@@ -184,6 +189,8 @@ def warc_roundtrip(pages: DataFrame, min_bytes: int = 0, id_col: str = "page_id"
     path = f"{shared_folder(spark)}/archives-{uuid.uuid4().hex}"
     write_archives(pages, path, min_bytes, id_col, url_col, payload_col)
     records = save(read_archives(spark, path), "warc-records")
+    if records.count() != pages.count():
+        raise ValueError("not as many records were read as written")
     wrong = records.where("type = 'response' and not payload_digest <=> claimed_digest")
     if not wrong.isEmpty():
         raise ValueError("a payload differs from its digest")
