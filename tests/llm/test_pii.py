@@ -78,3 +78,14 @@ def test_query(spark):
         for old, now in zip(found, new):
             assert pairs.setdefault(old[2:], now[2:]) == now[2:]            # coreference
     assert len(set(pairs.values())) == len(pairs) and not entities & set(pairs.values())
+
+
+def test_untitled_mentions_follow(spark):
+    """Later and earlier mentions without a title get the same surrogates."""
+    text = "Anna Smith came. Dr Anna Smith wrote; Smith said, Smith's SMITH, Smithson and a smith stay."
+    new = _run(spark, [(1, text), (2, "Smith alone is no entity here")], count_col="n")
+    rows = {r.doc_id: r for r in new}
+    m = re.fullmatch(r"(\w+) (\w+) came. Dr (\w+) (\w+) wrote; (\w+) said, (\w+)'s (\w+), Smithson and a smith stay.",
+                     rows[1].text)
+    assert m[1] == m[3] != "Anna" and m[2] == m[4] == m[5] == m[6] != "Smith" and m[7] == m[2].upper()
+    assert rows[1].n == 7 and not rows[2].n

@@ -46,6 +46,8 @@ _PATTERNS = [
 ]
 _NAME = re.compile(rf"\b(?P<t>{'|'.join(sorted(_TITLES, key=len, reverse=True))})\b\.?[ ]+"
                    rf"(?P<x>{_L}+(?:['’-]{_L}+)*(?: {_L}+(?:['’-]{_L}+)*){{0,2}})")
+_NAME_WORD = re.compile(rf"(?<!\w){_L}+(?:['’-]{_L}+)*(?!\w)")
+_LETTERS = re.compile(rf"{_L}+")
 _DIGIT = re.compile(r"[0-9]")
 _VOWELS, _CONSONANTS = "aeiou", "bcdfghjklmnprstvwxyz"
 _SCRIPTS = ("абвгдежзиклмнопрстуфхцчшэюя", "αβγδεζηθικλμνξοπρστυφχψω", "áéíóúàèìòùâêîôûäëïöüñçãõåæøß")
@@ -85,6 +87,22 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
             add(a, b, f"name-{gender}")
         for a, b in parts[-1:]:
             add(a, b, "name-family")
+    # Further whole-word mentions of the names found, without a title too. A part
+    # in two roles goes by its first one.
+    roles: dict[str, str] = {}
+    for _, _, kind, entity in sorted(found):
+        if kind.startswith("name"):
+            roles.setdefault(entity, kind)
+    if roles:
+        for m in _NAME_WORD.finditer(text):
+            whole = m.group()
+            if whole.casefold() in roles:
+                spans = [m.span()]
+            else:
+                spans = [(m.start() + w.start(), m.start() + w.end()) for w in _LETTERS.finditer(whole)]
+            for a, b in spans:
+                if text[a].isupper() and (kind := roles.get(text[a:b].casefold())):
+                    add(a, b, kind)
     return sorted(found)
 
 
