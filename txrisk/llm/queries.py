@@ -18,6 +18,7 @@ from .quality import held_out, score_documents, train
 from .repeats import repeated_bytes
 from .simhash import simhash_groups
 from .token_counts import token_counts
+from .url_filter import url_verdicts
 from .vector_links import vector_links
 from .warc import warc_roundtrip
 
@@ -103,3 +104,10 @@ def op2_pii(spark, sf_dir):
 def op4_repeats(spark, sf_dir):
     """Bytes of every document covered by 50-byte strings of earlier documents."""
     return repeated_bytes(_table(spark, sf_dir, "documents"))
+
+
+@partial(register, oracle=sql.URL_VERDICTS)
+def op13_url_filter(spark, sf_dir):
+    """Every page judged by the URL list; pages that no entry fits are allowed."""
+    rules = spark.createDataFrame(sql.URL_RULES, "host string, path string, verdict string")
+    return url_verdicts(_table(spark, sf_dir, "pages"), rules)

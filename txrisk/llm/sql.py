@@ -58,3 +58,14 @@ lnk AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b
 r AS (SELECT vec_id AS a, vec_id AS b FROM e UNION SELECT r.a, lnk.b FROM r JOIN lnk ON r.b = lnk.a)
 SELECT a AS vec_id, (SELECT count(*) FROM lnk WHERE lnk.a = r.a) AS n_links, min(b) AS component_id, a = min(b) AS kept
 FROM r GROUP BY a"""
+
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+             ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+URL_VERDICTS = f"""WITH r(host, path, verdict) AS (VALUES {', '.join(map(repr, URL_RULES))}),
+u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, {_LOWER.format(c="regexp_extract(rest, '^[^/?#]*')")} AS host,
+  regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+best AS (SELECT *, (SELECT {{'rule': r.host || r.path, 'verdict': r.verdict}} FROM r
+  WHERE (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+  ORDER BY length(r.host) + length(r.path) DESC, length(r.host) DESC LIMIT 1) AS b FROM p)
+SELECT page_id, host, path, b.rule AS rule, coalesce(b.verdict, 'allow') AS verdict FROM best"""
