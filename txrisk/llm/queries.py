@@ -21,6 +21,7 @@ from .token_counts import token_counts
 from .url_filter import url_verdicts
 from .vector_links import vector_links
 from .warc import warc_roundtrip
+from .whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -111,3 +112,9 @@ def op13_url_filter(spark, sf_dir):
     """Every page judged by the URL list; pages that no entry fits are allowed."""
     rules = spark.createDataFrame(sql.URL_RULES, "host string, path string, verdict string")
     return url_verdicts(_table(spark, sf_dir, "pages"), rules)
+
+
+@register
+def op12_whitening(spark, sf_dir):
+    """Embeddings as integers, whitened along their 16 leading components."""
+    return whiten(_table(spark, sf_dir, "embeddings"))
