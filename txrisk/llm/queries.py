@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import sql
+from .conversations import repair_conversations
 from .decontaminate import contaminated_spans
 from .licenses import license_scan
 from .packing import pack
@@ -118,3 +119,9 @@ def op13_url_filter(spark, sf_dir):
 def op12_whitening(spark, sf_dir):
     """Embeddings as integers, whitened along their 16 leading components."""
     return whiten(_table(spark, sf_dir, "embeddings"))
+
+
+@partial(register, oracle=sql.CONVERSATIONS)
+def op11_conversations(spark, sf_dir):
+    """Conversations damaged, their faults counted and repaired at the least cost."""
+    return repair_conversations(_table(spark, sf_dir, "conversations"))

@@ -69,3 +69,61 @@ best AS (SELECT *, (SELECT {{'rule': r.host || r.path, 'verdict': r.verdict}} FR
   WHERE (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
   ORDER BY length(r.host) + length(r.path) DESC, length(r.host) DESC LIMIT 1) AS b FROM p)
 SELECT page_id, host, path, b.rule AS rule, coalesce(b.verdict, 'allow') AS verdict FROM best"""
+
+# crc32 of the column ``k``, byte by byte with the reversed polynomial 0xEDB88320.
+_CRC = """xor(list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(range(octet_length(encode(k))),
+    lambda i: CAST('0x' || substr(hex(encode(k)), 2 * i + 1, 2) AS BIGINT)), lambda c, x: list_reduce(
+    [xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)),
+  4294967295)"""
+
+
+def _edit(state: str, letter: str, cost: str, line: str = "''") -> str:
+    """A best way (cost, audit, lines) after one more edit; 10^9 is unreachable."""
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 'o': {state}.o || {line}}}"
+
+
+_USER, _ASSISTANT = "chr(10) || 'user:' || ", "chr(10) || 'assistant:' || "
+_TO_U = f"list_min([b2, {', '.join(_edit(b, 'I', '5', _USER + chr(39) * 2) for b in ('b0', 'b1', 'b3'))}])"
+_TO_A = f"list_min([b3, {_edit('c2', 'I', '5', _ASSISTANT + chr(39) * 2)}])"
+_KEPT, _EXTRA, _NEVER = "chr(10) || role || ':' || text", "(CASE WHEN cut THEN 5 ELSE 0 END)", "1000000000"
+
+
+def _row(to: str, initial: str, states: list[str], named: str | None) -> str:
+    """Best way into a state by a row: deleted, kept with its initial, or renamed."""
+    ways = [_edit(to, "D", "2")]
+    for b in states:
+        keep = f"(CASE WHEN gone OR r <> '{initial}' THEN {_NEVER} ELSE {_EXTRA} END)"
+        ways.append(_edit(b, "K", keep, _KEPT))
+        if named:
+            ways.append(_edit(b, "R", f"(CASE WHEN gone THEN {_NEVER} ELSE 1 + {_EXTRA} END)", named + "text"))
+    return f"list_min([{', '.join(ways)}])"
+
+
+CONVERSATIONS = rf"""WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+f AS (SELECT *, {_CRC} % 20 AS fate FROM k),
+d AS (SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+  CASE fate WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+  unnest(range(CASE WHEN fate = 3 THEN 2 ELSE 1 END)) FROM f WHERE fate <> 0),
+t AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM d),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS copy, left(role, 1) AS r,
+  rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS solid FROM t),
+w AS (SELECT *, solid = '' AS blank, solid = '' OR copy > 1 AS gone,
+  solid <> '' AND copy = 1 AND right(solid, 1) NOT IN ('.', '!', '?') AS cut,
+  lag(r) OVER (PARTITION BY conv_id ORDER BY i) || r AS pair FROM o),
+none(x, z) AS (SELECT {{'c': {_NEVER}, 'a': '', 'o': ''}}, {{'c': 0, 'a': '', 'o': ''}}),
+c AS (SELECT conv_id, row_number() OVER () AS cid FROM (SELECT DISTINCT conv_id FROM conversations)),
+s(cid, i, b0, b1, b2, b3) AS (SELECT cid, CAST(0 AS BIGINT), z, x, x, x FROM c, none
+  UNION ALL SELECT cid, i, {_edit('b0', 'D', '2')}, {_row('b1', 's', ['b0'], None)},
+    {_row('c2', 'u', ['b0', 'b1', 'c3'], _USER)}, {_row('c3', 'a', ['c2'], _ASSISTANT)}
+  FROM (SELECT *, {_TO_A} AS c3 FROM (SELECT s.cid, w.i, b0, b1, b2, b3, role, text, r, gone, cut, {_TO_U} AS c2
+    FROM s JOIN c USING (cid) JOIN w ON w.conv_id IS NOT DISTINCT FROM c.conv_id AND w.i = s.i + 1))),
+e AS (SELECT cid, list_min([b0, {_TO_A}]) AS best FROM (SELECT *, {_TO_U} AS c2 FROM s
+  QUALIFY row_number() OVER (PARTITION BY cid ORDER BY i DESC) = 1)),
+n AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+  count(*) FILTER (blank) AS blank, count(*) FILTER (gone AND NOT blank) AS duplicate, count(*) FILTER (cut) AS truncated,
+  count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM w GROUP BY conv_id)
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank,
+  coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  CAST(best.c AS BIGINT) AS cost, best.a AS audit, sha256(substr(best.o, 2)) AS repaired_sha256
+FROM c JOIN e USING (cid) LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM c.conv_id"""
