@@ -1,23 +1,32 @@
-"""Exact k-nearest-neighbour join and the kNN classifiers.
+"""K-nearest-neighbour joins and the kNN classifiers.
 
-Exact, by pivots and blocks:
+Exact, in two phases over rings of cells:
 
 1. Equal train vectors become one class that keeps its k smallest ids, so a
    hot vector is one row.
 2. ``P`` pivots = the classes with the smallest digests (a bounded top-P);
-   every class goes to the cell of its nearest pivot, with radius r. Cells are
-   cut into blocks of at most BLOCK classes by hash.
-3. For a query q with pivot distances dq, the k-th smallest of
-   ``dq[c] + r_j(c)`` over all cells bounds its k-th neighbour distance
-   (theta). A cell can hold a neighbour only if ``dq[c] - maxr[c] <= theta``.
-4. Queries are grouped to blocks per candidate cell and equi-joined to the
-   train blocks of the cell; one row is a pair of blocks, not of vectors. Each
-   pair of blocks emits at most k classes per query.
-5. A partial top-k per query merges the blocks.
+   every class goes to the cell of its nearest pivot, with radius r. A cell is
+   cut by radius into at most RINGS rings; a ring is dealt by hash to blocks of
+   about BLOCK classes.
+3. First phase: each query meets only the rings of its own cell next to its own
+   radius that hold k classes (further cells only where the own one holds
+   fewer). The k-th distance found is theta, a true bound.
+4. Second phase: of a query with pivot distances dq, only rings that can hold
+   something within theta are met: a class x of cell c at radius r has
+   ``d(q, x) >= |dq[c] - r|`` and, c being its nearest pivot,
+   ``d(q, x) >= (dq[c] - dq[own]) / 2``.
+5. Both phases join blocks: queries of a ring are packed to blocks and equi-joined
+   to the ring's train blocks on (ring, block, salt); busy rings are copied to
+   several salts, so that a key meets at most SALT_BLOCKS query blocks. One row
+   is a pair of blocks, not of vectors, and emits at most k classes per query.
+6. A partial top-k per query merges the blocks.
 
 Cosine is searched in the unit space with a trailing flag for zero vectors,
 where it is monotone in euclidean distance. Ties at rank k are broken by the
 smaller train id (T25).
+
+``knn_join_approx`` is the approximate branch: random-projection hashing with
+an audited recall.
 """
 
 from __future__ import annotations
@@ -28,6 +37,8 @@ import math
 import numpy as np
 import pyarrow as pa
 
+from pyspark.ml.feature import BucketedRandomProjectionLSH
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,7 +47,10 @@ from ..functions.exprs import digest
 from ..session import cut_lineage
 
 MAX_PIVOTS = 1024
+RINGS = 32                    # rings of a cell, at most
 BLOCK = 2048                  # vectors of a block
+FEW = 2 * BLOCK               # so few train classes are met whole, in one phase
+SALT_BLOCKS = 16              # query blocks that one key of a block join meets, at most
 SLACK = 1e-9
 WEIGHT_GUARD = 1e-8          # fixed value: added to distances before they become weights
 CHUNK_ELEMS = 4_000_000       # numpy working set per chunk (doubles)
@@ -124,7 +138,7 @@ def _nearest(metric: str, kk: int):
             qid, theta = (q.values.field(c).to_numpy(zero_copy_only=False) for c in ("id", "theta"))
             cid = t.values.field("id").to_numpy(zero_copy_only=False)
             qo, to = q.offsets.to_numpy(), t.offsets.to_numpy()
-            out_q, out_c, out_d = [], [], []
+            out_q, out_c, out_n, out_d = [], [], [], []
             for a, z, u, w in zip(qo[:-1], qo[1:], to[:-1], to[1:]):
                 sx, sy = _search_space(X[a:z], metric), _search_space(Y[u:w], metric)
                 near = block_distances(sx, sy, search)
@@ -134,41 +148,134 @@ def _nearest(metric: str, kk: int):
                     best = ok[np.lexsort((cid[u:w][ok], row[ok]))[:kk]]
                     out_q.append(np.full(len(best), qid[a + i]))
                     out_c.append(cid[u:w][best])
+                    out_n.append(row[best])
                     out_d.append(real[i, best])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) if c else pa.array([], t_)
-                                              for c, t_ in ((out_q, pa.int64()), (out_c, pa.int64()), (out_d, pa.float64()))],
-                                             names=["_qid", "_cid", "distance"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(c)) if c else pa.array([], t_) for c, t_ in
+                 ((out_q, pa.int64()), (out_c, pa.int64()), (out_n, pa.float64()), (out_d, pa.float64()))],
+                names=["_qid", "_cid", "_near", "distance"])
     return run
 
 
-def _in_blocks(df: DataFrame, by: list[str], entry, name: str, size_of: Column) -> DataFrame:
+_FOUND = "_qid bigint, _cid bigint, _near double, distance double"
+
+
+class _Rings:
+    """The ring table (at most MAX_PIVOTS x RINGS rows), in ring order."""
+
+    def __init__(self, rows, p: int):
+        rows = sorted(rows, key=lambda r: r["_ring"])
+        self.id = np.array([r["_ring"] for r in rows], dtype=np.int64)
+        self.cell = self.id // RINGS
+        self.count, self.low, self.high = (np.array([r[c] for r in rows], dtype=t) for c, t in
+                                           (("_n", np.int64), ("_low", np.float64), ("_high", np.float64)))
+        self.start = np.searchsorted(self.cell, np.arange(p + 1))
+
+    def first(self, d: np.ndarray, kk: int) -> np.ndarray:
+        """Which rings each query meets in the first phase (rows x rings)."""
+        out = np.zeros((len(d), len(self.id)), dtype=bool)
+        own = d.argmin(1)
+        for c in np.unique(own):
+            mine, part = np.flatnonzero(own == c), slice(self.start[c], self.start[c + 1])
+            if self.count[part].sum() >= kk:
+                dc = d[mine, c][:, None]
+                gap = np.maximum(0, np.maximum(self.low[part] - dc, dc - self.high[part]))
+                order = np.argsort(gap, axis=1, kind="stable")
+                held = np.cumsum(self.count[part][order], axis=1)
+                take = held - self.count[part][order] < kk
+                r, j = np.nonzero(take)
+                out[mine[r], part.start + order[r, j]] = True
+                continue
+            for i in mine:              # a small cell: whole cells by pivot distance
+                held = 0
+                for near in np.argsort(d[i], kind="stable"):
+                    cell = slice(self.start[near], self.start[near + 1])
+                    out[i, cell] = True
+                    held += self.count[cell].sum()
+                    if held >= kk:
+                        break
+        return out
+
+    def within(self, d: np.ndarray, theta: np.ndarray) -> np.ndarray:
+        """Rings that can hold a class within theta (rows x rings)."""
+        dc, limit = d[:, self.cell], theta[:, None]
+        return (dc - self.high <= limit) & (self.low - dc <= limit) & ((dc - d.min(1)[:, None]) / 2 <= limit)
+
+
+def _ring_ids(rings: _Rings, mask: np.ndarray) -> pa.Array:
+    row, at = np.nonzero(mask)
+    return _ragged(row, rings.id[at].astype(np.int32), len(mask), pa.int32())
+
+
+def _met(asked: DataFrame, blocks: DataFrame, parts: Column) -> DataFrame:
+    """Block pairs ``q, t`` (and their key) of queries (``_bid, _v, _theta,
+    _rings``) and ring blocks."""
+    spark = asked.sparkSession
+    flat = asked.select("_bid", "_v", "_theta", F.explode("_rings").alias("_ring"))
+    # How many queries ask for a ring (at most as many rows as there are rings).
+    wanted = {r[0]: r[1] for r in flat.groupBy("_ring").count().collect()}
+    if not wanted:
+        return spark.createDataFrame([], "_ring int, _part int, _salt int, "
+                                         "q array<struct<id:bigint,v:array<double>,theta:double>>, "
+                                         "t array<struct<id:bigint,v:array<double>>>")
+    top = max(wanted) + 1
+    n_asked = F.element_at(_json_lit([wanted.get(c, 0) for c in range(top)], "array<bigint>"), F.col("_ring") + 1)
+    packed = _in_blocks(flat, ["_ring"], F.struct(F.col("_bid").alias("id"), F.col("_v").alias("v"),
+                                                  F.col("_theta").alias("theta")), "q", n_asked, keep_part=True)
+    salts = F.ceil(F.ceil(n_asked / BLOCK) / SALT_BLOCKS).cast("int")
+    queries = packed.select("_ring", "q", F.pmod("_part", salts).cast("int").alias("_salt"),
+                            F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part"))
+    trains = blocks.where(F.col("_ring") < top).where(n_asked > 0) \
+        .select("_ring", F.col("_part").cast("int").alias("_part"), "t", F.explode(F.sequence(F.lit(0), salts - 1)).alias("_salt"))
+    return queries.join(trains, ["_ring", "_part", "_salt"])
+
+
+def _in_blocks(df: DataFrame, by: list[str], entry, name: str, size_of: Column, keep_part: bool = False) -> DataFrame:
     """Rows packed to blocks of about BLOCK per key, dealt by hash."""
     part = F.pmod(F.xxhash64("_bid"), F.ceil(size_of / BLOCK)).alias("_part")
-    return df.select(*by, part, entry.alias("_e")).groupBy(*by, "_part").agg(F.collect_list("_e").alias(name)).drop("_part")
+    out = df.select(*by, part, entry.alias("_e")).groupBy(*by, "_part").agg(F.collect_list("_e").alias(name))
+    return out if keep_part else out.drop("_part")
 
 
-def knn_candidates(query: DataFrame, train: DataFrame, k: int, metric: str = "euclidean",
-                   qid: str = "qid", tid: str = "tid", vec: str = "vec", label: str | None = None,
-                   exclude_self: bool = False, n_pivots: int | None = None, seed: int = 42):
-    """(candidates, classes): at most k classes per query and pair of blocks
-    (``_qid, _cid, distance``), and the classes' members."""
-    metric = D.canonical(metric)
-    if k < 1:
-        raise ValueError("k must be >= 1")
-    kk = k + 1 if exclude_self else k
-    search = "manhattan" if metric == "manhattan" else "euclidean"
+class Search:
+    """What a search found: ``found`` has at most kk classes per query and pair
+    of blocks (``_qid, _cid, distance``), ``classes`` the members of each class;
+    ``phases`` the pairs of blocks that each phase compared."""
+
+    def __init__(self, found: DataFrame, classes: DataFrame, phases: list[DataFrame]):
+        self.found, self.classes, self.phases = found, classes, phases
+
+    def compared(self) -> list[int]:
+        """Vector pairs compared by each phase."""
+        n = F.sum(F.size("q").cast("bigint") * F.size("t"))
+        return [p.agg(n).first()[0] or 0 for p in self.phases]
+
+
+def _classes(train: DataFrame, kk: int, tid: str, vec: str, label: str | None) -> DataFrame:
     member = F.struct(F.col(tid).cast("bigint").alias("tid"), *([F.col(label).alias("label")] if label else []))
     rows = train.select(F.col(vec).cast("array<double>").alias("_v"), F.col(tid).cast("bigint").alias("_tid"),
                         member.alias("_m"))
     # A row limit per vector before the lists are built: a hot vector stays small.
     w = Window.partitionBy("_v").orderBy("_tid")
     few = rows.withColumn("_j", F.row_number().over(w)).where(F.col("_j") <= kk)
-    classes = cut_lineage(few.groupBy("_v").agg(F.min("_tid").alias("_bid"), F.sort_array(F.collect_list("_m")).alias("_members")))
+    return cut_lineage(few.groupBy("_v").agg(F.min("_tid").alias("_bid"), F.sort_array(F.collect_list("_m")).alias("_members")))
+
+
+def knn_search(query: DataFrame, train: DataFrame, k: int, metric: str = "euclidean",
+               qid: str = "qid", tid: str = "tid", vec: str = "vec", label: str | None = None,
+               exclude_self: bool = False, n_pivots: int | None = None, seed: int = 42) -> Search:
+    """The two-phase search (see the module's docstring)."""
+    metric = D.canonical(metric)
+    if k < 1:
+        raise ValueError("k must be >= 1")
+    kk = k + 1 if exclude_self else k
+    search = "manhattan" if metric == "manhattan" else "euclidean"
+    classes = _classes(train, kk, tid, vec, label)
     size = classes.agg(F.count(F.lit(1)), F.sum(F.size("_members"))).first()
     n_classes, held = size[0], size[1] or 0
     if kk > held:
         raise ValueError(f"k={k} needs at least {kk} train rows, got {held}")
-    p = min(n_pivots or max(1, math.isqrt(n_classes)), MAX_PIVOTS, n_classes)
+    p = min(n_pivots or max(1, math.isqrt(n_classes)), MAX_PIVOTS, n_classes) if n_classes > FEW else 1
     # bounded top-P by digest (partial top-k per partition, P rows reach the driver)
     prow = classes.orderBy(digest("_bid", seed, "pivot"), "_bid").select("_v").limit(p).collect()
     spark = train.sparkSession
@@ -183,55 +290,59 @@ def knn_candidates(query: DataFrame, train: DataFrame, k: int, metric: str = "eu
                 names=["_bid", "_v", "_cell", "_r"])
 
     td = cut_lineage(classes.select("_bid", "_v").mapInArrow(assign, "_bid bigint, _v array<double>, _cell int, _r double"))
-    # per-cell table (P rows): count, max radius, kk smallest radii
-    wr = Window.partitionBy("_cell").orderBy("_r")
-    smallest = (td.select("_cell", "_r").withColumn("_j", F.row_number().over(wr)).where(F.col("_j") <= kk)
-                .groupBy("_cell").agg(F.sort_array(F.collect_list("_r")).alias("_rk")))
-    cells = (td.groupBy("_cell").agg(F.count(F.lit(1)).alias("_cnt"), F.max("_r").alias("_maxr"))
-             .join(smallest, "_cell").collect())
-    cnt, maxr, ent_c, ent_r = np.zeros(p, dtype=np.int64), np.full(p, -1.0), [], []
-    for r in cells:
-        c = r["_cell"]
-        cnt[c], maxr[c] = r["_cnt"], r["_maxr"]
-        ent_c += [c] * len(r["_rk"])
-        ent_r += list(r["_rk"])
-    cb = spark.sparkContext.broadcast((np.asarray(ent_c, dtype=np.int64), np.asarray(ent_r, dtype=np.float64), maxr))
-    # Each class holds one train row at least, so the kk-th class bounds the kk-th row;
-    # with fewer than kk classes every class is a candidate.
-    bounded = n_classes >= kk
-
-    def bound(batches):
-        ec, er, mr = cb.value
-        for b in batches:
-            m = b.num_rows
-            X = _mat(b.column("_v"))
-            d = _to_pivots(_search_space(X, metric), bc.value, search) if m else np.zeros((0, p))
-            th = np.full(m, np.inf)
-            step = max(1, CHUNK_ELEMS // max(1, len(ec)))
-            if bounded:
-                for i in range(0, m, step):
-                    ub = d[i:i + step][:, ec] + er[None, :]
-                    th[i:i + step] = np.partition(ub, kk - 1, axis=1)[:, kk - 1]
-            th = th * (1 + SLACK) + SLACK
-            ok = (mr >= 0)[None, :] & (d - mr[None, :] <= th[:, None])
-            if metric == "cosine" and m:        # zero queries are answered apart (exact top-k by id)
-                ok &= (np.linalg.norm(X, axis=1) > 0)[:, None]
-            r, cand = np.nonzero(ok)
-            yield pa.RecordBatch.from_arrays([b.column("_bid"), b.column("_v"), pa.array(th),
-                                              _ragged(r, cand.astype(np.int32), m, pa.int32())],
-                                             names=["_bid", "_v", "_theta", "_cand"])
-
+    # Ring borders: approximate radius quantiles of each cell (P rows).
+    steps = [(i + 1) / RINGS for i in range(RINGS - 1)]
+    cuts: list[list[float]] = [[] for _ in range(p)]
+    for r in td.groupBy("_cell").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("_r", steps, 1000).alias("e")).collect():
+        m = min(RINGS, -(-r["n"] // BLOCK))
+        cuts[r["_cell"]] = [r["e"][i * RINGS // m - 1] for i in range(1, m)]
+    borders = F.element_at(_json_lit(cuts, "array<array<double>>"), F.col("_cell") + 1)
+    ring = F.col("_cell") * RINGS + F.size(F.filter(borders, lambda e: e < F.col("_r")))
+    td = td.select("_bid", "_v", "_r", ring.cast("int").alias("_ring"))
+    rings = _Rings(td.groupBy("_ring").agg(F.count(F.lit(1)).alias("_n"), F.min("_r").alias("_low"),
+                                           F.max("_r").alias("_high")).collect(), p)
+    rb = spark.sparkContext.broadcast(rings)
+    counts = np.zeros(p * RINGS, dtype=np.int64)
+    counts[rings.id] = rings.count
+    parts = F.ceil(F.element_at(_json_lit(counts.tolist(), "array<bigint>"), F.col("_ring") + 1) / BLOCK).cast("int")
+    blocks = cut_lineage(_in_blocks(td, ["_ring"], F.struct(F.col("_bid").alias("id"), F.col("_v").alias("v")), "t",
+                                    parts * BLOCK, keep_part=True))
+
+    def choose(second: bool):
+        """Rings of a phase: the first ones, or those within theta but them."""
+        def run(batches):
+            table = rb.value
+            step = max(1, CHUNK_ELEMS // max(1, len(table.id)))
+            for b in batches:
+                for i in range(0, b.num_rows, step):
+                    part = b.slice(i, step)
+                    S = _search_space(_mat(part.column("_v")), metric)
+                    d = _to_pivots(S, bc.value, search)
+                    mask = table.first(d, kk) if n_classes > FEW else np.ones((len(d), len(table.id)), dtype=bool)
+                    theta = part.column("_theta").to_numpy(zero_copy_only=False)
+                    if second:
+                        theta = theta * (1 + SLACK) + SLACK
+                        mask = table.within(d, theta) & ~mask
+                    if metric == "cosine":      # zero queries are answered apart (exact top-k by id)
+                        mask &= (S[:, -1] == 0)[:, None]
+                    yield pa.RecordBatch.from_arrays([part.column("_bid"), part.column("_v"), pa.array(theta),
+                                                      _ring_ids(table, mask)], names=["_bid", "_v", "_theta", "_rings"])
+        return run
+
+    out = "_bid bigint, _v array<double>, _theta double, _rings array<int>"
     q = query.select(F.col(qid).cast("bigint").alias("_bid"), F.col(vec).cast("array<double>").alias("_v"))
-    qd = cut_lineage(q.mapInArrow(bound, "_bid bigint, _v array<double>, _theta double, _cand array<int>"))
-    per_cell = qd.select("_bid", "_v", "_theta", F.explode("_cand").alias("_cell"))
-    asked = per_cell.groupBy("_cell").agg(F.count(F.lit(1)).alias("_asked"))
-    query_blocks = _in_blocks(per_cell.join(asked, "_cell"), ["_cell"],
-                              F.struct(F.col("_bid").alias("id"), F.col("_v").alias("v"), F.col("_theta").alias("theta")),
-                              "q", F.col("_asked"))
-    sizes = F.element_at(_json_lit([int(c) for c in cnt], "array<bigint>"), F.col("_cell") + 1)
-    train_blocks = _in_blocks(td, ["_cell"], F.struct(F.col("_bid").alias("id"), F.col("_v").alias("v")), "t", sizes)
-    found = query_blocks.join(train_blocks, "_cell").select("q", "t") \
-        .mapInArrow(_nearest(metric, kk), "_qid bigint, _cid bigint, distance double")
+    asked = cut_lineage(q.withColumn("_theta", F.lit(float("inf"))).mapInArrow(choose(False), out))
+    phases = [_met(asked, blocks, parts)]
+    found = phases[0].mapInArrow(_nearest(metric, kk), _FOUND)
+    if n_classes > FEW:
+        best = Window.partitionBy("_qid").orderBy("_near", "_cid")
+        found = cut_lineage(found.withColumn("_j", F.row_number().over(best)).where(F.col("_j") <= kk).drop("_j"))
+        theta = found.groupBy("_qid").agg(F.max("_near").alias("_t"), F.count(F.lit(1)).alias("_c"))
+        bounded = asked.join(theta, F.col("_bid") == F.col("_qid"), "left") \
+            .select("_bid", "_v", F.when(F.col("_c") == kk, F.col("_t")).otherwise(F.lit(float("inf"))).alias("_theta"))
+        phases.append(_met(cut_lineage(bounded.mapInArrow(choose(True), out)), blocks, parts))
+        found = found.unionByName(phases[1].mapInArrow(_nearest(metric, kk), _FOUND))
+    found = found.select("_qid", "_cid", "distance")
     if metric == "cosine":
         # A zero query is at cosine distance exactly 1 from every train row
         # (guarded denominator), so its neighbours are the smallest train
@@ -240,19 +351,20 @@ def knn_candidates(query: DataFrame, train: DataFrame, k: int, metric: str = "eu
         zero = q.where(F.aggregate("_v", F.lit(0.0), lambda a, x: a + x * x) == 0)
         found = found.unionByName(zero.select(F.col("_bid").alias("_qid"), F.explode(F.lit(first)).alias("_cid"),
                                               F.lit(1.0).alias("distance")))
-    return found, classes
+    return Search(found, classes, phases)
 
 
-def knn_join(query: DataFrame, train: DataFrame, k: int, metric: str = "euclidean",
-             qid: str = "qid", tid: str = "tid", vec: str = "vec", label: str | None = None,
-             exclude_self: bool = False, n_pivots: int | None = None, seed: int = 42) -> DataFrame:
-    """Exact kNN: (qid, rank 1..k, tid, distance[, label]).
+def knn_candidates(query: DataFrame, train: DataFrame, k: int, metric: str = "euclidean",
+                   qid: str = "qid", tid: str = "tid", vec: str = "vec", label: str | None = None,
+                   exclude_self: bool = False, n_pivots: int | None = None, seed: int = 42):
+    """(candidates, classes) of the exact search: at most k classes per query
+    and pair of blocks (``_qid, _cid, distance``), and the classes' members."""
+    s = knn_search(query, train, k, metric, qid, tid, vec, label, exclude_self, n_pivots, seed)
+    return s.found, s.classes
 
-    ``exclude_self``: query and train are the same rows (same ids); a row is
-    not its own neighbour.
-    """
-    kk = k + 1 if exclude_self else k
-    found, classes = knn_candidates(query, train, k, metric, qid, tid, vec, label, exclude_self, n_pivots, seed)
+
+def _ranked(found: DataFrame, classes: DataFrame, k: int, kk: int, qid: str, tid: str, label: str | None,
+            exclude_self: bool) -> DataFrame:
     best = Window.partitionBy("_qid").orderBy("distance", "_cid")
     found = found.withColumn("_j", F.row_number().over(best)).where(F.col("_j") <= kk).drop("_j")
     rows = found.join(classes.select(F.col("_bid").alias("_cid"), "_members"), "_cid") \
@@ -267,6 +379,105 @@ def knn_join(query: DataFrame, train: DataFrame, k: int, metric: str = "euclidea
     return out.select(*cols)
 
 
+def knn_join(query: DataFrame, train: DataFrame, k: int, metric: str = "euclidean",
+             qid: str = "qid", tid: str = "tid", vec: str = "vec", label: str | None = None,
+             exclude_self: bool = False, n_pivots: int | None = None, seed: int = 42) -> DataFrame:
+    """Exact kNN: (qid, rank 1..k, tid, distance[, label]).
+
+    ``exclude_self``: query and train are the same rows (same ids); a row is
+    not its own neighbour.
+    """
+    found, classes = knn_candidates(query, train, k, metric, qid, tid, vec, label, exclude_self, n_pivots, seed)
+    return _ranked(found, classes, k, k + 1 if exclude_self else k, qid, tid, label, exclude_self)
+
+
+# ------------------------------------------------------------ approximate branch
+class Approximate:
+    """Rows of an approximate join with the audited recall, the bucket length
+    used (None: hashing did not reach the recall and all queries were joined
+    exactly) and the DataFrame of query ids that were completed exactly."""
+
+    def __init__(self, rows: DataFrame, recall: float, bucket_length: float | None, completed: DataFrame):
+        self.rows, self.recall, self.bucket_length, self.completed = rows, recall, bucket_length, completed
+
+
+AUDITED = 256                 # queries whose exact neighbours are known, at most
+LSH_TABLES = 6
+WIDENINGS = 10
+
+
+def knn_join_approx(query: DataFrame, train: DataFrame, k: int, metric: str = "euclidean", qid: str = "qid",
+                    tid: str = "tid", vec: str = "vec", label: str | None = None, recall: float = 0.95,
+                    tables: int = LSH_TABLES, seed: int = 42) -> Approximate:
+    """J1, approximate: random-projection hashing (euclidean, and cosine in the
+    unit space), for query sets that are too large for the exact join.
+
+    A bounded sample of queries (by digest) is joined exactly; its k-th distances
+    set the similarity threshold (their largest) and the first bucket length (their median), and
+    its neighbours measure the recall. Buckets are doubled until the audit
+    reaches ``recall``. Queries for which hashing finds fewer than k rows are
+    joined exactly, so every query has k neighbours; ranks and ties are those
+    of ``knn_join`` among the rows found.
+    """
+    metric = D.canonical(metric)
+    if metric == "manhattan":
+        raise ValueError("no hashing family for manhattan: use knn_join")
+    if not 0 < recall <= 1:
+        raise ValueError("recall must be in (0, 1]")
+    query = cut_lineage(query.select(F.col(qid).cast("bigint").alias("qid"), F.col(vec).cast("array<double>").alias("vec")))
+    train = cut_lineage(train.select(F.col(tid).cast("bigint").alias("tid"), F.col(vec).cast("array<double>").alias("vec"),
+                                     *([F.col(label).alias("label")] if label else [])))
+    named = "label" if label else None
+    sample = cut_lineage(query.orderBy(digest("qid", seed, "audit"), "qid").limit(AUDITED))
+    exact = cut_lineage(knn_join(sample, train, k, metric, label=named, seed=seed))
+    classes = _classes(train, k, "tid", "vec", named)
+
+    def space(df, id_col):
+        v = F.col("_v")
+        if metric == "cosine":          # a zero vector is at 1 from everything: exact join
+            norm = F.sqrt(F.aggregate("_v", F.lit(0.0), lambda a, x: a + x * x))
+            df = df.withColumn("_n", norm).where(F.col("_n") > 0)
+            v = F.transform("_v", lambda x: x / F.col("_n"))
+        return df.select(F.col(id_col).alias("_id"), array_to_vector(v).alias("features"))
+
+    points = cut_lineage(space(classes, "_bid"))
+    asked = space(query.withColumnRenamed("vec", "_v"), "qid")
+    audit = cut_lineage(space(sample.withColumnRenamed("vec", "_v"), "qid"))
+    last = exact.where(F.col("rank") == k).agg(F.max("distance").alias("most"), F.median("distance").alias("half")).first()
+
+    def near(d):        # cosine distance c lies at sqrt(2 c) in the unit space
+        return math.sqrt(2 * max(d, 0.0)) if metric == "cosine" else d
+
+    def hashed(some: DataFrame, length: float) -> DataFrame:
+        lsh = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=length,
+                                          numHashTables=tables, seed=seed).fit(points)
+        pairs = lsh.approxSimilarityJoin(some, points, threshold, "_d")
+        d = F.col("_d") * F.col("_d") / 2 if metric == "cosine" else F.col("_d")
+        found = pairs.select(F.col("datasetA._id").alias("_qid"), F.col("datasetB._id").alias("_cid"), d.alias("distance"))
+        return _ranked(found, classes, k, k, "qid", "tid", named, False)
+
+    threshold = near(last["most"] or 0.0) * (1 + 1e-6) + SLACK
+    length, wanted = max(near(last["half"] or 0.0), threshold / 1024), exact.count()
+    for _ in range(WIDENINGS if wanted else 0):
+        hit = hashed(audit, length).join(exact, ["qid", "tid"], "left_semi").count()
+        if hit >= recall * wanted:
+            rows = cut_lineage(hashed(asked, length))
+            full = rows.groupBy("qid").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == k).select("qid")
+            short = cut_lineage(query.join(full, "qid", "left_anti"))
+            if not short.isEmpty():
+                rows = rows.join(short.select("qid"), "qid", "left_anti") \
+                    .unionByName(knn_join(short, train, k, metric, label=named, seed=seed))
+            return Approximate(_renamed(rows, qid, tid, label), hit / wanted, length, short.select(F.col("qid").alias(qid)))
+        length *= 2
+    rows = knn_join(query, train, k, metric, label=named, seed=seed)
+    return Approximate(_renamed(rows, qid, tid, label), 1.0, None, query.select(F.col("qid").alias(qid)))
+
+
+def _renamed(rows: DataFrame, qid: str, tid: str, label: str | None) -> DataFrame:
+    cols = [F.col("qid").alias(qid), "rank", F.col("tid").alias(tid if tid != qid else "neighbor"), "distance"]
+    return rows.select(*cols, *([F.col("label").alias(label)] if label else []))
+
+
 # ------------------------------------------------------------ classifiers
 def _weights(nn: DataFrame, weights: str, weight_mode: str, qid: str) -> DataFrame:
     if weights == "uniform":

@@ -544,6 +544,13 @@ def q_knn_join(spark, sf_dir):
     return _round_cols(kn.knn_join(q, t, 5, "euclidean").select("qid", "rank", "tid", "distance"), ["distance"])
 
 
+@register("knn_approx")
+def q_knn_approx(spark, sf_dir):
+    """J1, approximate branch at an audited recall of 0.95."""
+    q, t = _emb_split(spark, sf_dir)
+    return _round_cols(kn.knn_join_approx(q, t, 5, "euclidean").rows, ["distance"])
+
+
 def _knn_pred_query(metric, weights, mode):
     def fn(spark, sf_dir):
         q, t = _emb_split(spark, sf_dir)
