@@ -81,7 +81,7 @@ def test_no_single_feature_gives_the_label_away(spark):
     tx = src.load_tx(spark, SF_CHECK)
     feat = fe.feature_table(tx, fe.fit_type_codes(tx))
     study = pl.Study(feat)
-    row = study.tree().first()
+    row = study.row("tree").first()
     assert 0.6 < row["roc_auc"] < 1.0 and row["f1"] < 1.0
     train, _ = study.frames(False)
     assert feat.where("balance_diff_dest = 0").agg(F.avg(LABEL)).first()[0] < 0.9
@@ -147,7 +147,7 @@ def test_soft_vote_tie_goes_to_class_zero(spark):
 
 def test_stacking_and_voting_rows(feat):
     study = pl.Study(feat)
-    for row in (study.voting().first(), study.stacking().first()):
+    for row in (study.row("voting").first(), study.row("stacking").first()):
         assert all(0 <= row[c] <= 1 for c in ("accuracy", "precision", "recall", "f1", "roc_auc"))
 
 

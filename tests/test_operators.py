@@ -342,3 +342,69 @@ def test_three_class_confusion_reads_the_events_once(spark):
     import __spark_entry__ as E
     plan = E.queries()["confusion_3class"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "FileScan" not in plan        # counted once before; only the class grid is joined
+
+
+# ---------------------------------------------------------------- A21 without straight points, A22 per group
+def _score_rows(spark, rows, parts=5):
+    return spark.createDataFrame(rows, "model string, label int, prediction int, score double").repartition(parts)
+
+
+def _roc_by_hand(rows, rule):
+    """Points by a plain loop; ``rule`` says whether two steps make no corner."""
+    scores = sorted({r[3] for r in rows if r[3] is not None}, reverse=True)
+    steps = [(sum(r[1] == 1 for r in rows if r[3] == s), sum(r[1] != 1 for r in rows if r[3] == s)) for s in scores]
+    P, N = sum(p for p, _ in steps), sum(n for _, n in steps)
+    out, tp, fp = {(math.inf, 0.0, 0.0)}, 0, 0
+    for i, (s, (p, n)) in enumerate(zip(scores, steps)):
+        tp, fp = tp + p, fp + n
+        if i in (0, len(steps) - 1) or not rule((p, n), steps[i + 1]):
+            out.add((s, fp / N, tp / P))
+    return out
+
+
+@pytest.mark.parametrize("drop,rule", [
+    ("equal_steps", lambda a, b: a == b), ("collinear", lambda a, b: a[0] * b[1] == a[1] * b[0]), (None, lambda a, b: False)])
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_roc_corners_across_partition_borders(spark, drop, rule, parts):
+    rng = np.random.default_rng(parts)
+    rows = [("m", int(rng.random() < .5), 0, float(s)) for s in np.repeat(np.arange(60), rng.integers(1, 4, 60))]
+    rows += [("m", y, 0, float(s)) for s in range(100, 130) for y in (0, 1, 1)]        # a long straight stretch
+    got = me.roc_points(_score_rows(spark, rows), partitions=parts, drop=drop).collect()
+    assert {(r.threshold, r.fpr, r.tpr) for r in got} == _roc_by_hand(rows, rule)
+
+
+def test_roc_drop_is_checked_and_empty_is_empty(spark):
+    rows = _score_rows(spark, [("m", 1, 1, 0.5)])
+    with pytest.raises(ValueError):
+        me.roc_points(rows, drop="some")
+    assert me.roc_points(rows.limit(0), drop="collinear").count() == 0
+    assert me.roc_points(rows, drop="collinear").count() == 2
+
+
+def test_report_rows_equal_single_reports(spark):
+    rng = np.random.default_rng(8)
+    rows = [(m, int(rng.random() < .3), int(rng.random() < .4), float(rng.integers(0, 9))) for m in ("a", "b", None)
+            for _ in range(200)]
+    rows += [("one class", 0, 0, 1.0)] * 3 + [("no score", 1, 1, None), ("no score", 0, 1, None)]
+    df = _score_rows(spark, rows)
+    got = {r["model"]: r for r in me.report_rows(df, "model", partitions=4).collect()}
+    assert set(got) == {"a", "b", None, "one class", "no score"}
+    for m in ("a", "b", None):
+        one = me.report_row(df.where(F.col("model").eqNullSafe(F.lit(m))), pos_label=1).first()
+        assert all(math.isclose(one[c], got[m][c], abs_tol=1e-12) for c in ("accuracy", "precision", "recall", "f1", "roc_auc"))
+    assert got["one class"].roc_auc is None and got["one class"].accuracy == 1.0 and got["one class"].f1 == 0.0
+    assert got["no score"].roc_auc is None and got["no score"].precision == 0.5 and got["no score"].support == 2
+
+
+def test_grouped_reports_read_the_predictions_once(spark):
+    """One aggregation, whatever the number of groups; two keys at a time."""
+    rows = _score_rows(spark, [(f"m{i % 4}", i % 2, i % 3 % 2, float(i % 5)) for i in range(200)])
+    calls = spark.sparkContext.accumulator(0)
+
+    def seen(it):
+        for b in it:
+            calls.add(b.num_rows)
+            yield b
+
+    out = me.report_rows(rows.mapInArrow(seen, rows.schema), ["model", "prediction"])
+    assert out.count() == 8 and calls.value == 200

@@ -135,43 +135,83 @@ def _score_table(pred: DataFrame, label: str, score: str, pos_label) -> DataFram
             .groupBy("s").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")))
 
 
-def _below(st: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Per distinct score, the positives and negatives strictly below it: the
-    scores are range-partitioned, each partition is accumulated by itself and
-    offset by the totals of the partitions before it (one row a partition)."""
-    dealt = st.repartitionByRange(partitions, "s") if partitions else st.repartitionByRange("s")
+def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]):
+    """Null-safe equality of key columns of two frames."""
+    cond = F.lit(True)
+    for c in keys:
+        cond = cond & left[c].eqNullSafe(right[c])
+    return cond
+
+
+def _below(st: DataFrame, partitions: int | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """Per distinct score (of a group ``by``), the positives and negatives
+    strictly below it, and those of the next lower score (``low_pos, low_neg``,
+    NULL at the lowest). The scores are range-partitioned; each partition is
+    accumulated by itself, offset by the totals of the partitions before it and
+    given the last row of the one before it (one row a partition and group)."""
+    by = list(by)
+    dealt = st.repartitionByRange(partitions, *by, "s") if partitions else st.repartitionByRange(*by, "s")
     b = cut_lineage(dealt.withColumn("_b", F.spark_partition_id()))
-    bt = b.groupBy("_b").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
-    prev = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    bt = bt.select("_b", F.coalesce(F.sum("_bp").over(prev), F.lit(0)).alias("_op"),
-                   F.coalesce(F.sum("_bn").over(prev), F.lit(0)).alias("_on"))
-    w = Window.partitionBy("_b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    return (b.join(bt, "_b")
-            .select("s", "pos", "neg",
+    bt = b.groupBy(*by, "_b").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"),
+                                  F.max_by(F.struct("pos", "neg"), "s").alias("_last"))
+    order = Window.partitionBy(*by).orderBy("_b") if by else Window.orderBy("_b")
+    prev = order.rowsBetween(Window.unboundedPreceding, -1)
+    bt = bt.select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], F.col("_b").alias("_of"),
+                   F.coalesce(F.sum("_bp").over(prev), F.lit(0)).alias("_op"),
+                   F.coalesce(F.sum("_bn").over(prev), F.lit(0)).alias("_on"), F.lag("_last").over(order).alias("_last"))
+    same = F.col("_b") == F.col("_of")
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_by{i}"))
+    inside = Window.partitionBy("_b", *by).orderBy("s")
+    w = inside.rowsBetween(Window.unboundedPreceding, -1)
+    return (b.join(bt, same)
+            .select(*by, "s", "pos", "neg",
                     (F.col("_op") + F.coalesce(F.sum("pos").over(w), F.lit(0))).alias("pos_below"),
-                    (F.col("_on") + F.coalesce(F.sum("neg").over(w), F.lit(0))).alias("neg_below")))
+                    (F.col("_on") + F.coalesce(F.sum("neg").over(w), F.lit(0))).alias("neg_below"),
+                    F.coalesce(F.lag("pos").over(inside), F.col("_last.pos")).alias("low_pos"),
+                    F.coalesce(F.lag("neg").over(inside), F.col("_last.neg")).alias("low_neg")))
+
+
+def _auc(below: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
+    return below.groupBy(*by).agg(F.try_divide(F.sum(pos * (F.col("neg_below").cast("double") + 0.5 * neg)),
+                                               F.sum(pos) * F.sum(neg)).alias("roc_auc"))
 
 
 def roc_auc(pred: DataFrame, label: str = "label", score: str = "score", pos_label=1,
             partitions: int | None = None) -> DataFrame:
     """Exact AUC with ties counted half (Mann-Whitney); NULL when only one
     class is present (T22). Products are doubles: counts do not overflow."""
-    b = _below(_score_table(pred, label, score, pos_label), partitions)
-    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
-    return b.agg(F.try_divide(F.sum(pos * (F.col("neg_below").cast("double") + 0.5 * neg)),
-                              F.sum(pos) * F.sum(neg)).alias("roc_auc"))
+    return _auc(_below(_score_table(pred, label, score, pos_label), partitions))
+
+
+DROPS = (None, "equal_steps", "collinear")
 
 
 def roc_points(pred: DataFrame, label: str = "label", score: str = "score", pos_label=1,
-               partitions: int | None = None) -> DataFrame:
+               partitions: int | None = None, drop: str | None = None) -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score, plus the (0, 0)
-    start at threshold +inf. Collinear points are kept."""
+    start at threshold +inf.
+
+    ``drop`` leaves points out whose step from the point before and step to the
+    point after make no corner: ``equal_steps`` (the library's rule: both steps
+    add the same counts) or ``collinear`` (both have one slope, compared exactly
+    by cross products). The start, the highest and the lowest score stay.
+    """
+    if drop not in DROPS:
+        raise ValueError(f"drop must be one of {DROPS}")
     b = cut_lineage(_below(_score_table(pred, label, score, pos_label), partitions))
     tot = b.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
     P, N = F.lit(tot["P"] or 0), F.lit(tot["N"] or 0)
-    pts = b.select(F.col("s").alias("threshold"),
-                   F.try_divide(N - F.col("neg_below"), N).alias("fpr"),
-                   F.try_divide(P - F.col("pos_below"), P).alias("tpr"))
+    kept = b
+    if drop:
+        pos, neg, low_pos, low_neg = (F.col(c).cast("decimal(19,0)") for c in ("pos", "neg", "low_pos", "low_neg"))
+        straight = (pos == low_pos) & (neg == low_neg) if drop == "equal_steps" else pos * low_neg == neg * low_pos
+        top = (F.col("pos_below") + F.col("pos") == P) & (F.col("neg_below") + F.col("neg") == N)
+        kept = b.where(top | F.col("low_pos").isNull() | ~straight)
+    pts = kept.select(F.col("s").alias("threshold"),
+                      F.try_divide(N - F.col("neg_below"), N).alias("fpr"),
+                      F.try_divide(P - F.col("pos_below"), P).alias("tpr"))
     start = b.limit(1).select(F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"),
                               F.lit(0.0).alias("tpr"))
     return start.unionByName(pts)
@@ -199,6 +239,44 @@ def report_row(pred: DataFrame, label: str = "label", prediction: str = "predict
         F.lit(auc).cast("double").alias("roc_auc"))
 
 
+def report_rows(pred: DataFrame, by: str | Sequence[str], label: str = "label", prediction: str = "prediction",
+                score: str | None = "score", pos_label=1, partitions: int | None = None) -> DataFrame:
+    """A22 per group (a model, a segment): the ``by`` columns, support,
+    accuracy, precision, recall, f1 (of ``pos_label``) and roc_auc (NULL without
+    scores or with one class). NULL group keys are a group.
+
+    The predictions are aggregated once, by (group, label, prediction, score);
+    the confusion counts and the score table both come from those cells. Scores
+    of all groups are accumulated in one pass over ranges of (group, score).
+    """
+    names = [by] if isinstance(by, str) else list(by)
+    by = [f"_g{i}" for i in range(len(names))]
+    s = F.col(score).cast("double") if score is not None else F.lit(None).cast("double")
+    keys = [F.col(c).alias(g) for c, g in zip(names, by)]
+    cells = cut_lineage(pred.select(*keys, F.col(label).alias("label"), F.col(prediction).alias("prediction"), s.alias("s"))
+                        .groupBy(*by, "label", "prediction", "s").agg(F.count(F.lit(1)).alias("n")))
+    n = F.col("n")
+    hit = F.coalesce(F.col("label") == F.col("prediction"), F.lit(False))
+    real = F.coalesce(F.col("label") == F.lit(pos_label), F.lit(False))
+    said = F.coalesce(F.col("prediction") == F.lit(pos_label), F.lit(False))
+
+    def total(cond):
+        return F.sum(F.when(cond, n).otherwise(0))
+
+    p, r = F.col("precision"), F.col("recall")
+    table = cells.groupBy(*by).agg(
+        F.sum(n).alias("support"), safe_div(total(hit), F.sum(n)).alias("accuracy"),
+        safe_div(total(real & said), total(said)).alias("precision"),
+        safe_div(total(real & said), total(real)).alias("recall")) \
+        .withColumn("f1", safe_div(2 * p * r, p + r))
+    scores = cells.where(F.col("s").isNotNull()).groupBy(*by, "s") \
+        .agg(total(real).alias("pos"), total(~real).alias("neg"))
+    auc = _auc(_below(scores, partitions, by), by)
+    measures = ["support", "accuracy", "precision", "recall", "f1", "roc_auc"]
+    return table.join(auc, _same(table, auc, by), "left") \
+        .select(*[table[g].alias(c) for c, g in zip(names, by)], *measures)
+
+
 def class_report(pred: DataFrame, label: str = "label", prediction: str = "prediction",
                  names: dict | None = None) -> DataFrame:
     """Per-class rows, then accuracy, macro avg, weighted avg."""

@@ -35,9 +35,6 @@ def scatter_sample(feat: DataFrame, cols: Sequence[str], n_each: int = 1500,
 
 # ---------------------------------------------------------------- M13-M17
 
-LEADERBOARD_SCHEMA = ("model string, accuracy double, precision double, recall double, f1 double, "
-                      "roc_auc double, train_seconds double")
-
 # ---- fixed values: model presets of the study --------------------------------
 LR_ITERATIONS = 1000
 VOTING_LR_ITERATIONS = 500
@@ -70,17 +67,34 @@ def prepare(feat: DataFrame, scaled: bool = False, features=FEATURE_COLS, label:
 
 def evaluate_model(name: str, estimator, train: DataFrame, test: DataFrame) -> DataFrame:
     """Fit (timed), predict; one metrics row."""
+    pred, secs = predicted(estimator, train, test)
+    return evaluate_predictions(name, pred, secs, "score" if "score" in pred.columns else None)
+
+
+def predicted(estimator, train: DataFrame, test: DataFrame) -> tuple[DataFrame, float]:
+    """Predictions for the test rows, and the seconds of the fit."""
     t0 = time.time()
     model = estimator.fit(train)
-    secs = time.time() - t0
-    return evaluate_predictions(name, mo.predict_binary(model, test), secs)
+    return mo.predict_binary(model, test), time.time() - t0
 
 
 def evaluate_predictions(name: str, pred: DataFrame, secs: float | None, score: str | None = "score") -> DataFrame:
     """One metrics row; ``score`` None (no probabilities) leaves the AUC NULL."""
-    pred = cut_lineage(pred.select("label", "prediction", *([score] if score else [])))
-    row = me.report_row(pred, "label", "prediction", score, pos_label=1)
-    return row.select(F.lit(name).alias("model"), "*", F.lit(secs).cast("double").alias("train_seconds"))
+    return evaluate_all({name: (pred if score else pred.drop("score"), secs)}, score or "score")
+
+
+def evaluate_all(predictions: dict[str, tuple[DataFrame, float | None]], score: str = "score") -> DataFrame:
+    """One metrics row per model (name -> predictions, seconds of the fit), all
+    from one aggregation; predictions without a ``score`` column have no AUC."""
+    rows, seconds = None, F.create_map(*[x for m, (_, t) in predictions.items()
+                                         for x in (F.lit(m), F.lit(t).cast("double"))])
+    for name, (pred, _) in predictions.items():
+        s = F.col(score).cast("double") if score in pred.columns else F.lit(None).cast("double")
+        part = pred.select(F.lit(name).alias("model"), F.col("label").cast("int").alias("label"),
+                           F.col("prediction").cast("int").alias("prediction"), s.alias("score"))
+        rows = part if rows is None else rows.unionByName(part)
+    return me.report_rows(rows, "model").select("model", "accuracy", "precision", "recall", "f1", "roc_auc",
+                                                seconds[F.col("model")].alias("train_seconds"))
 
 
 def _pos_weighted(train: DataFrame) -> DataFrame:
@@ -105,61 +119,65 @@ class Study:
             self._frames[scaled] = prepare(self.feat, scaled)
         return self._frames[scaled]
 
-    def _fit(self, name, estimator, scaled=False, weigh=lambda df: df):
+    def _fit(self, estimator, scaled=False, weigh=lambda df: df):
         train, test = self.frames(scaled)
-        return evaluate_model(name, estimator, weigh(train), test)
+        return predicted(estimator, weigh(train), test)
 
-    def _resampled(self, name, resample):
+    def _resampled(self, resample):
         train, test = self.frames(False)
         df = resample(train.select(KEY, *FEATURE_COLS, F.col("label").alias(LABEL)))
         df = cut_lineage(mo.assemble(df.withColumnRenamed(LABEL, "label"), FEATURE_COLS))
-        return evaluate_model(name, mo.decision_tree(BALANCED_TREE_DEPTH), df, test)
+        return predicted(mo.decision_tree(BALANCED_TREE_DEPTH), df, test)
 
     def logistic(self):
-        return self._fit("Logistic Regression",
-                         mo.logistic_regression(float(self.frames(True)[0].count()), LR_ITERATIONS, "weight"), True)
+        return self._fit(mo.logistic_regression(float(self.frames(True)[0].count()), LR_ITERATIONS, "weight"), True)
 
     def tree(self):
-        return self._fit("Decision Tree", mo.decision_tree(TREE_DEPTH, weight_col="weight"))
+        return self._fit(mo.decision_tree(TREE_DEPTH, weight_col="weight"))
 
     def naive_bayes(self):
-        return self._fit("Naive Bayes", mo.gaussian_nb(), True)
+        return self._fit(mo.gaussian_nb(), True)
 
     def tree_smote(self):
-        return self._resampled("Decision Tree + SMOTE", lambda df: smote(df, FEATURE_COLS, ratio=SMOTE_RATIO))
+        return self._resampled(lambda df: smote(df, FEATURE_COLS, ratio=SMOTE_RATIO))
 
     def tree_undersampled(self):
-        return self._resampled("Decision Tree + undersampling", lambda df: sa.undersample(df, ratio=SMOTE_RATIO))
+        return self._resampled(lambda df: sa.undersample(df, ratio=SMOTE_RATIO))
 
     def forest(self):
-        return self._fit("Random Forest", mo.random_forest(*FOREST, weight_col="weight"))
+        return self._fit(mo.random_forest(*FOREST, weight_col="weight"))
 
     def boosting(self):
-        return self._fit("Gradient Boosting", mo.boosting(*BOOSTING, weight_col="pw"), weigh=_pos_weighted)
+        return self._fit(mo.boosting(*BOOSTING, weight_col="pw"), weigh=_pos_weighted)
 
     def voting(self):
         train, test = self.frames(True)
         t0 = time.time()
         models = en.fit_bases(train, voting_bases(float(train.count()), VOTING_TREE_DEPTH))
         secs = time.time() - t0
-        return evaluate_predictions("Soft Voting", en.soft_vote(en.apply_bases(models, test), list(models)), secs)
+        return en.soft_vote(en.apply_bases(models, test), list(models)), secs
 
     def stacking(self):
         train, test = self.frames(True)
         t0 = time.time()
         pred = en.stacking(train, test, voting_bases(float(train.count()), STACKING_TREE_DEPTH),
                            lambda n: mo.logistic_regression(n, VOTING_LR_ITERATIONS, None), key=KEY)
-        return evaluate_predictions("Stacking", pred, time.time() - t0)
+        return pred, time.time() - t0
 
+    NAMES = {"logistic": "Logistic Regression", "tree": "Decision Tree", "naive_bayes": "Naive Bayes",
+             "tree_smote": "Decision Tree + SMOTE", "tree_undersampled": "Decision Tree + undersampling",
+             "forest": "Random Forest", "boosting": "Gradient Boosting", "voting": "Soft Voting", "stacking": "Stacking"}
+    MODELS = tuple(NAMES)
     BALANCING = ("tree", "tree_smote", "tree_undersampled")
-    MODELS = ("logistic", "tree", "naive_bayes", "tree_smote", "tree_undersampled", "forest", "boosting", "voting",
-              "stacking")
+
+    def row(self, model: str) -> DataFrame:
+        """The metrics row of one model."""
+        return self.board((model,))
 
     def board(self, models=MODELS) -> DataFrame:
-        """One row per model, best F1 first; each row is computed once."""
-        spark = self.feat.sparkSession
-        rows = [tuple(getattr(self, m)().first()) for m in models]
-        return leaderboard([spark.createDataFrame(rows, LEADERBOARD_SCHEMA)])
+        """One row per model, best F1 first. Each model is fitted once; the
+        predictions of all are evaluated in one grouped aggregation."""
+        return leaderboard([evaluate_all({self.NAMES[m]: getattr(self, m)() for m in models})])
 
 
 BALANCING_NAMES = ("Decision Tree", "Decision Tree + SMOTE", "Decision Tree + undersampling")

@@ -488,6 +488,27 @@ def q_roc_points(spark, sf_dir):
     return _round_cols(me.roc_points(_pred(spark, sf_dir)), ["fpr", "tpr"])
 
 
+_ROC_DROP = """, pt AS (SELECT s, pos, neg, lead(pos) OVER w AS pos1, lead(neg) OVER w AS neg1, lag(s) OVER w AS above,
+  sum(neg) OVER w / sum(neg) OVER () AS fpr, sum(pos) OVER w / sum(pos) OVER () AS tpr
+  FROM (SELECT score AS s, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS pos,
+    sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS neg FROM pred WHERE score IS NOT NULL GROUP BY score)
+  WINDOW w AS (ORDER BY s DESC))
+SELECT CAST('Infinity' AS DOUBLE) AS threshold, 0.0 AS fpr, 0.0 AS tpr
+UNION ALL SELECT s, round(fpr, 6), round(tpr, 6) FROM pt WHERE above IS NULL OR pos1 IS NULL OR {corner}"""
+
+
+@register("roc_corners", _sql(*_M, body="").rstrip() + _ROC_DROP.format(corner="pos * neg1 <> neg * pos1"))
+def q_roc_corners(spark, sf_dir):
+    """A21 without collinear points."""
+    return _round_cols(me.roc_points(_pred(spark, sf_dir), drop="collinear"), ["fpr", "tpr"])
+
+
+@register("roc_points_dropped", _sql(*_M, body="").rstrip() + _ROC_DROP.format(corner="pos <> pos1 OR neg <> neg1"))
+def q_roc_points_dropped(spark, sf_dir):
+    """A21 without points between equal steps (the library's rule)."""
+    return _round_cols(me.roc_points(_pred(spark, sf_dir), drop="equal_steps"), ["fpr", "tpr"])
+
+
 @register("report_row", _sql(*_M, body=f"""
 SELECT round((SELECT sum(tp) / sum(support) FROM pc), 6) AS accuracy,
   round({S.avg_sql('precision', 'binary')}, 6) AS precision, round({S.avg_sql('recall', 'binary')}, 6) AS recall,
@@ -671,7 +692,7 @@ def _study(spark, sf_dir) -> pl.Study:
 def _study_query(name: str, model: str):
     @register(name)
     def fn(spark, sf_dir):
-        return getattr(_study(spark, sf_dir), model)()
+        return _study(spark, sf_dir).row(model)
     return fn
 
 
@@ -840,18 +861,12 @@ def _closed_predictions(spark, sf_dir) -> dict[str, DataFrame]:
 
 
 def _closed_board(spark, sf_dir) -> DataFrame:
-    rows = [pl.evaluate_predictions(m, p, None, "score" if "score" in p.columns else None)
-            for m, p in _closed_predictions(spark, sf_dir).items()]
-    return _round_cols(pl.leaderboard(rows).drop("train_seconds"), ["accuracy", "precision", "recall", "f1", "roc_auc"])
+    rows = pl.evaluate_all({m: (p, None) for m, p in _closed_predictions(spark, sf_dir).items()})
+    return _round_cols(pl.leaderboard([rows]).drop("train_seconds"), ["accuracy", "precision", "recall", "f1", "roc_auc"])
 
 
-_CLOSED_CTES = _gnb_sql().removeprefix("WITH ").rsplit("SELECT j.row_key", 1)
-_CLOSED = ("WITH " + _CLOSED_CTES[0].rstrip() + ",\nnbp AS (SELECT j.row_key" + _CLOSED_CTES[1] + """),
-preds AS (SELECT 'Rule' AS model, row_key, isFraud AS label, suspicious_type * orig_zeroed AS prediction,
-    CAST(suspicious_type * orig_zeroed AS DOUBLE) AS score FROM spl WHERE split = 'test'
-  UNION ALL SELECT 'Naive Bayes', row_key, label, prediction, score FROM nbp
-  UNION ALL SELECT 'All zero', row_key, isFraud, 0, NULL FROM spl WHERE split = 'test'),
-cm AS (SELECT model, count(*) AS n, sum(CASE WHEN label = prediction THEN 1 ELSE 0 END) AS hit,
+# preds(model, label, prediction, score) -> board, one row a model
+_BOARD = """cm AS (SELECT model, count(*) AS n, sum(CASE WHEN label = prediction THEN 1 ELSE 0 END) AS hit,
     sum(label * prediction) AS tp, sum(prediction) AS pp, sum(label) AS p FROM preds GROUP BY model),
 sc AS (SELECT model, score AS s, sum(label) AS pos, sum(1 - label) AS neg FROM preds WHERE score IS NOT NULL
   GROUP BY model, score),
@@ -863,7 +878,14 @@ m1 AS (SELECT cm.model, hit / n AS accuracy, coalesce(tp / nullif(pp, 0), 0.0) A
 board AS (SELECT model, round(accuracy, 6) AS accuracy, round(precision, 6) AS precision, round(recall, 6) AS recall,
     round(CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END, 6) AS f1,
     round(roc_auc, 6) AS roc_auc FROM m1)
-""")
+"""
+_CLOSED_CTES = _gnb_sql().removeprefix("WITH ").rsplit("SELECT j.row_key", 1)
+_CLOSED = ("WITH " + _CLOSED_CTES[0].rstrip() + ",\nnbp AS (SELECT j.row_key" + _CLOSED_CTES[1] + """),
+preds AS (SELECT 'Rule' AS model, row_key, isFraud AS label, suspicious_type * orig_zeroed AS prediction,
+    CAST(suspicious_type * orig_zeroed AS DOUBLE) AS score FROM spl WHERE split = 'test'
+  UNION ALL SELECT 'Naive Bayes', row_key, label, prediction, score FROM nbp
+  UNION ALL SELECT 'All zero', row_key, isFraud, 0, NULL FROM spl WHERE split = 'test'),
+""" + _BOARD)
 
 
 @register("leaderboard_closed", _CLOSED + "SELECT * FROM board")
@@ -883,6 +905,18 @@ def q_balancing_closed(spark, sf_dir):
     return pl.balancing_comparison(_closed_board(spark, sf_dir), ("Rule", "All zero"))
 
 
+@register("report_by_type", _sql(S.TX, S.features_cte(), S.PRED_CTE, """
+preds AS (SELECT tx.type AS model, p.label, p.prediction, p.score FROM pred p JOIN tx ON tx.row_key = p.row_key)""",
+                                 _BOARD.rstrip(), body="SELECT model AS type, accuracy, precision, recall, f1, roc_auc FROM board"))
+def q_report_by_type(spark, sf_dir):
+    """A22 per transaction type, of the rule's predictions, in one aggregation."""
+    tx = src.load_tx(spark, sf_dir)
+    f = fe.feature_table(tx, fe.fit_type_codes(tx), extra=("type",))
+    hit = F.col("suspicious_type") * F.col("orig_zeroed")
+    pred = f.select("type", F.col(LABEL).alias("label"), hit.alias("prediction"), (F.col("amount") * hit).alias("score"))
+    return _round_cols(me.report_rows(pred, "type").drop("support"), ["accuracy", "precision", "recall", "f1", "roc_auc"])
+
+
 @register("voting_closed", _CLOSED + """
 SELECT row_key, label, CAST(CASE WHEN avg(score) > 0.5 THEN 1 ELSE 0 END AS INTEGER) AS prediction,
   round(avg(score), 5) AS score
