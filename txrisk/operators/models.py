@@ -100,13 +100,14 @@ def gaussian_nb(label: str = "label") -> NaiveBayes:
 
 def predict_binary(model, df: DataFrame, label: str = "label") -> DataFrame:
     """Uniform output (label, prediction, score = P(1)) for any binary
-    model (regressor trick: p1 > 0.5)."""
+    model (regressor trick: p1 > 0.5); no score without probabilities."""
     out = model.transform(df)
     if "p1" in out.columns:
         p1 = F.least(F.greatest(F.col("p1"), F.lit(0.0)), F.lit(1.0))
         return out.withColumn("score", p1).withColumn("prediction", (F.col("score") > 0.5).cast("int"))
-    return (out.withColumn("score", vector_to_array("probability")[1])
-            .withColumn("prediction", F.col("prediction").cast("int")))
+    if "probability" in out.columns:
+        out = out.withColumn("score", vector_to_array("probability")[1])
+    return out.withColumn("prediction", F.col("prediction").cast("int"))
 
 
 def importances(model, features: Sequence[str], top_n: int = 12) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import r6
 from ..functions.quantile import exact_percentile_value
 from ..operators import ensemble as en
+from ..operators import estimators as es
 from ..operators import features as fe
 from ..operators import knn as kn
 from ..operators import metrics as me
@@ -28,6 +29,7 @@ from ..operators.stats import with_weights
 from ..schema import FEATURE_COLS, KEY, LABEL, MANAGER_FEATURE_COLS, RISK_NAMES
 from ..session import cut_lineage
 from ..sources import transactions as src
+from . import fitted as ft
 from . import pipeline as pl
 from . import sql as S
 
@@ -848,6 +850,19 @@ def q_gnb3_scores(spark, sf_dir):
                        ["p_normal", "p_small", "p_large"])
 
 
+@register("pipeline_scores", ORACLE["gnb_3class_scores"])
+def q_pipeline_scores(spark, sf_dir):
+    """P1 + M17: a fitted pipeline over raw transactions, saved, loaded and
+    applied to the test rows."""
+    tx = cut_lineage(sa.stratified_split(_risk(spark, sf_dir), label="risk_category"))
+    pipeline = ft.transaction_pipeline(es.ClosedFormNB(labelCol="risk_category"), scaled=True)
+    model = ft.load_fitted(ft.save_fitted(pipeline.fit(tx.where(F.col("split") == "train")), spark))
+    new = tx.where(F.col("split") == "test").drop("risk_category", "split")
+    out = ft.score_risk(model, new)
+    return _round_cols(out.select(KEY, "risk_category", "risk_name", "flag", "p_normal", "p_small", "p_large"),
+                       ["p_normal", "p_small", "p_large"])
+
+
 def _closed_predictions(spark, sf_dir) -> dict[str, DataFrame]:
     """Predictors without a solver on the test rows: rule, naive Bayes, all zero."""
     train, test = _scaled_split(spark, sf_dir)
@@ -1064,3 +1079,18 @@ def q_knn_tx(spark, sf_dir):
         te.select(F.col(KEY).alias("qid"), F.col(LABEL).alias("label")), "qid"))
     row = me.report_row(pred, score=None, pos_label=1).drop("roc_auc")
     return _round_cols(row, ["accuracy", "precision", "recall", "f1"])
+
+
+@register("knn_estimator", ORACLE["knn_tx"])
+def q_knn_estimator(spark, sf_dir):
+    """F3 + M9: the kNN join as an estimator, evaluated like any model (the rows
+    of ``knn_tx``)."""
+    f = _feat(spark, sf_dir)
+    f = sc.apply_scaler(f, sc.fit_scaler(f, MANAGER_FEATURE_COLS))
+    s = cut_lineage(sa.stratified_split(f))
+    tr = sa.balanced_sample(s.where(F.col("split") == "train"), 2500)
+    knn = es.KNNJoinClassifier(weights="distance", weightMode="eps", idCol=KEY)
+    train, test = (mo.assemble(df.withColumnRenamed(LABEL, "label"), MANAGER_FEATURE_COLS)
+                   for df in (tr, s.where(F.col("split") == "test")))
+    row = pl.evaluate_model("kNN", knn, train, test)
+    return _round_cols(row.select("accuracy", "precision", "recall", "f1"), ["accuracy", "precision", "recall", "f1"])
