@@ -89,3 +89,91 @@ def test_untitled_mentions_follow(spark):
                      rows[1].text)
     assert m[1] == m[3] != "Anna" and m[2] == m[4] == m[5] == m[6] != "Smith" and m[7] == m[2].upper()
     assert rows[1].n == 7 and not rows[2].n
+
+
+FORMS = ["Password: ______________", "token = ----------", "secret: ..........  pwd=//////////", "password: _______a",
+         "password: \u00b2\u00b2\u00b2\u00b2\u00b2\u00b2\u00b2\u00b2", "password: \u0661\u0662\u0663\u0664\u0665\u0666\u0667\u0668", "____@x.com", "api_key=a_______ api-key: e_______",
+         "password: i_______, password: o_______, password: u_______"]
+
+
+def test_forms_without_a_secret_end(spark):
+    new = {r.doc_id: r for r in _run(spark, list(enumerate([*FORMS, "mail a@b.de"])), count_col="n")}
+    for i in (0, 1, 2, 4):
+        assert new[i].text == FORMS[i] and not new[i].n
+    # Five strings exist for one vowel: permuted, distinct, none its own.
+    five = {c: t for c, t in zip("aeiou", re.findall(r"([a-z])_{7}", new[7].text + new[8].text))}
+    assert len(set(five.values())) == 5 and all(c != t for c, t in five.items())
+    assert re.fullmatch("password: _______[0-9b-f]", new[3].text)
+    assert new[5].n == 1 and new[5].text != FORMS[5] and new[6].n == 1 and new[9].n == 1
+
+
+def _assigned(spark, ents, monkeypatch):
+    rounds = []
+    save = pii.save
+    monkeypatch.setattr(pii, "save", lambda df, name: rounds.append(name) or save(df, name))
+    df = spark.createDataFrame(ents, "kind string, entity string").repartition(4)
+    got = {(r.kind, r.entity): r.surrogate for r in pii.assign_surrogates(df, "k").collect()}
+    assert got.keys() == set(ents) and len({(k, s) for (k, _), s in got.items()}) == len(ents)
+    assert all(e != s for (_, e), s in got.items())
+    return got, rounds.count("open-entities")
+
+
+def test_more_private_addresses_than_surrogates(spark, monkeypatch):
+    ents = [("ip", f"192.168.{a}.{b}") for a in range(256) for b in range(256)][:60_000]
+    got, rounds = _assigned(spark, ents, monkeypatch)
+    assert rounds < 12 and not set(got.values()) & {e for _, e in ents}
+    assert all(s.startswith(("192.168.", "10.")) for s in got.values())
+
+
+def test_all_short_phones(spark, monkeypatch):
+    got, rounds = _assigned(spark, [("phone", f"{i:05d}") for i in range(100_000)], monkeypatch)
+    assert rounds == 1 and all(len(s) == 5 and s.isdigit() for s in got.values())      # permuted at once
+
+
+def test_crowded_formats_keep_their_checks(spark, monkeypatch):
+    monkeypatch.setattr(pii, "space_of", lambda kind, e: (f"{len(e)}{e[0]}{pii._luhn(e) == 0}", 1.0))
+    cards = [f"4{i:011d}" for i in range(300)]
+    cards = [c + next(d for d in "0123456789" if (pii._luhn(c + d) == 0) == (i % 2 == 0)) for i, c in enumerate(cards)]
+    got, _ = _assigned(spark, [("card", c) for c in cards], monkeypatch)
+    assert all((pii._luhn(s) == 0) == (pii._luhn(e) == 0) and s[0] == "4" and len(s) == 13 for (_, e), s in got.items())
+
+
+def test_domains_stay_apart_and_ibans_valid(spark):
+    hosts = [f"{a}{b}.de" for a in "abcdefghijklmnopqrstuvwxyz" for b in ["", "x", "1"]]
+    new = [pii.surrogate(b"k", "email", f"me@{h}", 0).rpartition("@")[2] for h in hosts]
+    assert len(set(new)) == len(hosts) and all(a != b for a, b in zip(new, hosts))
+    assert pii.surrogate(b"k", "email", "a@mail.x.de", 0).endswith("." + pii.surrogate(b"k", "email", "b@x.de", 0).rpartition("@")[2])
+    valid = pii.surrogate(b"k", "iban", "DE89370400440532013000", 0)
+    turned = valid[4:] + valid[:4]
+    assert int("".join(str(int(c, 36)) for c in turned)) % 97 == 1 and valid[:2] == "DE" and len(valid) == 22
+
+
+def test_permutation_is_a_cycle_without_fixed_points():
+    for n in (2, 3, 5, 21, 100, 257):
+        p = pii._Permutation(b"k", "t", n)
+        assert sorted(p.other(v) for v in range(n)) == list(range(n)) and all(p.other(v) != v for v in range(n))
+        assert all(p.inverse(p.forward(v)) == v for v in range(n))
+
+
+def test_planted_entities_are_found(spark):
+    """Spans known from building the text, not from the patterns."""
+    import random
+    rng = random.Random(4)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))       # noqa: E731
+    make = {"email": lambda: (f"{rng.choice('abc')}{digits(3)}@host{digits(2)}.example.org",) * 2,
+            "phone": lambda: (f"+{rng.choice('1234')} (9{digits(2)}) 5{digits(2)}-{digits(4)}",) * 2,
+            "ip": lambda: (".".join(str(rng.randint(1, 255)) for _ in range(4)),) * 2,
+            "ssn": lambda: (f"{digits(3)}-{digits(2)}-{digits(4)}",) * 2,
+            "card": lambda: (f"4{digits(3)} {digits(4)} {digits(4)} {digits(4)}",) * 2,
+            "secret": lambda: (lambda x: (f"password: {x}", x))("Z" + digits(11) + "kq"),
+            "name-family": lambda: (lambda x: (f"Mrs. {x}", x))(rng.choice(["Miller", "O'Neil", "Iwanow"]))}
+    for _ in range(200):
+        text, want = "", []
+        for _ in range(rng.randint(1, 6)):
+            text += rng.choice(["Then ", "see: ", "word, 3 words; ", "in 2024, "])
+            kind = rng.choice(list(make))
+            whole, x = make[kind]()
+            at = len(text) + whole.index(x)
+            want.append((at, at + len(x), kind))
+            text += whole + " ."
+        assert [m[:3] for m in pii.mentions(text)] == want, text

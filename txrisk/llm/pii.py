@@ -7,6 +7,15 @@ same script, and for names the gender that the title tells. A collision check
 over all entities keeps different entities different and keeps surrogates off
 real entities; losers try again with the next hash. Equal entities get equal
 surrogates in every document.
+
+Formats of few strings (a secret with one letter, short phones) may hold more
+entities than can be drawn apart. Where a format's entities fill over a quarter
+of its strings, they are assigned by a keyed permutation of those strings
+instead, which is distinct by construction (such surrogates may be real strings
+of that format, never the entity's own). Private addresses widen to the largest
+private range, then to all. So every round leaves at least half of a format
+free, and the rounds end. Mail domains are always permuted label by label:
+different domains stay different.
 """
 
 from __future__ import annotations
@@ -14,6 +23,8 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -51,7 +62,27 @@ _LETTERS = re.compile(rf"{_L}+")
 _DIGIT = re.compile(r"[0-9]")
 _VOWELS, _CONSONANTS = "aeiou", "bcdfghjklmnprstvwxyz"
 _SCRIPTS = ("абвгдежзиклмнопрстуфхцчшэюя", "αβγδεζηθικλμνξοπρστυφχψω", "áéíóúàèìòùâêîôûäëïöüñçãõåæøß")
-SCHEMA = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("entity", T.StringType())]))
+# Mentions of a document in text order.
+SCHEMA = T.ArrayType(T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType()),
+                                   T.StructField("kind", T.StringType()), T.StructField("entity", T.StringType())]))
+
+
+@lru_cache(maxsize=4096)
+def _alphabet(c: str) -> str:
+    """The lower-case characters that may stand for ``c``; itself if none may."""
+    if c.isdecimal():
+        zero = ord(c) - unicodedata.decimal(c)
+        return "".join(map(chr, range(zero, zero + 10)))
+    if not c.isalpha():
+        return c
+    low = c.lower()
+    if low.isascii():
+        return _VOWELS if low in _VOWELS else _CONSONANTS + "q"
+    for letters in _SCRIPTS:
+        if low in letters:
+            return letters
+    row = [x for x in map(chr, range(ord(c) & ~63, (ord(c) & ~63) + 64)) if x.isalpha() and x.lower() == x]
+    return "".join(row) if low in row else c
 
 
 def _canonical(kind: str, text: str) -> str:
@@ -68,7 +99,8 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
     taken = bytearray(len(text)) if len(text) else bytearray()
 
     def add(a: int, b: int, kind: str):
-        if b > a and not any(taken[a:b]):
+        # What holds no letter or digit that could be another (a form's blank line) is no entity.
+        if b > a and not any(taken[a:b]) and any(len(_alphabet(c)) > 1 for c in text[a:b]):
             taken[a:b] = b"\x01" * (b - a)
             found.append((a, b, kind, _canonical(kind, text[a:b])))
 
@@ -121,17 +153,60 @@ class _Stream:
 
     def like(self, c: str) -> str:
         """A character of the same class and script; others stay."""
-        if c.isdecimal() and c.isascii():
-            return str(self.below(10))
-        if not c.isalpha():
+        letters = _CONSONANTS if c.isascii() and c.isalpha() and c.lower() not in _VOWELS else _alphabet(c)
+        if len(letters) < 2:
             return c
-        low = c.lower()
-        for letters in (_VOWELS, _CONSONANTS, *_SCRIPTS):
-            if low in letters or letters is _CONSONANTS and low.isascii():
-                new = letters[self.below(len(letters))]
-                return new.upper() if c.isupper() and len(new.upper()) == 1 else new
-        row = [x for x in map(chr, range(ord(c) & ~63, (ord(c) & ~63) + 64)) if x.isalpha() and x.lower() == x]
-        return row[self.below(len(row))] if row else c
+        new = letters[self.below(len(letters))]
+        return new.upper() if c.isupper() and len(new.upper()) == 1 else new
+
+
+class _Permutation:
+    """A keyed permutation of 0..n-1: a Feistel network, walked until below n."""
+
+    def __init__(self, key: bytes, tag: str, n: int):
+        self.key, self.tag, self.n = key, tag.encode(), n
+        self.half = max(1, ((n - 1).bit_length() + 1) // 2)
+
+    def _round(self, r: int, v: int) -> int:
+        data = self.tag + b"\x00%d\x00%d" % (r, v)
+        return int.from_bytes(hmac.new(self.key, data, hashlib.sha256).digest(), "big") & ((1 << self.half) - 1)
+
+    def _walk(self, v: int, rounds) -> int:
+        mask = (1 << self.half) - 1
+        while True:
+            left, right = v >> self.half, v & mask
+            for r, back in rounds:
+                left, right = (right ^ self._round(r, left), left) if back else (right, left ^ self._round(r, right))
+            v = left << self.half | right
+            if v < self.n:
+                return v
+
+    def forward(self, v: int) -> int:
+        return self._walk(v, [(r, False) for r in range(6)])
+
+    def inverse(self, v: int) -> int:
+        return self._walk(v, [(r, True) for r in reversed(range(6))])
+
+    def other(self, v: int) -> int:
+        """One cycle through all numbers: a permutation without a fixed point (n > 1)."""
+        return self.forward((self.inverse(v) + 1) % self.n)
+
+
+def permuted(key: bytes, tag: str, text: str) -> str:
+    """``text`` (lower case) moved by a keyed permutation of all strings of its
+    character classes: different texts of a shape stay different."""
+    classes = [_alphabet(c) if c in _alphabet(c) else c for c in text]
+    n, v = 1, 0
+    for c, letters in zip(text, classes):
+        n, v = n * len(letters), v * len(letters) + letters.index(c)
+    if n < 2:
+        return text
+    v = _Permutation(key, "\x00".join((tag, *classes)), n).other(v)
+    out = []
+    for letters in reversed(classes):
+        v, i = divmod(v, len(letters))
+        out.append(letters[i])
+    return "".join(reversed(out))
 
 
 def _luhn(digits: str) -> int:
@@ -142,14 +217,68 @@ def _luhn(digits: str) -> int:
     return total % 10
 
 
+def _iban_check(country: str, body: str) -> str:
+    """The check digits that make the number valid (remainder 1 modulo 97)."""
+    digits = "".join(str(int(c, 36)) for c in body + country + "00")
+    return f"{98 - int(digits) % 97:02d}"
+
+
+def space_of(kind: str, entity: str) -> tuple[str, float]:
+    """The entity's format and how many strings of it can be drawn (infinite
+    where later attempts get longer)."""
+    if kind == "phone":
+        return (f"{len(entity)}:{entity[:-10]}", 8e2 * 8e6) if len(entity) >= 10 else (str(len(entity)), 10.0 ** len(entity))
+    if kind == "card":
+        valid = _luhn(entity) == 0
+        return f"{len(entity)}:{entity[0]}:{valid}", 10.0 ** (len(entity) - 2) * (1 if valid else 9)
+    if kind == "ssn":
+        return "", 566.0 * 99 * 9999
+    if kind == "ip":
+        return "", 254.0 ** 4
+    if kind == "secret":
+        classes, size = [_alphabet(c) for c in entity], 1.0
+        for letters in classes:
+            size = min(1e300, size * len(letters))
+        return "".join(letters[0] for letters in classes), size
+    return "", float("inf")
+
+
+def crowded_surrogate(key: bytes, kind: str, entity: str) -> str:
+    """Surrogate in a format that is too full to draw from: permuted."""
+    if kind == "card":      # the check digit follows from the others, or is one of nine wrong ones
+        new = entity[0] + permuted(key, f"card {entity[0]}", entity[1:-1])
+        return new + next(c for c in "0123456789" if (_luhn(new + c) == 0)) if _luhn(entity) == 0 else \
+            new + _wrong_digit(new, _wrong_rank(entity))
+    if kind == "ip":
+        v = 0
+        for octet in entity.split("."):
+            v = v * 256 + int(octet)
+        v = _Permutation(key, "ip", 2**32).other(v)
+        return ".".join(str(v >> k & 255) for k in (24, 16, 8, 0))
+    if kind == "phone" and len(entity) > 10:
+        return entity[:-10] + permuted(key, f"phone {entity[:-10]}", entity[-10:])
+    return permuted(key, kind, entity)
+
+
+def _wrong_digit(new: str, rank: int) -> str:
+    return [c for c in "0123456789" if _luhn(new + c) != 0][rank]
+
+
+def _wrong_rank(entity: str) -> int:
+    return [c for c in "0123456789" if _luhn(entity[:-1] + c) != 0].index(str(int(entity[-1])))
+
+
+def _valid_iban(entity: str) -> bool:
+    return entity[2:4] == _iban_check(entity[:2], entity[4:])
+
+
 def surrogate(key: bytes, kind: str, entity: str, attempt: int) -> str:
     """Canonical surrogate; later attempts that could run out of room get longer."""
     s = _Stream(key, kind, entity, str(attempt))
     if kind == "email":
         local, _, domain = entity.rpartition("@")
-        d = _Stream(key, "domain", domain)
-        labels = domain.split(".")
-        host = ".".join(["".join(map(d.like, x)) for x in labels[:-1]] + labels[-1:])
+        *labels, top = domain.split(".")
+        host = ".".join([*(permuted(key, "domain", x) for x in labels), top])
         grown = local + "a" * (attempt // 4)
         return "".join(map(s.like, grown)) + "@" + host
     if kind == "phone":
@@ -167,11 +296,14 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int) -> str:
         a, b, *_ = map(int, entity.split("."))
         keep = [10] if a == 10 else [192, 168] if (a, b) == (192, 168) else [172, 16 + s.below(16)] \
             if a == 172 and 16 <= b < 32 else []
+        if attempt >= 3 and keep:       # a full range: the largest private one, later all
+            keep = [10] if attempt < 6 else []
         return ".".join(map(str, keep + [1 + s.below(254) for _ in range(4 - len(keep))]))
     if kind == "ssn":
         return f"{100 + s.below(566)}{1 + s.below(99):02d}{1 + s.below(9999):04d}"
     if kind == "iban":
-        return entity[:2] + "".join(map(s.like, entity[2:]))
+        body = "".join(map(s.like, entity[4:] + "0" * (attempt // 8)))
+        return entity[:2] + (_iban_check(entity[:2], body) if _valid_iban(entity) else "".join(map(s.like, entity[2:4]))) + body
     if kind == "secret":
         return "".join("0123456789abcdef"[s.below(16)] if c in "0123456789abcdef" else s.like(c) for c in entity)
     # Names: pronounceable in the script of the original, ending by gender.
@@ -189,7 +321,7 @@ def render(kind: str, mention: str, new: str) -> str:
     """The surrogate in the mention's own format: separators and letter case."""
     if kind in ("phone", "card", "ssn", "iban"):
         left = iter(new)
-        return "".join(next(left, "") if c.isalnum() else c for c in mention)
+        return "".join([next(left, "") if c.isalnum() else c for c in mention]) + "".join(left)
     letters = [c for c in mention if c.isalpha()]
     if letters and all(c.isupper() for c in letters):
         return new.upper()
@@ -198,50 +330,58 @@ def render(kind: str, mention: str, new: str) -> str:
     return new
 
 
-def replace(text: str, known: dict[tuple[str, str], str]) -> str:
-    """``text`` with every mention replaced by its entity's surrogate."""
+def replace(text: str, known: dict[tuple[str, str], str], found=None) -> str:
+    """``text`` with every mention (those ``found``) replaced by its entity's surrogate."""
     out, at = [], 0
-    for a, b, kind, entity in mentions(text):
+    for a, b, kind, entity in mentions(text) if found is None else found:
         out += [text[at:a], render(kind, text[a:b], known[kind, entity])]
         at = b
     return "".join(out) + text[at:]
 
 
+def _by_rows(fields: list[str], fn, types: list[pa.DataType]):
+    """mapInArrow body: (kind, entity) rows plus ``fields`` computed by ``fn``."""
+    def run(it):
+        for b in it:
+            rows = [fn(k, e) for k, e in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+            cols = [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols], names=["kind", "entity", *fields])
+    return run
+
+
 def assign_surrogates(entities: DataFrame, key: str) -> DataFrame:
     """``kind, entity, surrogate`` for distinct (kind, entity) rows.
 
-    Each round proposes one surrogate per open entity. It is accepted if it is
-    no entity of its kind, not taken, and its proposer the first of those who
-    proposed it; the others go on to the next attempt. Names share one space,
-    so that no two names of any gender meet.
+    Entities of crowded formats are permuted first. Then each round proposes one
+    surrogate per open entity. It is accepted if it is no entity of its kind,
+    not taken, and its proposer the first of those who proposed it; the others
+    go on to the next attempt. Names share one space, so that no two names of
+    any gender meet.
     """
     secret = key.encode()
-
-    def propose(attempt: int):
-        def run(it):
-            for b in it:
-                new = [surrogate(secret, k, e, attempt)
-                       for k, e in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(new, pa.string())],
-                                                 names=["kind", "entity", "surrogate"])
-        return run
-
     space = F.when(F.col("kind").startswith("name"), "name").otherwise(F.col("kind"))
+    formats = save(entities.mapInArrow(_by_rows(["format", "room"], space_of, [pa.string(), pa.float64()]),
+                                       "kind string, entity string, format string, room double"), "entity-formats")
+    full = formats.groupBy("kind", "format").agg(F.count("*").alias("n"), F.min("room").alias("room")) \
+        .where(F.col("n") * 4 > F.col("room")).select("kind", "format")
+    crowded = formats.join(full, ["kind", "format"], "left_semi").select("kind", "entity")
+    done = save(crowded.mapInArrow(_by_rows(["surrogate"], lambda k, e: (crowded_surrogate(secret, k, e),), [pa.string()]),
+                                   "kind string, entity string, surrogate string")
+                .select(space.alias("space"), "kind", "entity", "surrogate"), "surrogates")
+    open_ = save(formats.join(full, ["kind", "format"], "left_anti").select("kind", "entity"), "open-entities")
     real = entities.select(space.alias("space"), F.col("entity").alias("surrogate")).distinct()
-    open_, done, attempt = entities, None, 0
-    while True:
-        offered = open_.mapInArrow(propose(attempt), "kind string, entity string, surrogate string") \
-            .withColumn("space", space)
+    attempt = 0
+    while not open_.isEmpty():
+        offered = open_.mapInArrow(_by_rows(["surrogate"], lambda k, e, a=attempt: (surrogate(secret, k, e, a),), [pa.string()]),
+                                   "kind string, entity string, surrogate string").withColumn("space", space)
         first = offered.groupBy("space", "surrogate").agg(F.min(F.struct("kind", "entity")).alias("w"))
-        accepted = first.join(real, ["space", "surrogate"], "left_anti")
-        if done is not None:
-            accepted = accepted.join(done.select("space", "surrogate"), ["space", "surrogate"], "left_anti")
+        accepted = first.join(real, ["space", "surrogate"], "left_anti") \
+            .join(done.select("space", "surrogate"), ["space", "surrogate"], "left_anti")
         accepted = save(accepted.select("space", "w.kind", "w.entity", "surrogate"), "surrogates")
-        done = accepted if done is None else done.unionByName(accepted)
+        done = done.unionByName(accepted)
         open_ = save(open_.join(accepted, ["kind", "entity"], "left_anti").select("kind", "entity"), "open-entities")
         attempt += 1
-        if open_.isEmpty():
-            return done.select("kind", "entity", "surrogate")
+    return done.select("kind", "entity", "surrogate")
 
 
 def pseudonymize(docs: DataFrame, text_col: str = "text", key: str | None = None,
@@ -269,14 +409,15 @@ def pseudonymize(docs: DataFrame, text_col: str = "text", key: str | None = None
                     found = [mentions(t) if t else [] for t in part.column(at).to_pylist()]
                     mask = pa.array([bool(f) == with_entities for f in found])
                     count = pa.array([len(f) for f in found], pa.int64())
-                    pairs = pa.array([[{"kind": x, "entity": e} for x, e in sorted({m[2:] for m in f})] for f in found],
+                    spans = pa.array([[dict(zip(("a", "b", "kind", "entity"), m)) for m in f] for f in found],
                                      arrow.field(arrow.names.index(ents)).type)
-                    yield pa.RecordBatch.from_arrays([*part.columns, count, pairs], schema=arrow).filter(mask)
+                    yield pa.RecordBatch.from_arrays([*part.columns, count, spans], schema=arrow).filter(mask)
         return run
 
     private = save(docs.mapInArrow(detect(True), marked_type).withColumn(uid, F.monotonically_increasing_id()),
                    "private-documents")
-    pairs = private.select(uid, F.explode(ents).alias("e")).select(uid, "e.kind", "e.entity")
+    own = F.array_distinct(F.transform(ents, lambda m: F.struct(m["kind"].alias("kind"), m["entity"].alias("entity"))))
+    pairs = private.select(uid, F.explode(own).alias("e")).select(uid, "e.kind", "e.entity")
     mapping = assign_surrogates(save(pairs.select("kind", "entity").distinct(), "entities"), key)
     known = pairs.join(mapping, ["kind", "entity"]).groupBy(uid) \
         .agg(F.collect_list(F.struct("kind", "entity", "surrogate")).alias(known_as))
@@ -287,13 +428,14 @@ def pseudonymize(docs: DataFrame, text_col: str = "text", key: str | None = None
         for b in it:
             for k in range(0, b.num_rows, 1000):
                 part = b.slice(k, 1000)
-                maps = part.column(len(out_names)).to_pylist()
-                new = [replace(t, {(e["kind"], e["entity"]): e["surrogate"] for e in m})
-                       for t, m in zip(part.column(at).to_pylist(), maps)]
-                cols = [pa.array(new, c.type) if i == at else c for i, c in enumerate(part.columns[:-1])]
+                spans, maps = (part.column(len(out_names) + k).to_pylist() for k in range(2))
+                new = [replace(t, {(e["kind"], e["entity"]): e["surrogate"] for e in m},
+                               [(x["a"], x["b"], x["kind"], x["entity"]) for x in f])
+                       for t, f, m in zip(part.column(at).to_pylist(), spans, maps)]
+                cols = [pa.array(new, c.type) if i == at else c for i, c in enumerate(part.columns[:-2])]
                 yield pa.RecordBatch.from_arrays(cols, names=out_names)
 
-    changed = private.drop(ents).join(known, uid).select(*names, n, known_as) \
+    changed = private.join(known, uid).select(*names, n, ents, known_as) \
         .mapInArrow(rewrite, out_type)
     clean = docs.mapInArrow(detect(False), marked_type).drop(ents)
     both = clean.unionByName(changed)
