@@ -2,11 +2,14 @@
 
 Documents become pieces of at most 1024 tokens. The histogram of piece lengths
 (at most 1024 numbers, whatever the corpus) goes to the driver, which
-enumerates patterns of a few documents that fill a sequence, fits their repeat
-counts to the histogram by non-negative least squares, rounds them down and
-packs what is left best-fit decreasing. The plan says which ranks of a length
-go to which sequences; pieces are ranked within their length by a salted,
-distributed count, so no length needs one task.
+enumerates the patterns of two to four present lengths that fill a sequence
+exactly, fits their repeat counts to the histogram by non-negative least squares
+(an active set, into which the patterns with the steepest gradient enter),
+rounds them, fits again what is left, and packs the residuals best-fit
+decreasing. Where that takes more sequences than best fit alone, best fit alone
+is the plan. The plan says which ranks of a length go to which sequences; pieces
+are ranked within their length by a salted, distributed count, so no length
+needs one task.
 """
 
 from __future__ import annotations
@@ -26,10 +29,11 @@ from .common import batches, save
 
 SEQUENCE = 1024
 END_ID = 2
-PARTNERS = 8                # patterns tried per length and document count
-MOST_IN_PATTERN = 4
-_STEPS = 300
-_MEMO = 600_000             # encoded chunks a task remembers before it starts anew
+WASTE = 0.001               # weight of free room in the fit, against a miss of the histogram
+_BATCH = 128                # patterns that enter the fit at a time
+_STEPS = 25                 # such steps, at most
+_REFITS = 3                 # times that what rounding left is fitted again, at most
+_MEMO = 150_000             # encoded chunks a task remembers before it starts anew
 _UNSAFE_CUT = re.compile(r"\s \s")
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"   # fixed by the vocabulary
 
@@ -115,69 +119,101 @@ def _pieces(path: str, end: bytes, limit: int, id_type: pa.DataType):
 
 
 # ------------------------------------------------------------------ the plan
-def enumerate_patterns(hist: np.ndarray, limit: int, seed: int = 11) -> list[tuple[int, ...]]:
-    """Patterns of 2 to 4 present lengths whose sum is ``limit`` (or just below).
+class Patterns:
+    """All exact fills of ``limit`` by two to four of the present lengths.
 
-    For each length and document count a few patterns are tried: companions are
-    drawn in proportion to the histogram, the last one fills the rest.
+    Pairs and triples are listed (at most limit^2 / 12 of them); quadruples are
+    two pairs, and of the pairs of one sum only the best one matters to a price.
     """
-    rng = np.random.default_rng(seed)
-    present = np.flatnonzero(hist[:limit])
-    if not len(present):
-        return []
-    share = hist[present] / hist[present].sum()
-    found = set()
-    for size in range(2, MOST_IN_PATTERN + 1):
-        drawn = rng.choice(present, (len(present), PARTNERS, size - 2), p=share)
-        rest = limit - present[:, None] - drawn.sum(axis=2)
-        at = np.searchsorted(present, rest, side="right") - 1
-        for a, i, r, others in zip(np.repeat(present, PARTNERS), at.ravel(), rest.ravel(),
-                                   drawn.reshape(len(present) * PARTNERS, size - 2)):
-            if r > 0 and i >= 0 and r - present[i] <= limit // 128:
-                found.add(tuple(sorted((int(a), int(present[i]), *map(int, others)), reverse=True)))
-    return sorted(found, reverse=True)
-
-
-def fit_counts(hist: np.ndarray, patterns: list[tuple[int, ...]]) -> np.ndarray:
-    """Non-negative x minimising |A x - hist|^2 (multiplicative updates), where
-    A counts each length in each pattern."""
-    width = max(map(len, patterns))
-    member = np.array([p + (0,) * (width - len(p)) for p in patterns])      # 0 pads: a row that is not fitted
-    h = hist.astype(float).copy()
-    h[0] = 0
-    live = member > 0
-
-    def up(v):      # A^T v
-        return np.where(live, v[member], 0).sum(axis=1)
-
-    x = np.full(len(patterns), h.sum() / max(1, live.sum()))
-    goal = up(h)
-    for _ in range(_STEPS):
-        made = np.bincount(member.ravel(), np.where(live, x[:, None], 0).ravel(), minlength=len(h))
-        x *= goal / np.maximum(up(made), 1e-12)
-    return x
 
-
-def pack_histogram(hist: np.ndarray, limit: int = SEQUENCE) -> list[tuple[tuple[int, ...], int]]:
-    """(lengths of a sequence, repeats): together they use every piece once."""
-    left = hist.astype(np.int64).copy()
-    bins: list[tuple[tuple[int, ...], int]] = []
-    if left[limit]:
-        bins.append(((limit,), int(left[limit])))
-        left[limit] = 0
-    patterns = enumerate_patterns(left, limit)
-    if patterns:
-        x = np.floor(fit_counts(left, patterns)).astype(np.int64)
-        for k in np.argsort(-x, kind="stable"):
-            if not x[k]:
+    def __init__(self, present: np.ndarray, limit: int):
+        self.limit, here = limit, np.zeros(limit + 1, bool)
+        here[present] = True
+        a, b = np.meshgrid(present, present, indexing="ij")
+        once = a >= b
+        a, b = a[once], b[once]
+        self.a, self.b = a[a + b < limit], b[a + b < limit]        # pairs, by their sum
+        self.sum = self.a + self.b
+        c = limit - self.sum
+        third = (c <= self.b) & here[c]
+        two = present[2 * present >= limit]
+        two = two[here[limit - two]]
+        zero = np.zeros_like(two)
+        self.listed = np.vstack([np.stack([two, limit - two, zero, zero], 1),
+                                 np.stack([self.a, self.b, c, np.zeros_like(c)], 1)[third]])
+
+    def steepest(self, price: np.ndarray, most: int) -> list[tuple[int, ...]]:
+        """Patterns with the largest sums of ``price`` over their lengths, all
+        positive, no two with a length in common."""
+        price = price.copy()
+        price[0] = 0
+        rows, value = self.listed, price[self.listed].sum(axis=1)
+        if len(self.sum):
+            worth = price[self.a] + price[self.b]
+            order = np.lexsort((worth, self.sum))
+            last = order[np.flatnonzero(np.diff(self.sum[order], append=-1))]     # the best pair of each sum
+            best = np.full(self.limit + 1, -1)
+            best[self.sum[last]] = last
+            s = np.arange(1, self.limit // 2 + 1)
+            s = s[(best[s] >= 0) & (best[self.limit - s] >= 0)]
+            p, q = best[s], best[self.limit - s]
+            rows = np.vstack([rows, np.stack([self.a[p], self.b[p], self.a[q], self.b[q]], 1)])
+            value = np.concatenate([value, worth[p] + worth[q]])
+        found, used = [], set()
+        top = np.argsort(-value, kind="stable")[:50 * most]
+        for k in top[value[top] > 1e-9 * max(1.0, np.abs(price).max())]:
+            pattern = tuple(sorted((int(v) for v in rows[k] if v), reverse=True))
+            if not used & set(pattern):
+                used |= set(pattern)
+                found.append(pattern)
+                if len(found) == most:
+                    break
+        return found
+
+
+def fit_counts(hist: np.ndarray, patterns: Patterns, start: list[tuple[tuple[int, ...], int]]):
+    """Patterns and counts x >= 0 minimising |A x - hist|^2 + (WASTE w x)^2, where
+    A counts each length in each pattern and w is what a pattern leaves free.
+
+    An active-set method: it begins with the patterns and counts of ``start``
+    (a whole packing, which may leave room free); exact patterns with the
+    steepest gradient enter, the passive set's least-squares solution is taken
+    as far as all counts stay positive, those at zero leave.
+    """
+    limit, h = patterns.limit, np.append(hist.astype(float), 0.0)
+
+    def rows(some):
+        return np.array([np.append(np.bincount(p, minlength=len(hist)), WASTE * (limit - sum(p))) for p in some],
+                        float).reshape(-1, len(h))
+
+    chosen, x = [p for p, _ in start], np.array([n for _, n in start], float)
+    a, error = rows(chosen), float(h @ h)
+    for step in range(_STEPS):
+        known = set(chosen)
+        new = [p for p in patterns.steepest((h - x @ a)[:-1], _BATCH) if p not in known] if step else []
+        if step and not new:
+            break
+        chosen, a, x = chosen + new, np.vstack([a, rows(new)]), np.concatenate([x, np.zeros(len(new))])
+        gram, goal = a @ a.T, a @ h
+        while len(x):
+            z = np.linalg.solve(gram + 1e-7 * np.eye(len(x)), goal)
+            if (z > 0).all():
+                x = z
                 break
-            need = np.bincount(patterns[k], minlength=len(left))
-            used = np.flatnonzero(need)
-            n = int(min(x[k], (left[used] // need[used]).min()))
-            if n:
-                bins.append((patterns[k], n))
-                left[used] -= n * need[used]
-    # Residuals: best fit decreasing over counts; open[r] are groups with r free.
+            low = z <= 0
+            size = (x[low] / np.maximum(x[low] - z[low], 1e-300)).min()
+            x = x + size * (z - x)
+            stay = ~(low & (x <= 1e-9 * max(1.0, x.max())))
+            chosen = [p for p, s in zip(chosen, stay) if s]
+            a, x, gram, goal = a[stay], x[stay], gram[np.ix_(stay, stay)], goal[stay]
+        before, error = error, float(((h - x @ a) ** 2).sum())
+        if step and error > 0.999 * before:
+            break
+    return chosen, x
+
+
+def best_fit(left: np.ndarray, limit: int) -> list[tuple[tuple[int, ...], int]]:
+    """Best fit decreasing over length counts; open[r] are groups with r free."""
     open_: list[list] = [[] for _ in range(limit + 1)]
     for length in range(limit, 0, -1):
         count = int(left[length])
@@ -197,7 +233,55 @@ def pack_histogram(hist: np.ndarray, limit: int = SEQUENCE) -> list[tuple[tuple[
         for k, n in ((per, count // per), (count % per, 1)):
             if k and n:
                 open_[limit - k * length].append(((length,) * k, n))
-    return bins + [g for groups in open_ for g in groups]
+    return [g for groups in open_ for g in groups]
+
+
+def merged(bins):
+    """Each pattern once, with all its repeats."""
+    counts: dict[tuple[int, ...], int] = {}
+    for lengths, n in bins:
+        key = tuple(sorted(lengths, reverse=True))
+        counts[key] = counts.get(key, 0) + n
+    return sorted(counts.items())
+
+
+def fitted_bins(left: np.ndarray, limit: int) -> list[tuple[tuple[int, ...], int]]:
+    """Sequences by fitted patterns; takes their pieces out of ``left``.
+
+    Counts are rounded to the nearest number that the pieces left allow, the
+    largest first, so that rounding losses of one pattern go to the next; what is
+    left is fitted again until no count reaches one half.
+    """
+    bins = []
+    for _ in range(_REFITS):
+        present = np.flatnonzero(left[:limit])
+        if not len(present):
+            break
+        patterns, x = fit_counts(left, Patterns(present, limit), merged(best_fit(left, limit)))
+        placed = 0
+        for k in np.argsort(-x, kind="stable"):
+            need = np.bincount(patterns[k], minlength=len(left))
+            used = np.flatnonzero(need)
+            n = int(min(np.floor(x[k] + 0.5), (left[used] // need[used]).min()))
+            if n:
+                bins.append((patterns[k], n))
+                left[used] -= n * need[used]
+                placed += n
+        if not placed:
+            break
+    return bins
+
+
+def pack_histogram(hist: np.ndarray, limit: int = SEQUENCE) -> list[tuple[tuple[int, ...], int]]:
+    """(lengths of a sequence, repeats): together they use every piece once.
+    Never more sequences than best fit alone."""
+    left = hist.astype(np.int64).copy()
+    full = [((limit,), int(left[limit]))] if left[limit] else []
+    left[limit] = 0
+    alone = best_fit(left, limit)
+    bins = fitted_bins(left, limit)
+    bins += best_fit(left, limit)
+    return full + min(bins, alone, key=lambda plan: sum(n for _, n in plan))
 
 
 def rank_table(bins: list[tuple[tuple[int, ...], int]], limit: int = SEQUENCE):
