@@ -70,8 +70,11 @@ def test_edges(spark, tmp_path):
     sf = "/root/testdata/sf0.001"
     for empty in (False, True):
         part = docs.limit(0) if empty else docs
-        for name, stage in cp.STAGES[1:]:
+        for name, stage in cp.STAGES:
             out = stage(spark, part, sf)
+            if name == "quality":       # these texts are short and odd: most are rejected
+                assert out.columns == part.columns and not out.exceptAll(part).count()
+                continue
             if name != "packed":
                 assert out.columns == part.columns
                 part = spark.createDataFrame(out.collect(), out.schema)

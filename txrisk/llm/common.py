@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 
@@ -59,3 +61,20 @@ def batches(columns: dict[str, list], schema: pa.Schema, rows: int = 50_000):
     for i in range(0, n, rows):
         yield pa.RecordBatch.from_arrays(
             [pa.array(columns[f.name][i:i + rows], type=f.type) for f in schema], schema=schema)
+
+
+def frugal(run):
+    """A ``mapInArrow`` function whose worker gives its memory back at the end
+    of a partition: workers are kept for later tasks, of other operators too,
+    and the C library would else hold their largest use."""
+    def kept_small(it):
+        try:
+            yield from run(it)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):       # another C library
+                pass
+    return kept_small

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import batches, save
+from .common import batches, frugal, save
 
 SEQUENCE = 1024
 END_ID = 2
@@ -330,7 +330,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
                            *(T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32"))])
     end = array("I", [end_id]).tobytes()
     rows = save(docs.select(id_col, text_col).mapInArrow(
-        _pieces(tokenizer_path, end, limit, to_arrow_type(kind)), schema), "pieces")
+        frugal(_pieces(tokenizer_path, end, limit, to_arrow_type(kind))), schema), "pieces")
     hist = np.zeros(limit + 1, np.int64)
     for r in rows.groupBy("length").count().collect():      # at most ``limit`` rows
         hist[r[0]] = r[1]

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import save, spare
+from .common import frugal, save, spare
 
 KEY_CONF = "spark.txrisk.pii.key"
 DEFAULT_KEY = "txrisk"
@@ -414,7 +414,7 @@ def pseudonymize(docs: DataFrame, text_col: str = "text", key: str | None = None
                     yield pa.RecordBatch.from_arrays([*part.columns, count, spans], schema=arrow).filter(mask)
         return run
 
-    private = save(docs.mapInArrow(detect(True), marked_type).withColumn(uid, F.monotonically_increasing_id()),
+    private = save(docs.mapInArrow(frugal(detect(True)), marked_type).withColumn(uid, F.monotonically_increasing_id()),
                    "private-documents")
     own = F.array_distinct(F.transform(ents, lambda m: F.struct(m["kind"].alias("kind"), m["entity"].alias("entity"))))
     pairs = private.select(uid, F.explode(own).alias("e")).select(uid, "e.kind", "e.entity")
@@ -436,7 +436,7 @@ def pseudonymize(docs: DataFrame, text_col: str = "text", key: str | None = None
                 yield pa.RecordBatch.from_arrays(cols, names=out_names)
 
     changed = private.join(known, uid).select(*names, n, ents, known_as) \
-        .mapInArrow(rewrite, out_type)
-    clean = docs.mapInArrow(detect(False), marked_type).drop(ents)
+        .mapInArrow(frugal(rewrite), out_type)
+    clean = docs.mapInArrow(frugal(detect(False)), marked_type).drop(ents)
     both = clean.unionByName(changed)
     return both.withColumnRenamed(n, count_col) if count_col else both.drop(n)

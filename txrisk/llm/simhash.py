@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import save, spare
+from .common import frugal, save, spare
 from .graph import components
 
 SHINGLE = 3
@@ -145,7 +145,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, hot_key:
 
     rows = docs.select(id_col, _row_key(id_col, text_col).alias("row"), text_col)
     kind = rows.schema[id_col].dataType.simpleString()
-    marked = save(rows.mapInArrow(prints, f"`{id_col}` {kind}, row string, fp long"), "fingerprints")
+    marked = save(rows.mapInArrow(frugal(prints), f"`{id_col}` {kind}, row string, fp long"), "fingerprints")
     first = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col("row"))
     classes = save(marked.groupBy("fp").agg(F.min(first).alias("first")), "classes")
     found = components(near_pairs(classes.select("fp"), hot_key), "a", "b")
