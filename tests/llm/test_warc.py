@@ -77,3 +77,28 @@ def test_scans_that_are_split_differently(spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", split)
     assert got == _want(rows)
+
+
+def test_filters_that_hold_too_much(spark, monkeypatch):
+    """Filters of one block take nearly everything for shared or needed: unique
+    payloads that were taken in by mistake keep their body."""
+    of = warc.BlockedBloom.of
+    monkeypatch.setattr(warc.BlockedBloom, "of", staticmethod(lambda keys: of(keys, max_blocks=1)))
+    rows = [(i, f"u{i}", f"page {i // 2 if i % 5 == 0 else i} text") for i in range(900)] + \
+        [(1000 + i, "u", f"shared {i % 150}") for i in range(450)]
+    got = sorted([tuple(r) for r in warc.warc_roundtrip(_df(spark, rows, 4), min_bytes=9).collect()], key=repr)
+    assert got == _want(rows, 9)
+
+
+def test_few_payloads_are_shuffled(spark):
+    """Of 200 unique pages and 100 copies of 10 payloads, the join that finds
+    the responses gets 10 payloads (and what a filter holds by mistake)."""
+    from pyspark.sql import functions as F
+    rows = [(i, f"unique {i}") for i in range(200)] + [(200 + i, f"shared {i % 10}") for i in range(100)]
+    df = spark.createDataFrame(rows, "id long, text string").select(
+        "id", F.col("text").cast("binary").alias("body")).withColumn("sha", F.unhex(F.sha1("body"))) \
+        .withColumn("size", F.octet_length("body"))
+    out = warc._with_first(df, 0).collect()
+    assert sum(r["first"] is not None for r in out) == 100 and len(out) == 300
+    assert sum(r["first"] is not None and r["body"] is not None for r in out) <= 12
+    assert all(r["body"] is not None for r in out if r["first"] is None or r["first"] == r["id"])

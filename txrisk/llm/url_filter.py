@@ -40,11 +40,19 @@ def canonical(url: Column) -> tuple[Column, Column]:
     return F.translate(host, _UPPER, _LOWER), F.regexp_extract(rest, r"\A[^/?#]*+([^?#]*+)", 1)
 
 
-def _hashes(*key: Column) -> tuple[Column, Column]:
+def hashes(*key: Column) -> tuple[Column, Column]:
     """Two hashes of a key: the block's and the bits'."""
     return F.xxhash64(F.lit("block"), *key), F.xxhash64(F.lit("bits"), *key)
 
 
+def _probe(words: np.ndarray, at: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    row, bits = np.mod(at, len(words)), bits.view(np.uint64)
+    hit = np.ones(len(row), bool)
+    for k in range(WORDS):
+        hit &= (words[row, k] >> ((bits >> np.uint64(6 * k)) & np.uint64(63))) & np.uint64(1) == 1
+    return hit
+
+
 class BlockedBloom:
     """The filter as a broadcast array of blocks; ``passing`` filters arrays of keys."""
 
@@ -66,11 +74,21 @@ class BlockedBloom:
             words[at, k] = blocks.column(f"w{k}").to_numpy()
         return BlockedBloom(keys.sparkSession, words.view(np.uint64))
 
-    def passing(self, df: DataFrame, name: str, hashes: Column) -> DataFrame:
+    def holds(self, at: Column, bits: Column) -> Column:
+        """Whether a key may be in the filter: never false for one that is."""
+        held = self.held
+
+        @F.arrow_udf("boolean")
+        def probe(at: pa.Array, bits: pa.Array) -> pa.Array:
+            return pa.array(_probe(held.value, at.to_numpy(), bits.to_numpy()))
+
+        return probe(at, bits)
+
+    def passing(self, df: DataFrame, name: str, keys: Column) -> DataFrame:
         """``df`` with only those elements left in the array ``name`` whose hash
-        in the array ``hashes`` (of structs ``at, bits``, in step) is in the filter."""
+        in the array ``keys`` (of structs ``at, bits``, in step) is in the filter."""
         held, probed = self.held, spare(df, "probed")
-        asked = df.withColumn(probed, hashes)
+        asked = df.withColumn(probed, keys)
         out = T.StructType([*df.schema.fields, T.StructField(probed, T.ArrayType(T.BooleanType()))])
         names = out.names
 
@@ -79,11 +97,7 @@ class BlockedBloom:
             for b in it:
                 keys = b.column(b.num_columns - 1)
                 flat, sizes = keys.flatten(), np.diff(keys.offsets.to_numpy())
-                row = np.mod(flat.field(0).to_numpy(), len(words))
-                bits = flat.field(1).to_numpy().view(np.uint64)
-                hit = np.ones(len(flat), bool)
-                for k in range(WORDS):
-                    hit &= (words[row, k] >> ((bits >> np.uint64(6 * k)) & np.uint64(63))) & np.uint64(1) == 1
+                hit = _probe(words, flat.field(0).to_numpy(), flat.field(1).to_numpy())
                 ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.ListArray.from_arrays(ends, pa.array(hit))],
                                                  names=names)
@@ -112,8 +126,8 @@ def listed(rules: DataFrame) -> DataFrame:
 def candidates(pages: DataFrame, rules: DataFrame, max_blocks: int = MAX_BLOCKS) -> DataFrame:
     """``pages`` (with ``host, path``) plus ``keys``: the (host, path) keys of
     each row that passed the filter, false positives included, none missed."""
-    at, bits = _hashes(F.col("host"))
-    full_at, full_bits = _hashes(F.col("host"), F.col("path"))
+    at, bits = hashes(F.col("host"))
+    full_at, full_bits = hashes(F.col("host"), F.col("path"))
     keys = rules.select(at.alias("at"), bits.alias("bits")).distinct() \
         .unionByName(rules.select(full_at.alias("at"), full_bits.alias("bits")))
     bloom = BlockedBloom.of(keys, max_blocks)
@@ -123,17 +137,17 @@ def candidates(pages: DataFrame, rules: DataFrame, max_blocks: int = MAX_BLOCKS)
     labels, lengths = (F.array([F.lit(v) for v in sorted(s)]).cast("array<int>")
                        for s in (shapes.labels, shapes.lengths))
 
-    def hashed(hashes):
-        return F.struct(hashes[0].alias("at"), hashes[1].alias("bits"))
+    def hashed(pair):
+        return F.struct(pair[0].alias("at"), pair[1].alias("bits"))
 
     ends = F.transform(F.filter(labels, lambda k: k <= _labels(F.col("host"))),
                        lambda k: F.call_function("substring_index", F.col("host"), F.lit("."), -k))
-    rows = bloom.passing(pages.withColumn("ends", ends), "ends", F.transform("ends", lambda h: hashed(_hashes(h))))
+    rows = bloom.passing(pages.withColumn("ends", ends), "ends", F.transform("ends", lambda h: hashed(hashes(h))))
     pairs = F.flatten(F.transform("ends", lambda h: F.transform(
         F.filter(lengths, lambda n: n <= F.length("path")),
         lambda n: F.struct(h.alias("host"), F.substr("path", F.lit(1), n).alias("path")))))
     return bloom.passing(rows.withColumn("keys", pairs).drop("ends"), "keys", F.transform(
-        "keys", lambda p: hashed(_hashes(p["host"], p["path"]))))
+        "keys", lambda p: hashed(hashes(p["host"], p["path"]))))
 
 
 def url_verdicts(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url",

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import save, shared_folder
+from .url_filter import BlockedBloom, hashes
 
 MAGIC = "WARC/1.1\r\n"
 _M = len(MAGIC)
@@ -29,8 +30,12 @@ _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
 def base32_sha1(data: Column) -> Column:
-    """Upper-case base32 SHA-1: five hex digits at a time are four base32 ones."""
-    digest = F.sha1(data)
+    """Upper-case base32 SHA-1."""
+    return _base32(F.sha1(data))
+
+
+def _base32(digest: Column) -> Column:
+    """Base32 of 40 hex digits: five of them at a time are four base32 ones."""
     parts = []
     for k in range(0, 40, 5):
         value = F.conv(F.substring(digest, k + 1, 5), 16, 10).cast("int")
@@ -38,6 +43,38 @@ def base32_sha1(data: Column) -> Column:
     return F.concat(*parts)
 
 
+def _with_first(rows: DataFrame, min_bytes: int) -> DataFrame:
+    """``rows`` plus ``first``: the id that a shared payload is a response under
+    (null: nothing else has the payload). The body of a revisit may be null.
+
+    Only digests are grouped. A Bloom filter of the shared ones passes to the
+    scan: rows outside it are unique and stay where they are. Rows inside it
+    are joined with the shared digests, and of those only rows that a second
+    filter marks as responses (or that the first one held by mistake) take
+    their payload through the shuffle.
+    """
+    key = ["sha", "size"]
+    light = save(rows.where(F.col("size") >= min_bytes).select(*key, "id"), "warc-digests")
+    shared = save(light.groupBy(*key).agg(F.max("id").alias("first"), F.count("*").alias("n"))
+                  .where("n > 1 and first is not null").drop("n"), "warc-shared")
+    if shared.isEmpty():
+        return rows.withColumn("first", F.lit(None).cast("long"))
+
+    def filter_of(df, columns):
+        at, bits = hashes(*map(F.col, columns))
+        return BlockedBloom.of(df.select(at.alias("at"), bits.alias("bits")))
+
+    some = filter_of(shared, key)
+    perhaps = (F.col("size") >= min_bytes) & some.holds(*hashes(*map(F.col, key)))
+    by_mistake = light.where(perhaps).join(shared, key, "left_anti")
+    written = filter_of(by_mistake.unionByName(shared.select(*key, F.col("first").alias("id"))), [*key, "id"])
+    marked = rows.withColumn("perhaps", perhaps)
+    inside = marked.where("perhaps").withColumn("needed", written.holds(*hashes(*map(F.col, [*key, "id"])))) \
+        .withColumn("body", F.when(F.col("needed"), F.col("body"))).drop("perhaps", "needed")
+    outside = marked.where("not perhaps").drop("perhaps").withColumn("first", F.lit(None).cast("long"))
+    return outside.unionByName(inside.join(shared, key, "left"))
+
+
 def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, id_col: str = "page_id",
                    url_col: str = "url", payload_col: str = "html") -> None:
     """One record per row: of equal payloads of at least ``min_bytes`` bytes the
@@ -51,17 +88,15 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, id_col: str
     rows = pages.select(F.col(id_col).cast("long").alias("id"),
                         F.regexp_replace(F.coalesce(url_col, F.lit("")), r"[\x00-\x20\x7F]", "%20").alias("url"),
                         body.alias("body")) \
-        .withColumn("digest", base32_sha1(F.col("body"))).withColumn("size", F.octet_length("body"))
-    shared = rows.where(F.col("size") >= min_bytes).groupBy("digest", "size") \
-        .agg(F.max("id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null").drop("n")
-    joined = rows.join(shared, ["digest", "size"], "left")
+        .withColumn("sha", F.unhex(F.sha1("body"))).withColumn("size", F.octet_length("body"))
+    joined = _with_first(rows, min_bytes)
     revisit = F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
     block = F.when(revisit, F.lit(_HTTP)).otherwise(F.concat(F.lit(_HTTP), F.col("body").cast("string")))
     name = F.concat(F.lit("<urn:x-page:"), F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(">"))
     lines = [F.concat(F.lit("WARC-Type: "), F.when(revisit, "revisit").otherwise("response")),
              F.concat(F.lit("WARC-Record-ID: "), name),
              F.concat(F.lit("WARC-Target-URI: "), F.col("url")),
-             F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.col("digest")),
+             F.concat(F.lit("WARC-Payload-Digest: sha1:"), _base32(F.hex("sha"))),
              F.when(revisit, F.concat(F.lit("WARC-Refers-To: <urn:x-page:"), F.col("first").cast("string"), F.lit(">"))),
              F.when(revisit, F.lit(f"WARC-Profile: {_PROFILE}")),
              F.lit("Content-Type: application/http; msgtype=response"),
