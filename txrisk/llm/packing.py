@@ -31,9 +31,9 @@ SEQUENCE = 1024
 END_ID = 2
 WASTE = 0.001               # weight of free room in the fit, against a miss of the histogram
 _BATCH = 128                # patterns that enter the fit at a time
-_STEPS = 25                 # such steps, at most
-_REFITS = 3                 # times that what rounding left is fitted again, at most
-_MEMO = 150_000             # encoded chunks a task remembers before it starts anew
+_STEPS = 15                 # such steps, at most
+_REFITS = 2                 # times that what rounding left is fitted again, at most
+_MEMO = 400_000             # encoded chunks a task remembers before it starts anew
 _UNSAFE_CUT = re.compile(r"\s \s")
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"   # fixed by the vocabulary
 
