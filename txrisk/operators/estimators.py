@@ -1,5 +1,5 @@
-"""Own ``pyspark.ml`` estimators: population scaling (A13), closed-form Gaussian
-naive Bayes (M3) and the kNN join (M8-M10), so that they stand in a ``Pipeline``,
+"""Own ``pyspark.ml`` estimators: population scaling (A13), logistic regression by
+Newton steps (M1), closed-form Gaussian naive Bayes (M3) and the kNN join (M8-M10), so that they stand in a ``Pipeline``,
 are evaluated like any library model (F3) and are saved and loaded with it.
 
 Fitted numbers are ``Param`` values (saved as the stage's metadata). The kNN
@@ -26,6 +26,7 @@ from ..session import checkpoint_dir, cut_lineage
 from . import knn as kn
 from . import models as mo
 from . import scaling as sc
+from .newton import fit_logistic, logistic
 
 
 class _Stage(DefaultParamsReadable, DefaultParamsWritable):
@@ -142,6 +143,53 @@ class ClosedFormNBModel(Model, _NBParams, _Stage):
             self.getPredictionCol(): F.element_at(F.lit(classes), first)}).drop("_logs", "_most", "_shares", "_total")
 
 
+# ---------------------------------------------------------------- logistic regression
+class _NewtonParams(_NBParams):
+    weightCol = Param(Params._dummy(), "weightCol", "row weights", TypeConverters.toString)
+    c = Param(Params._dummy(), "c", "inverse strength of the penalty", TypeConverters.toFloat)
+    maxSteps = Param(Params._dummy(), "maxSteps", "Newton steps, at most", TypeConverters.toInt)
+    tol = Param(Params._dummy(), "tol", "largest move of a coefficient at the end", TypeConverters.toFloat)
+
+    def __init__(self):
+        super().__init__()
+        self._setDefault(c=1.0, maxSteps=100, tol=1e-10)
+
+
+class NewtonLogisticRegression(Estimator, _NewtonParams, _Stage):
+    """M1: one aggregation per Newton step (``newton.fit_logistic``)."""
+
+    @keyword_only
+    def __init__(self, *, featuresCol: str = "features", labelCol: str = "label", predictionCol: str = "prediction",
+                 probabilityCol: str = "probability", weightCol: str | None = None, c: float = 1.0,
+                 maxSteps: int = 100, tol: float = 1e-10):
+        super().__init__()
+        self._set(**{name: v for name, v in self._input_kwargs.items() if v is not None})
+
+    def _fit(self, dataset: DataFrame) -> "NewtonLogisticModel":
+        weight = self.getOrDefault("weightCol") if self.isDefined("weightCol") else None
+        label = self.getLabelCol()
+        w = F.col(weight).cast("double") if weight else F.lit(1.0)
+        named = dataset.withColumn("_y", F.col(label).cast("double")).withColumn("_w", w)
+        flat, names = _columns(named, self.getFeaturesCol(), self._width(named, self.getFeaturesCol()), "_y", "_w")
+        fitted = fit_logistic(flat, names, "_y", "_w", *(self.getOrDefault(p) for p in ("c", "maxSteps", "tol")))
+        model = NewtonLogisticModel()
+        model._set(coefficients=fitted.coefficients, intercept=fitted.intercept)
+        return self._copyValues(model)
+
+
+class NewtonLogisticModel(Model, _NewtonParams, _Stage):
+    coefficients = Param(Params._dummy(), "coefficients", "one per feature", TypeConverters.toListFloat)
+    intercept = Param(Params._dummy(), "intercept", "intercept", TypeConverters.toFloat)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        x = vector_to_array(F.col(self.getFeaturesCol()))
+        parts = F.zip_with(x, F.lit(self.getOrDefault("coefficients")), lambda a, b: a * b)
+        z = F.aggregate(parts, F.lit(self.getOrDefault("intercept")), lambda acc, v: acc + v)
+        out = dataset.withColumn("_p", logistic(z))
+        return out.withColumns({self.getProbabilityCol(): array_to_vector(F.array(1.0 - F.col("_p"), F.col("_p"))),
+                                self.getPredictionCol(): (F.col("_p") > 0.5).cast("double")}).drop("_p")
+
+
 # ---------------------------------------------------------------- kNN
 class _KNNParams(_ClassifierParams, HasProbabilityCol):
     k = Param(Params._dummy(), "k", "neighbours", TypeConverters.toInt)

@@ -1094,3 +1094,11 @@ def q_knn_estimator(spark, sf_dir):
                    for df in (tr, s.where(F.col("split") == "test")))
     row = pl.evaluate_model("kNN", knn, train, test)
     return _round_cols(row.select("accuracy", "precision", "recall", "f1"), ["accuracy", "precision", "recall", "f1"])
+
+
+@register("lr_newton")
+def q_lr_newton(spark, sf_dir):
+    """M1 by aggregation: the metrics row of the Newton fit (``lr`` is the library's)."""
+    study = _study(spark, sf_dir)
+    train, test = study.frames(True)
+    return pl.evaluate_model("Logistic Regression", es.NewtonLogisticRegression(weightCol="weight"), train, test)
