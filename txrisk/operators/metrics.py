@@ -143,17 +143,17 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]):
     return cond
 
 
-def _below(st: DataFrame, partitions: int | None = None, by: Sequence[str] = ()) -> DataFrame:
+def below(st: DataFrame, partitions: int | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Per distinct score (of a group ``by``), the positives and negatives
-    strictly below it, and those of the next lower score (``low_pos, low_neg``,
-    NULL at the lowest). The scores are range-partitioned; each partition is
+    strictly below it, and the next lower score with its counts (``low_s,
+    low_pos, low_neg``, NULL at the lowest). The scores are range-partitioned; each partition is
     accumulated by itself, offset by the totals of the partitions before it and
     given the last row of the one before it (one row a partition and group)."""
     by = list(by)
     dealt = st.repartitionByRange(partitions, *by, "s") if partitions else st.repartitionByRange(*by, "s")
     b = cut_lineage(dealt.withColumn("_b", F.spark_partition_id()))
     bt = b.groupBy(*by, "_b").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"),
-                                  F.max_by(F.struct("pos", "neg"), "s").alias("_last"))
+                                  F.max_by(F.struct("pos", "neg", "s"), "s").alias("_last"))
     order = Window.partitionBy(*by).orderBy("_b") if by else Window.orderBy("_b")
     prev = order.rowsBetween(Window.unboundedPreceding, -1)
     bt = bt.select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], F.col("_b").alias("_of"),
@@ -169,12 +169,13 @@ def _below(st: DataFrame, partitions: int | None = None, by: Sequence[str] = ())
                     (F.col("_op") + F.coalesce(F.sum("pos").over(w), F.lit(0))).alias("pos_below"),
                     (F.col("_on") + F.coalesce(F.sum("neg").over(w), F.lit(0))).alias("neg_below"),
                     F.coalesce(F.lag("pos").over(inside), F.col("_last.pos")).alias("low_pos"),
-                    F.coalesce(F.lag("neg").over(inside), F.col("_last.neg")).alias("low_neg")))
+                    F.coalesce(F.lag("neg").over(inside), F.col("_last.neg")).alias("low_neg"),
+                    F.coalesce(F.lag("s").over(inside), F.col("_last.s")).alias("low_s")))
 
 
-def _auc(below: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def _auc(table: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
-    return below.groupBy(*by).agg(F.try_divide(F.sum(pos * (F.col("neg_below").cast("double") + 0.5 * neg)),
+    return table.groupBy(*by).agg(F.try_divide(F.sum(pos * (F.col("neg_below").cast("double") + 0.5 * neg)),
                                                F.sum(pos) * F.sum(neg)).alias("roc_auc"))
 
 
@@ -182,7 +183,7 @@ def roc_auc(pred: DataFrame, label: str = "label", score: str = "score", pos_lab
             partitions: int | None = None) -> DataFrame:
     """Exact AUC with ties counted half (Mann-Whitney); NULL when only one
     class is present (T22). Products are doubles: counts do not overflow."""
-    return _auc(_below(_score_table(pred, label, score, pos_label), partitions))
+    return _auc(below(_score_table(pred, label, score, pos_label), partitions))
 
 
 DROPS = (None, "equal_steps", "collinear")
@@ -200,7 +201,7 @@ def roc_points(pred: DataFrame, label: str = "label", score: str = "score", pos_
     """
     if drop not in DROPS:
         raise ValueError(f"drop must be one of {DROPS}")
-    b = cut_lineage(_below(_score_table(pred, label, score, pos_label), partitions))
+    b = cut_lineage(below(_score_table(pred, label, score, pos_label), partitions))
     tot = b.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
     P, N = F.lit(tot["P"] or 0), F.lit(tot["N"] or 0)
     kept = b
@@ -271,7 +272,7 @@ def report_rows(pred: DataFrame, by: str | Sequence[str], label: str = "label",
         .withColumn("f1", safe_div(2 * p * r, p + r))
     scores = cells.where(F.col("s").isNotNull()).groupBy(*by, "s") \
         .agg(total(real).alias("pos"), total(~real).alias("neg"))
-    auc = _auc(_below(scores, partitions, by), by)
+    auc = _auc(below(scores, partitions, by), by)
     measures = ["support", "accuracy", "precision", "recall", "f1", "roc_auc"]
     return table.join(auc, _same(table, auc, by), "left") \
         .select(*[table[g].alias(c) for c, g in zip(names, by)], *measures)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import r6
 from ..functions.quantile import exact_percentile_value
 from ..operators import ensemble as en
+from ..operators import exact_tree as et
 from ..operators import estimators as es
 from ..operators import features as fe
 from ..operators import knn as kn
@@ -1102,3 +1103,51 @@ def q_lr_newton(spark, sf_dir):
     study = _study(spark, sf_dir)
     train, test = study.frames(True)
     return pl.evaluate_model("Logistic Regression", es.NewtonLogisticRegression(weightCol="weight"), train, test)
+
+
+def _exact_tree_sql(depth: int) -> str:
+    """Level by level, the same search over distinct values."""
+    fs = FEATURE_COLS
+
+    def gini(pos, neg):
+        share = f"coalesce(({pos}) / nullif(({pos}) + ({neg}), 0), 0.0)"
+        return f"2.0 * {share} * (1.0 - {share})"
+
+    ctes = ["""wt AS (SELECT count(*) / (2.0 * count(*) FILTER (isFraud = 0)) AS w0,
+  count(*) / (2.0 * count(*) FILTER (isFraud = 1)) AS w1 FROM spl WHERE split = 'train')""",
+            f"r0 AS (SELECT CAST(1 AS BIGINT) AS node, isFraud AS y, {S.cols(fs)} FROM spl WHERE split = 'train')"]
+    out = []
+    whole = gini("P * w1", "N * w0")
+    for k in range(depth + 1):
+        ctes.append(f"n{k} AS (SELECT node, sum(y) AS P, sum(1 - y) AS N FROM r{k} GROUP BY node)")
+        names = f"CASE f {' '.join(f'WHEN {i} THEN {c!r}' for i, c in enumerate(fs))} END"
+        if k == depth:
+            out.append(f"SELECT node, {k} AS depth, NULL AS feature, NULL AS threshold, P, N, NULL AS g FROM n{k}")
+            continue
+        long = " UNION ALL ".join(f"SELECT node, y, {i} AS f, CAST({c} AS DOUBLE) AS s FROM r{k}" for i, c in enumerate(fs))
+        left, rest = "pb * w1 + nb * w0", "(P - pb) * w1 + (N - nb) * w0"
+        total = "(P * w1 + N * w0)"
+        ctes += [f"c{k} AS (SELECT node, f, s, sum(y) AS pos, sum(1 - y) AS neg FROM ({long}) GROUP BY node, f, s)", f"""
+b{k} AS (SELECT node, f, s, lag(s) OVER (PARTITION BY node, f ORDER BY s) AS low,
+  sum(pos) OVER (PARTITION BY node, f ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pb,
+  sum(neg) OVER (PARTITION BY node, f ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS nb FROM c{k})""", f"""
+g{k} AS (SELECT node, f, (low + s) / 2 AS t, round({whole} - ({left}) / {total} * {gini('pb * w1', 'nb * w0')}
+  - ({rest}) / {total} * {gini('(P - pb) * w1', '(N - nb) * w0')}, {et.PLACES}) AS g FROM b{k} JOIN n{k} USING (node), wt
+  WHERE low IS NOT NULL)""", f"""
+s{k} AS (SELECT * FROM g{k} WHERE g > 0 QUALIFY row_number() OVER (PARTITION BY node ORDER BY g DESC, f, t) = 1)""", f"""
+r{k + 1} AS (SELECT 2 * node + CASE WHEN CASE f {' '.join(f'WHEN {i} THEN CAST({c} AS DOUBLE)' for i, c in enumerate(fs))} END <= t
+  THEN 0 ELSE 1 END AS node, y, {S.cols(fs)} FROM r{k} JOIN s{k} USING (node))"""]
+        out.append(f"SELECT node, {k} AS depth, {names} AS feature, t AS threshold, P, N, g FROM n{k} LEFT JOIN s{k} USING (node)")
+    return _sql(S.TX, S.features_cte(), S.split_cte("feat"), *ctes, body=f"""
+SELECT node, CAST(depth AS INTEGER) AS depth, feature, round(threshold, 6) AS threshold, CAST(P + N AS BIGINT) AS n,
+  CAST(P AS BIGINT) AS positives, round({whole}, 6) AS impurity, round(g, 6) AS gain
+FROM ({' UNION ALL '.join(out)}), wt""")
+
+
+@register("exact_tree", _exact_tree_sql(3))
+def q_exact_tree(spark, sf_dir):
+    """M2/M18 with exact splits: the first levels of the class-weighted tree."""
+    train = cut_lineage(_split(spark, sf_dir).where(F.col("split") == "train"))
+    n = {r[0]: r[1] for r in train.groupBy(LABEL).count().collect()}
+    weights = tuple(sum(n.values()) / (2.0 * n[c]) for c in (0, 1))
+    return _round_cols(et.fit_exact_tree(train, FEATURE_COLS, LABEL, 3, weights), ["threshold", "impurity", "gain"])
