@@ -105,3 +105,23 @@ def test_below_target_ends_in_all_pairs(spark, monkeypatch):
     rows = [(i, np.float32(x).tolist()) for i, x in enumerate(rows)]
     df = spark.createDataFrame([(i, x, 0, "c") for i, x in rows], SCHEMA)
     assert _rows(vl.vector_links(df)) == _brute(rows)
+
+
+def test_rare_pairs_are_audited_by_witnesses(spark, monkeypatch):
+    """Pairs too rare for the random slices: the audit's passes stay bounded,
+    its vectors come from cells of their own, and no pair is lost."""
+    monkeypatch.setattr(vl, "_SLICE", 64)
+    monkeypatch.setattr(vl, "CELL", 32)
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(4000, 24))
+    for i in range(60):
+        x[2 * i + 1] = x[2 * i] + 0.2 * rng.normal(size=24)
+    audits, made = [], vl._Search.sets_of
+    monkeypatch.setattr(vl._Search, "sets_of", lambda self, some: audits.append(1) or made(self, some))
+    df = spark.createDataFrame([(i, [float(a) for a in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in vl.vector_links(df).collect()}
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    linked = (unit @ unit.T >= 0.9).sum(axis=1) - 1
+    found = np.array([got[i].n_links for i in range(len(x))])
+    assert (found <= linked).all() and found.sum() >= 0.95 * linked.sum() > 80
+    assert len(audits) <= vl.AUDIT_SLICES + len(vl.WITNESS_SEEDS)

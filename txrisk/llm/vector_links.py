@@ -5,10 +5,11 @@ first neighbour list; rounds of local joins (all vectors of one list against
 each other, with a bounded product per list) refine the lists through
 neighbours of neighbours. A list whose last neighbour is still over the
 threshold is saturated: it is enlarged and its vector refined again. When no
-list changes any more, recall is audited per vector against brute force for a
-sample that holds enough linked vectors (or all); below the target, twice as
-many fresh cells reseed the lists, until cells would compare as much as all
-pairs: then all pairs are compared. Edges over the threshold, checked in double
+list changes any more, recall is audited per vector against brute force: for a
+bounded number of random vectors and, where links are rare among them, for
+vectors that cells drawn independently of the search found linked. Below the
+target, twice as many fresh cells reseed the lists, until cells would compare as
+much as all pairs: then all pairs are compared. Edges over the threshold, checked in double
 precision, are the links.
 """
 
@@ -32,7 +33,9 @@ LIST = 10                   # neighbours under the threshold that a list keeps
 LINKS = 1024                  # links a list holds before it is saturated and grows
 CELL = 256                  # vectors compared at a time in a cell, at most
 TREES = 8                   # hyperplane cells a vector is put into
-AUDIT = 512                 # vectors with 1 to LIST links that an audit finds by brute force, or all
+AUDIT = 512                 # vectors with 1 to LIST links that an audit looks for
+AUDIT_SLICES = 4            # random slices searched for them against all vectors, at most
+WITNESS_SEEDS = (1001, 1002, 1003)  # cells that the search itself never uses, in turn
 RECALL = 0.98               # audited share of a vector's links, on average, that ends the search
 _GROWTH = 16
 _SHOWN = 3                  # lists of a round that show a vector with a long list, about
@@ -183,30 +186,46 @@ class _Search:
         e = graph.select("node", F.explode("nbrs").alias("e")).where(F.col("e.sim") >= self.threshold)
         return e.select(F.least("node", "e.nbr").alias("a"), F.greatest("node", "e.nbr").alias("b")).distinct()
 
-    def sliced(self, k: int) -> list:
-        """(dim, nodes, unit vectors) of the k-th random slice of all vectors."""
-        part = self.nodes.where(F.pmod(F.xxhash64("node", F.lit(5)), F.lit(self.slices)) == k) \
-            .select("node", "dim", "vec").toArrow().combine_chunks()
+    def sets_of(self, some: DataFrame) -> list:
+        """(dim, nodes, unit vectors) of at most a slice of vectors."""
+        part = some.select("node", "dim", "vec").toArrow().combine_chunks()
         dims, sets = part.column("dim").to_numpy(), []
         for d in np.unique(dims):
             of = part.filter(pa.array(dims == d))
             sets.append((int(d), of.column("node").to_numpy(), _matrix(of.column("vec"), self.kind)))
         return sets
 
+    def sliced(self, k: int) -> DataFrame:
+        """The k-th random slice of all vectors."""
+        return self.nodes.where(F.pmod(F.xxhash64("node", F.lit(5)), F.lit(self.slices)) == k)
+
+    def witnesses(self, seed: int, known: DataFrame) -> DataFrame:
+        """At most a slice of vectors that cells of ``seed`` put beside 1 to LIST
+        links, and that are not ``known``."""
+        pairs = self.links(self.refined(None, self.seeded(seed)))
+        found = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").count() \
+            .where(F.col("count") <= LIST).join(known, "node", "left_anti")
+        few = found.orderBy(F.xxhash64("node", F.lit(7))).limit(self.n // self.slices + 1).select("node")
+        return self.nodes.join(few, "node")
+
     def audited(self) -> DataFrame:
-        """(node, n_true) of linked vectors, by brute force over slices until AUDIT
-        of them have at most LIST links or all vectors were searched."""
+        """(node, n_true) of linked vectors, by brute force against all vectors,
+        until AUDIT of them have at most LIST links: of AUDIT_SLICES random slices
+        at most, then of the witnesses of cells that the search does not use. The
+        work is a bounded number of passes over the vectors."""
         if self.truth is None:
             spark, schema = self.nodes.sparkSession, "node long, n_true long"
-            path, few = f"{shared_folder(spark)}/audit-{uuid.uuid4().hex}", 0
+            path = f"{shared_folder(spark)}/audit-{uuid.uuid4().hex}"
             self.truth = spark.createDataFrame([], schema)
-            for k in range(self.slices):
+            turns = [lambda k=k: self.sliced(k) for k in range(min(self.slices, AUDIT_SLICES))]
+            if self.slices > AUDIT_SLICES:
+                turns += [lambda seed=seed: self.witnesses(seed, self.truth) for seed in WITNESS_SEEDS]
+            for turn in turns:
                 self.nodes.select("node", "dim", "vec") \
-                    .mapInArrow(_against(self.kind, self.threshold, self.sliced(k)), "node long, n long") \
+                    .mapInArrow(_against(self.kind, self.threshold, self.sets_of(turn())), "node long, n long") \
                     .groupBy("node").agg(F.sum("n").alias("n_true")).write.mode("append").parquet(path)
                 self.truth = spark.read.schema(schema).parquet(path)
-                few = self.truth.where(f"n_true <= {LIST}").count()
-                if few >= AUDIT:
+                if self.truth.where(f"n_true <= {LIST}").count() >= AUDIT:
                     break
         return self.truth
 
@@ -214,7 +233,7 @@ class _Search:
         """Share of the audited vectors' links that the lists hold, the lowest of
         three: the mean over vectors with at most LIST links, that over those with
         more (so that a large group does not hide lost pairs, nor pairs a group),
-        and the share of all their links. 1 if there is no link at all."""
+        and the share of all their links. 1 if no audited vector is linked."""
         links = self.links(graph)
         held = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("held"))
         seen = F.least(F.col("n_true"), F.coalesce("held", F.lit(0)))
@@ -227,7 +246,7 @@ class _Search:
         spark, path = self.nodes.sparkSession, f"{shared_folder(self.nodes.sparkSession)}/exact-{uuid.uuid4().hex}"
         for k in range(self.slices):
             self.nodes.select("node", "dim", "vec") \
-                .mapInArrow(_against(self.kind, self.threshold, self.sliced(k), pairs=True), "a long, b long") \
+                .mapInArrow(_against(self.kind, self.threshold, self.sets_of(self.sliced(k)), pairs=True), "a long, b long") \
                 .write.mode("append").parquet(path)
         return spark.read.schema("a long, b long").parquet(path)
 
