@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,36 +32,39 @@ class LogisticFit:
     steps: int
 
 
-def margin(columns: Sequence[Column], coefficients: Sequence[float], intercept: float) -> Column:
-    """intercept + sum of coefficient * column."""
-    out = F.lit(float(intercept))
-    for c, b in zip(columns, coefficients):
-        out = out + c * F.lit(float(b))
-    return out
-
-
 def logistic(z: Column) -> Column:
     """1 / (1 + exp(-z)) without overflow."""
     e = F.exp(-F.abs(z))
     return F.when(z >= 0, 1.0 / (1.0 + e)).otherwise(e / (1.0 + e))
 
 
-def _at(rows: DataFrame, names: Sequence[str], beta: np.ndarray):
-    """Loss, gradient and Hessian of the data term at ``beta`` (intercept last)."""
-    z = margin([F.col(c) for c in names], beta[:-1], beta[-1])
-    named = rows.withColumn("_z", z).withColumn("_p", logistic(F.col("_z")))
-    miss = F.when(F.col("_y") == 1.0, -F.col("_z")).otherwise(F.col("_z"))      # loss = log(1 + exp(miss))
-    named = named.withColumns({"_l": F.col("_w") * (F.greatest(miss, F.lit(0.0)) + F.log1p(F.exp(-F.abs(miss)))),
-                               "_g": F.col("_w") * (F.col("_p") - F.col("_y")),
-                               "_h": F.col("_w") * F.col("_p") * (1.0 - F.col("_p"))})
-    xs = [*(F.col(c) for c in names), F.lit(1.0)]
-    n = len(xs)
-    sums = [F.sum("_l")] + [F.sum(F.col("_g") * x) for x in xs] + \
-        [F.sum(F.col("_h") * xs[i] * xs[j]) for i in range(n) for j in range(i, n)]
-    row = [v or 0.0 for v in named.agg(*[s.alias(f"s{k}") for k, s in enumerate(sums)]).first()]
+def _at(rows: DataFrame, n: int, beta: np.ndarray):
+    """Loss, gradient and Hessian of the data term at ``beta`` (intercept last).
+    Each partition sums its rows; the sums are added per place. (Generated code
+    for that many sums would be compiled again for every step's coefficients.)"""
+    places = np.triu_indices(n)
+
+    def sums(it):
+        total = np.zeros(1 + n + len(places[0]))
+        for b in it:
+            *xs, y, w = (c.to_numpy(zero_copy_only=False) for c in b.columns)
+            x = np.column_stack([*xs, np.ones(len(y))])
+            z = x @ beta
+            e = np.exp(-np.abs(z))
+            p = np.where(z >= 0, 1 / (1 + e), e / (1 + e))
+            miss = np.where(y == 1, -z, z)                  # loss = log(1 + exp(miss))
+            total[0] += (w * (np.maximum(miss, 0) + np.log1p(e))).sum()
+            total[1:1 + n] += x.T @ (w * (p - y))
+            total[1 + n:] += (x.T @ (x * (w * p * (1 - p))[:, None]))[places]
+        yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], names=["v"])
+
+    added = rows.mapInArrow(sums, "v array<double>").select(F.posexplode("v")).groupBy("pos").agg(F.sum("col").alias("s"))
+    row = np.zeros(1 + n + len(places[0]))
+    for r in added.collect():               # one row a place
+        row[r["pos"]] = r["s"]
     hessian = np.zeros((n, n))
-    hessian[np.triu_indices(n)] = row[1 + n:]
-    return row[0], np.array(row[1:1 + n]), hessian + np.triu(hessian, 1).T
+    hessian[places] = row[1 + n:]
+    return row[0], row[1:1 + n], hessian + np.triu(hessian, 1).T
 
 
 def fit_logistic(train: DataFrame, features: Sequence[str], label: str = "label", weight: str | None = None,
@@ -84,7 +88,7 @@ def fit_logistic(train: DataFrame, features: Sequence[str], label: str = "label"
     beta = np.zeros(len(names) + 1)
 
     def at(b):
-        loss, gradient, hessian = _at(rows, names, b)
+        loss, gradient, hessian = _at(rows, len(b), b)
         return loss + (penalty * b * b).sum() / 2, gradient + penalty * b, hessian + np.diag(penalty)
 
     loss, gradient, hessian = at(beta)
