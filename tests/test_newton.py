@@ -1,15 +1,19 @@
 """M1 by aggregation against the library's solver and a dense optimum."""
 
+import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
 
 from conftest import SF_SMALL
+from txrisk.operators import ensemble as en
 from txrisk.operators import estimators as es
 from txrisk.operators import features as fe
 from txrisk.operators import models as mo
 from txrisk.operators.newton import fit_logistic
 from txrisk.plans import pipeline as pl
+from txrisk.plans import sql as S
 from txrisk.schema import FEATURE_COLS
 from txrisk.sources import transactions as src
 
@@ -78,3 +82,33 @@ def test_estimator_on_the_study_and_saved(spark, tmp_path):
     a, b = (m.transform(test).select("prediction", "probability").collect()
             for m in (model, PipelineModel.load(str(tmp_path / "m"))))
     assert a == b and len(model.stages[0].getOrDefault("coefficients")) == len(FEATURE_COLS)
+
+
+@pytest.mark.parametrize("penalty", [1.0, 50.0])
+def test_sql_steps_reach_the_same_coefficients(spark, penalty):
+    parts, fits = [], []
+    for g, shift in enumerate((0.0, -2.0)):
+        df, x, y, w = _rows(spark, seed=g, shift=shift)
+        fits.append(fit_logistic(df, ["a", "b", "c"], weight="weight", c=1 / penalty))
+        parts.append(pd.DataFrame({"g": g, "y": y, "w": w, "x1": x[:, 0], "x2": x[:, 1], "x3": x[:, 2], "x4": 1.0}))
+    con = duckdb.connect()
+    con.register("rows_", pd.concat(parts))
+    found = con.execute("WITH RECURSIVE " + S.newton_cte("rows_", 4, "nw", 20, penalty)
+                        + " SELECT b FROM nw WHERE step = 20 ORDER BY g").fetchall()
+    for fit, (b,) in zip(fits, found):
+        assert np.allclose([*fit.coefficients, fit.intercept], b, rtol=1e-9, atol=1e-11)
+
+
+def test_stacking_over_closed_bases(spark):
+    """The meta model sees out-of-fold scores: every fold's bases are refitted here by hand."""
+    df, *_ = _rows(spark, n=150)
+    rows = mo.assemble(df.selectExpr("*", "monotonically_increasing_id() AS row_key"), ["a", "b", "c"])
+    oof = en.out_of_fold(rows, pl.closed_bases()).toPandas()
+    assert sorted(oof.row_key) == sorted(r[0] for r in rows.select("row_key").collect())
+    for fold in range(3):
+        rest, held = oof[oof.fold != fold], oof[oof.fold == fold]
+        fit = fit_logistic(spark.createDataFrame(rest[["a", "b", "c", "label", "weight"]]), ["a", "b", "c"], weight="weight")
+        z = held[["a", "b", "c"]].to_numpy() @ fit.coefficients + fit.intercept
+        assert np.allclose(held.p_lr, 1 / (1 + np.exp(-z)), atol=1e-9)
+    pred = en.stacking(rows, rows, pl.closed_bases(), lambda n: es.NewtonLogisticRegression())
+    assert pred.count() == 150 and pred.where("(score > 0.5) <> (prediction = 1)").count() == 0

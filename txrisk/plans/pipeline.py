@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.quantile import exact_percentile_wide
 from ..operators import ensemble as en
+from ..operators import estimators as es
 from ..operators import features as fe
 from ..operators import metrics as me
 from ..operators import models as mo
@@ -107,6 +108,11 @@ def voting_bases(n: float, tree_depth: int) -> dict:
             "dt": lambda: mo.decision_tree(tree_depth, weight_col="weight"), "nb": mo.gaussian_nb}
 
 
+def closed_bases() -> dict:
+    """Bases fitted by aggregations alone (no library solver)."""
+    return {"lr": lambda: es.NewtonLogisticRegression(weightCol="weight"), "nb": es.ClosedFormNB}
+
+
 class Study:
     """The nine models of the study over one feature table. A model is fitted
     when its row is asked for; the split frames are written once."""

@@ -1097,12 +1097,86 @@ def q_knn_estimator(spark, sf_dir):
     return _round_cols(row.select("accuracy", "precision", "recall", "f1"), ["accuracy", "precision", "recall", "f1"])
 
 
-@register("lr_newton")
+_NEWTON_STEPS = 20
+_STANDARD = ", ".join(f"(s.{c} - st.m_{c}) / coalesce(nullif(st.s_{c}, 0), 1) AS x{i}" for i, c in enumerate(FEATURE_COLS, 1))
+_XS = ", ".join(f"x{i}" for i in range(1, len(FEATURE_COLS) + 2))
+_STUDY_CTES = (S.TX, S.features_cte(), S.split_cte("feat"), f"""
+st AS (SELECT {', '.join(f'avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}' for c in FEATURE_COLS)} FROM spl WHERE split = 'train'),
+wt AS (SELECT isFraud AS y, sum(count(*)) OVER () / (count(*) OVER () * count(*)) AS w FROM spl WHERE split = 'train'
+  GROUP BY isFraud),
+std AS (SELECT s.row_key, s.split, s.isFraud AS y, wt.w, {_STANDARD}, 1.0 AS x{len(FEATURE_COLS) + 1}
+  FROM spl s JOIN wt ON wt.y = s.isFraud, st)""")
+
+
+def _dot(xs, b: str = "b") -> str:
+    return "1 / (1 + exp(-(" + " + ".join(f"{x} * {b}[{i}]" for i, x in enumerate(xs, 1)) + ")))"
+
+
+_LOGIT = _dot([f"x{i}" for i in range(1, len(FEATURE_COLS) + 2)])
+_LR_CTES = (*_STUDY_CTES, f"""
+fits AS (SELECT 0 AS g, y, w, {_XS} FROM std WHERE split = 'train')""",
+            S.newton_cte("fits", len(FEATURE_COLS) + 1, "nw", _NEWTON_STEPS))
+
+
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@register("lr_newton", _recursive(_sql(*_LR_CTES, f"""
+preds AS (SELECT 'Logistic Regression' AS model, y AS label, CAST({_LOGIT} > 0.5 AS INTEGER) AS prediction,
+  {_LOGIT} AS score FROM std, nw WHERE split = 'test' AND step = {_NEWTON_STEPS})""", _BOARD.rstrip(), body="SELECT * FROM board")))
 def q_lr_newton(spark, sf_dir):
     """M1 by aggregation: the metrics row of the Newton fit (``lr`` is the library's)."""
     study = _study(spark, sf_dir)
     train, test = study.frames(True)
-    return pl.evaluate_model("Logistic Regression", es.NewtonLogisticRegression(weightCol="weight"), train, test)
+    row = pl.evaluate_model("Logistic Regression", es.NewtonLogisticRegression(weightCol="weight"), train, test)
+    return _round_cols(row.drop("train_seconds"), ["accuracy", "precision", "recall", "f1", "roc_auc"])
+
+
+@register("lr_newton_scores", _recursive(_sql(*_LR_CTES, body=f"""
+SELECT row_key, y AS label, CAST({_LOGIT} > 0.5 AS INTEGER) AS prediction, round({_LOGIT}, 6) AS score
+FROM std, nw WHERE split = 'test' AND step = {_NEWTON_STEPS}""")))
+def q_lr_newton_scores(spark, sf_dir):
+    """M1 by aggregation: P(1) of every test row."""
+    train, test = _study(spark, sf_dir).frames(True)
+    out = mo.predict_binary(es.NewtonLogisticRegression(weightCol="weight").fit(train), test)
+    return out.select(KEY, "label", "prediction", r6("score").alias("score"))
+
+
+def _stacking_closed_sql() -> str:
+    """Fits 0-2 leave one fold out, fit 3 takes all train rows."""
+    d = len(FEATURE_COLS)
+    xs = [f"x{i}" for i in range(1, d + 1)]
+    stat = ", ".join(f"avg({x}) AS m{x}, var_pop({x}) + any_value(eps) AS v{x}" for x in xs)
+    log = " - ".join(["ln(prior)", *[f"0.5 * ln(2 * pi() * v{x}) - ({x} - m{x}) * ({x} - m{x}) / (2 * v{x})" for x in xs]])
+    folds = ORACLE["folds"]
+    fold = folds[folds.index("trn AS ("):].replace("SELECT row_key, isFraud, CAST(CASE WHEN rn", "fld AS (SELECT row_key, CAST(CASE WHEN rn")
+    ctes, body = fold.split("fld AS (", 1)
+    return _recursive(_sql(*_STUDY_CTES, ctes.rstrip().rstrip(",") + ",\nfld AS (" + body + ")", f"""
+fits AS (SELECT g, y, w, {_XS} FROM std JOIN fld USING (row_key), range(4) q(g) WHERE fold <> g)""",
+                           S.newton_cte("fits", d + 1, "nw", _NEWTON_STEPS), f"""
+asked AS (SELECT coalesce(fold, 3) AS g, std.* FROM std LEFT JOIN fld USING (row_key)),
+eps AS (SELECT g, count(*) AS n, 1e-9 * greatest({', '.join(f'var_pop({x})' for x in xs)}) AS eps FROM fits GROUP BY g),
+nb AS (SELECT g, y AS c, count(*) / any_value(n) AS prior, {stat} FROM fits JOIN eps USING (g) GROUP BY g, y),
+jl AS (SELECT row_key, c, {log} AS j FROM asked JOIN nb USING (g)),
+pb AS (SELECT row_key, sum(CASE WHEN c = 1 THEN exp(j - top) END) / sum(exp(j - top)) AS p_nb
+  FROM (SELECT *, max(j) OVER (PARTITION BY row_key) AS top FROM jl) GROUP BY row_key),
+scored AS (SELECT row_key, split, a.y, {_LOGIT} AS p_lr, p_nb FROM asked a JOIN nw ON nw.g = a.g AND step = {_NEWTON_STEPS}
+  JOIN pb USING (row_key)),
+mrows AS (SELECT 0 AS g, y, 1.0 AS w, p_lr AS x1, p_nb AS x2, 1.0 AS x3 FROM scored WHERE split = 'train')""",
+                           S.newton_cte("mrows", 3, "meta", _NEWTON_STEPS), body=f"""
+SELECT row_key, y AS label, CAST({_dot(['p_lr', 'p_nb', '1.0'])} > 0.5 AS INTEGER) AS prediction,
+  round({_dot(['p_lr', 'p_nb', '1.0'])}, 5) AS score
+FROM scored, meta WHERE split = 'test' AND step = {_NEWTON_STEPS}"""))
+
+
+@register("stacking_closed", _stacking_closed_sql())
+def q_stacking_closed(spark, sf_dir):
+    """M7 over bases fitted by aggregations: Newton logistic regression and
+    closed-form naive Bayes, 3 folds, a Newton logistic regression on top."""
+    train, test = _study(spark, sf_dir).frames(True)
+    out = en.stacking(train, test, pl.closed_bases(), lambda n: es.NewtonLogisticRegression(), key=KEY)
+    return out.select(KEY, "label", "prediction", r6("score", 5).alias("score"))
 
 
 def _exact_tree_sql(depth: int) -> str:

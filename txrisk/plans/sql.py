@@ -193,3 +193,28 @@ NNW_EPS = "nnw AS (SELECT *, 1.0 / (distance + 1e-8) AS w FROM nn)"
 NNW_UNIFORM = "nnw AS (SELECT *, 1.0 AS w FROM nn)"
 NNW_EXACT = """nnw AS (SELECT *, CASE WHEN max(CASE WHEN distance = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY qid) = 1
     THEN CASE WHEN distance = 0 THEN 1.0 ELSE 0.0 END ELSE 1.0 / distance END AS w FROM nn)"""
+
+
+def newton_cte(rows: str, n: int, name: str, steps: int, penalty: float = 1.0) -> str:
+    """Recursive CTE ``name(g, step, b)``: Newton steps of the penalised logistic
+    loss over ``rows(g, y, w, x1 .. xn)`` (xn = 1, the intercept, not penalised), one
+    fit per ``g``. The system is solved by eliminating column after column."""
+    at = range(1, n + 1)
+    pen = {i: penalty if i < n else 0.0 for i in at}
+    z = " + ".join(f"x{i} * b[{i}]" for i in at)
+    sums = [f"sum(w * (p - y) * x{i}) AS g{i}" for i in at]
+    sums += [f"sum(w * p * (1 - p) * x{i} * x{j}) AS h{i}_{j}" for i in at for j in at if i <= j]
+    lines = []
+    for i in at:
+        cells = [f"h{min(i, j)}_{max(i, j)}" + (f" + {pen[i]}" if i == j else "") for j in at]
+        lines.append("[" + ", ".join([*cells, f"g{i} + {pen[i]} * b[{i}]"]) + "]")
+    system = f"""SELECT g, step, b, [{', '.join(lines)}] AS m FROM (
+    SELECT g, any_value(step) AS step, any_value(b) AS b, {', '.join(sums)} FROM (
+      SELECT r.*, step, b, 1 / (1 + exp(-({z}))) AS p FROM {name} JOIN {rows} r USING (g) WHERE step < {steps}) GROUP BY g)"""
+    for k in at:
+        system = f"""SELECT g, step, b, list_transform(m, lambda r, i: CASE WHEN i = {k} THEN r
+    ELSE list_transform(r, lambda v, j: v - r[{k}] / m[{k}][{k}] * m[{k}][j]) END) AS m FROM ({system})"""
+    return f"""{name} AS (
+  SELECT DISTINCT g, 0 AS step, [{', '.join(['CAST(0 AS DOUBLE)'] * n)}] AS b FROM {rows}
+  UNION ALL
+  SELECT g, step + 1, list_transform(b, lambda v, i: v - m[i][{n + 1}] / m[i][i]) FROM ({system}))"""
