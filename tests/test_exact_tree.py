@@ -1,5 +1,8 @@
 """M2 with exact splits against a plain recursive search."""
 
+import hashlib
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -13,12 +16,12 @@ def _gini(p, n):
     return 0.0 if p + n == 0 else 2 * (p / (p + n)) * (1 - p / (p + n))
 
 
-def _by_hand(x, y, depth, w, min_leaf, node=1, level=0):
+def _by_hand(x, y, depth, w, min_leaf, node=1, level=0, tries=lambda node: range(3)):
     """{node: (feature, threshold, n, positives, gain)} by trying every cut."""
     p, n = y.sum() * w[1], (1 - y).sum() * w[0]
     best = None
     if level < depth:
-        for f in range(x.shape[1]):
+        for f in sorted(tries(node)):
             values = np.unique(x[:, f])
             for lo, hi in zip(values, values[1:]):
                 left = x[:, f] < hi
@@ -32,8 +35,8 @@ def _by_hand(x, y, depth, w, min_leaf, node=1, level=0):
     out = {node: (best and NAMES[best[1]], best and best[2], len(y), int(y.sum()), best and best[0])}
     if best:
         left = x[:, best[1]] <= best[2]
-        out |= _by_hand(x[left], y[left], depth, w, min_leaf, 2 * node, level + 1)
-        out |= _by_hand(x[~left], y[~left], depth, w, min_leaf, 2 * node + 1, level + 1)
+        out |= _by_hand(x[left], y[left], depth, w, min_leaf, 2 * node, level + 1, tries)
+        out |= _by_hand(x[~left], y[~left], depth, w, min_leaf, 2 * node + 1, level + 1, tries)
     return out
 
 
@@ -76,3 +79,72 @@ def test_edges(spark):
     assert len(pure) == 1 and pure[0].impurity == 0
     with pytest.raises(ValueError):
         et.fit_exact_tree(df, NAMES, depth=99)
+
+
+def _sampled(keys, tree, seed):
+    """How often each key stands in the tree: inverse of the Poisson distribution, step by step."""
+    out = []
+    for k in keys:
+        u = int(hashlib.md5(f"{k}:{seed}:tree{tree}".encode()).hexdigest()[:8], 16) / 2**32
+        n, p = 0, math.exp(-1)
+        while u >= p and n < 40:
+            u, n = u - p, n + 1
+            p /= n
+        out.append(n)
+    return np.array(out)
+
+
+def test_forest_equals_plain_searches(spark):
+    rng = np.random.default_rng(7)
+    x = np.stack([rng.normal(size=200).round(1), rng.integers(0, 4, 200), rng.normal(size=200)], 1)
+    y = ((x[:, 0] - 0.5 * x[:, 1] + 0.5 * rng.normal(size=200)) > 0).astype(int)
+    df = spark.createDataFrame([(i, *map(float, v), int(c)) for i, (v, c) in enumerate(zip(x, y))],
+                               "row_key long, a double, b double, c double, label int").repartition(4)
+    w = (0.8, 1.4)
+    nodes = et.fit_exact_forest(df, NAMES, trees=3, depth=2, weights=w, min_leaf=2, per_split=2, seed=9)
+    got = {r.node: (r.feature, r.threshold, r.n, r.positives, r.gain) for r in nodes.collect()}
+
+    def tries(node):
+        return sorted(range(3), key=lambda f: hashlib.md5(f"{node}:{f}:9".encode()).hexdigest())[:2]
+
+    want, scores, shares = {}, np.zeros(200), np.zeros(3)
+    for t in range(3):
+        times = _sampled(range(200), t, 9)
+        assert 0.7 < times.mean() < 1.3 and times.max() > 2
+        tree = _by_hand(np.repeat(x, times, 0), np.repeat(y, times), 2, w, 2, 4 + t, 0, tries)
+        want |= tree
+        own = np.zeros(3)
+        for f, _, n, p, g in tree.values():
+            if f:
+                own[NAMES.index(f)] += g * (p * w[1] + (n - p) * w[0])
+        shares += own / own.sum()
+        for i in range(200):
+            at = 4 + t
+            while tree[at][0]:
+                at = 2 * at + (x[i, NAMES.index(tree[at][0])] > tree[at][1])
+            n, p = tree[at][2:4]
+            scores[i] += p * w[1] / (p * w[1] + (n - p) * w[0]) / 3
+    assert got.keys() == want.keys()
+    for k, v in want.items():
+        assert got[k][0] == v[0] and got[k][2:4] == v[2:4]
+        assert v[1] is None or (abs(got[k][1] - v[1]) < 1e-12 and abs(got[k][4] - v[4]) < 1e-8)
+    out = {r.row_key: r.score for r in et.predict_exact_tree(nodes, df, NAMES, w).collect()}
+    assert np.allclose([out[i] for i in range(200)], scores, atol=1e-12)
+    imp = {r.feature: r.importance for r in et.exact_importances(nodes, NAMES, weights=w).collect()}
+    assert np.allclose([imp[c] for c in NAMES], shares / shares.sum(), atol=1e-6)
+
+
+def test_forest_edges(spark):
+    df = spark.createDataFrame([(1, 1.0, None, 1), (2, 1.0, 3.0, 1), (3, 2.0, 3.0, 0), (4, 2.0, 3.0, None)],
+                               "row_key long, a double, b double, label int")
+    nodes = et.fit_exact_forest(df, ["a", "b"], trees=8, depth=1)
+    assert nodes.where("depth = 0").count() <= 8 and nodes.where("n > 8").count() == 0
+    assert et.predict_exact_tree(nodes, df, ["a", "b"]).where("score IS NULL").count() == 0
+    none = et.fit_exact_forest(df.limit(0), ["a", "b"])
+    assert none.count() == 0
+    assert [r.importance for r in et.exact_importances(none, ["a", "b"]).collect()] == [0.0, 0.0]
+    for wrong in ({"trees": 0}, {"per_split": 3}, {"depth": 99}):
+        with pytest.raises(ValueError):
+            et.fit_exact_forest(df, ["a", "b"], **wrong)
+    with pytest.raises(ValueError):
+        et.predict_exact_tree(none, df, ["a", "b"])

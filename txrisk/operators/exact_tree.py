@@ -1,21 +1,27 @@
-"""M2 with exact splits: a binary gini tree whose thresholds are searched over all
+"""M2 and M4 with exact splits: binary gini trees whose thresholds are searched over all
 distinct values (the library's rule), not over bins.
 
 Level by level: the rows of all open nodes become (node, feature, value) counts
 of both classes, combined map-side; they are range-partitioned, class counts
 below every value are accumulated per partition and offset by the partitions
 before it (``metrics.below``), and each node keeps its best split. Nodes of a
-level, at most 2^depth, reach the driver; rows find their child by a projection.
+level, at most 2^depth a tree, reach the driver; rows find their child by a projection.
+
+A forest grows all its trees at once: tree ``t`` starts at node ``first + t`` with
+``first`` the next power of two, so that children ``2 i`` and ``2 i + 1`` never meet
+those of another tree and a level of the whole forest is one aggregation.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from hashlib import md5
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import safe_div
+from ..functions.exprs import safe_div, uniform
 from ..session import cut_lineage
 from .metrics import below
 
@@ -40,12 +46,20 @@ def _child(features: Sequence[str], splits: list) -> Column:
     return out
 
 
-def level_splits(rows: DataFrame, features: Sequence[str], weights: tuple[float, float], min_leaf: int) -> DataFrame:
-    """Best split of every node of ``rows`` (``_node, _y, _x0, _x1, ...``); nodes
-    that are pure or can't be split have a NULL feature."""
+def level_splits(rows: DataFrame, features: Sequence[str], weights: tuple[float, float], min_leaf: int,
+                 tried: dict[int, list[int]] | None = None) -> DataFrame:
+    """Best split of every node of ``rows`` (``_node, _y, _x0, _x1, ...``) among
+    all features, or those ``tried`` there; nodes that are pure or can't be split
+    have a NULL feature."""
     w0, w1 = weights
     nodes = rows.groupBy("_node").agg(F.sum("_y").alias("P"), F.sum(1 - F.col("_y")).alias("N"))
-    long = rows.select("_node", "_y", F.posexplode(F.array(*[F.col(f"_x{i}") for i in range(len(features))])).alias("_f", "s"))
+    xs = F.array(*[F.col(f"_x{i}") for i in range(len(features))])
+    if tried is None:
+        long = rows.select("_node", "_y", F.posexplode(xs).alias("_f", "s"))
+    else:
+        here = F.create_map(*[x for node, fs in tried.items() for x in (F.lit(node).cast("bigint"), F.array(*map(F.lit, fs)))])
+        long = rows.select("_node", "_y", xs.alias("_xs"), F.explode(F.element_at(here, F.col("_node"))).alias("_f")) \
+            .select("_node", "_y", "_f", F.get("_xs", F.col("_f")).alias("s"))
     counts = long.groupBy("_node", "_f", "s").agg(F.sum("_y").alias("pos"), F.sum(1 - F.col("_y")).alias("neg"))
     cuts = below(counts, by=["_node", "_f"]).where(F.col("low_s").isNotNull()).join(nodes, "_node")
     pos, neg = F.col("pos_below") * w1, F.col("neg_below") * w0
@@ -74,29 +88,101 @@ def fit_exact_tree(train: DataFrame, features: Sequence[str], label: str = "labe
     ``weights`` are those of class 0 and 1. Rows with a NULL label or feature are
     left out; labels are 0 and 1. An empty table gives no node.
     """
+    _check_depth(depth)
+    rows = cut_lineage(_plain_rows(train, features, label, F.lit(1).cast("bigint")))
+    return _grow(rows, features, depth, weights, min_leaf, [1])
+
+
+def fit_exact_forest(train: DataFrame, features: Sequence[str], label: str = "label", trees: int = 10, depth: int = 3,
+                     weights: tuple[float, float] = (1.0, 1.0), min_leaf: int = 1, per_split: int | None = None,
+                     key: str = "row_key", seed: int = 42) -> DataFrame:
+    """Node table of a forest: roots (depth 0) are ``first`` to ``first + trees - 1``.
+
+    A row stands in a tree as often as a Poisson draw of mean 1 from its key and
+    the tree says (the bootstrap sample); every node tries the ``per_split`` features
+    (default: the square root of their number) that come first by digest. A tree
+    whose sample is empty has no node. NULLs and labels as in ``fit_exact_tree``.
+    """
+    _check_depth(depth)
+    d = len(features)
+    per_split = per_split or max(1, math.isqrt(d))
+    if trees < 1 or not 1 <= per_split <= d:
+        raise ValueError("a forest needs a tree, and 1 to all features a split")
+    first = first_root(trees)
+    steps = poisson_steps()
+
+    def times(tree: int) -> Column:
+        u = uniform(key, seed, f"tree{tree}")
+        return F.size(F.filter(F.lit(steps), lambda c: c <= u))
+
+    # The draws are made before the rows are written, one row for each time.
+    places = F.flatten(F.array(*[F.array_repeat(F.lit(first + t).cast("bigint"), times(t)) for t in range(trees)]))
+    rows = cut_lineage(_plain_rows(train, features, label, F.explode(places)))
+    return _grow(rows, features, depth, weights, min_leaf, list(range(first, first + trees)), (per_split, seed))
+
+
+def first_root(trees: int) -> int:
+    """The next power of two: no node of one tree is a descendant of another's."""
+    return 1 << (trees - 1).bit_length()
+
+
+def poisson_steps(mean: float = 1.0) -> list[float]:
+    """Cumulative Poisson probabilities: a uniform draw counts the steps up to it."""
+    out, p, k = [], math.exp(-mean), 0
+    total = p
+    while total < 1 - 2.0 ** -32:           # draws have 32 bits
+        out.append(total)
+        k += 1
+        p *= mean / k
+        total += p
+    return out
+
+
+def tried_features(node: int, d: int, per_split: int, seed: int) -> list[int]:
+    """The first ``per_split`` of ``d`` features in the node's digest order."""
+    return sorted(range(d), key=lambda f: (md5(f"{node}:{f}:{seed}".encode()).hexdigest(), f))[:per_split]
+
+
+def _check_depth(depth: int) -> None:
     if not 0 <= depth <= MOST_DEPTH:
         raise ValueError(f"depth must be 0 to {MOST_DEPTH}")
-    spark = train.sparkSession
-    rows = cut_lineage(train.select(F.lit(1).cast("bigint").alias("_node"), F.col(label).cast("bigint").alias("_y"),
-                                    *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(features)]).dropna())
+
+
+def _plain_rows(train: DataFrame, features: Sequence[str], label: str, node: Column) -> DataFrame:
+    known = train.where(F.col(label).isNotNull())
+    for c in features:
+        known = known.where(F.col(c).cast("double").isNotNull())
+    return known.select(node.alias("_node"), F.col(label).cast("bigint").alias("_y"),
+                        *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(features)])
+
+
+def _grow(rows: DataFrame, features: Sequence[str], depth: int, weights: tuple[float, float], min_leaf: int,
+          open_nodes: list[int], subset: tuple[int, int] | None = None) -> DataFrame:
+    """Node table from rows that stand at their roots, level by level."""
     done: list[tuple] = []
     for level in range(depth + 1):
-        found = level_splits(rows, features, weights, min_leaf).collect()       # at most 2^level rows
+        tried = subset and {n: tried_features(n, len(features), *subset) for n in open_nodes}
+        found = level_splits(rows, features, weights, min_leaf, tried).collect()    # at most 2^level rows a tree
         last = level == depth
         done += [(r["node"], level, None if last else r["feature"], None if last else r["threshold"], r["n"],
                   r["positives"], r["impurity"], None if last else r["gain"]) for r in found]
         splits = [] if last else [r for r in found if r["feature"] is not None]
         if not splits:
             break
+        open_nodes = [c for r in splits for c in (2 * r["node"], 2 * r["node"] + 1)]
         rows = cut_lineage(rows.withColumn("_node", _child(features, splits)).where(F.col("_node").isNotNull()))
-    return spark.createDataFrame(done, SCHEMA)
+    return rows.sparkSession.createDataFrame(done, SCHEMA)
 
 
 def predict_exact_tree(nodes: DataFrame, df: DataFrame, features: Sequence[str],
                        weights: tuple[float, float] = (1.0, 1.0)) -> DataFrame:
-    """``df`` plus ``score`` (weighted share of class 1 in the row's leaf) and ``prediction``."""
+    """``df`` plus ``score`` (weighted share of class 1 in the row's leaf, the mean
+    over the trees of a forest) and ``prediction``."""
     w0, w1 = weights
     table = {r["node"]: r for r in nodes.collect()}
+    roots = sorted(n for n, r in table.items() if r["depth"] == 0)
+    if not roots:
+        raise ValueError("the tree was fitted without a row")
 
     def at(node: int) -> Column:
         r = table[node]
@@ -105,4 +191,23 @@ def predict_exact_tree(nodes: DataFrame, df: DataFrame, features: Sequence[str],
             return F.lit(pos / (pos + neg) if pos + neg else 0.0)
         return F.when(F.col(r["feature"]).cast("double") <= r["threshold"], at(2 * node)).otherwise(at(2 * node + 1))
 
-    return df.withColumn("score", at(1)).withColumn("prediction", (F.col("score") > 0.5).cast("int"))
+    score = sum((at(r) for r in roots[1:]), at(roots[0])) / float(len(roots))
+    return df.withColumn("score", score).withColumn("prediction", (F.col("score") > 0.5).cast("int"))
+
+
+def exact_importances(nodes: DataFrame, features: Sequence[str], top_n: int | None = None,
+                      weights: tuple[float, float] = (1.0, 1.0)) -> DataFrame:
+    """M12 + K2: gain times weighted rows of a feature's splits, as shares of each
+    tree, their mean over the trees that split, best first (ties by name). A feature
+    never split on has 0, and so have all without a split."""
+    w0, w1 = weights
+    rows = F.col("positives") * w1 + (F.col("n") - F.col("positives")) * w0
+    root = F.expr("shiftright(node, depth)")
+    by = nodes.where(F.col("feature").isNotNull()).groupBy(root.alias("_tree"), "feature").agg(F.sum(F.col("gain") * rows).alias("_v"))
+    share = by.withColumn("_v", F.col("_v") / F.sum("_v").over(Window.partitionBy("_tree"))) \
+        .groupBy("feature").agg(F.sum("_v").alias("_v"))
+    share = share.withColumn("_v", F.col("_v") / F.sum("_v").over(Window.partitionBy(F.lit(0))))      # a row a feature
+    names = nodes.sparkSession.createDataFrame([(c,) for c in features], "feature string")
+    out = names.join(share, "feature", "left").select("feature", F.coalesce("_v", F.lit(0.0)).alias("importance")) \
+        .orderBy(F.col("importance").desc(), "feature")
+    return out if top_n is None else out.limit(top_n)

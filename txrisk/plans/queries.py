@@ -1179,49 +1179,128 @@ def q_stacking_closed(spark, sf_dir):
     return out.select(KEY, "label", "prediction", r6("score", 5).alias("score"))
 
 
-def _exact_tree_sql(depth: int) -> str:
-    """Level by level, the same search over distinct values."""
-    fs = FEATURE_COLS
+def _gini_sql(pos: str, neg: str) -> str:
+    share = f"coalesce(({pos}) / nullif(({pos}) + ({neg}), 0), 0.0)"
+    return f"2.0 * {share} * (1.0 - {share})"
 
-    def gini(pos, neg):
-        share = f"coalesce(({pos}) / nullif(({pos}) + ({neg}), 0), 0.0)"
-        return f"2.0 * {share} * (1.0 - {share})"
 
-    ctes = ["""wt AS (SELECT count(*) / (2.0 * count(*) FILTER (isFraud = 0)) AS w0,
-  count(*) / (2.0 * count(*) FILTER (isFraud = 1)) AS w1 FROM spl WHERE split = 'train')""",
-            f"r0 AS (SELECT CAST(1 AS BIGINT) AS node, isFraud AS y, {S.cols(fs)} FROM spl WHERE split = 'train')"]
-    out = []
-    whole = gini("P * w1", "N * w0")
+def _exact_tree_ctes(depth: int, start: str, per_split: int | None = None) -> list[str]:
+    """Level by level, the same search over distinct values, from ``start`` rows
+    (node, m, y, row_key, features; m = how often a row counts, 0: it is only
+    scored): ``nodes``, the node table, and ``leaves``, every row's leaf."""
+    fs, ctes, out, leaves = FEATURE_COLS, [start], [], []
+    whole = _gini_sql("P * w1", "N * w0")
     for k in range(depth + 1):
-        ctes.append(f"n{k} AS (SELECT node, sum(y) AS P, sum(1 - y) AS N FROM r{k} GROUP BY node)")
+        ctes.append(f"n{k} AS (SELECT node, sum(y * m) AS P, sum((1 - y) * m) AS N FROM r{k} WHERE m > 0 GROUP BY node)")
         names = f"CASE f {' '.join(f'WHEN {i} THEN {c!r}' for i, c in enumerate(fs))} END"
         if k == depth:
             out.append(f"SELECT node, {k} AS depth, NULL AS feature, NULL AS threshold, P, N, NULL AS g FROM n{k}")
+            leaves.append(f"SELECT row_key, y, m, P, N FROM r{k} JOIN n{k} USING (node)")
             continue
-        long = " UNION ALL ".join(f"SELECT node, y, {i} AS f, CAST({c} AS DOUBLE) AS s FROM r{k}" for i, c in enumerate(fs))
+        long = " UNION ALL ".join(f"SELECT node, y, m, {i} AS f, CAST({c} AS DOUBLE) AS s FROM r{k} WHERE m > 0" for i, c in enumerate(fs))
+        tried = "" if per_split is None else f"JOIN t{k} USING (node, f) "
         left, rest = "pb * w1 + nb * w0", "(P - pb) * w1 + (N - nb) * w0"
         total = "(P * w1 + N * w0)"
-        ctes += [f"c{k} AS (SELECT node, f, s, sum(y) AS pos, sum(1 - y) AS neg FROM ({long}) GROUP BY node, f, s)", f"""
+        if per_split is not None:
+            ctes.append(f"""t{k} AS (SELECT node, f FROM n{k}, range({len(fs)}) q(f)
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY md5(concat(node, ':', f, ':42')), f) <= {per_split})""")
+        ctes += [f"c{k} AS (SELECT node, f, s, sum(y * m) AS pos, sum((1 - y) * m) AS neg FROM ({long}) {tried}GROUP BY node, f, s)", f"""
 b{k} AS (SELECT node, f, s, lag(s) OVER (PARTITION BY node, f ORDER BY s) AS low,
   sum(pos) OVER (PARTITION BY node, f ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pb,
   sum(neg) OVER (PARTITION BY node, f ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS nb FROM c{k})""", f"""
-g{k} AS (SELECT node, f, (low + s) / 2 AS t, round({whole} - ({left}) / {total} * {gini('pb * w1', 'nb * w0')}
-  - ({rest}) / {total} * {gini('(P - pb) * w1', '(N - nb) * w0')}, {et.PLACES}) AS g FROM b{k} JOIN n{k} USING (node), wt
+g{k} AS (SELECT node, f, (low + s) / 2 AS t, round({whole} - ({left}) / {total} * {_gini_sql('pb * w1', 'nb * w0')}
+  - ({rest}) / {total} * {_gini_sql('(P - pb) * w1', '(N - nb) * w0')}, {et.PLACES}) AS g FROM b{k} JOIN n{k} USING (node), wt
   WHERE low IS NOT NULL)""", f"""
 s{k} AS (SELECT * FROM g{k} WHERE g > 0 QUALIFY row_number() OVER (PARTITION BY node ORDER BY g DESC, f, t) = 1)""", f"""
 r{k + 1} AS (SELECT 2 * node + CASE WHEN CASE f {' '.join(f'WHEN {i} THEN CAST({c} AS DOUBLE)' for i, c in enumerate(fs))} END <= t
-  THEN 0 ELSE 1 END AS node, y, {S.cols(fs)} FROM r{k} JOIN s{k} USING (node))"""]
+  THEN 0 ELSE 1 END AS node, m, y, row_key, {S.cols(fs)} FROM r{k} JOIN s{k} USING (node))"""]
         out.append(f"SELECT node, {k} AS depth, {names} AS feature, t AS threshold, P, N, g FROM n{k} LEFT JOIN s{k} USING (node)")
-    return _sql(S.TX, S.features_cte(), S.split_cte("feat"), *ctes, body=f"""
+        leaves.append(f"SELECT row_key, y, m, P, N FROM r{k} JOIN n{k} USING (node) WHERE node NOT IN (SELECT node FROM s{k})")
+    wt = """wt AS (SELECT count(*) / (2.0 * count(*) FILTER (isFraud = 0)) AS w0,
+  count(*) / (2.0 * count(*) FILTER (isFraud = 1)) AS w1 FROM spl WHERE split = 'train')"""
+    return [S.TX, S.features_cte(), S.split_cte("feat"), wt, *ctes, f"nodes AS ({' UNION ALL '.join(out)})",
+            f"leaves AS ({' UNION ALL '.join(leaves)})"]
+
+
+def _one_root(what: str) -> str:
+    return f"r0 AS (SELECT CAST(1 AS BIGINT) AS node, {what} AS m, isFraud AS y, row_key, {S.cols(FEATURE_COLS)} FROM spl)"
+
+
+_TREE_DEPTH, _FOREST_TREES, _FOREST_DEPTH, _PER_SPLIT = 3, 5, 3, 3
+_SINGLE = _one_root("CASE WHEN split = 'train' THEN 1 ELSE 0 END")
+_BAGGED = f"""r0 AS (SELECT {et.first_root(_FOREST_TREES)} + t AS node, CASE WHEN split = 'test' THEN 0
+    ELSE {' + '.join(f"CAST(u >= {c!r} AS BIGINT)" for c in et.poisson_steps())} END AS m, isFraud AS y, row_key,
+  {S.cols(FEATURE_COLS)} FROM (SELECT *, {S.u_sql('row_key', "tree' || t || '")} AS u FROM spl, range({_FOREST_TREES}) q(t)))"""
+_TREE_CTES = _exact_tree_ctes(_TREE_DEPTH, _SINGLE)
+_FOREST_CTES = _exact_tree_ctes(_FOREST_DEPTH, _BAGGED, _PER_SPLIT)
+_NODES_SQL = f"""
 SELECT node, CAST(depth AS INTEGER) AS depth, feature, round(threshold, 6) AS threshold, CAST(P + N AS BIGINT) AS n,
-  CAST(P AS BIGINT) AS positives, round({whole}, 6) AS impurity, round(g, 6) AS gain
-FROM ({' UNION ALL '.join(out)}), wt""")
+  CAST(P AS BIGINT) AS positives, round({_gini_sql('P * w1', 'N * w0')}, 6) AS impurity, round(g, 6) AS gain
+FROM nodes, wt"""
+_LEAF_SCORES_SQL = """
+SELECT row_key, y AS label, CAST(CASE WHEN avg(P * w1 / (P * w1 + N * w0)) > 0.5 THEN 1 ELSE 0 END AS INTEGER) AS prediction,
+  round(avg(P * w1 / (P * w1 + N * w0)), 6) AS score FROM leaves, wt
+WHERE row_key IN (SELECT row_key FROM spl WHERE split = 'test') GROUP BY row_key, y"""
+_SHARES_SQL = f"""
+SELECT f.feature, round(coalesce(v / sum(v) OVER (), 0.0), 6) AS importance
+FROM (VALUES {', '.join(f"('{c}')" for c in FEATURE_COLS)}) f(feature) LEFT JOIN (
+  SELECT feature, sum(share) AS v FROM (SELECT feature, v / sum(v) OVER (PARTITION BY tree) AS share FROM (
+    SELECT node >> depth AS tree, feature, sum(g * (P * w1 + N * w0)) AS v FROM nodes, wt
+    WHERE feature IS NOT NULL GROUP BY 1, 2)) GROUP BY feature) USING (feature)"""
+
+
+def _weighted_split(spark, sf_dir):
+    """Train and test rows, and the balanced weights of class 0 and 1."""
+    rows = cut_lineage(_split(spark, sf_dir))
+    train = rows.where(F.col("split") == "train")
+    n = {r[0]: r[1] for r in train.groupBy(LABEL).count().collect()}
+    return train, rows.where(F.col("split") == "test"), tuple(sum(n.values()) / (2.0 * n[c]) for c in (0, 1))
+
+
+def _exact_forest(spark, sf_dir):
+    train, test, w = _weighted_split(spark, sf_dir)
+    return et.fit_exact_forest(train, FEATURE_COLS, LABEL, _FOREST_TREES, _FOREST_DEPTH, w, per_split=_PER_SPLIT, key=KEY), test, w
 
 
-@register("exact_tree", _exact_tree_sql(3))
+@register("exact_tree", _sql(*_TREE_CTES, body=_NODES_SQL))
 def q_exact_tree(spark, sf_dir):
     """M2/M18 with exact splits: the first levels of the class-weighted tree."""
-    train = cut_lineage(_split(spark, sf_dir).where(F.col("split") == "train"))
-    n = {r[0]: r[1] for r in train.groupBy(LABEL).count().collect()}
-    weights = tuple(sum(n.values()) / (2.0 * n[c]) for c in (0, 1))
-    return _round_cols(et.fit_exact_tree(train, FEATURE_COLS, LABEL, 3, weights), ["threshold", "impurity", "gain"])
+    train, _, w = _weighted_split(spark, sf_dir)
+    return _round_cols(et.fit_exact_tree(train, FEATURE_COLS, LABEL, _TREE_DEPTH, w), ["threshold", "impurity", "gain"])
+
+
+@register("exact_tree_scores", _sql(*_TREE_CTES, body=_LEAF_SCORES_SQL))
+def q_exact_tree_scores(spark, sf_dir):
+    """M2 + M11: P(1) of every test row by the exact tree."""
+    train, test, w = _weighted_split(spark, sf_dir)
+    out = et.predict_exact_tree(et.fit_exact_tree(train, FEATURE_COLS, LABEL, _TREE_DEPTH, w), test, FEATURE_COLS, w)
+    return out.select(KEY, F.col(LABEL).alias("label"), "prediction", r6("score").alias("score"))
+
+
+@register("exact_importances", _sql(*_TREE_CTES, body=_SHARES_SQL))
+def q_exact_importances(spark, sf_dir):
+    """M12 + K2: importances of the exact tree."""
+    train, _, w = _weighted_split(spark, sf_dir)
+    nodes = et.fit_exact_tree(train, FEATURE_COLS, LABEL, _TREE_DEPTH, w)
+    return _round_cols(et.exact_importances(nodes, FEATURE_COLS, 12, w), ["importance"])
+
+
+@register("exact_forest", _sql(*_FOREST_CTES, body=_NODES_SQL))
+def q_exact_forest(spark, sf_dir):
+    """M4/M18 with exact splits: the nodes of five bootstrapped trees."""
+    return _round_cols(_exact_forest(spark, sf_dir)[0], ["threshold", "impurity", "gain"])
+
+
+@register("exact_forest_scores", _sql(*_FOREST_CTES, body=_LEAF_SCORES_SQL))
+def q_exact_forest_scores(spark, sf_dir):
+    """M4 + M11: mean leaf share over the trees for every test row."""
+    nodes, test, w = _exact_forest(spark, sf_dir)
+    out = et.predict_exact_tree(nodes, test, FEATURE_COLS, w)
+    return out.select(KEY, F.col(LABEL).alias("label"), "prediction", r6("score").alias("score"))
+
+
+@register("exact_forest_importances", _sql(*_FOREST_CTES, body=_SHARES_SQL))
+def q_exact_forest_importances(spark, sf_dir):
+    """M12 + K2: mean importances over the trees of the forest."""
+    nodes, _, w = _exact_forest(spark, sf_dir)
+    return _round_cols(et.exact_importances(nodes, FEATURE_COLS, 12, w), ["importance"])
