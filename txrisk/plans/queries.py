@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import r6
 from ..functions.quantile import exact_percentile_value
+from ..operators import boosting as bo
 from ..operators import ensemble as en
 from ..operators import exact_tree as et
 from ..operators import estimators as es
@@ -1304,3 +1305,80 @@ def q_exact_forest_importances(spark, sf_dir):
     """M12 + K2: mean importances over the trees of the forest."""
     nodes, _, w = _exact_forest(spark, sf_dir)
     return _round_cols(et.exact_importances(nodes, FEATURE_COLS, 12, w), ["importance"])
+
+
+_BOOST = {"rounds": 4, "depth": 3, "rate": 0.1}         # the first rounds of the study's boosting, at half its depth
+
+
+def _boosting_ctes(rounds: int, depth: int, rate: float) -> list[str]:
+    """Rounds r, levels k: z{r}_{k} rows with their node; ``nodes``; ``m{rounds}`` the margins."""
+    fs, out = FEATURE_COLS, []
+    unit = 2 ** bo.SCALE_BITS
+    ctes = [S.TX, S.features_cte(), S.split_cte("feat"), f"""
+pw AS (SELECT count(*) FILTER (isFraud = 0) / count(*) FILTER (isFraud = 1) AS pw FROM spl WHERE split = 'train'),
+m0 AS MATERIALIZED (SELECT row_key, isFraud AS y, split, CASE WHEN isFraud = 1 THEN pw ELSE 1.0 END AS w, CAST(0 AS DOUBLE) AS mg,
+  {S.cols(fs)} FROM spl, pw),
+tw AS (SELECT sum(w) AS total FROM m0 WHERE split = 'train')"""]
+    names = f"CASE f {' '.join(f'WHEN {i} THEN {c!r}' for i, c in enumerate(fs))} END"
+    value = f"CASE f {' '.join(f'WHEN {i} THEN CAST({c} AS DOUBLE)' for i, c in enumerate(fs))} END"
+
+    def real(c):
+        return f"(CAST({c} AS DOUBLE) / {unit})"
+
+    for r in range(rounds):
+        p = "CASE WHEN mg >= 0 THEN 1 / (1 + exp(-mg)) ELSE exp(mg) / (1 + exp(mg)) END"
+        ctes.append(f"""z{r}_0 AS MATERIALIZED (SELECT *, CAST(1 AS BIGINT) AS node, CAST(round(w * (p - y) * {unit}) AS BIGINT) AS g,
+  CAST(round(w * p * (1.0 - p) * {unit}) AS BIGINT) AS h FROM (SELECT *, {p} AS p FROM m{r}))""")
+        for k in range(depth):
+            a = f"{r}_{k}"
+            rows = f"FROM z{a} WHERE split = 'train' AND node >= {2 ** k}"
+            long = " UNION ALL ".join(f"SELECT node, g, h, {i} AS f, CAST({c} AS DOUBLE) AS s {rows}" for i, c in enumerate(fs))
+            gl, hl, g, h = real("gb"), real("hb"), real("n.G"), real("n.H")
+            gain = f"{gl} * {gl} / ({hl} + 1.0) + ({g} - {gl}) * ({g} - {gl}) / ({h} - {hl} + 1.0) - {g} * {g} / ({h} + 1.0)"
+            ctes.append(f"""n{a} AS (SELECT node, sum(g) AS G, sum(h) AS H {rows} GROUP BY node),
+c{a} AS (SELECT node, f, s, sum(g) AS gs, sum(h) AS hs FROM ({long}) GROUP BY node, f, s),
+b{a} AS (SELECT node, f, s, lag(s) OVER (PARTITION BY node, f ORDER BY s) AS low,
+  sum(gs) OVER (PARTITION BY node, f ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS gb,
+  sum(hs) OVER (PARTITION BY node, f ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS hb FROM c{a}),
+s{a} AS MATERIALIZED (SELECT * FROM (SELECT node, f, (low + s) / 2 AS t, round(({gain}) / total, {et.PLACES}) AS gain
+    FROM b{a} JOIN n{a} n USING (node), tw WHERE low IS NOT NULL AND {hl} >= 1 AND {h} - {hl} >= 1) WHERE gain > 0
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, t) = 1),
+z{r}_{k + 1} AS MATERIALIZED (SELECT z.* REPLACE (CASE WHEN s.node IS NULL THEN z.node WHEN {value} <= t THEN 2 * z.node
+  ELSE 2 * z.node + 1 END AS node) FROM z{a} z LEFT JOIN s{a} s ON s.node = z.node)""")
+            out.append(f"""SELECT {r} AS tree, node, {k} AS depth, {names} AS feature, t AS threshold, gain, {real('H')} AS weight,
+  CASE WHEN f IS NULL THEN {-rate} * {real('G')} / ({real('H')} + 1.0) END AS value FROM n{a} LEFT JOIN s{a} USING (node)""")
+        ctes.append(f"""v{r} AS MATERIALIZED (SELECT node, sum(g) AS G, sum(h) AS H FROM z{r}_{depth} WHERE split = 'train' GROUP BY node),
+m{r + 1} AS MATERIALIZED (SELECT row_key, y, split, w, mg + {-rate} * {real('v.G')} / ({real('v.H')} + 1.0) AS mg, {S.cols(fs)}
+  FROM z{r}_{depth} JOIN v{r} v USING (node))""")
+        out.append(f"""SELECT {r}, node, {depth}, NULL, NULL, NULL, {real('H')}, {-rate} * {real('G')} / ({real('H')} + 1.0)
+  FROM v{r} WHERE node >= {2 ** depth}""")
+    return [*ctes, f"nodes AS ({' UNION ALL '.join(out)})"]
+
+
+_BOOST_CTES = _boosting_ctes(**_BOOST)
+
+
+def _boosted(spark, sf_dir):
+    rows = cut_lineage(_split(spark, sf_dir))
+    train = rows.where(F.col("split") == "train")
+    weight = st.pos_weight(train, LABEL).first()["pos_weight"]
+    return bo.fit_newton_boosting(train, FEATURE_COLS, LABEL, pos_weight=weight, **_BOOST), rows.where(F.col("split") == "test")
+
+
+@register("newton_boosting", _sql(*_BOOST_CTES, body="""
+SELECT CAST(tree AS INTEGER) AS tree, node, CAST(depth AS INTEGER) AS depth, feature, round(threshold, 6) AS threshold,
+  round(gain, 6) AS gain, round(weight, 5) AS weight, round(value, 6) AS value FROM nodes"""))
+def q_newton_boosting(spark, sf_dir):
+    """M5/M18 by aggregations: the nodes of the first boosted trees, positives weighted n0 / n1."""
+    nodes = _boosted(spark, sf_dir)[0]
+    return _round_cols(nodes.withColumn("weight", r6("weight", 5)), ["threshold", "gain", "value"])
+
+
+@register("newton_boosting_scores", _sql(*_BOOST_CTES, body=f"""
+SELECT row_key, y AS label, CAST(mg > 0 AS INTEGER) AS prediction, round(1 / (1 + exp(-mg)), 6) AS score
+FROM m{_BOOST['rounds']} WHERE split = 'test'"""))
+def q_newton_boosting_scores(spark, sf_dir):
+    """M5 + M11: P(1) of every test row by the boosted trees."""
+    nodes, test = _boosted(spark, sf_dir)
+    out = bo.predict_newton_boosting(nodes, test.select(KEY, LABEL, *FEATURE_COLS), FEATURE_COLS)
+    return out.select(KEY, F.col(LABEL).alias("label"), "prediction", r6("score").alias("score"))
