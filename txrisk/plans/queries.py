@@ -1185,7 +1185,7 @@ def _gini_sql(pos: str, neg: str) -> str:
     return f"2.0 * {share} * (1.0 - {share})"
 
 
-def _exact_tree_ctes(depth: int, start: str, per_split: int | None = None) -> list[str]:
+def _exact_tree_ctes(depth: int, start: str, per_split: int | None = None, weighted: bool = True) -> list[str]:
     """Level by level, the same search over distinct values, from ``start`` rows
     (node, m, y, row_key, features; m = how often a row counts, 0: it is only
     scored): ``nodes``, the node table, and ``leaves``, every row's leaf."""
@@ -1218,7 +1218,8 @@ r{k + 1} AS (SELECT 2 * node + CASE WHEN CASE f {' '.join(f'WHEN {i} THEN CAST({
         out.append(f"SELECT node, {k} AS depth, {names} AS feature, t AS threshold, P, N, g FROM n{k} LEFT JOIN s{k} USING (node)")
         leaves.append(f"SELECT row_key, y, m, P, N FROM r{k} JOIN n{k} USING (node) WHERE node NOT IN (SELECT node FROM s{k})")
     wt = """wt AS (SELECT count(*) / (2.0 * count(*) FILTER (isFraud = 0)) AS w0,
-  count(*) / (2.0 * count(*) FILTER (isFraud = 1)) AS w1 FROM spl WHERE split = 'train')"""
+  count(*) / (2.0 * count(*) FILTER (isFraud = 1)) AS w1 FROM spl WHERE split = 'train')""" if weighted else \
+        "wt AS (SELECT 1.0 AS w0, 1.0 AS w1)"
     return [S.TX, S.features_cte(), S.split_cte("feat"), wt, *ctes, f"nodes AS ({' UNION ALL '.join(out)})",
             f"leaves AS ({' UNION ALL '.join(leaves)})"]
 
@@ -1382,3 +1383,39 @@ def q_newton_boosting_scores(spark, sf_dir):
     nodes, test = _boosted(spark, sf_dir)
     out = bo.predict_newton_boosting(nodes, test.select(KEY, LABEL, *FEATURE_COLS), FEATURE_COLS)
     return out.select(KEY, F.col(LABEL).alias("label"), "prediction", r6("score").alias("score"))
+
+
+def _balanced_sql(rows: str, source: str) -> str:
+    """Scores of the test rows by a tree on ``source``, made by the CTEs ``rows``."""
+    start = f"""r0 AS (WITH trn AS (SELECT * FROM spl WHERE split = 'train'),{rows}
+given AS (SELECT * FROM {source})
+  SELECT CAST(1 AS BIGINT) AS node, 1 AS m, isFraud AS y, row_key, {S.cols(FEATURE_COLS)} FROM given
+  UNION ALL SELECT 1, 0, isFraud, row_key, {S.cols(FEATURE_COLS)} FROM spl WHERE split = 'test')"""
+    return _sql(*_exact_tree_ctes(_TREE_DEPTH, start, weighted=False), body=_LEAF_SCORES_SQL)
+
+
+_SYNTHETIC = _SMOTE_SQL[_SMOTE_SQL.index("trn AS ("):_SMOTE_SQL.rindex("SELECT row_key, ", 0, _SMOTE_SQL.rindex("UNION ALL"))]
+_SYNTHETIC = _SYNTHETIC.split("\n", 1)[1].rstrip() + ","
+_UNDER = ORACLE["undersample"]
+_UNDER = _UNDER[_UNDER.index("und_cc AS ("):_UNDER.rindex("SELECT row_key")].rstrip() + ","
+_BALANCED_PREDS = " UNION ALL ".join(
+    f"SELECT '{name}' AS model, * FROM ({sql})" for name, sql in zip(pl.BALANCING_NAMES, (
+        _sql(*_TREE_CTES, body=_LEAF_SCORES_SQL),
+        _balanced_sql("\n" + _SYNTHETIC, f"(SELECT row_key, isFraud, {S.cols(FEATURE_COLS)} FROM trn UNION ALL "
+                      f"SELECT row_key, isFraud, {S.cols(FEATURE_COLS)} FROM syn)"),
+        _balanced_sql("\n" + _UNDER, "und"))))
+
+
+@register("balancing_exact", _sql(f"preds AS ({_BALANCED_PREDS})", _BOARD.rstrip(), body="SELECT model, precision, recall, f1 FROM board"))
+def q_balancing_exact(spark, sf_dir):
+    """M15 on exact trees: class weights, SMOTE and undersampling compared."""
+    train, test, w = _weighted_split(spark, sf_dir)
+    train = train.drop("split")
+    one = (1.0, 1.0)
+    fits = zip(pl.BALANCING_NAMES, ((train, w), (smote(train, FEATURE_COLS), one), (sa.undersample(train), one)))
+    preds = {}
+    for name, (rows, weights) in fits:
+        nodes = et.fit_exact_tree(rows, FEATURE_COLS, LABEL, _TREE_DEPTH, weights)
+        pred = et.predict_exact_tree(nodes, test, FEATURE_COLS, weights)
+        preds[name] = (pred.select(F.col(LABEL).alias("label"), "prediction", r6("score").alias("score")), None)
+    return _round_cols(pl.balancing_comparison(pl.evaluate_all(preds)), ["precision", "recall", "f1"])
