@@ -128,3 +128,32 @@ def test_approximate_argument_errors(spark):
         kn.knn_join_approx(_queries(x), x, 3, "manhattan")
     with pytest.raises(ValueError):
         kn.knn_join_approx(_queries(x), x, 3, recall=0)
+
+
+@pytest.mark.parametrize("search", ["euclidean", "manhattan"])
+@pytest.mark.parametrize("kind", ["plain", "ties", "far", "odd", "huge", "tiny"])
+def test_rough_order_loses_no_neighbour(search, kind):
+    """The k nearest of a block pair, bit by bit those of all exact distances."""
+    rng = np.random.default_rng(8)
+    x, y, cid, kk = rng.normal(size=(60, 7)), rng.normal(size=(400, 7)), rng.permutation(400), 4
+    x, y = {"plain": (x, y), "ties": (x.round(), y.round()), "far": (x * 1e-5 + 1e6, y * 1e-5 + 1e6), "odd": (x, y),
+            "huge": (x * 1e200, y * 1e200), "tiny": (x * 1e-180, y * 1e-180)}[kind]
+    if kind == "odd":
+        x[0, 0], y[0, 0], y[1, 1] = np.inf, np.nan, -np.inf
+    with np.errstate(all="ignore"):
+        all_d = kn.block_distances(x, y, search)
+        for theta in (np.full(60, np.inf), np.sort(all_d, axis=1)[:, 2]):
+            i, j, d = kn._top(x, y, theta, cid, kk, search)
+            for row in range(60):
+                ok = np.flatnonzero(all_d[row] <= theta[row])
+                best = ok[np.lexsort((cid[ok], all_d[row, ok]))[:kk]]
+                assert j[i == row].tolist() == best.tolist() and d[i == row].tolist() == all_d[row, best].tolist()
+
+
+def test_a_cell_holds_about_a_block(spark, two_phases):
+    """A query that meets every cell is sent about as often as there are train blocks."""
+    x = np.random.default_rng(9).normal(size=(900, 30))
+    search = kn.knn_search(_queries(_frame(spark, x[:50])), _frame(spark, x), 3)
+    sent = sum(p.groupBy("_ring", "_salt").agg(F.first(F.size("q")).alias("n")).agg(F.sum("n")).first()[0] or 0
+               for p in search.phases)
+    assert sent <= 50 * -(-900 // kn.BLOCK) * 1.6
