@@ -157,3 +157,22 @@ def test_a_cell_holds_about_a_block(spark, two_phases):
     sent = sum(p.groupBy("_ring", "_salt").agg(F.first(F.size("q")).alias("n")).agg(F.sum("n")).first()[0] or 0
                for p in search.phases)
     assert sent <= 50 * -(-900 // kn.BLOCK) * 1.6
+
+
+def test_shared_buckets_are_met_as_blocks(spark, monkeypatch):
+    """Rows of a common bucket become few pairs of blocks; no pair is lost or met twice in a table."""
+    monkeypatch.setattr(kn, "BLOCK", 40)
+    monkeypatch.setattr(kn, "SALT_BLOCKS", 2)
+    from pyspark.ml.functions import array_to_vector
+
+    def rows(n):
+        return spark.range(n).select(F.col("id").alias("_bid"), F.array(F.col("id").cast("double")).alias("_v"),
+                                     F.lit(1e9).alias("_theta"),
+                                     F.array(array_to_vector(F.array(F.lit(0.0))),
+                                             array_to_vector(F.array((F.col("id") % 7).cast("double")))).alias("hashes"))
+    pairs = kn._shared_buckets(rows(200), rows(300)).collect()
+    assert len(pairs) < 200 and max(len(p["t"]) for p in pairs) < 80
+    met = [(p["_table"], q["id"], t["id"]) for p in pairs for q in p["q"] for t in p["t"]]
+    wanted = {(0, q, t) for q in range(200) for t in range(300)} | {(1, q, t) for _, q, t in met if q % 7 == t % 7}
+    assert len(met) == len(set(met)) and set(met) == wanted
+    assert sum(1 for m in met if m[0] == 1) == sum(1 for q in range(200) for t in range(300) if q % 7 == t % 7)
