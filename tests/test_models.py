@@ -171,3 +171,34 @@ def test_balance_dispatch(feat):
     assert sa.class_count_dict(balance(train, cols, "SMOTE")) == {0: n[0], 1: int(0.1 * n[0])}
     with pytest.raises(ValueError):
         balance(train, cols, "ADASYN")
+
+
+def test_the_board_fits_its_models_at_the_same_time(spark):
+    from threading import Barrier
+
+    both = Barrier(2, timeout=60)
+    pred = spark.createDataFrame([(0, 0, 0.1), (1, 1, 0.9)], "label int, prediction int, score double")
+
+    class Two(pl.Study):
+        NAMES = {"a": "A", "b": "B"}
+
+        def frames(self, scaled):
+            return None
+
+        def a(self):
+            both.wait()
+            return pred, 0.0
+
+        b = a
+
+    rows = Two(pred).board(("a", "b")).collect()
+    assert [(r.model, r.f1) for r in rows] == [("A", 1.0), ("B", 1.0)]
+
+
+def test_large_frames_are_dealt_over_all_cores(spark):
+    cores = spark.sparkContext.defaultParallelism
+    rows = pl._dealt(spark.range(0, pl.DEALT_FROM, 1, 1))
+    sizes = [r["n"] for r in rows.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(sizes) == cores and max(sizes) < 1.2 * pl.DEALT_FROM / cores
+    assert rows.select("id").distinct().count() == pl.DEALT_FROM
+    assert pl._dealt(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == 1
