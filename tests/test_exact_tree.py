@@ -148,3 +148,14 @@ def test_forest_edges(spark):
             et.fit_exact_forest(df, ["a", "b"], **wrong)
     with pytest.raises(ValueError):
         et.predict_exact_tree(none, df, ["a", "b"])
+
+
+def test_a_forest_writes_its_rows_once(spark, monkeypatch):
+    """One written row a training row, not one a draw, tree and level."""
+    written, write = [], et.cut_lineage
+    monkeypatch.setattr(et, "cut_lineage", lambda df: written.append(write(df)) or written[-1])
+    df = spark.range(400).select(F.col("id").alias("row_key"), (F.col("id") % 37).cast("double").alias("a"),
+                                 (F.col("id") % 11).cast("double").alias("b"), (F.col("id") % 37 > 20).cast("int").alias("label"))
+    nodes = et.fit_exact_forest(df, ["a", "b"], trees=4, depth=2)
+    assert nodes.where("depth = 2").count() > 0
+    assert [w.count() for w in written] == [400]

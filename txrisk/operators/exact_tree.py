@@ -5,7 +5,9 @@ Level by level: the rows of all open nodes become (node, feature, value) counts
 of both classes, combined map-side; they are range-partitioned, class counts
 below every value are accumulated per partition and offset by the partitions
 before it (``metrics.below``), and each node keeps its best split. Nodes of a
-level, at most 2^depth a tree, reach the driver; rows find their child by a projection.
+level, at most 2^depth a tree, reach the driver. Rows are written once, with their
+counts in the trees, and walk from their roots by projections (their places are
+written every few levels); the last level, which is not split, is one count a node.
 
 A forest grows all its trees at once: tree ``t`` starts at node ``first + t`` with
 ``first`` the next power of two, so that children ``2 i`` and ``2 i + 1`` never meet
@@ -21,12 +23,13 @@ from hashlib import md5
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import safe_div, uniform
+from ..functions.exprs import json_lit, safe_div, uniform
 from ..session import cut_lineage
 from .metrics import below
 
 MOST_DEPTH = 12             # of an exact tree: its nodes are driver values
 PLACES = 9                  # gains are compared at this many places, ties go to the first feature, then the lower threshold
+WALKED = 3                  # levels that rows walk again, at most, before their places are written
 SCHEMA = ("node bigint, depth int, feature string, threshold double, n bigint, positives bigint, "
           "impurity double, gain double")
 
@@ -46,38 +49,71 @@ def _child(features: Sequence[str], splits: list) -> Column:
     return out
 
 
+def _roots(rows: DataFrame, first: int) -> DataFrame:
+    """A row for every tree that a row stands in, at the tree's root (``_node, _y, _xs, _m``)."""
+    return rows.select("_y", "_xs", F.posexplode("_m").alias("_t", "_m")).where(F.col("_m") > 0) \
+        .select((F.col("_t") + F.lit(first)).cast("bigint").alias("_node"), "_y", "_xs", "_m")
+
+
+def _walked(at: DataFrame, levels: Sequence[list]) -> DataFrame:
+    """Rows moved down by the splits of the ``levels``; those in a leaf are left out."""
+    for splits in levels:
+        lowest = min(s[0] for s in splits)
+        cuts = {node - lowest: {"f": f, "t": t} for node, f, t in splits}
+        table = json_lit([cuts.get(i) for i in range(max(cuts) + 1)], "array<struct<f:int,t:double>>")
+        at = at.withColumn("_s", F.get(table, (F.col("_node") - lowest).cast("int"))).where(F.col("_s").isNotNull()) \
+            .select((2 * F.col("_node") + (F.get("_xs", F.col("_s.f")) > F.col("_s.t")).cast("bigint")).alias("_node"),
+                    "_y", "_xs", "_m")
+    return at
+
+
+def _sums() -> tuple[Column, Column]:
+    return F.sum(F.col("_m") * F.col("_y")), F.sum(F.col("_m") * (1 - F.col("_y")))
+
+
+def level_nodes(rows: DataFrame, weights: tuple[float, float]) -> DataFrame:
+    """The nodes of the last level, which are not split, from ``_node, _y, _m``."""
+    pos, neg = _sums()
+    return _table(rows.groupBy("_node").agg(pos.alias("P"), neg.alias("N")), weights, F.lit(None).cast("string"),
+                  *2 * [F.lit(None).cast("double")])
+
+
+def _table(nodes: DataFrame, weights: tuple[float, float], feature: Column, threshold: Column, gain: Column) -> DataFrame:
+    return nodes.select(F.col("_node").alias("node"), feature.alias("feature"), threshold.alias("threshold"),
+                        (F.col("P") + F.col("N")).alias("n"), F.col("P").alias("positives"),
+                        _gini(F.col("P") * weights[1], F.col("N") * weights[0]).alias("impurity"), gain.alias("gain"))
+
+
 def level_splits(rows: DataFrame, features: Sequence[str], weights: tuple[float, float], min_leaf: int,
                  tried: dict[int, list[int]] | None = None) -> DataFrame:
-    """Best split of every node of ``rows`` (``_node, _y, _x0, _x1, ...``) among
-    all features, or those ``tried`` there; nodes that are pure or can't be split
-    have a NULL feature."""
+    """Best split of every node of ``rows`` (``_node, _y, _xs, _m``: a row counts ``_m``
+    times) among all features, or those ``tried`` there; nodes that are pure or can't be
+    split have a NULL feature."""
     w0, w1 = weights
-    nodes = rows.groupBy("_node").agg(F.sum("_y").alias("P"), F.sum(1 - F.col("_y")).alias("N"))
-    xs = F.array(*[F.col(f"_x{i}") for i in range(len(features))])
     if tried is None:
-        long = rows.select("_node", "_y", F.posexplode(xs).alias("_f", "s"))
+        long = rows.select("_node", "_y", "_m", F.posexplode("_xs").alias("_f", "s"))
     else:
-        here = F.create_map(*[x for node, fs in tried.items() for x in (F.lit(node).cast("bigint"), F.array(*map(F.lit, fs)))])
-        long = rows.select("_node", "_y", xs.alias("_xs"), F.explode(F.element_at(here, F.col("_node"))).alias("_f")) \
-            .select("_node", "_y", "_f", F.get("_xs", F.col("_f")).alias("s"))
-    counts = long.groupBy("_node", "_f", "s").agg(F.sum("_y").alias("pos"), F.sum(1 - F.col("_y")).alias("neg"))
-    cuts = below(counts, by=["_node", "_f"]).where(F.col("low_s").isNotNull()).join(nodes, "_node")
+        lowest = min(tried)
+        here = json_lit([tried.get(i) for i in range(lowest, max(tried) + 1)], "array<array<int>>")
+        long = rows.select("_node", "_y", "_m", "_xs", F.explode(F.get(here, (F.col("_node") - lowest).cast("int"))).alias("_f")) \
+            .select("_node", "_y", "_m", "_f", F.get("_xs", F.col("_f")).alias("s"))
+    pos, neg = _sums()
+    counts = long.groupBy("_node", "_f", "s").agg(pos.alias("pos"), neg.alias("neg"))
+    cuts = below(counts, by=["_node", "_f"])
     pos, neg = F.col("pos_below") * w1, F.col("neg_below") * w0
-    all_pos, all_neg = F.col("P") * w1, F.col("N") * w0
+    all_pos, all_neg = F.col("all_pos") * w1, F.col("all_neg") * w0
     total, left = all_pos + all_neg, pos + neg
     gain = _gini(all_pos, all_neg) - safe_div(left, total) * _gini(pos, neg) \
         - safe_div(total - left, total) * _gini(all_pos - pos, all_neg - neg)
     n_left = F.col("pos_below") + F.col("neg_below")
-    fine = (n_left >= min_leaf) & (F.col("P") + F.col("N") - n_left >= min_leaf)
+    fine = F.col("low_s").isNotNull() & (n_left >= min_leaf) & (F.col("all_pos") + F.col("all_neg") - n_left >= min_leaf)
     middle = (F.col("low_s") + F.col("s")) / 2
-    best = cuts.where(fine).select("_node", F.round(gain, PLACES).alias("g"), "_f", middle.alias("t")).where(F.col("g") > 0) \
-        .groupBy("_node").agg(F.max(F.struct("g", (-F.col("_f")).alias("f"), (-F.col("t")).alias("t"))).alias("b")) \
-        .select(F.col("_node").alias("_of"), F.col("b.g").alias("gain"), (-F.col("b.f")).alias("_f"), (-F.col("b.t")).alias("t"))
+    tries = cuts.select("_node", "all_pos", "all_neg", F.when(fine, F.round(gain, PLACES)).alias("g"), "_f", middle.alias("t"))
+    split = F.when(F.col("g") > 0, F.struct("g", (-F.col("_f")).alias("f"), (-F.col("t")).alias("t")))
+    # Every feature of a node holds all its rows.
+    nodes = tries.groupBy("_node").agg(F.max("all_pos").alias("P"), F.max("all_neg").alias("N"), F.max(split).alias("b"))
     names = F.array(*[F.lit(c) for c in features])
-    return nodes.join(best, F.col("_node") == F.col("_of"), "left").select(
-        F.col("_node").alias("node"), F.when(F.col("_f").isNotNull(), F.get(names, F.col("_f"))).alias("feature"),
-        F.col("t").alias("threshold"), (F.col("P") + F.col("N")).alias("n"), F.col("P").alias("positives"),
-        _gini(all_pos, all_neg).alias("impurity"), "gain")
+    return _table(nodes, weights, F.when(F.col("b").isNotNull(), F.get(names, -F.col("b.f"))), -F.col("b.t"), F.col("b.g"))
 
 
 def fit_exact_tree(train: DataFrame, features: Sequence[str], label: str = "label", depth: int = 3,
@@ -89,7 +125,7 @@ def fit_exact_tree(train: DataFrame, features: Sequence[str], label: str = "labe
     left out; labels are 0 and 1. An empty table gives no node.
     """
     _check_depth(depth)
-    rows = cut_lineage(_plain_rows(train, features, label, F.lit(1).cast("bigint")))
+    rows = cut_lineage(_plain_rows(train, features, label, F.array(F.lit(1))))
     return _grow(rows, features, depth, weights, min_leaf, [1])
 
 
@@ -111,13 +147,10 @@ def fit_exact_forest(train: DataFrame, features: Sequence[str], label: str = "la
     first = first_root(trees)
     steps = poisson_steps()
 
-    def times(tree: int) -> Column:
-        u = uniform(key, seed, f"tree{tree}")
-        return F.size(F.filter(F.lit(steps), lambda c: c <= u))
-
-    # The draws are made before the rows are written, one row for each time.
-    places = F.flatten(F.array(*[F.array_repeat(F.lit(first + t).cast("bigint"), times(t)) for t in range(trees)]))
-    rows = cut_lineage(_plain_rows(train, features, label, F.explode(places)))
+    # A digest a row and tree, compared with all steps; a row is written once with its counts.
+    draws = F.array(*[uniform(key, seed, f"tree{t}") for t in range(trees)])
+    times = F.transform(draws, lambda u: F.size(F.filter(F.lit(steps), lambda c: c <= u)))
+    rows = cut_lineage(_plain_rows(train, features, label, times))
     return _grow(rows, features, depth, weights, min_leaf, list(range(first, first + trees)), (per_split, seed))
 
 
@@ -148,29 +181,35 @@ def _check_depth(depth: int) -> None:
         raise ValueError(f"depth must be 0 to {MOST_DEPTH}")
 
 
-def _plain_rows(train: DataFrame, features: Sequence[str], label: str, node: Column) -> DataFrame:
+def _plain_rows(train: DataFrame, features: Sequence[str], label: str, times: Column) -> DataFrame:
+    """``_y, _xs`` and ``_m``, how often the row stands in each tree."""
     known = train.where(F.col(label).isNotNull())
     for c in features:
         known = known.where(F.col(c).cast("double").isNotNull())
-    return known.select(node.alias("_node"), F.col(label).cast("bigint").alias("_y"),
-                        *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(features)])
+    return known.select(F.col(label).cast("bigint").alias("_y"), F.array(*[F.col(c).cast("double") for c in features]).alias("_xs"),
+                        times.alias("_m"))
 
 
 def _grow(rows: DataFrame, features: Sequence[str], depth: int, weights: tuple[float, float], min_leaf: int,
-          open_nodes: list[int], subset: tuple[int, int] | None = None) -> DataFrame:
-    """Node table from rows that stand at their roots, level by level."""
-    done: list[tuple] = []
+          roots: list[int], subset: tuple[int, int] | None = None) -> DataFrame:
+    """Node table from rows and their counts in the trees, level by level."""
+    names, done, levels, open_nodes = list(features), [], [], roots
+    start = _roots(rows, roots[0])
     for level in range(depth + 1):
-        tried = subset and {n: tried_features(n, len(features), *subset) for n in open_nodes}
-        found = level_splits(rows, features, weights, min_leaf, tried).collect()    # at most 2^level rows a tree
-        last = level == depth
-        done += [(r["node"], level, None if last else r["feature"], None if last else r["threshold"], r["n"],
-                  r["positives"], r["impurity"], None if last else r["gain"]) for r in found]
-        splits = [] if last else [r for r in found if r["feature"] is not None]
+        if len(levels) > WALKED:
+            start, levels = cut_lineage(_walked(start, levels)), []
+        at = _walked(start, levels)
+        if level == depth:
+            found = level_nodes(at, weights).collect()
+        else:
+            tried = subset and {n: tried_features(n, len(names), *subset) for n in open_nodes}
+            found = level_splits(at, features, weights, min_leaf, tried).collect()      # at most 2^level rows a tree
+        done += [(r["node"], level, r["feature"], r["threshold"], r["n"], r["positives"], r["impurity"], r["gain"]) for r in found]
+        splits = [(r["node"], names.index(r["feature"]), r["threshold"]) for r in found if r["feature"] is not None]
         if not splits:
             break
-        open_nodes = [c for r in splits for c in (2 * r["node"], 2 * r["node"] + 1)]
-        rows = cut_lineage(rows.withColumn("_node", _child(features, splits)).where(F.col("_node").isNotNull()))
+        levels.append(splits)
+        open_nodes = [c for node, _, _ in splits for c in (2 * node, 2 * node + 1)]
     return rows.sparkSession.createDataFrame(done, SCHEMA)
 
 
