@@ -1,5 +1,9 @@
 """The two-phase search and the approximate branch."""
 
+import os
+import subprocess
+import sys
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -176,3 +180,20 @@ def test_shared_buckets_are_met_as_blocks(spark, monkeypatch):
     wanted = {(0, q, t) for q in range(200) for t in range(300)} | {(1, q, t) for _, q, t in met if q % 7 == t % 7}
     assert len(met) == len(set(met)) and set(met) == wanted
     assert sum(1 for m in met if m[0] == 1) == sum(1 for q in range(200) for t in range(300) if q % 7 == t % 7)
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    """Two phases in a session whose workers can't import the package."""
+    code = f"""
+import os, sys
+sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
+from txrisk.operators import knn as kn
+from txrisk.session import get_spark
+spark = get_spark("local[2]", "away", 4)
+kn.FEW, kn.BLOCK = 0, 40
+rows = spark.range(200).selectExpr("id tid", "array(id * 1D, (id % 7) * 2D) vec")
+print("found", kn.knn_join(rows.withColumnRenamed("tid", "qid"), rows, 2, n_pivots=3).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "found 400" in out.stdout, out.stderr[-2000:]
