@@ -197,3 +197,14 @@ print("found", kn.knn_join(rows.withColumnRenamed("tid", "qid"), rows, 2, n_pivo
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "found 400" in out.stdout, out.stderr[-2000:]
+
+
+def test_later_rings_are_met_under_a_tight_bound(spark, two_phases):
+    """Without pruning, the rows found grow far less than with the blocks that a query meets."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(6000, 16))
+    search = kn.knn_search(_queries(_frame(spark, x[:100])), _frame(spark, x), 5, n_pivots=150)
+    assert sum(search.compared()) > 0.5 * 100 * 6000        # nothing much can be left out
+    assert search.found.count() < 100 * 5 * 8               # of some 150 blocks
+    got = _distances(kn.knn_join(_queries(_frame(spark, x[:100])), _frame(spark, x), 5, n_pivots=150), 5)
+    assert np.allclose([got[i] for i in range(100)], _brute(x[:100], x, 5, "euclidean"), atol=1e-9)
