@@ -208,3 +208,37 @@ def test_later_rings_are_met_under_a_tight_bound(spark, two_phases):
     assert search.found.count() < 100 * 5 * 8               # of some 150 blocks
     got = _distances(kn.knn_join(_queries(_frame(spark, x[:100])), _frame(spark, x), 5, n_pivots=150), 5)
     assert np.allclose([got[i] for i in range(100)], _brute(x[:100], x, 5, "euclidean"), atol=1e-9)
+
+
+def _top_by_hand(x, y, theta, cid, k, search):
+    d = kn.block_distances(x, y, search)
+    return [(i, j) for i in range(len(x)) for j in [j for j in np.lexsort((cid, d[i])) if d[i, j] <= theta[i]][:k]]
+
+
+def _odd_blocks(rng):
+    plain = rng.normal(size=(300, 16))
+    dense = np.vstack([rng.normal(size=(299, 16)) * 1e-3, np.full((1, 16), 1e5)])     # one far row: rough orders say nothing
+    grid = rng.integers(0, 3, (300, 4)).astype(float)                                # many ties
+    return [plain, dense, grid, plain + 1e6, plain * 1e25, plain * 1e-25, plain * 1e200, np.ones((300, 3))]
+
+
+def _same_as_by_hand(search):
+    rng = np.random.default_rng(9)
+    for x in _odd_blocks(rng):
+        q, t, cid = x[:140], x[140:], rng.permutation(160) * 3
+        with np.errstate(over="ignore"):
+            d = kn.block_distances(q, t, search)
+            for theta in (np.full(140, np.inf), np.sort(d, axis=1)[:, 7], np.zeros(140)):
+                i, j, dist = kn._top(q, t, theta, cid, 4, search)
+                assert list(zip(i, j)) == _top_by_hand(q, t, theta, cid, 4, search)
+                assert np.allclose(dist, d[i, j], rtol=1e-12, atol=0)
+
+
+def test_single_precision_orders_leave_exact_results():
+    x = np.random.default_rng(10).normal(size=(64, 8))
+    near, shift, unit, error = kn._rough(x, x, "euclidean", False)
+    order = near(slice(0, 64))
+    assert order.dtype == np.float32 and kn._rough(x, x, "euclidean", True)[0](slice(0, 64)).dtype == np.float64
+    off = np.abs(order * unit + shift[:, None] - kn.block_distances(x, x, "euclidean") ** 2)
+    assert np.all(off <= error[:, None] * unit)
+    _same_as_by_hand("euclidean")
