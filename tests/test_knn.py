@@ -242,3 +242,13 @@ def test_single_precision_orders_leave_exact_results():
     off = np.abs(order * unit + shift[:, None] - kn.block_distances(x, x, "euclidean") ** 2)
     assert np.all(off <= error[:, None] * unit)
     _same_as_by_hand("euclidean")
+
+
+def test_sums_of_16_bits_leave_exact_results():
+    x = np.random.default_rng(11).normal(size=(64, 8))
+    near, shift, unit, error = kn._rough(x, x, "manhattan", False)
+    order = near(slice(0, 64))
+    assert order.dtype == np.int16 and order.min() >= 0
+    off = np.abs(order * unit + shift[:, None] - kn.block_distances(x, x, "manhattan"))
+    assert np.all(off <= error[:, None] * unit)
+    _same_as_by_hand("manhattan")
