@@ -1,5 +1,7 @@
 """Models against facts that do not come from the library itself."""
 
+import time
+
 import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
@@ -202,3 +204,57 @@ def test_large_frames_are_dealt_over_all_cores(spark):
     assert len(sizes) == cores and max(sizes) < 1.2 * pl.DEALT_FROM / cores
     assert rows.select("id").distinct().count() == pl.DEALT_FROM
     assert pl._dealt(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == 1
+
+
+def test_fits_that_cannot_be_cached_together_run_by_themselves(spark, monkeypatch):
+    from threading import Lock
+
+    monkeypatch.setattr(pl, "cache_memory", lambda spark: 1000, raising=False)
+    rows = spark.createDataFrame([(0, 0, 0.1), (1, 1, 0.9)], "label int, prediction int, score double")
+    lock, running, seen = Lock(), set(), []
+
+    class Small(pl.Study):
+        def frames(self, scaled):
+            self._frames[scaled] = (rows, rows)     # two train rows
+
+        def _say(self, name):
+            with lock:
+                running.add(name)
+                seen.append(frozenset(running))
+            time.sleep(1)
+            with lock:
+                running.discard(name)
+            return rows, 0.0
+
+        def forest(self):
+            return self._say("forest")
+
+        def boosting(self):
+            return self._say("boosting")
+
+        def tree(self):
+            return self._say("tree")
+
+    board = Small(rows).board(("tree", "forest", "boosting")).collect()
+    assert [r.model for r in board] == ["Decision Tree", "Gradient Boosting", "Random Forest"]
+    assert {"forest"} in seen and not any("forest" in s and len(s) > 1 for s in seen)   # 2 x 550 bytes are too many
+    assert {"boosting", "tree"} <= set().union(*seen)
+
+
+def test_tasks_start_while_there_is_room():
+    from threading import Barrier
+
+    both = Barrier(2, timeout=60)
+    tasks = {"a": both.wait, "b": both.wait, "large": lambda: "x"}
+    done = pl.run_within(tasks, {"a": 5, "b": 5, "large": 100}, 10)
+    assert sorted([done["a"], done["b"]]) == [0, 1] and done["large"] == "x"
+    assert pl.run_within({}, {}, 1) == {}
+    with pytest.raises(ZeroDivisionError):
+        pl.run_within({"bad": lambda: 1 / 0, "next": lambda: 1}, {"bad": 9, "next": 9}, 10)
+
+
+def test_cache_memory_is_the_storage_of_the_session(spark):
+    from txrisk.session import cache_memory
+
+    heap = spark.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory()
+    assert 0.3 * (heap - 300 * 2**20) < cache_memory(spark) < heap
