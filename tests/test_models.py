@@ -258,3 +258,16 @@ def test_cache_memory_is_the_storage_of_the_session(spark):
 
     heap = spark.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory()
     assert 0.3 * (heap - 300 * 2**20) < cache_memory(spark) < heap
+
+
+def test_scaled_frames_come_from_the_unscaled_ones(feat, monkeypatch):
+    want = [sorted(map(str, f.select("row_key", "label", "features").collect())) for f in pl.prepare(feat, scaled=True)]
+    weights = dict(pl.prepare(feat, scaled=True)[0].select("row_key", "weight").collect())
+    split, calls = sa.stratified_split, []
+    monkeypatch.setattr(sa, "stratified_split", lambda *a, **k: calls.append(1) or split(*a, **k))
+    study = pl.Study(feat)
+    study.frames(False)
+    train, test = study.frames(True)
+    assert len(calls) == 1
+    assert [sorted(map(str, f.select("row_key", "label", "features").collect())) for f in (train, test)] == want
+    assert dict(train.select("row_key", "weight").collect()) == weights
